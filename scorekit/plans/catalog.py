@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_ensemble  # noqa: F401
+from . import q_ensemble, q_profile  # noqa: F401
 from .registry import REGISTRY, oracle_text, run_query
 
 

@@ -1,7 +1,8 @@
 """Registry of named queries: a Spark builder, the declared output schema and the oracle SQL.
 
 The declared schema is applied to both sides in the same way: counts and flags as BIGINT,
-doubles rounded to 6 places with negative zero folded and NaN as NULL, text as is. So the
+doubles rounded to 6 places (fewer above 1e6, so about 13 significant digits survive and
+summation-order noise does not flip a digit) with negative zero folded and NaN as NULL, text as is. So the
 Spark result and the DuckDB result of a query can be hashed and compared column by column.
 """
 
@@ -48,7 +49,10 @@ def _spark_col(name: str, typ: str):
     if typ == "double":
         d = c.cast("double")
         d = F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
-        return (F.round(d, 6) + F.lit(0.0)).alias(name)
+        a = F.abs(d)
+        r = F.when(a >= 1e12, F.round(d, 0)).when(a >= 1e9, F.round(d, 2)).when(a >= 1e6, F.round(d, 4)) \
+            .otherwise(F.round(d, 6))
+        return (r + F.lit(0.0)).alias(name)
     if typ == "bigint":
         return c.cast("bigint").alias(name)
     return c.cast("string").alias(name)
@@ -57,9 +61,10 @@ def _spark_col(name: str, typ: str):
 def _sql_col(name: str, typ: str) -> str:
     q = '"' + name.replace('"', '""') + '"'
     if typ == "double":
-        d = f"CAST({q} AS DOUBLE)"
-        return (f"CAST(round(CASE WHEN isnan({d}) THEN NULL ELSE {d} END, 6) AS DOUBLE) "
-                f"+ CAST(0 AS DOUBLE) AS {q}")
+        d = f"(CASE WHEN isnan(CAST({q} AS DOUBLE)) THEN NULL ELSE CAST({q} AS DOUBLE) END)"
+        r = (f"CASE WHEN abs({d}) >= 1e12 THEN round({d}, 0) WHEN abs({d}) >= 1e9 THEN round({d}, 2) "
+             f"WHEN abs({d}) >= 1e6 THEN round({d}, 4) ELSE round({d}, 6) END")
+        return f"CAST({r} AS DOUBLE) + CAST(0 AS DOUBLE) AS {q}"
     if typ == "bigint":
         return f"CAST({q} AS BIGINT) AS {q}"
     return f"CAST({q} AS VARCHAR) AS {q}"
