@@ -71,6 +71,8 @@ def _sql_col(name: str, typ: str) -> str:
 
 
 def run_query(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..session import guard_union_partitioning
+    guard_union_partitioning(spark)
     qy = REGISTRY[name]
     df = qy.build(spark, sf_dir)
     return df.select(*[_spark_col(n, t) for n, t in qy.schema])

@@ -32,6 +32,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.unionOutputPartitioning", "false")
     )
     if event_log_dir:
         builder = (builder.config("spark.eventLog.enabled", "true")
@@ -42,6 +43,20 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def guard_union_partitioning(spark: SparkSession) -> None:
+    """Keep ``spark.sql.unionOutputPartitioning`` off for this session.
+
+    With it on (the Spark 4.1 default), a union of inputs that are hash-partitioned on the same
+    keys, feeding an aggregate on those keys, returned every group once per union input on
+    ``collect`` in our runs (``count`` was right). Operators that union partitioned results call
+    this before building their plans."""
+    try:
+        if spark.conf.get("spark.sql.unionOutputPartitioning", "true") != "false":
+            spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    except Exception:  # noqa: BLE001  (older Spark without the setting)
+        pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, registering it with the SparkContext.
 
