@@ -161,28 +161,34 @@ def first_present(df: DataFrame, names, default=None) -> Column:
 # F16 / F17
 def row_stats(cols) -> dict:
     """Row-wise sum, mean, sample std, median, min, max, range, skew (G1), kurtosis (G2) over
-    ``cols``; nulls are skipped as in pandas."""
-    arr = F.filter(F.array(*[col(c).cast("double") for c in cols]), lambda x: x.isNotNull())
-    n = F.size(arr).cast("double")
-    s = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
-    mean = s / n
-    m2 = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
-    m3 = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean) * (x - mean))
-    m4 = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean) * (x - mean) * (x - mean))
-    srt = F.array_sort(arr)
+    ``cols``; nulls are skipped as in pandas.
+
+    Plain column arithmetic (whole-stage codegen, the mean is a shared subexpression); only the
+    median sorts, with the built-in ``array_sort`` that puts nulls last."""
+    xs = [col(c).cast("double") for c in cols]
+    n = reduce(lambda a, b: a + b, [F.when(x.isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0)) for x in xs])
+    s = reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0.0)) for x in xs])
+    mean = F.when(n > 0, s / n)
+
+    def central(power):
+        return reduce(lambda a, b: a + b, [F.coalesce(F.pow(x - mean, power), F.lit(0.0)) for x in xs])
+
+    m2, m3, m4 = central(2), central(3), central(4)
+    srt = F.array_sort(F.array(*xs))
+    ni = n.cast("int")
     mid = F.floor((n - 1) / 2).cast("int")
-    median = F.when(n == 0, F.lit(None)).when(
-        n.cast("int") % 2 == 1, F.element_at(srt, mid + 1)).otherwise(
+    median = F.when(ni == 0, F.lit(None)).when(ni % 2 == 1, F.element_at(srt, mid + 1)).otherwise(
         (F.element_at(srt, mid + 1) + F.element_at(srt, mid + 2)) / 2)
     var = F.when(n > 1, m2 / (n - 1))
-    g1 = F.when(m2 > 0, (m3 / n) / F.pow(m2 / n, 1.5))
-    g2 = F.when(m2 > 0, (m4 / n) / F.pow(m2 / n, 2) - 3)
+    g1 = (m3 / n) / F.pow(m2 / n, 1.5)
+    g2 = (m4 / n) / F.pow(m2 / n, 2) - 3
     skew = F.when(n >= 3, F.when(m2 == 0, F.lit(0.0)).otherwise(g1 * F.sqrt(n * (n - 1)) / (n - 2)))
     kurt = F.when(n >= 4, F.when(m2 == 0, F.lit(0.0)).otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)))
+    mn = F.least(*xs) if len(xs) > 1 else xs[0]
+    mx = F.greatest(*xs) if len(xs) > 1 else xs[0]
     return {
-        "row_sum": s, "row_mean": F.when(n > 0, mean), "row_std": F.sqrt(var), "row_median": median,
-        "row_min": F.array_min(arr), "row_max": F.array_max(arr),
-        "row_range": F.array_max(arr) - F.array_min(arr), "row_skew": skew, "row_kurt": kurt,
+        "row_sum": s, "row_mean": mean, "row_std": F.sqrt(var), "row_median": median,
+        "row_min": mn, "row_max": mx, "row_range": mx - mn, "row_skew": skew, "row_kurt": kurt,
     }
 
 

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import guard_union_partitioning
+from ..session import cut_lineage, guard_union_partitioning
 from .order import add_value_bucket, hash_rank, prefix_sum
 from .stats import to_long
 
@@ -164,27 +164,35 @@ def digamma(x: Column) -> Column:
     return series - shift
 
 
-def _kth_radius(cands: Column, kp: Column) -> Column:
-    """Smallest distance d such that the neighbours (distance, count) with distance <= d number
-    at least k'. ``cands``: array<struct<d double, c long>>."""
-    srt = F.array_sort(cands, lambda a, b: F.when(a["d"] < b["d"], -1).when(a["d"] > b["d"], 1).otherwise(0))
-    acc = F.aggregate(srt, F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("double").alias("r")),
-                      lambda s, e: F.struct((s["cum"] + e["c"]).alias("cum"),
-                                            F.when(s["r"].isNull() & (s["cum"] + e["c"] >= kp), e["d"])
-                                            .otherwise(s["r"]).alias("r")))
-    return acc["r"]
+def _kth_radius(cands, own: Column, kp: Column) -> Column:
+    """Smallest distance d with at least k' neighbours at distance <= d.
 
+    ``cands``: list of (distance, count) Column pairs (null when absent); ``own`` is the number of
+    other rows with the same value (distance 0). Every candidate distance is tested by plain
+    arithmetic; no array sorting or lambda."""
+    dists = [F.lit(0.0)] + [d for d, _ in cands]
 
-def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bucket: int = 2_000_000) -> DataFrame:
+    def count_within(t):
+        return own + reduce(lambda a, b: a + b,
+                            [F.when(d.isNotNull() & (d <= t), c).otherwise(F.lit(0)) for d, c in cands])
+
+    picks = [F.when(t.isNotNull() & (count_within(t) >= kp), t) for t in dists]
+    return F.least(*picks)
+
+
+def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bucket: int = 250_000) -> DataFrame:
     """Mutual information (nats) of each continuous column with the class, k-NN estimator.
 
     Rows whose class has a single row are left out, as in the reference library. Returns
     ``(feature, mi)``. Exact ties give a zero radius (the library adds seeded noise there)."""
     guard_union_partitioning(df.sparkSession)
     longf = to_long(df, cols, keep=[label_col]).withColumnRenamed(label_col, "y")
-    counts = longf.groupBy("feature", "y", "value").agg(F.count(F.lit(1)).alias("c"))
-    ny = counts.groupBy("feature", "y").agg(F.sum("c").alias("ny"))  # features x classes rows
-    counts = counts.join(F.broadcast(ny), ["feature", "y"]).where(F.col("ny") > 1).persist()
+    # the estimator is a long chain of stages: its two wide intermediates are written to the
+    # reliable checkpoint folder, which keeps plans small and lets a lost executor recompute
+    # from the checkpoint instead of from the source
+    base = cut_lineage(longf.groupBy("feature", "y", "value").agg(F.count(F.lit(1)).alias("c")))
+    ny = base.groupBy("feature", "y").agg(F.sum("c").alias("ny")).persist()  # features x classes rows
+    counts = base.join(F.broadcast(ny), ["feature", "y"]).where(F.col("ny") > 1).select("feature", "y", "value", "c")
     n_rows = counts.count()
     bk = add_value_bucket(counts, "value", "_b", n_rows, rows_per_bucket)
     part = ["feature", "y", "_b"]
@@ -212,13 +220,15 @@ def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bu
     for i in range(1, k + 1):
         for fn in (F.lag, F.lead):
             v, c = fn("value", i).over(w), fn("c", i).over(w)
-            cand.append(F.when(v.isNotNull(), F.struct(F.abs(v - F.col("value")).alias("d"), c.cast("long").alias("c"))))
-    cand.append(F.struct(F.lit(0.0).alias("d"), (F.col("c") - 1).cast("long").alias("c")))
-    rad = (both.select("feature", "y", "value", "c", "ny", "_halo", kp.alias("kp"),
-                       F.filter(F.array(*cand), lambda s: s.isNotNull()).alias("_cand"))
-           .where(F.col("_halo") == 0)
-           .select("feature", "y", "value", "c", "ny", "kp", _kth_radius(F.col("_cand"), F.col("kp")).alias("r")))
-    rad = rad.persist()
+            cand.append((F.abs(v - F.col("value")), c.cast("long")))
+    named = both.select("feature", "y", "value", "c", "ny", "_halo", kp.alias("kp"),
+                        *[x.alias(f"_d{j}") for j, (x, _) in enumerate(cand)],
+                        *[c.alias(f"_c{j}") for j, (_, c) in enumerate(cand)])
+    cols = [(F.col(f"_d{j}"), F.col(f"_c{j}")) for j in range(len(cand))]
+    rad = (named.where(F.col("_halo") == 0)
+           .select("feature", "y", "value", "c", "ny", "kp",
+                   _kth_radius(cols, (F.col("c") - 1).cast("long"), F.col("kp")).alias("r")))
+    rad = cut_lineage(rad)
     # m: values of the feature (all classes kept) strictly inside (x - r, x + r); r = 0 -> equal values
     allv = counts.groupBy("feature", "value").agg(F.sum("c").alias("w"))
     # query rows are keyed by (feature, qy, qv): (feature, class, value) is unique in ``rad``

@@ -51,20 +51,34 @@ def add_value_bucket(df: DataFrame, key_col: str, out_col: str, n_rows: int | No
 def prefix_sum(df: DataFrame, order_col: str, value_cols, part_cols=(), tie_cols=(),
                descending: bool = False, inclusive: bool = True, prefix: str = "cum_",
                rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-               persist: bool = True) -> DataFrame:
+               persist: bool = True, n_rows: int | None = None) -> DataFrame:
     """Running sums of ``value_cols`` in ``order_col`` order (then ``tie_cols``), per ``part_cols``.
 
     Output: the input columns plus ``prefix + v`` for every value column. ``inclusive`` counts the
-    row itself. ``order_col`` must be numeric.
+    row itself. ``order_col`` must be numeric. A caller that knows the row count passes
+    ``n_rows`` and saves the counting job; the input is persisted only when it is read again
+    (more than one bucket).
     """
     value_cols = list(value_cols)
     part_cols = list(part_cols)
     key = F.col(order_col).cast("double")
     work = df.withColumn("_w1_key", -key if descending else key)
-    if persist:
+    if n_rows is None:
+        if persist:
+            work = work.persist()
+        n_rows = work.count()
+    n = n_rows
+    nb = _bucket_count(n, rows_per_bucket, max_buckets)
+    if nb > 1 and persist and not work.is_cached:
         work = work.persist()
-    n = work.count()
     work = add_value_bucket(work, "_w1_key", "_w1_b", n, rows_per_bucket, max_buckets)
+    w = (Window.partitionBy(*part_cols, "_w1_b")
+         .orderBy(F.col("_w1_key").asc_nulls_last(), *[F.col(c).asc() for c in tie_cols])
+         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+    if nb <= 1:
+        # one bucket: offsets are zero, the window per partition key is the whole answer
+        return work.select(*df.columns, *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(prefix + v)
+                                          for v in value_cols])
     totals = work.groupBy(*part_cols, "_w1_b").agg(*[F.sum(v).alias(v) for v in value_cols])
     wt = Window.partitionBy(*part_cols).orderBy("_w1_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part_cols, "_w1_b",
@@ -73,13 +87,10 @@ def prefix_sum(df: DataFrame, order_col: str, value_cols, part_cols=(), tie_cols
     n_off = offsets.count()
     side = F.broadcast(offsets) if n_off <= BROADCAST_MAX_ROWS else offsets
     joined = work.join(side, part_cols + ["_w1_b"], "left")
-    w = (Window.partitionBy(*part_cols, "_w1_b")
-         .orderBy(F.col("_w1_key").asc_nulls_last(), *[F.col(c).asc() for c in tie_cols])
-         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
     outs = []
     for v in value_cols:
         run = F.coalesce(F.sum(v).over(w), F.lit(0))
-        outs.append((F.col("_w1_off_" + v) + run).alias(prefix + v))
+        outs.append((F.coalesce(F.col("_w1_off_" + v), F.lit(0)) + run).alias(prefix + v))
     return joined.select(*df.columns, *outs)
 
 

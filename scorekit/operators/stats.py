@@ -47,9 +47,12 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), long_input: bool = False)
     probs = [float(p) for p in probs]
     longf = df if long_input else to_long(df, cols, keep=by)
     part = by + ["feature"]
-    counts = longf.groupBy(*part, "value").agg(F.count(F.lit(1)).alias("cnt"))
-    cum = prefix_sum(counts, "value", ["cnt"], part_cols=part)  # cum_cnt inclusive
-    totals = counts.groupBy(*part).agg(F.sum("cnt").alias("n"))
+    counts = longf.groupBy(*part, "value").agg(F.count(F.lit(1)).alias("cnt")).persist()
+    totals = counts.groupBy(*part).agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("nd")).persist()
+    # one job: number of (group, feature) rows and of distinct values (materialises both caches)
+    sizes = totals.agg(F.count(F.lit(1)).alias("g"), F.coalesce(F.sum("nd"), F.lit(0)).alias("d")).first()
+    n_groups = sizes["g"]
+    cum = prefix_sum(counts, "value", ["cnt"], part_cols=part, n_rows=int(sizes["d"]))  # cum_cnt inclusive
     # ranks needed per probability: h = (n-1) q ; lo = floor(h) ; hi = lo + 1 (0-based)
     parr = F.array(*[F.lit(p) for p in probs])
     targets = (totals.select(*part, "n", F.posexplode(parr).alias("pi", "prob"))
@@ -58,8 +61,8 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), long_input: bool = False)
                .withColumn("k_hi", F.least(F.col("k_lo") + 1, F.col("n") - 1))
                .select(*part, "pi", "prob", "h", "k_lo", "k_hi"))
     ranks = targets.select(*part, F.explode(F.array("k_lo", "k_hi")).alias("k")).distinct()
-    n_ranks = ranks.count()
-    side = F.broadcast(ranks) if n_ranks <= BROADCAST_MAX_ROWS else ranks
+    small = n_groups * 2 * len(probs) <= BROADCAST_MAX_ROWS
+    side = F.broadcast(ranks) if small else ranks
     # value of order statistic k: the distinct value with cum - cnt <= k < cum
     hit = (cum.join(side, part, "inner")
            .where((F.col("cum_cnt") - F.col("cnt") <= F.col("k")) & (F.col("k") < F.col("cum_cnt")))
