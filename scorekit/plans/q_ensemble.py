@@ -83,7 +83,7 @@ def _agree(fallback):
 for _fb, _nm in ((0, "agree_or_and"), (1, "agree_or_or")):
     register(_nm, "id string, label bigint",
              f"WITH votes AS ({fr.VOTES_SQL}) SELECT CAST(id AS VARCHAR) AS id, "
-             f"CASE WHEN v1 = v3 THEN v1 ELSE {_fb} END AS label FROM votes", ops=("B12", "J2"))(_agree(_fb))
+             f"CASE WHEN v1 = v3 THEN v1 ELSE {_fb} END AS label FROM votes", ops=("B12", "J2", "F10"))(_agree(_fb))
 
 # --- confusion metrics of the majority vote against the label ------------------------------
 

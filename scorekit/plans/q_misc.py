@@ -298,3 +298,85 @@ def q_blend_scores(spark, sf):
     var = pr.fused_stats(c, CARDIO_F, {"score": F.var_samp})
     out = sel.blend_scores({"corr": corr, "anova": fsc, "variance": var}, {"corr": 0.5, "anova": 0.3, "variance": 0.2}, 5)
     return out.select("feature", "combined")
+
+
+# --- schema helpers, ordering, previews -------------------------------------------------------
+
+@register("common_projection", "id bigint, age bigint",
+          f"WITH t AS ({fr.CARDIO_SQL}) SELECT id, age FROM t", ops=("P2", "P3", "P11"))
+def q_common_projection(spark, sf):
+    c, h = fr.cardio(spark, sf), fr.heart(spark, sf)
+    keep = cl_common(["age", "sex", "gender", "age"], c, h)
+    return cl_select(cl_drop(c, ["no_such_column", "cardio"]), keep, keep=["id"])
+
+
+def cl_common(cands, a, b):
+    from ..operators.clean import common_features
+    return common_features(cands, a, b)
+
+
+def cl_select(df, names, keep=()):
+    from ..operators.clean import select_features
+    return select_features(df, names, keep)
+
+
+def cl_drop(df, names):
+    from ..operators.clean import drop_cols
+    return drop_cols(df, names)
+
+
+@register("normalise_predictions", "id bigint, label bigint",
+          f"WITH v AS ({fr.VOTES_SQL}) SELECT id, y AS label FROM v", ops=("P12", "F14"))
+def q_normalise(spark, sf):
+    from ..operators.clean import normalise_predictions
+    v = fr.votes(spark, sf).select(F.col("id").alias("ID"), F.col("y").alias("Cardio"))
+    return normalise_predictions(v, "id")
+
+
+@register("constant_drop", "feature string",
+          f"WITH v AS ({fr.VOTES_SQL} WHERE o_orderkey % 3 = 0)\n" + "\nUNION ALL ".join(
+              f"SELECT '{c}' AS feature FROM v HAVING count(DISTINCT {c}) <= 1" for c in ["v1", "v2", "v3", "v4"]),
+          ops=("F25", "A6"))
+def q_constant_drop(spark, sf):
+    from ..operators.clean import ConstantDropper
+    v = fr.votes(spark, sf).where(F.col("id") % 3 == 0)
+    dropped = ConstantDropper(["v1", "v2", "v3", "v4"]).fit(v)
+    kept = ConstantDropper.transform(v, dropped).columns
+    return spark.createDataFrame([(c,) for c in ["v1", "v2", "v3", "v4"] if c not in kept], "feature string")
+
+
+@register("preview_rows", "id bigint, ap_hi bigint", f"WITH t AS ({fr.CARDIO_SQL}) SELECT id, ap_hi FROM t ORDER BY id LIMIT 5",
+          ops=("L7",))
+def q_preview(spark, sf):
+    from ..operators.order import preview
+    return preview(fr.cardio(spark, sf).select("id", "ap_hi"), 5, "id")
+
+
+@register("sort_abs_top", "feature string, corr double",
+          f"WITH t AS ({fr.CARDIO_SQL}), s AS (" + "\nUNION ALL ".join(
+              f"SELECT '{c}' AS feature, corr(CAST({c} AS DOUBLE), CAST(cardio AS DOUBLE)) AS corr FROM t" for c in CARDIO_F) +
+          ") SELECT * FROM s ORDER BY abs(corr) DESC, feature LIMIT 3", ops=("L3",))
+def q_sort_abs(spark, sf):
+    from ..operators.order import sort_abs
+    tc = pr.target_corr(fr.cardio(spark, sf), CARDIO_F, "cardio").select("feature", "corr")
+    return sort_abs(tc, "corr", tie_col="feature").limit(3)
+
+
+@register("order_ids_head", "key string", """SELECT key FROM (SELECT CAST(doc_id AS VARCHAR) AS key FROM documents
+  UNION ALL SELECT source FROM documents) ORDER BY TRY_CAST(key AS BIGINT) NULLS LAST, key LIMIT 20""", ops=("L4",))
+def q_order_ids(spark, sf):
+    from ..operators.order import order_ids
+    d = fr.table(spark, sf, "documents")
+    keys = d.select(F.col("doc_id").cast("string").alias("key")).unionByName(d.select(F.col("source").alias("key")))
+    return order_ids(keys, "key").limit(20)
+
+
+@register("assembled_blocks", "id bigint, n_features bigint, total double", None, ops=("U4",))
+def q_assembled(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    from ..operators.features import assemble
+    c = fr.cardio(spark, sf)
+    blocks = [c.select("id", "ap_hi", "ap_lo"), c.select("id", "weight", "height")]
+    j = reduce(lambda a, b: a.join(b, "id"), blocks)
+    v = assemble(j, ["ap_hi", "ap_lo", "weight", "height"]).select("id", vector_to_array("features").alias("a"))
+    return v.select("id", F.size("a").alias("n_features"), F.aggregate("a", F.lit(0.0), lambda s, x: s + x).alias("total"))
