@@ -137,8 +137,16 @@ def majority_vote(long_votes_df: DataFrame) -> DataFrame:
     """
     by_label = (long_votes_df.repartition("id").groupBy("id", "label")
                 .agg(F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first")))
-    return by_label.groupBy("id").agg(
-        F.max_by("label", F.struct(F.col("n"), -F.col("first"))).alias("label"))
+    return by_label.groupBy("id").agg(F.max_by("label", _vote_key()).alias("label"))
+
+
+# more votes wins, then the smaller first ordinal; one long key keeps the aggregate hash-based
+# (a struct ordering key would force a sort aggregate)
+_ORD_SPAN = 1 << 20  # prediction sets per vote, far above any real list
+
+
+def _vote_key():
+    return F.col("n").cast("long") * _ORD_SPAN + (_ORD_SPAN - F.col("first").cast("long"))
 
 
 def vote_table(long_votes_df: DataFrame) -> DataFrame:
@@ -146,9 +154,8 @@ def vote_table(long_votes_df: DataFrame) -> DataFrame:
     part = long_votes_df.repartition("id")
     by_label = (part.groupBy("id", "label")
                 .agg(F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first")))
-    major = by_label.groupBy("id").agg(
-        F.max_by("label", F.struct(F.col("n"), -F.col("first"))).alias("majority"),
-        F.count(F.lit(1)).alias("n_labels"))
+    major = by_label.groupBy("id").agg(F.max_by("label", _vote_key()).alias("majority"),
+                                       F.count(F.lit(1)).alias("n_labels"))
     pattern = part.groupBy("id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "label"))),
                                  lambda s: s["label"].cast("string")), ",").alias("pattern"))
@@ -214,15 +221,15 @@ def _cumulate_over_grid(spark, counts: DataFrame, grid, value_cols) -> DataFrame
     g = spark.createDataFrame([(i, float(t)) for i, t in enumerate(grid)], "j int, threshold double")
     dense = g.join(counts, g["j"] == counts["idx"], "left").select(
         "j", "threshold", *[F.coalesce(F.col(v), F.lit(0)).alias(v) for v in value_cols])
-    # rows above the last threshold (idx == len(grid)) never count as <= j
-    top = counts.where(F.col("idx") == len(grid)).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias("top_" + v)
-                                                       for v in value_cols])
+    # rows above the last threshold (idx == len(grid)) never count as <= j: their totals come back
+    # as driver scalars (one row) and enter as literals
+    top = counts.where(F.col("idx") == len(grid)).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(v)
+                                                       for v in value_cols]).first()
     w = Window.orderBy("j")  # len(grid) rows
     run = dense.select("j", "threshold", *[F.sum(v).over(w).alias("le_" + v) for v in value_cols],
                        *[F.sum(v).over(Window.partitionBy()).alias("all_" + v) for v in value_cols])
-    return run.join(F.broadcast(top), how="left").select(
-        "j", "threshold", *["le_" + v for v in value_cols],
-        *[(F.col("all_" + v) + F.col("top_" + v)).alias("tot_" + v) for v in value_cols])
+    return run.select("j", "threshold", *["le_" + v for v in value_cols],
+                      *[(F.col("all_" + v) + F.lit(int(top[v]))).alias("tot_" + v) for v in value_cols])
 
 
 def threshold_sweep(df: DataFrame, label_col: str, prob_col: str, grid, op: str = ">=") -> DataFrame:
