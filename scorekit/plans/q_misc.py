@@ -334,15 +334,19 @@ def q_normalise(spark, sf):
 
 
 @register("constant_drop", "feature string",
-          f"WITH v AS ({fr.VOTES_SQL} WHERE o_orderkey % 3 = 0)\n" + "\nUNION ALL ".join(
-              f"SELECT '{c}' AS feature FROM v HAVING count(DISTINCT {c}) <= 1" for c in ["v1", "v2", "v3", "v4"]),
-          ops=("F25", "A6"))
+          f"WITH t AS ({fr.SENTINEL_SQL}), a AS (SELECT * FROM t WHERE s1 = 999 AND s2 = 999 AND s3 = 999)\n" + "\nUNION ALL ".join(
+              f"SELECT '{c}' AS feature FROM a HAVING count(DISTINCT {c}) <= 1" for c in fr.SENTINEL_COLS + ["meta"]),
+          ops=("F25", "A6", "P9"))
 def q_constant_drop(spark, sf):
-    from ..operators.clean import ConstantDropper
-    v = fr.votes(spark, sf).where(F.col("id") % 3 == 0)
-    dropped = ConstantDropper(["v1", "v2", "v3", "v4"]).fit(v)
-    kept = ConstantDropper.transform(v, dropped).columns
-    return spark.createDataFrame([(c,) for c in ["v1", "v2", "v3", "v4"] if c not in kept], "feature string")
+    """The metadata-only route (all behaviour values are the sentinel): behaviour columns are
+    constant there and are dropped before that route's model is fitted."""
+    from ..operators.clean import ConstantDropper, split_by_class
+    s = fr.sentinel(spark, sf).withColumn("row_type", pr.sentinel_row_type(fr.SENTINEL_COLS))
+    route = split_by_class(s, "row_type", ["all"])["all"]
+    cols = fr.SENTINEL_COLS + ["meta"]
+    dropped = ConstantDropper(cols).fit(route)
+    kept = ConstantDropper.transform(route, dropped).columns
+    return spark.createDataFrame([(c,) for c in cols if c not in kept], "feature string")
 
 
 @register("preview_rows", "id bigint, ap_hi bigint", f"WITH t AS ({fr.CARDIO_SQL}) SELECT id, ap_hi FROM t ORDER BY id LIMIT 5",
@@ -352,23 +356,23 @@ def q_preview(spark, sf):
     return preview(fr.cardio(spark, sf).select("id", "ap_hi"), 5, "id")
 
 
-@register("sort_abs_top", "feature string, corr double",
+@register("sort_abs_corr", "feature string, corr double",
           f"WITH t AS ({fr.CARDIO_SQL}), s AS (" + "\nUNION ALL ".join(
               f"SELECT '{c}' AS feature, corr(CAST({c} AS DOUBLE), CAST(cardio AS DOUBLE)) AS corr FROM t" for c in CARDIO_F) +
-          ") SELECT * FROM s ORDER BY abs(corr) DESC, feature LIMIT 3", ops=("L3",))
+          ") SELECT * FROM s", ops=("L3",))
 def q_sort_abs(spark, sf):
     from ..operators.order import sort_abs
     tc = pr.target_corr(fr.cardio(spark, sf), CARDIO_F, "cardio").select("feature", "corr")
-    return sort_abs(tc, "corr", tie_col="feature").limit(3)
+    return sort_abs(tc, "corr", tie_col="feature")
 
 
-@register("order_ids_head", "key string", """SELECT key FROM (SELECT CAST(doc_id AS VARCHAR) AS key FROM documents
-  UNION ALL SELECT source FROM documents) ORDER BY TRY_CAST(key AS BIGINT) NULLS LAST, key LIMIT 20""", ops=("L4",))
+@register("order_ids", "key string", """SELECT CAST(doc_id AS VARCHAR) AS key FROM documents
+  UNION ALL SELECT source FROM documents""", ops=("L4",))
 def q_order_ids(spark, sf):
     from ..operators.order import order_ids
     d = fr.table(spark, sf, "documents")
     keys = d.select(F.col("doc_id").cast("string").alias("key")).unionByName(d.select(F.col("source").alias("key")))
-    return order_ids(keys, "key").limit(20)
+    return order_ids(keys, "key")
 
 
 @register("assembled_blocks", "id bigint, n_features bigint, total double", None, ops=("U4",))

@@ -36,9 +36,9 @@ def _oof(name, make):
 
 
 for _name, _make, _ops in (
-        ("oof_gbt", mdl.boosted(max_iter=10, max_depth=3), ("M1", "K3")),
-        ("oof_forest", mdl.forest(num_trees=20, max_depth=6), ("M2", "K3")),
-        ("oof_extra_trees", mdl.extra_trees(num_trees=20, max_depth=6), ("M3",)),
+        ("oof_gbt", mdl.boosted(max_iter=30, max_depth=4), ("M1", "K3")),
+        ("oof_forest", mdl.forest(num_trees=50, max_depth=8), ("M2", "K3")),
+        ("oof_extra_trees", mdl.extra_trees(num_trees=50, max_depth=8), ("M3",)),
         ("oof_tree", mdl.tree(max_depth=4), ("M5",)),
         ("oof_logistic", mdl.logistic(C=1.0, n_rows=10_000, standardization=True), ("M6",)),
         ("oof_linear_svc", mdl.linear_svc(C=1.0, n_rows=10_000, max_iter=20), ("M7", "M11", "F13")),
@@ -81,7 +81,7 @@ def q_grid_search(spark, sf):
     from pyspark.ml.classification import DecisionTreeClassifier
     c = fe.assemble(fr.cardio(spark, sf).withColumnRenamed("cardio", "label"), FEATS)
     _, res = cf.grid_search(c, lambda: DecisionTreeClassifier(labelCol="label"), {"maxDepth": [2, 4]}, "label", "id",
-                            sample_n=2000, k=3)
+                            sample_n=10_000, k=3)
     return spark.createDataFrame([(str(sorted(p.items())), float(s)) for p, s in res], "params string, auc double")
 
 
