@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, guard_union_partitioning
-from .order import add_value_bucket, hash_rank, prefix_sum
+from .order import add_group_value_bucket, hash_rank, prefix_sum
 from .stats import to_long
 
 METRICS = ("euclidean", "manhattan", "minkowski", "cosine")
@@ -193,8 +193,7 @@ def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bu
     base = cut_lineage(longf.groupBy("feature", "y", "value").agg(F.count(F.lit(1)).alias("c")))
     ny = base.groupBy("feature", "y").agg(F.sum("c").alias("ny")).persist()  # features x classes rows
     counts = base.join(F.broadcast(ny), ["feature", "y"]).where(F.col("ny") > 1).select("feature", "y", "value", "c")
-    n_rows = counts.count()
-    bk = add_value_bucket(counts, "value", "_b", n_rows, rows_per_bucket)
+    bk, _ = add_group_value_bucket(counts, "value", "_b", ["feature", "y"], rows_per_bucket)
     part = ["feature", "y", "_b"]
     # halo: the k smallest / largest distinct values of every (feature, y, bucket) are copied into
     # the next / previous non-empty bucket (at most k buckets away, one value per bucket at least)

@@ -2,7 +2,8 @@
 
 W1 is the shared primitive behind ROC/AUC, average precision, folds and rank lookups:
 
-1. cut the order key into value buckets from ``approxQuantile`` (bounded number of cuts);
+1. cut the order key into value buckets from approximate quantiles (bounded number of cuts,
+   one cut list per partition group, so every group is split by its own distribution);
    equal keys always land in the same bucket, so ties are never split;
 2. total every bucket (``groupBy(part, bucket)``: at most |part| x buckets rows);
 3. running offsets over that small table, joined back (broadcast only after its size is counted);
@@ -32,7 +33,7 @@ def _bucket_count(n: int, rows_per_bucket: int, max_buckets: int) -> int:
 
 def add_value_bucket(df: DataFrame, key_col: str, out_col: str, n_rows: int | None = None,
                      rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> DataFrame:
-    """Add a monotone bucket index of ``key_col`` (double) with balanced bucket sizes."""
+    """Add a monotone bucket index of ``key_col`` (double) with balanced bucket sizes (global cuts)."""
     if n_rows is None:
         n_rows = df.count()
     nb = _bucket_count(n_rows, rows_per_bucket, max_buckets)
@@ -40,12 +41,72 @@ def add_value_bucket(df: DataFrame, key_col: str, out_col: str, n_rows: int | No
         return df.withColumn(out_col, F.lit(0.0))
     probs = [i / nb for i in range(1, nb)]
     cuts = df.approxQuantile(key_col, probs, 0.25 / nb)
-    splits = sorted({c for c in cuts if c is not None and not math.isnan(c)})
-    splits = [-math.inf] + [c for c in splits if math.isfinite(c)] + [math.inf]
-    tmp = out_col + "__in"
-    bz = Bucketizer(splits=splits, inputCol=tmp, outputCol=out_col, handleInvalid="keep")
-    # nulls go to the last ("invalid") bucket and sort after every value
-    return bz.transform(df.withColumn(tmp, F.coalesce(F.col(key_col), F.lit(float("nan"))))).drop(tmp)
+    return _bucketize(df, key_col, out_col, [_splits(cuts)])
+
+
+def _splits(cuts) -> list[float]:
+    inner = sorted({c for c in cuts if c is not None and not math.isnan(c) and math.isfinite(c)})
+    return [-math.inf] + inner + [math.inf]
+
+
+def _bucketize(df: DataFrame, key_col: str, out_col: str, splits_list, group_cond=None) -> DataFrame:
+    """Bucket index with one split list per group (multi-column ``Bucketizer``: a binary search in
+    the JVM per row). ``group_cond[i]`` selects the rows of group i; nulls go to the last bucket."""
+    key = F.coalesce(F.col(key_col), F.lit(float("nan")))
+    if group_cond is None:
+        tmp = out_col + "__in"
+        bz = Bucketizer(splits=splits_list[0], inputCol=tmp, outputCol=out_col, handleInvalid="keep")
+        return bz.transform(df.withColumn(tmp, key)).drop(tmp)
+    ins = [f"{out_col}__in{i}" for i in range(len(splits_list))]
+    outs = [f"{out_col}__b{i}" for i in range(len(splits_list))]
+    staged = df.select("*", *[F.when(c, key).otherwise(F.lit(float("nan"))).alias(x)
+                              for c, x in zip(group_cond, ins)])
+    bz = Bucketizer(splitsArray=splits_list, inputCols=ins, outputCols=outs, handleInvalid="keep")
+    out = bz.transform(staged)
+    pick = None
+    for c, o in zip(group_cond, outs):
+        pick = F.when(c, F.col(o)) if pick is None else pick.when(c, F.col(o))
+    return out.withColumn(out_col, F.coalesce(pick, F.lit(0.0))).drop(*ins, *outs)
+
+
+MAX_GROUPS_WITH_OWN_CUTS = 256
+
+
+def add_group_value_bucket(df: DataFrame, key_col: str, out_col: str, part_cols,
+                           rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> tuple:
+    """Bucket index with cut points per ``part_cols`` group, so a group whose values sit inside one
+    global bucket (a feature with a small range next to one with a large range) is still split.
+    Returns ``(frame, total_buckets)``; above ``MAX_GROUPS_WITH_OWN_CUTS`` groups global cuts are used."""
+    part_cols = list(part_cols)
+    sizes = df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("_n")).collect()  # one row per group
+    total = sum(r["_n"] for r in sizes)
+    if len(sizes) > MAX_GROUPS_WITH_OWN_CUTS:
+        nb = _bucket_count(total, rows_per_bucket, max_buckets)
+        return add_value_bucket(df, key_col, out_col, total, rows_per_bucket, max_buckets), nb
+    big = [(r, _bucket_count(r["_n"], rows_per_bucket, max_buckets)) for r in sizes]
+    big = [(r, nb) for r, nb in big if nb > 1]
+    if not big:
+        return df.withColumn(out_col, F.lit(0.0)), 1
+
+    def cond(r):
+        c = None
+        for p in part_cols:
+            e = F.col(p).eqNullSafe(F.lit(r[p]))
+            c = e if c is None else c & e
+        return c
+
+    # cut points of the large groups in one grouped pass (bounded: groups x buckets values)
+    max_nb = max(nb for _, nb in big)
+    probs = [i / max_nb for i in range(1, max_nb)]
+    acc = int(min(2**31 - 1, max(10_000, 4 * max_nb)))
+    any_big = None
+    for r, _ in big:
+        any_big = cond(r) if any_big is None else any_big | cond(r)
+    cut_rows = (df.where(any_big).groupBy(*part_cols)
+                .agg(F.percentile_approx(F.col(key_col), probs, acc).alias("_cuts")).collect())
+    splits_list = [_splits(r["_cuts"] or []) for r in cut_rows]
+    conds = [cond(r) for r in cut_rows]
+    return _bucketize(df, key_col, out_col, splits_list, conds), max_nb
 
 
 def prefix_sum(df: DataFrame, order_col: str, value_cols, part_cols=(), tie_cols=(),
@@ -55,28 +116,32 @@ def prefix_sum(df: DataFrame, order_col: str, value_cols, part_cols=(), tie_cols
     """Running sums of ``value_cols`` in ``order_col`` order (then ``tie_cols``), per ``part_cols``.
 
     Output: the input columns plus ``prefix + v`` for every value column. ``inclusive`` counts the
-    row itself. ``order_col`` must be numeric. A caller that knows the row count passes
-    ``n_rows`` and saves the counting job; the input is persisted only when it is read again
-    (more than one bucket).
+    row itself. ``order_col`` must be numeric. Without partition columns a caller that knows the
+    row count passes ``n_rows`` and saves the counting job. With partition columns every group
+    gets its own cut points. The input is persisted only when it is read again.
     """
     value_cols = list(value_cols)
     part_cols = list(part_cols)
     key = F.col(order_col).cast("double")
     work = df.withColumn("_w1_key", -key if descending else key)
-    if n_rows is None:
+    if part_cols:
         if persist:
             work = work.persist()
-        n_rows = work.count()
-    n = n_rows
-    nb = _bucket_count(n, rows_per_bucket, max_buckets)
-    if nb > 1 and persist and not work.is_cached:
-        work = work.persist()
-    work = add_value_bucket(work, "_w1_key", "_w1_b", n, rows_per_bucket, max_buckets)
+        work, nb = add_group_value_bucket(work, "_w1_key", "_w1_b", part_cols, rows_per_bucket, max_buckets)
+    else:
+        if n_rows is None:
+            if persist:
+                work = work.persist()
+            n_rows = work.count()
+        nb = _bucket_count(n_rows, rows_per_bucket, max_buckets)
+        if nb > 1 and persist and not work.is_cached:
+            work = work.persist()
+        work = add_value_bucket(work, "_w1_key", "_w1_b", n_rows, rows_per_bucket, max_buckets)
     w = (Window.partitionBy(*part_cols, "_w1_b")
          .orderBy(F.col("_w1_key").asc_nulls_last(), *[F.col(c).asc() for c in tie_cols])
          .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
     if nb <= 1:
-        # one bucket: offsets are zero, the window per partition key is the whole answer
+        # one bucket per group: offsets are zero, the window per partition key is the whole answer
         return work.select(*df.columns, *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(prefix + v)
                                           for v in value_cols])
     totals = work.groupBy(*part_cols, "_w1_b").agg(*[F.sum(v).alias(v) for v in value_cols])

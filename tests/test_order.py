@@ -56,3 +56,20 @@ def test_global_rank_and_top_k(spark):
     assert top == [x["id"] for x in r[:10]]
     big = [x["id"] for x in top_k(df, "v", "id", 20, small_k=5).orderBy(F.col("v").desc(), "id").collect()]
     assert big == [x["id"] for x in r[:20]]
+
+
+def test_group_buckets_split_each_group(spark):
+    """Two groups with very different value ranges: each is split by its own cut points."""
+    from scorekit.operators.order import add_group_value_bucket
+    rows = [("small", i / 1e6) for i in range(2000)] + [("large", float(i * 1000)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    b, nb = add_group_value_bucket(df, "v", "b", ["g"], rows_per_bucket=200)
+    sizes = b.groupBy("g", "b").count().collect()
+    assert nb >= 10
+    assert max(r["count"] for r in sizes) <= 400
+    for g in ("small", "large"):
+        assert len([r for r in sizes if r["g"] == g]) >= 5
+    got = prefix_sum(df.withColumn("c", F.lit(1)), "v", ["c"], part_cols=["g"], rows_per_bucket=200)
+    w = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("c", F.lit(1)).withColumn("want", F.sum("c").over(w))
+    assert got.join(want, ["g", "v"]).where(F.col("cum_c") != F.col("want")).count() == 0
