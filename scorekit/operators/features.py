@@ -130,15 +130,22 @@ class Dummies:
 
 
 class DummyEncoder:
-    """levels seen at fit (sorted); indicator per level except the first."""
+    """levels seen at fit (sorted); indicator per level except the first.
 
-    def __init__(self, cols):
-        self.cols = list(cols)
+    Levels come back to the driver (they become column names), so a column with more than
+    ``max_levels`` distinct values is refused instead of collected."""
+
+    def __init__(self, cols, max_levels: int = 1000):
+        self.cols, self.max_levels = list(cols), max_levels
 
     def fit(self, df: DataFrame) -> Dummies:
         levels = {}
-        for c in self.cols:  # distinct levels of a categorical column: small by definition
-            levels[c] = sorted(r[0] for r in df.select(col(c)).where(col(c).isNotNull()).distinct().collect())
+        for c in self.cols:
+            distinct = df.select(col(c)).where(col(c).isNotNull()).distinct()
+            got = distinct.limit(self.max_levels + 1).collect()
+            if len(got) > self.max_levels:
+                raise ValueError(f"{c}: more than {self.max_levels} levels; use TargetStatEncoder instead")
+            levels[c] = sorted(r[0] for r in got)
         return Dummies(levels)
 
 
