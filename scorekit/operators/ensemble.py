@@ -76,11 +76,18 @@ def metric_share_weights(per_model: DataFrame, metric_col: str, mode: str = "sha
 
 
 def per_model_auc(long_scored: DataFrame, label_col: str = "label", prob_col: str = "prob") -> DataFrame:
-    """AUC per model (one exact AUC job per model name; model lists are short)."""
-    models = [r[0] for r in long_scored.select("model").distinct().orderBy("model").collect()]
-    frames = [auc_exact(long_scored.where(F.col("model") == m), label_col, prob_col)
-              .select(F.lit(m).alias("model"), "auc") for m in models]
-    return reduce(DataFrame.unionByName, frames)
+    """Exact AUC of every model in one grouped ordered pass (ties counted half; null for a model
+    whose rows hold one class only)."""
+    from .order import prefix_sum
+    y = F.col(label_col).cast("long")
+    sc = (long_scored.where(F.col(prob_col).isNotNull() & F.col(label_col).isNotNull())
+          .groupBy("model", F.col(prob_col).cast("double").alias("score"))
+          .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")))
+    cum = prefix_sum(sc, "score", ["neg"], part_cols=["model"], inclusive=False)
+    agg = cum.groupBy("model").agg(F.sum(F.col("pos") * (F.col("cum_neg") + 0.5 * F.col("neg"))).alias("num"),
+                                   F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return agg.select("model", F.when((F.col("P") > 0) & (F.col("N") > 0),
+                                      F.col("num") / (F.col("P").cast("double") * F.col("N"))).alias("auc"))
 
 
 def search_weights(oof_wide: DataFrame, label_col: str, model_cols, step: float = 0.05) -> DataFrame:

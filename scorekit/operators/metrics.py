@@ -25,19 +25,17 @@ def _pred(pred_col: str) -> Column:
     return F.col(pred_col).cast("int")
 
 
-def confusion_counts(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:
+def confusion_counts(df: DataFrame, label_col: str, pred_col: str, by=()) -> DataFrame:
     y, p = F.col(label_col).cast("int"), _pred(pred_col)
-    return df.agg(
-        F.count_if((y == 1) & (p == 1)).alias("tp"),
-        F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 0) & (p == 0)).alias("tn"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"),
-    )
+    aggs = [F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+            F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 1) & (p == 0)).alias("fn")]
+    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def confusion_metrics(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:
-    """Counts plus accuracy, precision, recall, F1, specificity, NPV, Matthews, Cohen's kappa."""
-    c = confusion_counts(df, label_col, pred_col)
+def confusion_metrics(df: DataFrame, label_col: str, pred_col: str, by=()) -> DataFrame:
+    """Counts plus accuracy, precision, recall, F1, specificity, NPV, Matthews, Cohen's kappa;
+    one row per ``by`` group (e.g. per model) from a single aggregate."""
+    c = confusion_counts(df, label_col, pred_col, by)
     tp, fp, tn, fn = (F.col(x).cast("double") for x in ("tp", "fp", "tn", "fn"))
     n = tp + fp + tn + fn
     precision = _div(tp, tp + fp)
@@ -46,7 +44,7 @@ def confusion_metrics(df: DataFrame, label_col: str, pred_col: str) -> DataFrame
     pe = _div((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp), n * n)
     acc = _div(tp + tn, n)
     return c.select(
-        "tp", "fp", "tn", "fn",
+        *by, "tp", "fp", "tn", "fn",
         acc.alias("accuracy"),
         precision.alias("precision"),
         recall.alias("recall"),

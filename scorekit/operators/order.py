@@ -73,12 +73,16 @@ MAX_GROUPS_WITH_OWN_CUTS = 256
 
 
 def add_group_value_bucket(df: DataFrame, key_col: str, out_col: str, part_cols,
-                           rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> tuple:
+                           rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
+                           group_sizes=None) -> tuple:
     """Bucket index with cut points per ``part_cols`` group, so a group whose values sit inside one
     global bucket (a feature with a small range next to one with a large range) is still split.
-    Returns ``(frame, total_buckets)``; above ``MAX_GROUPS_WITH_OWN_CUTS`` groups global cuts are used."""
+    ``group_sizes`` (rows with the partition columns and ``_n``) saves the counting job when the
+    caller has it. Returns ``(frame, total_buckets)``; above ``MAX_GROUPS_WITH_OWN_CUTS`` groups
+    global cuts are used."""
     part_cols = list(part_cols)
-    sizes = df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("_n")).collect()  # one row per group
+    sizes = group_sizes if group_sizes is not None else \
+        df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("_n")).collect()  # one row per group
     total = sum(r["_n"] for r in sizes)
     if len(sizes) > MAX_GROUPS_WITH_OWN_CUTS:
         nb = _bucket_count(total, rows_per_bucket, max_buckets)
@@ -112,7 +116,7 @@ def add_group_value_bucket(df: DataFrame, key_col: str, out_col: str, part_cols,
 def prefix_sum(df: DataFrame, order_col: str, value_cols, part_cols=(), tie_cols=(),
                descending: bool = False, inclusive: bool = True, prefix: str = "cum_",
                rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-               persist: bool = True, n_rows: int | None = None) -> DataFrame:
+               persist: bool = True, n_rows: int | None = None, group_sizes=None) -> DataFrame:
     """Running sums of ``value_cols`` in ``order_col`` order (then ``tie_cols``), per ``part_cols``.
 
     Output: the input columns plus ``prefix + v`` for every value column. ``inclusive`` counts the
@@ -127,7 +131,8 @@ def prefix_sum(df: DataFrame, order_col: str, value_cols, part_cols=(), tie_cols
     if part_cols:
         if persist:
             work = work.persist()
-        work, nb = add_group_value_bucket(work, "_w1_key", "_w1_b", part_cols, rows_per_bucket, max_buckets)
+        work, nb = add_group_value_bucket(work, "_w1_key", "_w1_b", part_cols, rows_per_bucket, max_buckets,
+                                          group_sizes)
     else:
         if n_rows is None:
             if persist:

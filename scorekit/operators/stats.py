@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import BROADCAST_MAX_ROWS
-from .order import prefix_sum
+from .order import MAX_GROUPS_WITH_OWN_CUTS, prefix_sum
 
 
 def to_long(df: DataFrame, cols, keep=(), feature_col: str = "feature", value_col: str = "value",
@@ -52,7 +52,10 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), long_input: bool = False)
     # one job: number of (group, feature) rows and of distinct values (materialises both caches)
     sizes = totals.agg(F.count(F.lit(1)).alias("g"), F.coalesce(F.sum("nd"), F.lit(0)).alias("d")).first()
     n_groups = sizes["g"]
-    cum = prefix_sum(counts, "value", ["cnt"], part_cols=part)  # cum_cnt inclusive
+    # distinct values per (group, feature) are the prefix sum's group sizes: pass them on when few
+    group_sizes = (totals.select(*part, F.col("nd").alias("_n")).collect()
+                   if n_groups <= MAX_GROUPS_WITH_OWN_CUTS else None)
+    cum = prefix_sum(counts, "value", ["cnt"], part_cols=part, group_sizes=group_sizes)  # cum_cnt inclusive
     # ranks needed per probability: h = (n-1) q ; lo = floor(h) ; hi = lo + 1 (0-based)
     parr = F.array(*[F.lit(p) for p in probs])
     targets = (totals.select(*part, "n", F.posexplode(parr).alias("pi", "prob"))

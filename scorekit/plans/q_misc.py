@@ -205,10 +205,7 @@ f AS (SELECT model, CASE WHEN tp = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn)
 
 def _per_model(spark, sf, metric):
     lp = ens.apply_threshold(long_probs(spark, sf), "prob", 0.5, ">=")
-    models = sorted(PROB_MODELS)
-    rows = [met.confusion_metrics(lp.where(F.col("model") == m), "label", "pred").select(F.lit(m).alias("model"), metric)
-            for m in models]
-    return reduce(DataFrame.unionByName, rows)
+    return met.confusion_metrics(lp, "label", "pred", by=["model"]).select("model", metric)
 
 
 @register("weights_squared_f1", "model string, weight double",
