@@ -1,11 +1,11 @@
 """k-nearest-neighbour operators: exact k-NN join and vote (J7, M9) and the k-NN mutual
 information estimator for a continuous feature against a class (A14).
 
-k-NN join. The base side is cut into blocks of at most ``block_rows`` rows (hash rank on the id,
-so a block's size is bounded by construction). Each block is broadcast once and every query
-partition keeps, per query, only its k best candidates of that block (numpy inside
-``mapInPandas``; pairs are never materialised as rows). Candidates of all blocks are merged by a
-``row_number`` per query: at most k x blocks rows per query.
+k-NN join. The query side is cut into blocks of at most ``block_rows`` rows (hash rank on the id,
+so a block's size is bounded by construction). Each block is broadcast once and every base
+partition keeps, per query, a running top k over its batches (numpy inside ``mapInPandas``;
+pairs are never materialised as rows, the base side is never collected). Candidates of all
+partitions are merged by a ``row_number`` per query: at most k x partitions rows per query.
 
 Mutual information (Ross 2014, the estimator behind the reference's selection). In one dimension
 the k nearest neighbours of a value inside its class are among the k distinct values before and
@@ -61,68 +61,85 @@ def _exact_euclidean(qv: np.ndarray, bv: np.ndarray) -> np.ndarray:
 
 def knn_join(queries: DataFrame, base: DataFrame, k: int, metric: str = "euclidean", p: float = 3.0,
              id_col: str = "id", vec_col: str = "embedding", label_col: str | None = "label",
-             block_rows: int = 100_000, query_chunk: int = 2048) -> DataFrame:
+             block_rows: int = 20_000, query_chunk: int = 1024) -> DataFrame:
     """The k nearest base rows of every query row (ties by base id).
 
+    The query side is cut into blocks of at most ``block_rows`` rows (hash rank on the id, so a
+    block's size is bounded by construction); each block is broadcast once and every base
+    partition keeps a running top-k per query over its Arrow batches (numpy), emitting k rows per
+    query and partition. The base side is scanned in place and never collected. A window per
+    query then keeps the best k of at most k x partitions candidates.
+
     Returns ``(qid, rank, bid, distance[, label])``."""
     spark = queries.sparkSession
     guard_union_partitioning(spark)
-    n_base = base.count()
-    n_blocks = max(1, math.ceil(n_base / block_rows))
-    cols = [id_col, vec_col] + ([label_col] if label_col else [])
+    n_q = queries.count()
+    n_blocks = max(1, math.ceil(n_q / block_rows))
     if n_blocks > 1:
-        ranked = hash_rank(base.select(*cols), id_col, "knn", out_col="_r")
+        ranked = hash_rank(queries.select(id_col, vec_col), id_col, "knn", out_col="_r")
         blocked = ranked.withColumn("_blk", ((F.col("_r") - 1) % n_blocks).cast("int")).drop("_r")
     else:
-        blocked = base.select(*cols).withColumn("_blk", F.lit(0))
+        blocked = queries.select(id_col, vec_col).withColumn("_blk", F.lit(0))
     out_schema = "qid long, bid long, distance double" + (", label long" if label_col else "")
+    bcols = [id_col, vec_col] + ([label_col] if label_col else [])
     parts = []
     for b in range(n_blocks):
-        rows = blocked.where(F.col("_blk") == b).collect()  # at most block_rows rows by construction
+        rows = blocked.where(F.col("_blk") == b).collect()  # at most block_rows query rows
         if not rows:
             continue
-        bid = np.array([r[id_col] for r in rows], dtype=np.int64)
-        bvec = np.array([r[vec_col] for r in rows], dtype=np.float64)
-        blab = np.array([r[label_col] for r in rows], dtype=np.int64) if label_col else None
-        bc = spark.sparkContext.broadcast((bid, bvec, blab))
+        qids = np.array([r[id_col] for r in rows], dtype=np.int64)
+        qvec = np.array([r[vec_col] for r in rows], dtype=np.float64)
+        bc = spark.sparkContext.broadcast((qids, qvec))
 
         def topk(it, bc=bc):
-            b_id, b_vec, b_lab = bc.value
-            kk = min(k, len(b_id))
+            q_id, q_vec = bc.value
+            nq = len(q_id)
+            best_d = np.full((nq, k), np.inf)
+            best_b = np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
+            best_l = np.zeros((nq, k), dtype=np.int64)
+            seen = False
             for pdf in it:
-                for s in range(0, len(pdf), query_chunk):
-                    chunk = pdf.iloc[s:s + query_chunk]
-                    q = np.stack(chunk[vec_col].to_numpy()).astype(np.float64)
-                    d = _distances(q, b_vec, metric, p)
-                    # order by (distance, base id): lexsort on the k+ties candidates
-                    part = np.argpartition(d, kk - 1, axis=1)[:, :kk] if kk < d.shape[1] else \
-                        np.tile(np.arange(d.shape[1]), (d.shape[0], 1))
-                    thr = d[np.arange(d.shape[0])[:, None], part].max(1)
-                    # margin for the rounding of the BLAS form; candidates are then re-measured directly
-                    thr = thr + 1e-9 * (1.0 + thr) if metric == "euclidean" else thr
-                    out_q, out_b, out_d, out_l = [], [], [], []
-                    for i, qid in enumerate(chunk[id_col].to_numpy()):
-                        cand = np.nonzero(d[i] <= thr[i])[0]
-                        dist = _exact_euclidean(q[i][None, :], b_vec[cand]) if metric == "euclidean" else d[i, cand]
-                        order = np.lexsort((b_id[cand], dist))[:kk]
-                        sel = cand[order]
-                        out_q.append(np.full(len(sel), qid))
-                        out_b.append(b_id[sel])
-                        out_d.append(dist[order])
-                        if b_lab is not None:
-                            out_l.append(b_lab[sel])
-                    res = {"qid": np.concatenate(out_q), "bid": np.concatenate(out_b),
-                           "distance": np.concatenate(out_d)}
-                    if b_lab is not None:
-                        res["label"] = np.concatenate(out_l)
-                    yield pd.DataFrame(res)
-
-        # the literals make every (block, k, metric) plan distinct, so no exchange or subplan of one
-        # variant can be reused for another (Python functions do not take part in plan equality)
-        tagged = queries.select(id_col, vec_col, F.lit(f"{metric}:{k}:{p}:{b}").alias("_variant"))
+                if len(pdf) == 0:
+                    continue
+                seen = True
+                b_id = pdf[id_col].to_numpy().astype(np.int64)
+                b_vec = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
+                b_lab = pdf[label_col].to_numpy().astype(np.int64) if label_col else np.zeros(len(b_id), np.int64)
+                for s0 in range(0, nq, query_chunk):
+                    sl = slice(s0, s0 + query_chunk)
+                    d = _distances(q_vec[sl], b_vec, metric, p)
+                    if metric == "euclidean":  # re-measure directly: the BLAS form rounds differently
+                        kk = min(k, d.shape[1])
+                        cand = np.argpartition(d, kk - 1, axis=1)[:, :kk] if kk < d.shape[1] else \
+                            np.tile(np.arange(d.shape[1]), (d.shape[0], 1))
+                        thr = d[np.arange(d.shape[0])[:, None], cand].max(1)
+                        mask = d <= (thr + 1e-9 * (1.0 + thr))[:, None]
+                        rr, cc = np.nonzero(mask)
+                        exact = np.full(d.shape, np.inf)
+                        exact[rr, cc] = _exact_euclidean(q_vec[sl][rr], b_vec[cc])
+                        d = exact
+                    # merge the running best with this batch: distance, then base id
+                    all_d = np.concatenate([best_d[sl], d], axis=1)
+                    all_b = np.concatenate([best_b[sl], np.broadcast_to(b_id, d.shape)], axis=1)
+                    all_l = np.concatenate([best_l[sl], np.broadcast_to(b_lab, d.shape)], axis=1)
+                    order = np.lexsort((all_b, all_d), axis=1)[:, :k]
+                    rows_ix = np.arange(order.shape[0])[:, None]
+                    best_d[sl], best_b[sl], best_l[sl] = all_d[rows_ix, order], all_b[rows_ix, order], all_l[rows_ix, order]
+            if not seen:
+                return
+            keep = np.isfinite(best_d)
+            qq = np.broadcast_to(q_id[:, None], best_d.shape)
+            res = {"qid": qq[keep], "bid": best_b[keep], "distance": best_d[keep]}
+            if label_col:
+                res["label"] = best_l[keep]
+            yield pd.DataFrame(res)
+
+        # the literal makes every (block, k, metric) plan distinct, so no exchange or subplan of
+        # one variant is reused for another (Python functions do not take part in plan equality)
+        tagged = base.select(*bcols, F.lit(f"{metric}:{k}:{p}:{b}").alias("_variant"))
         parts.append(tagged.mapInPandas(topk, out_schema))
     cand = reduce(DataFrame.unionByName, parts)
-    w = Window.partitionBy("qid").orderBy("distance", "bid")  # <= k x blocks rows per query
+    w = Window.partitionBy("qid").orderBy("distance", "bid")  # <= k x base partitions rows per query
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 

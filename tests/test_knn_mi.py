@@ -35,7 +35,7 @@ def test_knn_join_matches_numpy(spark):
     qdf = spark.createDataFrame([(int(1000 + i), [float(v) for v in row], 0) for i, row in enumerate(qs)],
                                 "id long, embedding array<double>, label int")
     for metric in ("euclidean", "manhattan", "cosine"):
-        got = knn.knn_join(qdf, bdf, 4, metric, block_rows=50).orderBy("qid", "rank").collect()
+        got = knn.knn_join(qdf, bdf.repartition(6), 4, metric, block_rows=4).orderBy("qid", "rank").collect()
         for i, q in enumerate(qs):
             d = knn._distances(q[None, :], base, metric)[0]
             want = list(np.lexsort((np.arange(len(base)), d))[:4])
