@@ -228,7 +228,32 @@ def q_blend_auc(spark, sf):
     return ens.blend_weighted(lp, ens.metric_share_weights(ens.per_model_auc(lp), "auc", "share"))
 
 
-@register("search_weights", "cand bigint, auc double", None, ops=("B7",))
+def _simplex(k, units):
+    out = []
+
+    def rec(prefix, left):
+        if len(prefix) == k - 1:
+            out.append(prefix + [left])
+            return
+        for u in range(left + 1):
+            rec(prefix + [u], left - u)
+    rec([], units)
+    return out
+
+
+_CANDS = _simplex(3, 20)
+SEARCH_SQL = LP_SQL + ", wide AS (SELECT id, max(label) AS y, max(prob) FILTER (WHERE model = 'm1') AS m1, " \
+    "max(prob) FILTER (WHERE model = 'm2') AS m2, max(prob) FILTER (WHERE model = 'm3') AS m3 FROM lp GROUP BY id),\n" \
+    "cands AS (SELECT * FROM (VALUES " + ", ".join(
+        f"({i}, CAST('{c[0] / 20!r}' AS DOUBLE), CAST('{c[1] / 20!r}' AS DOUBLE), CAST('{c[2] / 20!r}' AS DOUBLE))"
+        for i, c in enumerate(_CANDS)) + ") AS v(cand, w1, w2, w3)),\n" + """b AS (SELECT cand, y, w1 * m1 + w2 * m2 + w3 * m3 AS p FROM wide, cands),
+c AS (SELECT cand, p, sum(y) AS pos, sum(1 - y) AS neg FROM b GROUP BY cand, p),
+w AS (SELECT cand, CAST(pos AS DOUBLE) AS pos, CAST(neg AS DOUBLE) AS neg,
+  coalesce(sum(neg) OVER (PARTITION BY cand ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c)
+SELECT cand, sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc FROM w GROUP BY cand"""
+
+
+@register("search_weights", "cand bigint, auc double", SEARCH_SQL, ops=("B7",))
 def q_search_weights(spark, sf):
     lp = long_probs(spark, sf)
     wide = lp.groupBy("id").pivot("model", sorted(PROB_MODELS)).agg(F.first("prob")).join(
@@ -372,7 +397,9 @@ def q_order_ids(spark, sf):
     return order_ids(keys, "key")
 
 
-@register("assembled_blocks", "id bigint, n_features bigint, total double", None, ops=("U4",))
+@register("assembled_blocks", "id bigint, n_features bigint, total double",
+          f"WITH t AS ({fr.CARDIO_SQL}) SELECT id, 4 AS n_features, ((0.0 + ap_hi) + ap_lo) + weight + height AS total FROM t",
+          ops=("U4",))
 def q_assembled(spark, sf):
     from pyspark.ml.functions import vector_to_array
     from ..operators.features import assemble

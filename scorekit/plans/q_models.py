@@ -201,7 +201,12 @@ def q_select_mi(spark, sf):
     return sel.select_by_mi(fr.cardio(spark, sf), ["height", "weight", "ap_hi", "ap_lo", "age"], "cardio", 3, k=3)
 
 
-@register("pick_best", "model string", None, ops=("M10", "L6"))
+def _pick_best_sql():
+    from .q_misc import AUC_BY_MODEL, LP_SQL
+    return LP_SQL + AUC_BY_MODEL + "SELECT model FROM auc ORDER BY auc DESC, model LIMIT 1"
+
+
+@register("pick_best", "model string", _pick_best_sql(), ops=("M10", "L6"))
 def q_pick_best(spark, sf):
     from .q_misc import long_probs
     best = mdl.pick_best(ens.per_model_auc(long_probs(spark, sf)))
