@@ -1,4 +1,11 @@
-"""scorekit: profiling, cleaning, features, cross-fitting, exact metrics and ensembling on Spark."""
+"""scorekit: profiling, cleaning, features, cross-fitting, exact metrics and ensembling on Spark.
+
+Modules: ``operators.order`` (exact global order), ``operators.stats`` (exact quantiles),
+``operators.profile``, ``operators.clean``, ``operators.features``, ``operators.cardio``,
+``operators.metrics``, ``operators.ensemble``, ``operators.crossfit``, ``operators.models``,
+``operators.knn``, ``operators.joins``, ``operators.reconcile``, ``operators.select``,
+``functions.scalar``, ``sources.io``, ``streaming.scoring``; ``plans`` holds the registered queries.
+"""
 
 from .spec import TableSpec  # noqa: F401
 
