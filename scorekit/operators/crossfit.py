@@ -34,10 +34,15 @@ def stratified_holdout(df: DataFrame, id_col: str, label_col: str, test_frac: fl
     return j.withColumn(out_col, (F.col("_rk") <= F.ceil(F.col("_nc") * test_frac)).cast("int")).drop("_rk", "_nc")
 
 
-def hash_sample(df: DataFrame, id_col: str, n: int, seed=42) -> DataFrame:
-    """K8: n rows without replacement, the n smallest ``md5(seed:id)`` (same rows in DuckDB)."""
-    digest, _ = hash_key(id_col, seed)
-    return df.withColumn("_h", digest).orderBy("_h", id_col).limit(n).drop("_h")
+def hash_sample(df: DataFrame, id_col: str, n: int, seed=42, small_n: int = 100_000) -> DataFrame:
+    """K8: n rows without replacement, the n smallest ``md5(seed:id)`` (same rows in DuckDB).
+
+    A small n is a TakeOrderedAndProject; a large n ranks all rows by the hash with the bucketed
+    prefix sum and keeps rank <= n, so no single task gathers n rows."""
+    if n <= small_n:
+        digest, _ = hash_key(id_col, seed)
+        return df.withColumn("_h", digest).orderBy("_h", id_col).limit(n).drop("_h")
+    return hash_rank(df, id_col, seed, out_col="_hr").where(F.col("_hr") <= n).drop("_hr")
 
 
 def positive_prob(scored: DataFrame, out_col: str = "prob") -> DataFrame:

@@ -173,7 +173,9 @@ def box_summary(df: DataFrame, cols, by=(), k: float = 1.5) -> DataFrame:
          .withColumn("upper", F.col("q3") + k * (F.col("q3") - F.col("q1"))))
     longf = to_long(df, cols, keep=by)
     v, lo, hi = F.col("value"), F.col("lower"), F.col("upper")
-    agg = (longf.join(F.broadcast(b), by + ["feature"])  # one row per (by, feature)
+    from .joins import sized_join
+    joined = sized_join(longf, b, by + ["feature"], "inner") if by else longf.join(F.broadcast(b), "feature")
+    agg = (joined  # bounds: one row per (by, feature); broadcast after counting when grouped
            .groupBy(*by, "feature", "q1", "median", "q3")
            .agg(F.min(F.when(v >= lo, v)).alias("whisker_low"), F.max(F.when(v <= hi, v)).alias("whisker_high"),
                 F.count_if((v < lo) | (v > hi)).alias("outliers")))

@@ -55,3 +55,10 @@ def test_adaboost_learns(spark):
     model = mdl.AdaBoost(depth=2, rounds=6, rate=0.5).fit(df)
     scored = model.transform(df)
     assert met.auc_exact(scored, "label", "prob").first()["auc"] > 0.85
+
+
+def test_hash_sample_large_n_path_matches_small(spark):
+    df = _planted(spark, 500)
+    a = {r["id"] for r in cf.hash_sample(df, "id", 120, seed=5).collect()}
+    b = {r["id"] for r in cf.hash_sample(df, "id", 120, seed=5, small_n=10).collect()}
+    assert a == b and len(a) == 120
