@@ -105,3 +105,24 @@ def test_last_wins_and_clip_null(spark):
     e = sc.last_wins(0, [(F.col("ap") >= 130, 1), (F.col("ap") >= 180, 3)])
     assert [r[0] for r in df.select(e).collect()] == [1, 3, 0]
     assert [r[0] for r in df.select(sc.clip("ap", 160, 180)).collect()] == [160, 180, None]
+
+
+def test_t_pvalues_known_values(spark):
+    tt = spark.createDataFrame([("a", 2.0, 10.0), ("b", -1.0, 30.0), ("c", 0.0, 5.0)],
+                               "feature string, t_statistic double, dof double")
+    got = {r["feature"]: r["p_value"] for r in pr.t_pvalues(tt).collect()}
+    assert got["a"] == pytest.approx(0.0734, abs=1e-4)   # two-sided, t = 2, 10 dof
+    assert got["b"] == pytest.approx(0.3253, abs=1e-4)   # t = -1, 30 dof
+    assert got["c"] == pytest.approx(1.0, abs=1e-12)
+
+
+def test_ttest_matches_pooled_formula(spark):
+    import pandas as pd
+    a = [1.0, 2.0, 3.5, 4.0]
+    b = [2.0, 5.0, 6.5, 7.0, 9.0]
+    df = spark.createDataFrame([(v, 0) for v in a] + [(v, 1) for v in b], "x double, y int")
+    r = pr.ttest(df, ["x"], "y").first()
+    sa, sb = pd.Series(a), pd.Series(b)
+    sp2 = ((len(a) - 1) * sa.var() + (len(b) - 1) * sb.var()) / (len(a) + len(b) - 2)
+    t = (sa.mean() - sb.mean()) / math.sqrt(sp2 * (1 / len(a) + 1 / len(b)))
+    assert r["t_statistic"] == pytest.approx(t, abs=1e-12)
