@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, guard_union_partitioning
+from ..session import cut_lineage, guard_union_partitioning, keep
 from .order import hash_key, hash_rank
 
 
@@ -65,7 +65,7 @@ def cross_fit(df: DataFrame, make_model, id_col: str, label_col: str, fold_col:
     ``label_col``. The assembled training frame is persisted once and reused by every fold.
     Returns ``(oof, test_scores)``: ``oof = (id, fold, model, label, prob)``."""
     guard_union_partitioning(df.sparkSession)
-    data = df.persist()
+    data = keep(df)
     folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())  # k values
     oof_parts, test_parts = [], []
     for f in folds:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, guard_union_partitioning
+from ..session import cut_lineage, guard_union_partitioning, keep
 from .order import add_group_value_bucket, hash_rank, prefix_sum
 from .stats import to_long
 
@@ -208,7 +208,7 @@ def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bu
     # reliable checkpoint folder, which keeps plans small and lets a lost executor recompute
     # from the checkpoint instead of from the source
     base = cut_lineage(longf.groupBy("feature", "y", "value").agg(F.count(F.lit(1)).alias("c")))
-    ny = base.groupBy("feature", "y").agg(F.sum("c").alias("ny")).persist()  # features x classes rows
+    ny = keep(base.groupBy("feature", "y").agg(F.sum("c").alias("ny")))  # features x classes rows
     counts = base.join(F.broadcast(ny), ["feature", "y"]).where(F.col("ny") > 1).select("feature", "y", "value", "c")
     bk, _ = add_group_value_bucket(counts, "value", "_b", ["feature", "y"], rows_per_bucket)
     part = ["feature", "y", "_b"]

@@ -21,7 +21,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_MAX_ROWS
+from ..session import BROADCAST_MAX_ROWS, keep
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 200_000
@@ -130,17 +130,17 @@ def prefix_sum(df: DataFrame, order_col: str, value_cols, part_cols=(), tie_cols
     work = df.withColumn("_w1_key", -key if descending else key)
     if part_cols:
         if persist:
-            work = work.persist()
+            work = keep(work)
         work, nb = add_group_value_bucket(work, "_w1_key", "_w1_b", part_cols, rows_per_bucket, max_buckets,
                                           group_sizes)
     else:
         if n_rows is None:
             if persist:
-                work = work.persist()
+                work = keep(work)
             n_rows = work.count()
         nb = _bucket_count(n_rows, rows_per_bucket, max_buckets)
         if nb > 1 and persist and not work.is_cached:
-            work = work.persist()
+            work = keep(work)
         work = add_value_bucket(work, "_w1_key", "_w1_b", n_rows, rows_per_bucket, max_buckets)
     w = (Window.partitionBy(*part_cols, "_w1_b")
          .orderBy(F.col("_w1_key").asc_nulls_last(), *[F.col(c).asc() for c in tie_cols])

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_MAX_ROWS
+from ..session import BROADCAST_MAX_ROWS, keep as keep_cached
 from .order import MAX_GROUPS_WITH_OWN_CUTS, prefix_sum
 
 
@@ -47,8 +47,8 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), long_input: bool = False)
     probs = [float(p) for p in probs]
     longf = df if long_input else to_long(df, cols, keep=by)
     part = by + ["feature"]
-    counts = longf.groupBy(*part, "value").agg(F.count(F.lit(1)).alias("cnt")).persist()
-    totals = counts.groupBy(*part).agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("nd")).persist()
+    counts = keep_cached(longf.groupBy(*part, "value").agg(F.count(F.lit(1)).alias("cnt")))
+    totals = keep_cached(counts.groupBy(*part).agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("nd")))
     # one job: number of (group, feature) rows and of distinct values (materialises both caches)
     sizes = totals.agg(F.count(F.lit(1)).alias("g"), F.coalesce(F.sum("nd"), F.lit(0)).alias("d")).first()
     n_groups = sizes["g"]

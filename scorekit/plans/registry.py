@@ -71,7 +71,8 @@ def _sql_col(name: str, typ: str) -> str:
 
 
 def run_query(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..session import guard_union_partitioning
+    from ..session import guard_union_partitioning, release_cached
+    release_cached()  # intermediates of the previous query
     guard_union_partitioning(spark)
     qy = REGISTRY[name]
     df = qy.build(spark, sf_dir)

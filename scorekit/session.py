@@ -78,6 +78,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_TRACKED: list = []
+
+
+def keep(df):
+    """Persist an intermediate that an operator reads more than once, and remember it so that
+    ``release_cached`` can free it; a long-lived session then holds at most one query's
+    intermediates. A released frame that is used again is recomputed from its lineage."""
+    out = df.persist()
+    _TRACKED.append(out)
+    return out
+
+
+def release_cached() -> None:
+    while _TRACKED:
+        try:
+            _TRACKED.pop().unpersist()
+        except Exception:  # noqa: BLE001  (session already stopped)
+            pass
+
+
 def cut_lineage(df):
     """Reliable checkpoint (never a local one): survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
