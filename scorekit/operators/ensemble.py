@@ -216,49 +216,47 @@ def apply_threshold(df: DataFrame, prob_col: str, thr, op: str = ">=", out_col:
 
 
 def _grid_index(prob: Column, grid, op: str) -> Column:
-    """Number of grid thresholds t (ascending) for which the row is predicted positive."""
-    arr = F.array(*[F.lit(float(t)) for t in grid])
-    if op == ">=":
-        return F.size(F.filter(arr, lambda t: t <= prob))
-    return F.size(F.filter(arr, lambda t: t < prob))
-
-
-def _cumulate_over_grid(spark, counts: DataFrame, grid, value_cols) -> DataFrame:
-    """For grid index j: sum of each value over idx <= j (``le_v``) and in total (``tot_v``)."""
-    g = spark.createDataFrame([(i, float(t)) for i, t in enumerate(grid)], "j int, threshold double")
-    dense = g.join(counts, g["j"] == counts["idx"], "left").select(
-        "j", "threshold", *[F.coalesce(F.col(v), F.lit(0)).alias(v) for v in value_cols])
-    # rows above the last threshold (idx == len(grid)) never count as <= j: their totals come back
-    # as driver scalars (one row) and enter as literals
-    top = counts.where(F.col("idx") == len(grid)).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(v)
-                                                       for v in value_cols]).first()
-    w = Window.orderBy("j")  # len(grid) rows
-    run = dense.select("j", "threshold", *[F.sum(v).over(w).alias("le_" + v) for v in value_cols],
-                       *[F.sum(v).over(Window.partitionBy()).alias("all_" + v) for v in value_cols])
-    return run.select("j", "threshold", *["le_" + v for v in value_cols],
-                      *[(F.col("all_" + v) + F.lit(int(top[v]))).alias("tot_" + v) for v in value_cols])
+    """Number of grid thresholds t for which the row is predicted positive: a sum of plain
+    comparisons against literals (codegen, no lambda over an array)."""
+    hits = [F.when((F.lit(float(t)) <= prob) if op == ">=" else (F.lit(float(t)) < prob), F.lit(1)).otherwise(F.lit(0))
+            for t in grid]
+    return reduce(lambda a, b: a + b, hits)
+
+
+def _grid_counts(df: DataFrame, prob_col: str, grid, op: str, label_col: str | None = None) -> dict:
+    """One pass over the rows: counts per grid index (at most len(grid)+1 rows come back)."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if label_col:
+        y = F.col(label_col).cast("long")
+        aggs = [F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")]
+    rows = (df.where(F.col(prob_col).isNotNull())
+            .groupBy(_grid_index(F.col(prob_col), grid, op).alias("idx")).agg(*aggs).collect())
+    return {r["idx"]: r for r in rows}
 
 
 def threshold_sweep(df: DataFrame, label_col: str, prob_col: str, grid, op: str = ">=") -> DataFrame:
-    """Confusion counts, accuracy and F1 for every grid threshold (one pass over the rows)."""
-    grid = list(grid)
-    spark = df.sparkSession
-    counts = (df.where(F.col(prob_col).isNotNull())
-              .groupBy(_grid_index(F.col(prob_col), grid, op).alias("idx"))
-              .agg(F.sum(F.col(label_col).cast("long")).alias("pos"),
-                   F.sum(1 - F.col(label_col).cast("long")).alias("neg")))
-    # positive for threshold j <=> idx > j. Counts per idx are dense-filled over 0..len(grid) and
-    # accumulated in idx order: a window over at most len(grid)+1 rows.
-    per_j = _cumulate_over_grid(spark, counts, grid, ["pos", "neg"])
-    agg = per_j.select("j", "threshold",
-                       (F.col("tot_pos") - F.col("le_pos")).alias("tp"),
-                       (F.col("tot_neg") - F.col("le_neg")).alias("fp"),
-                       F.col("le_neg").alias("tn"), F.col("le_pos").alias("fn"))
-    tp, fp, tn, fn = (F.col(c).cast("double") for c in ("tp", "fp", "tn", "fn"))
-    prec, rec = _div(tp, tp + fp), _div(tp, tp + fn)
-    return agg.select("j", "threshold", "tp", "fp", "tn", "fn",
-                      _div(tp + tn, tp + fp + tn + fn).alias("accuracy"),
-                      _div(2 * prec * rec, prec + rec).alias("f1"))
+    """Confusion counts, accuracy and F1 for every grid threshold from one pass over the rows.
+
+    A row with grid index i is predicted positive for thresholds j < i; the per-index counts
+    (bounded by the grid) are accumulated on the driver."""
+    grid = [float(t) for t in grid]
+    counts = _grid_counts(df, prob_col, grid, op, label_col)
+    P = sum(r["pos"] for r in counts.values())
+    N = sum(r["neg"] for r in counts.values())
+    rows, le_pos, le_neg = [], 0, 0
+    for j, t in enumerate(grid):
+        r = counts.get(j)
+        if r is not None:
+            le_pos += r["pos"]
+            le_neg += r["neg"]
+        tp, fp, tn, fn = P - le_pos, N - le_neg, le_neg, le_pos
+        prec = tp / (tp + fp) if tp + fp else 0.0
+        rec = tp / (tp + fn) if tp + fn else 0.0
+        acc = (tp + tn) / (tp + fp + tn + fn) if tp + fp + tn + fn else 0.0
+        f1 = 2 * prec * rec / (prec + rec) if prec + rec else 0.0
+        rows.append((j, t, tp, fp, tn, fn, acc, f1))
+    return df.sparkSession.createDataFrame(
+        rows, "j int, threshold double, tp long, fp long, tn long, fn long, accuracy double, f1 double")
 
 
 def best_threshold(sweep: DataFrame, metric: str) -> DataFrame:
@@ -295,26 +293,23 @@ def youden_threshold(df: DataFrame, label_col: str, prob_col: str, lo: float = 0
 
 def threshold_table(df: DataFrame, prob_col: str, thresholds, base: float = 0.5, min_move: float = 0.5) -> DataFrame:
     """Per threshold (rule ``p > t``) positives, share in %, agreement with ``base`` in %,
-    and whether the share moves by more than ``min_move`` points."""
+    and whether the share moves by more than ``min_move`` points (one pass over the rows)."""
     grid = sorted(set([float(t) for t in thresholds] + [float(base)]))
-    counts = (df.where(F.col(prob_col).isNotNull())
-              .groupBy(_grid_index(F.col(prob_col), grid, ">").alias("idx"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    spark = df.sparkSession
-    cum = _cumulate_over_grid(spark, counts, grid, ["n"])
-    per = cum.select("j", "threshold", (F.col("tot_n") - F.col("le_n")).alias("positives"),
-                     F.col("tot_n").alias("rows"))
-    base_j = grid.index(float(base))
-    w = Window.partitionBy()  # one row per threshold
-    base_pos = F.max(F.when(F.col("j") == base_j, F.col("positives"))).over(w)
-    share = F.col("positives") * 100.0 / F.col("rows")
-    base_share = base_pos * 100.0 / F.col("rows")
-    out = per.select(
-        "threshold", F.col("positives").cast("long").alias("positives"), share.alias("share_pct"),
-        ((F.col("rows") - F.abs(F.col("positives") - base_pos)) * 100.0 / F.col("rows")).alias("agreement_pct"),
-        (F.abs(share - base_share) > min_move).cast("int").alias("moves"))
-    keep = [float(t) for t in thresholds]
-    return out.where(F.col("threshold").isin(keep))
+    counts = _grid_counts(df, prob_col, grid, ">")
+    n = sum(r["n"] for r in counts.values())
+    pos, le = {}, 0
+    for j, t in enumerate(grid):
+        le += counts[j]["n"] if j in counts else 0
+        pos[t] = n - le
+    bp = pos[float(base)]
+    rows = []
+    for t in [float(x) for x in thresholds]:
+        share = pos[t] * 100.0 / n if n else None
+        base_share = bp * 100.0 / n if n else None
+        agree = (n - abs(pos[t] - bp)) * 100.0 / n if n else None
+        rows.append((t, pos[t], share, agree, int(share is not None and abs(share - base_share) > min_move)))
+    return df.sparkSession.createDataFrame(
+        rows, "threshold double, positives long, share_pct double, agreement_pct double, moves int")
 
 
 def guard_degenerate(df: DataFrame, id_col: str, prob_col: str, thr: float, prevalence: float,
