@@ -157,16 +157,21 @@ def _vote_key():
 
 
 def vote_table(long_votes_df: DataFrame) -> DataFrame:
-    """Per id: majority label, distinct labels, the ordered vote pattern. One shuffle on id."""
-    part = long_votes_df.repartition("id")
-    by_label = (part.groupBy("id", "label")
-                .agg(F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first")))
-    major = by_label.groupBy("id").agg(F.max_by("label", _vote_key()).alias("majority"),
-                                       F.count(F.lit(1)).alias("n_labels"))
-    pattern = part.groupBy("id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "label"))),
-                                 lambda s: s["label"].cast("string")), ",").alias("pattern"))
-    return major.join(pattern, "id")
+    """Per id: majority label, number of distinct labels, the vote pattern in list order.
+
+    One shuffle: the votes of an id (one per prediction set, so a bounded array) are gathered by a
+    single aggregation and everything else is computed on that small array."""
+    g = long_votes_df.groupBy("id").agg(F.collect_list(F.struct("ordinal", "label")).alias("_v"))
+    labels = F.array_distinct(F.transform("_v", lambda v: v["label"]))
+
+    def of_label(lab):
+        mine = F.filter("_v", lambda v: v["label"] == lab)
+        return F.struct(F.size(mine).alias("n"), (-F.array_min(F.transform(mine, lambda v: v["ordinal"]))).alias("nf"),
+                        lab.alias("label"))
+
+    best = F.array_max(F.transform(labels, of_label))  # most votes, then the smallest first ordinal
+    pattern = F.array_join(F.transform(F.array_sort("_v"), lambda v: v["label"].cast("string")), ",")
+    return g.select("id", best["label"].alias("majority"), F.size(labels).alias("n_labels"), pattern.alias("pattern"))
 
 
 def vote_summary(long_votes_df: DataFrame) -> DataFrame:

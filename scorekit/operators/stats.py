@@ -63,19 +63,21 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), long_input: bool = False)
                .withColumn("k_lo", F.floor("h").cast("long"))
                .withColumn("k_hi", F.least(F.col("k_lo") + 1, F.col("n") - 1))
                .select(*part, "pi", "prob", "h", "k_lo", "k_hi"))
-    ranks = targets.select(*part, F.explode(F.array("k_lo", "k_hi")).alias("k")).distinct()
+    # both order statistics of every target in one (broadcast) join against the cumulative counts
+    need = targets.select(*part, "pi", "prob", "h", "k_lo",
+                          F.explode(F.array(F.struct(F.col("k_lo").alias("k"), F.lit(0).alias("hi")),
+                                            F.struct(F.col("k_hi").alias("k"), F.lit(1).alias("hi")))).alias("_r"))
+    need = need.select(*part, "pi", "prob", "h", "k_lo", F.col("_r.k").alias("k"), F.col("_r.hi").alias("hi"))
     small = n_groups * 2 * len(probs) <= BROADCAST_MAX_ROWS
-    side = F.broadcast(ranks) if small else ranks
+    side = F.broadcast(need) if small else need
     # value of order statistic k: the distinct value with cum - cnt <= k < cum
     hit = (cum.join(side, part, "inner")
-           .where((F.col("cum_cnt") - F.col("cnt") <= F.col("k")) & (F.col("k") < F.col("cum_cnt")))
-           .select(*part, "k", "value"))
-    lo = hit.withColumnRenamed("k", "k_lo").withColumnRenamed("value", "v_lo")
-    hi = hit.withColumnRenamed("k", "k_hi").withColumnRenamed("value", "v_hi")
-    res = (targets.join(lo, part + ["k_lo"], "left").join(hi, part + ["k_hi"], "left")
+           .where((F.col("cum_cnt") - F.col("cnt") <= F.col("k")) & (F.col("k") < F.col("cum_cnt"))))
+    res = (hit.groupBy(*part, "pi", "prob", "h", "k_lo")
+           .agg(F.max(F.when(F.col("hi") == 0, F.col("value"))).alias("v_lo"),
+                F.max(F.when(F.col("hi") == 1, F.col("value"))).alias("v_hi"))
            .select(*part, "prob",
-                   (F.col("v_lo") + (F.col("h") - F.col("k_lo")) * (F.col("v_hi") - F.col("v_lo")))
-                   .alias("value")))
+                   (F.col("v_lo") + (F.col("h") - F.col("k_lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("value")))
     return res
 
 
