@@ -154,9 +154,14 @@ def knn_soft_vote(queries: DataFrame, base: DataFrame, variants, **kw) -> DataFr
     """M9: average of neighbour label shares over (k, metric) variants; prediction = arg max
     (smallest label on ties). Returns ``(qid, label, prob)`` and ``(qid, pred)`` rows in one frame."""
     shares = []
+    # the k nearest are the first k of the largest k asked for the same metric: one join per metric
+    by_metric: dict = {}
     for k, metric in variants:
-        nb = knn_join(queries, base, k, metric, **kw)
-        shares.append(knn_vote(nb).withColumn("variant", F.lit(f"{metric}_{k}")))
+        by_metric.setdefault(metric, []).append(k)
+    for metric, ks in by_metric.items():
+        nb = keep(knn_join(queries, base, max(ks), metric, **kw))  # read once per k below
+        for k in ks:
+            shares.append(knn_vote(nb.where(F.col("rank") <= k)).withColumn("variant", F.lit(f"{metric}_{k}")))
     allv = reduce(DataFrame.unionByName, shares)
     nvar = len(variants)
     probs = allv.groupBy("qid", "label").agg((F.sum("share") / nvar).alias("prob"))

@@ -41,3 +41,18 @@ def test_knn_join_matches_numpy(spark):
             want = list(np.lexsort((np.arange(len(base)), d))[:4])
             have = [r["bid"] for r in got if r["qid"] == 1000 + i]
             assert have == want, metric
+
+
+def test_soft_vote_prefix_equals_separate_joins(spark):
+    rnd = np.random.RandomState(3)
+    base = spark.createDataFrame([(int(i), [float(v) for v in rnd.normal(size=4)], int(i % 3)) for i in range(80)],
+                                 "id long, embedding array<double>, label int")
+    qs = spark.createDataFrame([(int(500 + i), [float(v) for v in rnd.normal(size=4)], 0) for i in range(10)],
+                               "id long, embedding array<double>, label int")
+    got = {(r["qid"], r["label"]): r["prob"] for r in knn.knn_soft_vote(qs, base, [(3, "euclidean"), (5, "euclidean")]).collect()}
+    sep = {}
+    for k in (3, 5):
+        for r in knn.knn_vote(knn.knn_join(qs, base, k, "euclidean")).collect():
+            sep[(r["qid"], r["label"])] = sep.get((r["qid"], r["label"]), 0.0) + r["share"] / 2
+    assert got.keys() == sep.keys()
+    assert all(abs(got[x] - sep[x]) < 1e-12 for x in got)
