@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, suffix_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,8 +16,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"), k=3, budget=3)
 
 
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(_read(spark, sf_dir, "documents"), length=100)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op10_suffix_array": op10_suffix_array,
 }
 
 ORACLE_SQL: dict[str, str] = {}
