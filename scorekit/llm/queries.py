@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, suffix_dedup
+from . import quality, simhash, suffix_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,12 +16,18 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"), k=3, budget=3)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(_read(spark, sf_dir, "documents"), min_words=5, min_total=10, max_base=20, max_covered=0.2,
+                          max_longest=100)
+
+
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(_read(spark, sf_dir, "documents"), length=100)
 
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_quality": op4_quality,
     "op10_suffix_array": op10_suffix_array,
 }
 
