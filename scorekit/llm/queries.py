@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash, suffix_dedup
+from . import decontam, langid, mixing, quality, simhash, suffix_dedup
+from .common import crc_mod
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,18 +17,34 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"), k=3, budget=3)
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_read(spark, sf_dir, "documents"), held_out=crc_mod("doc_id", 3) == 1, top=400)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(_read(spark, sf_dir, "documents"), min_words=5, min_total=10, max_base=20, max_covered=0.2,
                           max_longest=100)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each pair of a document and a benchmark item that overlap; clean documents have none."""
+    return decontam.find_overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), min_tokens=13, min_identity=0.8)
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(_read(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
+
+
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(_read(spark, sf_dir, "documents"), length=100)
 
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_language": op3_language,
     "op4_quality": op4_quality,
+    "op5_decontamination": op5_decontamination,
+    "op8_mixing": op8_mixing,
     "op10_suffix_array": op10_suffix_array,
 }
 
