@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, quality, simhash, suffix_dedup
+from . import decontam, langid, lm, mixing, quality, simhash, suffix_dedup
 from .common import crc_mod
 
 
@@ -31,6 +31,16 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), min_tokens=13, min_identity=0.8)
 
 
+def lm_role(id_col: str):
+    """Remainder 0 of the id's crc32 is scored only, 1 sets the mixture weights, the rest are counted."""
+    r = crc_mod(id_col, 10)
+    return F.when(r == 0, lm.TEST).when(r == 1, lm.HELD).otherwise(lm.EST)
+
+
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_read(spark, sf_dir, "documents"), lm_role("doc_id"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(_read(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
 
@@ -44,6 +54,7 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_quality": op4_quality,
     "op5_decontamination": op5_decontamination,
+    "op6_lm": op6_lm,
     "op8_mixing": op8_mixing,
     "op10_suffix_array": op10_suffix_array,
 }
