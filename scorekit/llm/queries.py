@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lm, mixing, quality, simhash, suffix_dedup
-from .common import crc_mod
+from . import decontam, langid, license, lm, mixing, quality, simhash, suffix_dedup, toxicity, urlfilter
+from .common import LOWER, UPPER, crc_mod
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"), k=3, budget=3)
 
 
+# Fixed values of the contract: verdict, host, path prefix.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+# Labels of spam sites: the canonical URLs of their pages are the listed ones.
+SPAM_SITES = ("casino-win", "cheap-pills", "free-bets")
+SPAM_HOST = f"(^|[.])({'|'.join(SPAM_SITES)})[.]"
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    listed = urlfilter.canonical_urls(pages.where(urlfilter.host_of(F.col("url")).rlike(SPAM_HOST)))
+    return urlfilter.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_read(spark, sf_dir, "documents"), held_out=crc_mod("doc_id", 3) == 1, top=400)
 
@@ -41,22 +54,91 @@ def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_read(spark, sf_dir, "documents"), lm_role("doc_id"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), held_out=crc_mod("doc_id", 5) == 0,
+                          toxic_docs=2000, clean_docs=4000, most_bytes=20_000)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(_read(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
 
 
+def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(_read(spark, sf_dir, "documents"), look_up=12, min_share=0.5).withColumn("score", F.round("score", 6))
+
+
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(_read(spark, sf_dir, "documents"), length=100)
 
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_url_filter": op2_url_filter,
     "op3_language": op3_language,
     "op4_quality": op4_quality,
     "op5_decontamination": op5_decontamination,
     "op6_lm": op6_lm,
+    "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
+    "op9_license": op9_license,
     "op10_suffix_array": op10_suffix_array,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
+def _url_sql() -> str:
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+    return f"""
+WITH u AS (
+  SELECT row_number() OVER () AS rid, page_id, url,
+         coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+c AS (SELECT *, regexp_replace(host, '^(www|m)[.]', '') || regexp_replace(path, '(/|[.]html)$', '') AS canon FROM u),
+listed AS (SELECT DISTINCT canon FROM c WHERE url IS NOT NULL AND regexp_matches(host, '{SPAM_HOST}')),
+rules(verdict, rhost, rpath) AS (VALUES {rules}),
+best AS (
+  SELECT rid, rhost || rpath AS rule, r.verdict FROM u JOIN rules r
+    ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length(rhost || rpath) DESC, length(rhost) DESC) = 1)
+SELECT c.page_id, c.host, c.path, b.rule,
+       coalesce(b.verdict, CASE WHEN l.canon IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM c LEFT JOIN best b USING (rid) LEFT JOIN listed l ON c.url IS NOT NULL AND l.canon = c.canon"""
+
+
+def _license_sql() -> str:
+    base = [(license.split_words(p), label) for p, label in license.BASE]
+    templates = [(label, license.split_words(t), license.split_words(p)) for label, t, p in license.TEMPLATES]
+    vocab = sorted({w for p, _ in base for w in p} | {w for _, t, _ in templates for w in t})
+    lst = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+    phrases = ", ".join(f"({k}, 'b', '{label}', {lst(p)}, 0)" for k, (p, label) in enumerate(base))
+    for k, (label, t, p) in enumerate(templates):
+        at = next(i for i in range(len(t)) if t[i:i + len(p)] == p)
+        phrases += f", ({k}, 't', '{label}', {lst(p)}, {at})"
+    words = ", ".join(f"({k}, {i}, '{w}')" for k, (_, t, _) in enumerate(templates) for i, w in enumerate(t))
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+df AS (SELECT x, count(*) AS c FROM (SELECT DISTINCT rid, unnest(list_intersect(w, {lst(vocab)})) AS x FROM d) GROUP BY x),
+idf AS (SELECT v.x, ln(((SELECT count(*) FROM d) + 1)::DOUBLE / (coalesce(df.c, 0) + 1)) + 1e-6 AS idf
+        FROM (SELECT unnest({lst(vocab)}) AS x) v LEFT JOIN df USING (x)),
+phrases(k, kind, label, p, shift) AS (VALUES {phrases}),
+words(k, pos, x) AS (VALUES {words}),
+places AS (
+  SELECT rid, k, kind, label, shift, unnest(list_filter(range(len(w)), lambda i: list_slice(w, i + 1, i + len(p)) = p)) AS place
+  FROM d JOIN phrases ON list_contains(w, p[1])),
+match AS (
+  SELECT m.rid, m.label, sum(CASE WHEN m.place - m.shift + t.pos >= 0 AND d.w[m.place - m.shift + t.pos + 1] = t.x THEN idf.idf ELSE 0 END) / sum(idf.idf) AS share
+  FROM places m JOIN words t ON m.kind = 't' AND t.k = m.k JOIN idf ON idf.x = t.x JOIN d ON d.rid = m.rid
+  GROUP BY m.rid, m.k, m.label, m.place),
+b AS (SELECT rid, count(*) AS n, min(place) AS lo, max(place) AS hi, list(DISTINCT label) AS own FROM places WHERE kind = 'b' GROUP BY rid),
+t AS (SELECT rid, max(share) AS top, list(DISTINCT label) AS more FROM match WHERE share >= 0.5 GROUP BY rid)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(b.n, 0) AS n_base, b.lo AS first_word, b.hi AS last_word,
+       array_to_string(list_sort(coalesce(b.own, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(b.own, []), coalesce(t.more, [])))), ',') AS labels,
+       round(least(coalesce(t.top, 0.0), 1.0), 6) AS score
+FROM d LEFT JOIN b USING (rid) LEFT JOIN t USING (rid)"""
+
+
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": _url_sql(), "op9_license": _license_sql()}
