@@ -9,7 +9,8 @@ weighing ``b = size + m`` (its words and those of an average document of its sou
 
 Newton iterations solve the dual for all sources at once: one Spark job each, over the counts of
 documents by (source, size), so a hot source is split by size and pre-aggregated. Rates are then rounded
-down or up to whole copies, largest documents first, the remainder carried from one document to the next.
+down or up to whole copies, largest documents first, the remainder carried from one document to the next;
+what is left at the end goes to a few small documents.
 """
 
 from __future__ import annotations
@@ -93,18 +94,26 @@ def balance(hist: DataFrame, sources: DataFrame, most: float = 3.0, tolerance: f
     raise RuntimeError("entropy balancing did not settle")
 
 
-def round_copies(size: np.ndarray, times: np.ndarray, rate: np.ndarray, tie: np.ndarray) -> np.ndarray:
+def round_copies(size: np.ndarray, times: np.ndarray, rate: np.ndarray, tie: np.ndarray, most: int = 3) -> np.ndarray:
     """Copies of each unit (``times`` equal rows of ``size`` words): its rate rounded down or up, largest
-    units first, so that the words taken follow the words wanted as closely as the next unit allows."""
+    units first, so that the words taken follow the words wanted as closely as the next unit allows. What
+    is left at the end is settled by one copy more or less of units that are small enough for it."""
     words = size * times
     copies = np.zeros(len(size), np.int64)
     carry = 0.0
-    for k in np.lexsort((tie, -words)).tolist():
+    order = np.lexsort((tie, -words)).tolist()
+    for k in order:
         low = math.floor(rate[k] + 1e-9)
         want = carry + words[k] * rate[k]
         up = rate[k] > low + 1e-9 and 2 * (want - words[k] * low) > words[k]
         copies[k] = low + up
         carry = want - words[k] * copies[k]
+    for k in order:
+        if words[k] and 2 * abs(carry) > words[k]:
+            step = 1 if carry > 0 else -1
+            if 0 <= copies[k] + step <= most:
+                copies[k] += step
+                carry -= step * words[k]
     return copies
 
 
@@ -140,7 +149,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
     def settle_bucket(table: pa.Table) -> pa.Table:
         col = lambda c: table[c].to_numpy()
-        copies = round_copies(col("size"), col("n_rows"), col("rate"), col("tie"))
+        copies = round_copies(col("size"), col("n_rows"), col("rate"), col("tie"), most)
         return table.select(["id", "source", "size", "n_rows", "source_size", "target", "rate"]).append_column("copies", pa.array(copies))
 
     return (rated.select("id", "source", "size", "n_rows", "source_size", "target", "rate", "tie", "rank", "bucket")

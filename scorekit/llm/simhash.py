@@ -45,14 +45,14 @@ def fingerprint(text: bytes, k: int = 3, bits_at_once: int = 1 << 16) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3) -> DataFrame:
-    """``(id, fp)`` of every row; ``fp`` is the fingerprint as a signed long."""
+    """``(id, text_hash, fp)`` of every row; ``fp`` is the fingerprint as a signed long."""
     def kernel(batches):
         for b in batches:
-            fps = np.array([fingerprint(t, k) for t in bytes_of(b, text_col)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=[id_col, "fp"])
+            fps = np.array([fingerprint(t, k) for t in bytes_of(b)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps)], names=["id", "text_hash", "fp"])
 
-    src = docs.select(id_col, text_col)
-    return src.mapInArrow(kernel, f"`{id_col}` {src.schema[0].dataType.simpleString()}, fp bigint")
+    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    return src.mapInArrow(kernel, f"id {src.schema[0].dataType.simpleString()}, text_hash bigint, fp bigint")
 
 
 def walk(a: np.ndarray, b: np.ndarray, same: bool, budget: int, small: int = 32, wide: int = 1 << 19):
@@ -177,6 +177,19 @@ def trie_links(fps: DataFrame, budget: int = 3, leaf: int = 1 << 15, top_bits: i
             .groupBy("pair").applyInArrow(join, "u bigint, v bigint"))
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, budget: int, leaf: int) -> DataFrame:
+    """``(id, text_hash, fp, root, component_id)`` of every row; ``root`` names its component."""
+    begin(docs.sparkSession)
+    marks = shared_table(fingerprints(docs, id_col, text_col, k))
+    fps = shared_table(marks.groupBy("fp").agg(F.min("id").alias("least")))
+    comp = components(trie_links(fps, budget, leaf))
+    owned = fps.join(comp, fps.fp == comp.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    ids = owned.groupBy("root").agg(F.min("least").alias("component_id"))
+    label = owned.join(ids, "root").select("fp", "root", "component_id")
+    # one fingerprint may hold a third of all rows: a plain equi-join, whose large partitions AQE splits
+    return marks.join(label, "fp")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, budget: int = 3,
                     leaf: int = 1 << 15) -> DataFrame:
     """Every row with its fingerprint and component: ``(id, fingerprint, component_id)``.
@@ -184,13 +197,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A null or empty text has fingerprint zero and links like any other. Repeated rows stay. A null id is
     judged by its text; ``component_id`` is the smallest non-null id, null where a component has none.
     An empty table gives an empty result; other columns, whatever their names, are not read."""
-    begin(docs.sparkSession)
-    marks = shared_table(fingerprints(docs, id_col, text_col, k).withColumnRenamed(id_col, "id"))
-    fps = shared_table(marks.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")))
-    comp = components(trie_links(fps, budget, leaf))
-    owned = fps.join(comp, fps.fp == comp.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = owned.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = owned.join(ids, "root").select("fp", "component_id")
-    # one fingerprint may hold a third of all rows: a plain equi-join, whose large partitions AQE splits
-    return marks.join(label, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                                          "component_id")
+    g = _grouped(docs, id_col, text_col, k, budget, leaf)
+    return g.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, budget: int = 3,
+                leaf: int = 1 << 15) -> DataFrame:
+    """One row of every component: the one with the smallest id, null last, then with the smallest hash of
+    its text; of equal rows, one. All columns stay."""
+    g = _grouped(docs, id_col, text_col, k, budget, leaf)
+    first = (g.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "text_hash")).alias("f"))
+             .select(F.col("f.id").alias("_id"), F.col("f.text_hash").alias("_hash")))
+    on = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
+    kept = docs.join(shared_table(first), on).dropDuplicates(["_id", "_hash"])
+    return kept.select(*docs.columns)

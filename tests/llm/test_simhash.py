@@ -93,3 +93,14 @@ def test_links_keep_every_connection(spark, leaf):
                 want[wroot(a)] = wroot(b)
     classes = lambda r: sorted(sorted(f for f in signed if r(f) == x) for x in {r(f) for f in signed})
     assert classes(root) == classes(wroot)
+
+
+def test_one_row_of_each_component(spark):
+    rows = [(5, "a b c d e"), (3, "a b c d e"), (3, "a b c d e"), (None, "a b c d e"), (7, None), (8, ""), (None, "lone words of a row"), (None, "lone words of a row"),
+            (None, None), (9, "quite another text of some words"), (9, "and a third one with the same id here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit("clash")).withColumn("root", F.lit(1))
+    out = simhash.one_of_each(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, [
+        (3, "a b c d e"), (7, None), (None, "lone words of a row"), (9, "quite another text of some words"), (9, "and a third one with the same id here")]))
+    assert simhash.one_of_each(docs.limit(0)).count() == 0
