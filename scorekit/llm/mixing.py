@@ -118,7 +118,7 @@ def round_copies(size: np.ndarray, times: np.ndarray, rate: np.ndarray, tie: np.
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
-         most: int = 3, bucket_rows: int = 20_000) -> DataFrame:
+         most: int = 3, bucket_rows: int = 2_000) -> DataFrame:
     """``(id, source, size, n_rows, source_size, target, rate, copies)`` of every distinct (id, source, size).
 
     Rows equal in these three (repeated rows) share one decision. Null texts have size 0; documents
@@ -138,14 +138,17 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
                                     F.col("source").eqNullSafe(F.col("_s"))).drop("_s"))
     hist = shared_table(keyed.groupBy("rank", "size").agg(F.sum("n_rows").alias("n")))
     mult = balance(hist, sources, float(most))
-    model = sources.select("rank", F.col("words").alias("source_size"), "target").join(mult, "rank", "left")
+    buckets = F.ceil(F.col("units") / bucket_rows).cast("bigint")
+    # one model row for each bucket, so that the join deals a hot source out by bucket too
+    model = (sources.join(mult, "rank", "left").select("rank", F.col("words").alias("source_size"), "target", "m", "mult",
+                                                       F.explode(F.sequence(F.lit(0).cast("bigint"), buckets - 1)).alias("bucket")))
     ratio = F.col("target") / F.col("source_size")
     rate = (F.when(F.col("size") == 0, 1.0)
             .when(F.col("mult").isNotNull(), F.least(F.lit(float(most)), F.exp(F.least(F.col("mult") * F.col("size") / (F.col("size") + F.col("m")), F.lit(50.0)))))
             .otherwise(F.least(F.lit(float(most)), ratio)))
     tie = F.xxhash64("id", "size")
-    rated = (keyed.join(model, "rank").withColumn("rate", rate).withColumn("tie", tie)
-             .withColumn("bucket", F.pmod(F.col("tie"), F.ceil(F.col("units") / bucket_rows).cast("bigint"))))
+    rated = (keyed.withColumn("tie", tie).withColumn("bucket", F.pmod(F.col("tie"), buckets))
+             .join(model, ["rank", "bucket"]).withColumn("rate", rate))
 
     def settle_bucket(table: pa.Table) -> pa.Table:
         col = lambda c: table[c].to_numpy()
