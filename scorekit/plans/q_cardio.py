@@ -152,8 +152,7 @@ def q_harm_score(spark, sf):
     f"coalesce({c}, m_{c}) AS {c}" for c in cd.CONT_TARGETS) + ") FROM h, m", ops=("D7", "F20"))
 def q_harm_filled(spark, sf):
     h = cd.harmonise(fr.cardio(spark, sf), "train")
-    meds = cd.HarmonisedMedians().fit(h)
-    return cd.HarmonisedMedians.transform(h, meds)
+    return cd.MedianFill(cd.CONT_TARGETS).fit(h).transform(h)
 
 
 # --- D8: clipped harmoniser --------------------------------------------------------------------
