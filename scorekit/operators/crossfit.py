@@ -96,18 +96,15 @@ def fold_summary(per_fold: DataFrame, metric_col: str) -> DataFrame:
 
 def per_fold_auc(oof: DataFrame) -> DataFrame:
     """Exact AUC of every (model, fold) from the long OOF table (one grouped ordered pass)."""
-    from .order import prefix_sum
-    sc = oof.groupBy("model", "fold", F.col("prob").alias("score")).agg(
-        F.sum(F.col("label").cast("long")).alias("pos"), F.sum(1 - F.col("label").cast("long")).alias("neg"))
-    cum = prefix_sum(sc, "score", ["neg"], part_cols=["model", "fold"], inclusive=False)
-    return cum.groupBy("model", "fold").agg(
-        (F.sum(F.col("pos") * (F.col("cum_neg") + 0.5 * F.col("neg"))) / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    from .metrics import auc_exact
+    return auc_exact(oof, "label", "prob", by=["model", "fold"]).select("model", "fold", "auc")
 
 
 def random_search(df: DataFrame, make_estimator, grid: dict, n: int, label_col: str, fold_col: str = "fold",
                   seed: int = 42, metric: str = "areaUnderROC", parallelism: int = 2):
-    """K6: n seeded draws from a parameter grid, each scored by k-fold CV on the fold column."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    """K6: n seeded draws from a parameter grid, each scored by k-fold CV on the fold column, by ranking
+    (``areaUnderROC``, ``areaUnderPR``) or by ``accuracy``."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
     est = make_estimator()
     builder = ParamGridBuilder()
@@ -116,7 +113,8 @@ def random_search(df: DataFrame, make_estimator, grid: dict, n: int, label_col:
     maps = builder.build()
     rng = random.Random(seed)
     draws = rng.sample(maps, min(n, len(maps)))
-    ev = BinaryClassificationEvaluator(labelCol=label_col, metricName=metric)
+    ev = (MulticlassClassificationEvaluator(labelCol=label_col, metricName="accuracy") if metric == "accuracy"
+          else BinaryClassificationEvaluator(labelCol=label_col, metricName=metric))
     cv = CrossValidator(estimator=est, estimatorParamMaps=draws, evaluator=ev, foldCol=fold_col,
                         parallelism=parallelism, seed=seed)
     model = cv.fit(df)
@@ -124,13 +122,13 @@ def random_search(df: DataFrame, make_estimator, grid: dict, n: int, label_col:
 
 
 def grid_search(df: DataFrame, make_estimator, grid: dict, label_col: str, id_col: str, sample_n: int = 10_000,
-                k: int = 3, seed: int = 42):
+                k: int = 3, seed: int = 42, metric: str = "areaUnderROC"):
     """K7: full grid on a hash sample of at most ``sample_n`` rows, stratified folds on it."""
     sample = stratified_folds(hash_sample(df, id_col, sample_n, seed), id_col, label_col, k, seed)
     n_all = 1
     for v in grid.values():
         n_all *= len(v)
-    return random_search(sample, make_estimator, grid, n_all, label_col, "fold", seed)
+    return random_search(sample, make_estimator, grid, n_all, label_col, "fold", seed, metric)
 
 
 def adversarial_weights(train: DataFrame, score: DataFrame, make_model, id_col: str, feature_cols,
@@ -139,15 +137,15 @@ def adversarial_weights(train: DataFrame, score: DataFrame, make_model, id_col:
     1 - P(scoring) rescaled to mean 1. Returns ``(weights(id, weight), drift_auc)``."""
     from .joins import union_with_origin
     from .metrics import auc_exact
-    from .features import assemble
+    from .features import assemble, fit_fill
     both = union_with_origin(train.select(id_col, *feature_cols), score.select(id_col, *feature_cols), "origin")
     both = both.withColumn("_key", F.concat_ws(":", F.col("origin").cast("string"), F.col(id_col).cast("string")))
     both = stratified_folds(both, "_key", "origin", k, seed)
-    both = assemble(both, feature_cols)
+    both = assemble(both, feature_cols, fill=fit_fill(train, feature_cols))
     oof, _ = cross_fit(both, make_model, "_key", "origin", "fold", "adversarial")
     auc = auc_exact(oof, "label", "prob").first()["auc"]
     tr = (oof.where(F.col("label") == 0)
-          .select(F.split("id", ":")[1].alias("_id"), (1 - F.col("prob")).alias("w")))
+          .select(F.expr("substring(id, 3)").alias("_id"), (1 - F.col("prob")).alias("w")))  # behind "0:"
     mean_w = tr.agg(F.avg("w")).first()[0]
     weights = tr.select(F.col("_id").cast(train.schema[id_col].dataType).alias(id_col),
                         (F.col("w") / F.lit(mean_w)).alias("weight"))

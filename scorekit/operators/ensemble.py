@@ -78,16 +78,7 @@ def metric_share_weights(per_model: DataFrame, metric_col: str, mode: str = "sha
 def per_model_auc(long_scored: DataFrame, label_col: str = "label", prob_col: str = "prob") -> DataFrame:
     """Exact AUC of every model in one grouped ordered pass (ties counted half; null for a model
     whose rows hold one class only)."""
-    from .order import prefix_sum
-    y = F.col(label_col).cast("long")
-    sc = (long_scored.where(F.col(prob_col).isNotNull() & F.col(label_col).isNotNull())
-          .groupBy("model", F.col(prob_col).cast("double").alias("score"))
-          .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")))
-    cum = prefix_sum(sc, "score", ["neg"], part_cols=["model"], inclusive=False)
-    agg = cum.groupBy("model").agg(F.sum(F.col("pos") * (F.col("cum_neg") + 0.5 * F.col("neg"))).alias("num"),
-                                   F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return agg.select("model", F.when((F.col("P") > 0) & (F.col("N") > 0),
-                                      F.col("num") / (F.col("P").cast("double") * F.col("N"))).alias("auc"))
+    return auc_exact(long_scored, label_col, prob_col, by=["model"]).select("model", "auc")
 
 
 def search_weights(oof_wide: DataFrame, label_col: str, model_cols, step: float = 0.05) -> DataFrame:
@@ -119,13 +110,7 @@ def search_weights(oof_wide: DataFrame, label_col: str, model_cols, step: float
     cand_df = spark.createDataFrame([(i, [u / units for u in c]) for i, c in enumerate(cands)],
                                     "cand int, w array<double>")
     # exact AUC per candidate: distinct (cand, score) counts + ordered pass per candidate
-    from .order import prefix_sum
-    sc = blended.groupBy("cand", F.col("p").alias("score")).agg(
-        F.sum(F.col("y").cast("long")).alias("pos"), F.sum(1 - F.col("y").cast("long")).alias("neg"))
-    cum = prefix_sum(sc, "score", ["neg"], part_cols=["cand"], inclusive=False)
-    auc = (cum.groupBy("cand").agg(
-        (F.sum(F.col("pos") * (F.col("cum_neg") + 0.5 * F.col("neg"))) /
-         (F.sum("pos") * F.sum("neg"))).alias("auc")))
+    auc = auc_exact(blended, "y", "p", by=["cand"]).select("cand", "auc")
     return auc.join(F.broadcast(cand_df), "cand").orderBy(F.col("auc").desc(), "cand")
 
 

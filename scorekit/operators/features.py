@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import col, safe_ratio, unary
 from .joins import sized_join
-from .stats import exact_quantiles
+from .stats import clean_double, exact_quantiles
 
 # --- F30-F32: interactions and unary packs ---------------------------------------------------
 
@@ -264,103 +264,149 @@ class MeanDeviation:
 
 # --- F40-F43: cluster labels, distances, principal and independent components -----------
 
-def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
+def complete_rows(df: DataFrame, cols) -> DataFrame:
+    """Rows whose ``cols`` are all numbers."""
+    ok = None
+    for c in cols:
+        t = clean_double(col(c)).isNotNull()
+        ok = t if ok is None else ok & t
+    return df.where(ok)
+
+
+def fit_fill(df: DataFrame, cols) -> dict:
+    """Training medians of ``cols``, 0 for a column without a number."""
+    found = {r["feature"]: r["value"] for r in exact_quantiles(df, list(cols), [0.5]).collect()}
+    return {c: found.get(c, 0.0) for c in cols}
+
+
+def filled(c: str, fill: dict):
+    """The column as a double, nulls and NaN replaced by its fill value."""
+    return F.coalesce(clean_double(col(c)), F.lit(float(fill[c])))
+
+
+def assemble(df: DataFrame, cols, out: str = "features", fill: dict | None = None) -> DataFrame:
+    """Vector column of ``cols``; with ``fill`` nulls and NaN are replaced first and no row is lost."""
     from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
+    if fill is None:
+        return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
+    tmp = [f"_fill_{i}" for i in range(len(cols))]
+    src = df.select("*", *[filled(c, fill).alias(t) for c, t in zip(cols, tmp)])
+    return VectorAssembler(inputCols=tmp, outputCol=out, handleInvalid="error").transform(src).drop(*tmp)
+
+
+@dataclass
+class FittedClusters:
+    cols: list
+    fill: dict
+    model: object
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = self.model.transform(assemble(df, self.cols, "_km_raw", self.fill))
+        return out.drop(*[c for c in ("_km_raw", "_km_vec") if c in out.columns])
 
 
 class ClusterLabel:
-    """k-means cluster id (Spark ML k-means||, seeded), optionally on z-scaled columns."""
+    """k-means cluster id (Spark ML k-means||, seeded), optionally on z-scaled columns. Fitted on
+    complete rows; every row is scored, its nulls replaced by training medians."""
 
     def __init__(self, cols, k: int, scale: bool = False, seed: int = 42, max_iter: int = 20):
         self.cols, self.k, self.scale, self.seed, self.max_iter = list(cols), k, scale, seed, max_iter
 
-    def fit(self, df: DataFrame):
+    def fit(self, df: DataFrame) -> FittedClusters:
         from pyspark.ml import Pipeline
         from pyspark.ml.clustering import KMeans
-        from pyspark.ml.feature import StandardScaler, VectorAssembler
-        stages = [VectorAssembler(inputCols=self.cols, outputCol="_km_raw", handleInvalid="skip")]
-        vec = "_km_raw"
+        from pyspark.ml.feature import StandardScaler
+        fill = fit_fill(df, self.cols)
+        stages, vec = [], "_km_raw"
         if self.scale:
             stages.append(StandardScaler(inputCol="_km_raw", outputCol="_km_vec", withMean=True, withStd=True))
             vec = "_km_vec"
         stages.append(KMeans(k=self.k, seed=self.seed, maxIter=self.max_iter, featuresCol=vec,
                              predictionCol=f"kmeans_{self.k}"))
-        return Pipeline(stages=stages).fit(df)
+        train = assemble(complete_rows(df, self.cols), self.cols, "_km_raw", fill)
+        return FittedClusters(self.cols, fill, Pipeline(stages=stages).fit(train))
 
     @staticmethod
-    def transform(model, df: DataFrame) -> DataFrame:
-        out = model.transform(df)
-        return out.drop(*[c for c in ("_km_raw", "_km_vec") if c in out.columns])
+    def transform(model: FittedClusters, df: DataFrame) -> DataFrame:
+        return model.transform(df)
 
 
-def centroid_distances(df: DataFrame, centers, cols, prefix: str = "dist_c") -> DataFrame:
-    """Euclidean distance to every centroid (a handful of literals) and the nearest id."""
+def centroid_distances(df: DataFrame, centers, cols, prefix: str = "dist_c", fill: dict | None = None) -> DataFrame:
+    """Euclidean distance to every centroid (a handful of literals) and the nearest id. Nulls
+    take their ``fill`` value; without one the distances and the cluster of such a row are null."""
     dists = []
     for j, ctr in enumerate(centers):
         sq = None
         for c, v in zip(cols, ctr):
-            t = (col(c).cast("double") - F.lit(float(v))) * (col(c).cast("double") - F.lit(float(v)))
-            sq = t if sq is None else sq + t
+            x = (filled(c, fill) if fill else clean_double(col(c))) - F.lit(float(v))
+            sq = x * x if sq is None else sq + x * x
         dists.append(F.sqrt(sq).alias(f"{prefix}{j}"))
     out = df.select("*", *dists)
     arr = F.array(*[F.struct(F.col(f"{prefix}{j}").alias("d"), F.lit(j).alias("j")) for j in range(len(centers))])
-    return out.withColumn("cluster", F.array_min(arr)["j"])
+    return out.withColumn("cluster", F.when(F.col(f"{prefix}0").isNotNull(), F.array_min(arr)["j"]))
 
 
 class ClusterDistances:
-    """k-means fit, then label and distance to every centre."""
+    """k-means fit on complete rows, then label and distance to every centre of every row."""
 
     def __init__(self, cols, k: int, seed: int = 42):
-        self.cols, self.k, self.seed = list(cols), k, seed
+        self.cols, self.k, self.seed, self.fill = list(cols), k, seed, None
 
     def fit(self, df: DataFrame) -> list:
         from pyspark.ml.clustering import KMeans
+        self.fill = fit_fill(df, self.cols)
         m = KMeans(k=self.k, seed=self.seed, featuresCol="_cd_vec").fit(
-            assemble(df, self.cols, "_cd_vec").where(F.col("_cd_vec").isNotNull()))
+            assemble(complete_rows(df, self.cols), self.cols, "_cd_vec", self.fill))
         return [list(map(float, c)) for c in m.clusterCenters()]
 
     def transform(self, df: DataFrame, centers) -> DataFrame:
-        return centroid_distances(df, centers, self.cols)
+        return centroid_distances(df, centers, self.cols, fill=self.fill)
 
 
 class CenteredPCA:
-    """PCA scores of mean-centred columns (Spark's PCA does not centre its output)."""
+    """PCA scores of mean-centred columns (Spark's PCA does not centre its output). Fitted on complete
+    rows; a null is scored as the mean."""
 
     def __init__(self, cols, n: int):
         self.cols, self.n = list(cols), n
 
     def fit(self, df: DataFrame):
         from pyspark.ml.feature import PCA
-        means = df.agg(*[F.avg(col(c)).alias(c) for c in self.cols]).first()
-        centred = df.select(*[(col(c) - F.lit(means[c])).alias(c) for c in self.cols])
+        train = complete_rows(df, self.cols)
+        means = train.agg(*[F.avg(col(c)).alias(c) for c in self.cols]).first()
+        centred = train.select(*[(col(c) - F.lit(means[c])).alias(c) for c in self.cols])
         model = PCA(k=self.n, inputCol="_pca_in", outputCol="_pca_out").fit(assemble(centred, self.cols, "_pca_in"))
         return {"means": [means[c] for c in self.cols], "pc": model.pc.toArray().tolist()}
 
     def transform(self, df: DataFrame, fitted, prefix: str = "pca_") -> DataFrame:
-        pc = np.array(fitted["pc"])  # p x n loading matrix
-        comps = []
-        for j in range(pc.shape[1]):
-            s = None
-            for i, c in enumerate(self.cols):
-                t = (col(c).cast("double") - F.lit(fitted["means"][i])) * F.lit(float(pc[i, j]))
-                s = t if s is None else s + t
-            comps.append(s.alias(f"{prefix}{j}"))
-        return df.select("*", *comps)
+        return project_linear(df, self.cols, fitted["means"], np.array(fitted["pc"]).T, prefix)
+
+
+def project_linear(df: DataFrame, cols, means, weights, prefix: str) -> DataFrame:
+    """Linear scores of centred columns, one for each row of ``weights``; a null counts as the mean."""
+    centred = [F.coalesce(clean_double(col(c)) - F.lit(float(m)), F.lit(0.0)) for c, m in zip(cols, means)]
+    outs = []
+    for r, w in enumerate(weights):
+        s = None
+        for x, v in zip(centred, w):
+            s = x * F.lit(float(v)) if s is None else s + x * F.lit(float(v))
+        outs.append(s.alias(f"{prefix}{r}"))
+    return df.select("*", *outs)
 
 
 class IndependentComponents:
     """FastICA (logcosh, symmetric decorrelation). Whitening from the distributed covariance;
     every fixed-point step is one distributed mean over rows; the p x n matrices live on the driver.
-    Lineage of the whitened frame is cut with a reliable checkpoint."""
+    Fitted on complete rows, a null is scored as the mean. Lineage of the whitened frame is cut with a
+    reliable checkpoint, which the steps read."""
 
     def __init__(self, cols, n: int, max_iter: int = 200, tol: float = 1e-4, seed: int = 42):
         self.cols, self.n, self.max_iter, self.tol, self.seed = list(cols), n, max_iter, tol, seed
 
     def fit(self, df: DataFrame):
-        from pyspark.ml.stat import Correlation  # noqa: F401  (covariance below via one aggregate)
         from ..session import cut_lineage
         p = len(self.cols)
+        df = complete_rows(df, self.cols)
         means = df.agg(*[F.avg(col(c)).alias(c) for c in self.cols]).first()
         mu = np.array([means[c] for c in self.cols], dtype=float)
         cov_aggs = [F.covar_pop(col(a), col(b)).alias(f"c{i}_{j}") for i, a in enumerate(self.cols)
@@ -376,7 +422,7 @@ class IndependentComponents:
         K = (e / np.sqrt(d)).T  # n x p whitening
         white = df.select(*[sum(((col(c).cast("double") - F.lit(mu[i])) * F.lit(float(K[r, i])))
                                 for i, c in enumerate(self.cols)).alias(f"z{r}") for r in range(self.n)])
-        white = cut_lineage(white.persist())
+        white = cut_lineage(white)
         rng = np.random.RandomState(self.seed)
         W = self._sym(rng.normal(size=(self.n, self.n)))
         for _ in range(self.max_iter):
@@ -394,7 +440,6 @@ class IndependentComponents:
             W = W1
             if lim < self.tol:
                 break
-        white.unpersist()
         return {"mean": mu.tolist(), "unmixing": (W @ K).tolist()}
 
     @staticmethod
@@ -403,9 +448,4 @@ class IndependentComponents:
         return (u * (1.0 / np.sqrt(s))) @ u.T @ W
 
     def transform(self, df: DataFrame, fitted, prefix: str = "ica_") -> DataFrame:
-        U, mu = np.array(fitted["unmixing"]), fitted["mean"]
-        comps = []
-        for r in range(U.shape[0]):
-            comps.append(sum((col(c).cast("double") - F.lit(mu[i])) * F.lit(float(U[r, i]))
-                             for i, c in enumerate(self.cols)).alias(f"{prefix}{r}"))
-        return df.select("*", *comps)
+        return project_linear(df, self.cols, fitted["mean"], np.array(fitted["unmixing"]), prefix)

@@ -2,7 +2,7 @@
 
 Rows have no position in Spark: every alignment of predictions, folds or labels is an equi-join
 on the row id. Lookup tables that are aggregates of the data (group statistics, per-value
-encodings) are broadcast only after counting them; above the limit the join shuffles normally.
+encodings) are broadcast only after measuring them; above the limit the join shuffles normally.
 """
 
 from __future__ import annotations
@@ -11,15 +11,25 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import BROADCAST_MAX_ROWS
+from ..session import BROADCAST_MAX_BYTES, keep
+from ..spec import q
 
 
-def sized_join(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join with a broadcast of ``small`` when its counted size is within ``max_rows``."""
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
+def side_bytes(df: DataFrame) -> int:
+    """Measured size of a frame: 16 bytes for each value and the length of every text."""
+    texts = [F.coalesce(F.octet_length(F.col(q(f.name))), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    total = F.sum(reduce(lambda a, b: a + b, texts, F.lit(16 * len(df.columns))).cast("bigint"))
+    return df.agg(total).first()[0] or 0
+
+
+def sized_join(big: DataFrame, small: DataFrame, on, how: str = "left", max_bytes: int | None = None) -> DataFrame:
+    """Join with a broadcast of ``small`` when its measured size is within the limit; beyond it a shuffle
+    join, whose large partitions AQE splits. The small side is cached before it is measured, so it is
+    computed once."""
+    small = keep(small)
+    side = F.broadcast(small) if side_bytes(small) <= (BROADCAST_MAX_BYTES if max_bytes is None else max_bytes) else small
     return big.join(side, on, how)
 
 

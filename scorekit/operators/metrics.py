@@ -68,11 +68,11 @@ def error_counts(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:
     )
 
 
-def score_counts(df: DataFrame, label_col: str, prob_col: str) -> DataFrame:
+def score_counts(df: DataFrame, label_col: str, prob_col: str, by=()) -> DataFrame:
     """Positives and negatives per distinct score (nulls dropped). Map-side combined."""
     y = F.col(label_col).cast("long")
     return (df.where(F.col(prob_col).isNotNull() & F.col(label_col).isNotNull())
-            .groupBy(F.col(prob_col).cast("double").alias("score"))
+            .groupBy(*by, F.col(prob_col).cast("double").alias("score"))
             .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
 
 
@@ -95,15 +95,17 @@ def scalar_totals(df: DataFrame, *cols) -> tuple:
     return tuple(row[c] for c in cols)
 
 
-def auc_exact(df: DataFrame, label_col: str, prob_col: str) -> DataFrame:
-    """ROC AUC with ties counted half; null when only one class is present."""
-    sc = score_counts(df, label_col, prob_col)
-    cum = prefix_sum(sc, "score", ["neg"], inclusive=False)  # negatives strictly below
+def auc_exact(df: DataFrame, label_col: str, prob_col: str, by=()) -> DataFrame:
+    """ROC AUC with ties counted half, one row for each ``by`` group; null when only one class is
+    present. Products of counts are doubles: two long totals would overflow at scale."""
+    by = list(by)
+    sc = score_counts(df, label_col, prob_col, by)
+    cum = prefix_sum(sc, "score", ["neg"], part_cols=by, inclusive=False)  # negatives strictly below
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
-    agg = cum.agg(F.sum(pos * (F.col("cum_neg") + 0.5 * neg)).alias("num"),
-                  F.sum(pos).alias("P"), F.sum(neg).alias("N"))
+    agg = cum.groupBy(*by).agg(F.sum(pos * (F.col("cum_neg") + 0.5 * neg)).alias("num"),
+                               F.sum(pos).alias("P"), F.sum(neg).alias("N"))
     return agg.select(
-        F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("num") / (F.col("P") * F.col("N"))).alias("auc"),
+        *by, F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("num") / (F.col("P") * F.col("N"))).alias("auc"),
         F.col("P").cast("long").alias("positives"), F.col("N").cast("long").alias("negatives"))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .crossfit import positive_prob
 from .features import assemble
+from .order import argmax_row
 
 
 def boosted(max_iter=100, max_depth=5, step_size=0.1, subsampling=1.0, feature_subset="all", min_instances=1,
@@ -96,20 +97,55 @@ def perceptron(layers, max_iter=100, seed=42, label_col="label", block_size=128)
     return make
 
 
-def boosted_categorical(cat_cols, max_iter=100, max_depth=5, label_col="label", seed=42):
-    """Categorical-aware boosting: index the declared category columns and let the trees split
-    on categories (maxBins >= number of levels). Returns a Pipeline factory over raw columns."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+class CategoricalBoosting:
+    """Categorical-aware boosting. Category columns with at most ``max_levels`` counted levels are
+    indexed, with as many bins as the widest of them needs, so the trees split on categories; wider ones
+    become the training mean of the label per level (F37), a table that is joined, never collected.
+    Numeric nulls take the training median; a null or unseen category is a level of its own."""
+
+    def __init__(self, cat_cols, num_cols, max_levels: int = 256, max_iter=100, max_depth=5, label_col="label", seed=42):
+        self.cat_cols, self.num_cols, self.max_levels, self.label_col = list(cat_cols), list(num_cols), max_levels, label_col
+        self.kw = dict(maxIter=max_iter, maxDepth=max_depth, labelCol=label_col, featuresCol="features", seed=seed)
+
+    def fit(self, df: DataFrame) -> "FittedCategorical":
+        from pyspark.ml import Pipeline
+        from pyspark.ml.feature import StringIndexer
+        from .features import TargetStatEncoder, fit_fill
+        levels = {c: df.select(c).distinct().limit(self.max_levels + 1).count() for c in self.cat_cols}
+        narrow = [c for c, n in levels.items() if n <= self.max_levels]
+        wide = [c for c in self.cat_cols if c not in narrow]
+        encoder = TargetStatEncoder(wide, self.label_col).fit(df) if wide else None
+        fill = fit_fill(df, self.num_cols)
+        bins = max([32, *(levels[c] + 2 for c in narrow)])
+        stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in narrow]
+        indexer = Pipeline(stages=stages).fit(df) if stages else None
+        m = FittedCategorical(self.num_cols, narrow, wide, encoder, fill, indexer)
+        m.model = GBTClassifier(maxBins=bins, **self.kw).fit(m.assemble(df))
+        return m
+
+
+class FittedCategorical:
+    def __init__(self, num_cols, narrow, wide, encoder, fill, indexer):
+        self.num_cols, self.narrow, self.wide, self.encoder, self.fill, self.indexer = num_cols, narrow, wide, encoder, fill, indexer
+        self.model = None
+
+    def assemble(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.feature import VectorAssembler
+        from .features import filled
+        out = self.indexer.transform(df) if self.indexer else df
+        out = self.encoder.transform(out) if self.encoder else out
+        tmp = [f"{c}__num" for c in self.num_cols]
+        out = out.select("*", *[filled(c, self.fill).alias(t) for c, t in zip(self.num_cols, tmp)])
+        cols = [*tmp, *(f"{c}__idx" for c in self.narrow), *(f"{c}_target_mean" for c in self.wide)]
+        return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error").transform(out)
 
-    def make(num_cols):
-        idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in cat_cols]
-        va = VectorAssembler(inputCols=list(num_cols) + [f"{c}__idx" for c in cat_cols], outputCol="features",
-                             handleInvalid="keep")
-        gbt = GBTClassifier(maxIter=max_iter, maxDepth=max_depth, labelCol=label_col, featuresCol="features",
-                            seed=seed, maxBins=64)
-        return Pipeline(stages=idx + [va, gbt])
-    return make
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self.assemble(df))
+
+
+def boosted_categorical(cat_cols, max_iter=100, max_depth=5, label_col="label", seed=42, max_levels: int = 256):
+    """M15 factory: ``make(num_cols)`` gives an estimator over raw columns."""
+    return lambda num_cols: CategoricalBoosting(cat_cols, num_cols, max_levels, max_iter, max_depth, label_col, seed)
 
 
 # --- M4: adaptive boosting (SAMME with a weight column) ------------------------------------
@@ -144,7 +180,10 @@ class AdaBoost:
                                                                      F.lit(math.exp(alpha))).otherwise(1.0)).alias("_w"))
             tot = upd.agg(F.sum("_w")).first()[0]
             nxt = upd.select("features", "_y", (F.col("_w") / tot).alias("_w"))
-            nxt = cut_lineage(nxt.persist()) if (r + 1) % self.checkpoint_every == 0 else nxt.persist()
+            if (r + 1) % self.checkpoint_every == 0:
+                nxt = cut_lineage(nxt)  # written weights: nothing before this round is needed again
+            nxt = nxt.persist()
+            nxt.count()  # build the new weights from the cached old ones before those are freed
             data.unpersist()
             data = nxt
         data.unpersist()
@@ -167,9 +206,14 @@ class AdaBoostModel:
 
 # --- M10, M12-M14 ---------------------------------------------------------------------------
 
-def pick_best(per_model_auc: DataFrame) -> str:
-    """The model with the highest validation AUC (first listed on ties)."""
-    return per_model_auc.orderBy(F.col("auc").desc(), "model").first()["model"]
+def pick_best(per_model_auc: DataFrame, listed=None) -> str:
+    """The model with the highest validation AUC; on ties the first of ``listed`` (the order in
+    which the models were given), by name where no order is known."""
+    rank = F.lit(0)
+    for k, name in enumerate(listed or ()):
+        rank = F.when(F.col("model") == name, F.lit(k)).otherwise(rank)
+    best = per_model_auc.withColumn("_rank", rank)
+    return argmax_row(best, "auc", "_rank", "model").first()["model"]
 
 
 def class_weights(df: DataFrame, label_col: str, mode: str = "balanced", ratio: float | None = None) -> DataFrame:

@@ -16,32 +16,44 @@ first) or a tie-break column list, so a hot value is a single row and no bucket
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_MAX_ROWS, keep
+from ..session import keep
+from .joins import sized_join
 
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 200_000
+_ROWS_PER_BUCKET = [2_000_000]
 
 
-def _bucket_count(n: int, rows_per_bucket: int, max_buckets: int) -> int:
-    return int(max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket)))))
+@contextmanager
+def bucket_rows(n: int):
+    """Rows per bucket for the plans built inside: small buckets take the path of large data."""
+    _ROWS_PER_BUCKET.append(n)
+    try:
+        yield
+    finally:
+        _ROWS_PER_BUCKET.pop()
+
+
+def _bucket_count(n: int, rows_per_bucket: int | None) -> int:
+    """As many buckets as the rows need."""
+    return max(1, math.ceil(n / max(1, rows_per_bucket or _ROWS_PER_BUCKET[-1])))
 
 
 def add_value_bucket(df: DataFrame, key_col: str, out_col: str, n_rows: int | None = None,
-                     rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> DataFrame:
+                     rows_per_bucket: int | None = None) -> DataFrame:
     """Add a monotone bucket index of ``key_col`` (double) with balanced bucket sizes (global cuts)."""
     if n_rows is None:
         n_rows = df.count()
-    nb = _bucket_count(n_rows, rows_per_bucket, max_buckets)
+    nb = _bucket_count(n_rows, rows_per_bucket)
     if nb <= 1:
         return df.withColumn(out_col, F.lit(0.0))
     probs = [i / nb for i in range(1, nb)]
     cuts = df.approxQuantile(key_col, probs, 0.25 / nb)
-    return _bucketize(df, key_col, out_col, [_splits(cuts)])
+    return _bucketize(df, key_col, out_col, _splits(cuts))
 
 
 def _splits(cuts) -> list[float]:
@@ -49,74 +61,57 @@ def _splits(cuts) -> list[float]:
     return [-math.inf] + inner + [math.inf]
 
 
-def _bucketize(df: DataFrame, key_col: str, out_col: str, splits_list, group_cond=None) -> DataFrame:
-    """Bucket index with one split list per group (multi-column ``Bucketizer``: a binary search in
-    the JVM per row). ``group_cond[i]`` selects the rows of group i; nulls go to the last bucket."""
-    key = F.coalesce(F.col(key_col), F.lit(float("nan")))
-    if group_cond is None:
-        tmp = out_col + "__in"
-        bz = Bucketizer(splits=splits_list[0], inputCol=tmp, outputCol=out_col, handleInvalid="keep")
-        return bz.transform(df.withColumn(tmp, key)).drop(tmp)
-    ins = [f"{out_col}__in{i}" for i in range(len(splits_list))]
-    outs = [f"{out_col}__b{i}" for i in range(len(splits_list))]
-    staged = df.select("*", *[F.when(c, key).otherwise(F.lit(float("nan"))).alias(x)
-                              for c, x in zip(group_cond, ins)])
-    bz = Bucketizer(splitsArray=splits_list, inputCols=ins, outputCols=outs, handleInvalid="keep")
-    out = bz.transform(staged)
-    pick = None
-    for c, o in zip(group_cond, outs):
-        pick = F.when(c, F.col(o)) if pick is None else pick.when(c, F.col(o))
-    return out.withColumn(out_col, F.coalesce(pick, F.lit(0.0))).drop(*ins, *outs)
-
-
-MAX_GROUPS_WITH_OWN_CUTS = 256
-
-
-def add_group_value_bucket(df: DataFrame, key_col: str, out_col: str, part_cols,
-                           rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-                           group_sizes=None) -> tuple:
+def _bucketize(df: DataFrame, key_col: str, out_col: str, splits) -> DataFrame:
+    """Bucket index (``Bucketizer``: a binary search in the JVM per row); nulls go to the last bucket."""
+    tmp = out_col + "__in"
+    bz = Bucketizer(splits=splits, inputCol=tmp, outputCol=out_col, handleInvalid="keep")
+    return bz.transform(df.withColumn(tmp, F.coalesce(F.col(key_col), F.lit(float("nan"))))).drop(tmp)
+
+
+def add_group_value_bucket(df: DataFrame, key_col: str, out_col: str, part_cols, rows_per_bucket: int | None = None,
+                           group_sizes: DataFrame | None = None) -> tuple:
     """Bucket index with cut points per ``part_cols`` group, so a group whose values sit inside one
     global bucket (a feature with a small range next to one with a large range) is still split.
-    ``group_sizes`` (rows with the partition columns and ``_n``) saves the counting job when the
-    caller has it. Returns ``(frame, total_buckets)``; above ``MAX_GROUPS_WITH_OWN_CUTS`` groups
-    global cuts are used."""
+
+    The cuts are a small table, one row of sorted cut points for each group that needs more than one
+    bucket; it is joined on the group, and a row's bucket is found by bisection of its group's cuts.
+    There is no limit on the number of groups. ``group_sizes`` (the partition columns and ``_n``) saves
+    the counting job when the caller has it. Returns ``(frame, most buckets of a group)``."""
     part_cols = list(part_cols)
-    sizes = group_sizes if group_sizes is not None else \
-        df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("_n")).collect()  # one row per group
-    total = sum(r["_n"] for r in sizes)
-    if len(sizes) > MAX_GROUPS_WITH_OWN_CUTS:
-        nb = _bucket_count(total, rows_per_bucket, max_buckets)
-        return add_value_bucket(df, key_col, out_col, total, rows_per_bucket, max_buckets), nb
-    big = [(r, _bucket_count(r["_n"], rows_per_bucket, max_buckets)) for r in sizes]
-    big = [(r, nb) for r, nb in big if nb > 1]
-    if not big:
+    sizes = group_sizes if group_sizes is not None else df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("_n"))
+    rows = _ROWS_PER_BUCKET[-1] if rows_per_bucket is None else max(1, rows_per_bucket)
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    nb = _bucket_count(largest, rows)
+    if nb <= 1:
         return df.withColumn(out_col, F.lit(0.0)), 1
+    names = [f"_gk{i}" for i in range(len(part_cols))]
+    big = sizes.where(F.col("_n") > rows).select(*[F.col(p).alias(n) for p, n in zip(part_cols, names)])
+    on = None
+    for p, n in zip(part_cols, names):
+        e = F.col(p).eqNullSafe(F.col(n))
+        on = e if on is None else on & e
+    # approximate quantiles of the large groups in one grouped pass: groups x buckets values
+    probs = [i / nb for i in range(1, nb)]
+    acc = int(min(2**31 - 1, max(10_000, 4 * nb)))
+    cuts = (df.join(F.broadcast(big) if big.count() * len(names) * 64 <= 1 << 20 else big, on).groupBy(*names)
+            .agg(F.array_distinct(F.percentile_approx(F.col(key_col), probs, acc)).alias("_cuts")))
+    both = sized_join(df, cuts, on)
+    return both.withColumn(out_col, _bisect(F.col("_cuts"), F.col(key_col), nb)).drop("_cuts", *names), nb
+
 
-    def cond(r):
-        c = None
-        for p in part_cols:
-            e = F.col(p).eqNullSafe(F.lit(r[p]))
-            c = e if c is None else c & e
-        return c
-
-    # cut points of the large groups in one grouped pass (bounded: groups x buckets values)
-    max_nb = max(nb for _, nb in big)
-    probs = [i / max_nb for i in range(1, max_nb)]
-    acc = int(min(2**31 - 1, max(10_000, 4 * max_nb)))
-    any_big = None
-    for r, _ in big:
-        any_big = cond(r) if any_big is None else any_big | cond(r)
-    cut_rows = (df.where(any_big).groupBy(*part_cols)
-                .agg(F.percentile_approx(F.col(key_col), probs, acc).alias("_cuts")).collect())
-    splits_list = [_splits(r["_cuts"] or []) for r in cut_rows]
-    conds = [cond(r) for r in cut_rows]
-    return _bucketize(df, key_col, out_col, splits_list, conds), max_nb
+def _bisect(cuts: Column, key: Column, most: int) -> Column:
+    """Number of sorted ``cuts`` at or below ``key``: one fixed step for each power of two up to ``most``.
+    0 without cuts; a null key goes behind the last cut."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, most.bit_length())))])
+    size = F.size(cuts)
+    at = F.aggregate(steps, F.lit(0), lambda lo, s: F.when((lo + s <= size) & (F.get(cuts, lo + s - 1) <= key), lo + s).otherwise(lo))
+    return F.when(cuts.isNull(), 0.0).when(key.isNull(), size.cast("double")).otherwise(at.cast("double"))
 
 
 def prefix_sum(df: DataFrame, order_col: str, value_cols, part_cols=(), tie_cols=(),
                descending: bool = False, inclusive: bool = True, prefix: str = "cum_",
-               rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-               persist: bool = True, n_rows: int | None = None, group_sizes=None) -> DataFrame:
+               rows_per_bucket: int | None = None, persist: bool = True, n_rows: int | None = None,
+               group_sizes: DataFrame | None = None) -> DataFrame:
     """Running sums of ``value_cols`` in ``order_col`` order (then ``tie_cols``), per ``part_cols``.
 
     Output: the input columns plus ``prefix + v`` for every value column. ``inclusive`` counts the
@@ -131,17 +126,16 @@ def prefix_sum(df: DataFrame, order_col: str, value_cols, part_cols=(), tie_cols
     if part_cols:
         if persist:
             work = keep(work)
-        work, nb = add_group_value_bucket(work, "_w1_key", "_w1_b", part_cols, rows_per_bucket, max_buckets,
-                                          group_sizes)
+        work, nb = add_group_value_bucket(work, "_w1_key", "_w1_b", part_cols, rows_per_bucket, group_sizes)
     else:
         if n_rows is None:
             if persist:
                 work = keep(work)
             n_rows = work.count()
-        nb = _bucket_count(n_rows, rows_per_bucket, max_buckets)
+        nb = _bucket_count(n_rows, rows_per_bucket)
         if nb > 1 and persist and not work.is_cached:
             work = keep(work)
-        work = add_value_bucket(work, "_w1_key", "_w1_b", n_rows, rows_per_bucket, max_buckets)
+        work = add_value_bucket(work, "_w1_key", "_w1_b", n_rows, rows_per_bucket)
     w = (Window.partitionBy(*part_cols, "_w1_b")
          .orderBy(F.col("_w1_key").asc_nulls_last(), *[F.col(c).asc() for c in tie_cols])
          .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
@@ -154,9 +148,13 @@ def prefix_sum(df: DataFrame, order_col: str, value_cols, part_cols=(), tie_cols
     offsets = totals.select(*part_cols, "_w1_b",
                             *[F.coalesce(F.sum(v).over(wt), F.lit(0)).alias("_w1_off_" + v)
                               for v in value_cols])
-    n_off = offsets.count()
-    side = F.broadcast(offsets) if n_off <= BROADCAST_MAX_ROWS else offsets
-    joined = work.join(side, part_cols + ["_w1_b"], "left")
+    on = None
+    offsets = offsets.select(*[F.col(c).alias(f"_off{i}") for i, c in enumerate([*part_cols, "_w1_b"])],
+                             *[f"_w1_off_{v}" for v in value_cols])
+    for i, c in enumerate([*part_cols, "_w1_b"]):  # groups may be null
+        e = F.col(c).eqNullSafe(F.col(f"_off{i}"))
+        on = e if on is None else on & e
+    joined = sized_join(work, offsets, on)
     outs = []
     for v in value_cols:
         run = F.coalesce(F.sum(v).over(w), F.lit(0))
@@ -240,11 +238,9 @@ def unique_in_order(names, cap: int | None = None) -> list:
     return out if cap is None else out[:cap]
 
 
-def argmax_row(df: DataFrame, col: str, tie_col: str) -> DataFrame:
-    """The row with the largest ``col``; on ties the smallest ``tie_col`` (first listed)."""
-    row = F.max_by(F.struct(*[F.col(c) for c in df.columns]),
-                   F.struct(F.col(col), -F.col(tie_col)))
-    return df.agg(row.alias("_r")).select("_r.*")
+def argmax_row(df: DataFrame, col: str, *tie_cols: str) -> DataFrame:
+    """The row with the largest ``col``; on ties the smallest ``tie_cols`` (first listed)."""
+    return df.orderBy(F.col(col).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_cols]).limit(1)
 
 
 def preview(df: DataFrame, n: int, order_col: str) -> DataFrame:

@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,13 +26,21 @@ def _c(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def fused_stats(df: DataFrame, cols, metrics: dict, by=()) -> DataFrame:
-    """One aggregate computing ``metrics[m](column)`` for every column; one row per (by, feature).
+# One aggregate over more columns than this outgrows generated code; the long form is used instead.
+FUSED_COLUMNS = 16
 
-    ``metrics`` maps an output name to a function Column -> aggregate Column.
-    """
+
+def fused_stats(df: DataFrame, cols, metrics: dict, by=(), keep=()) -> DataFrame:
+    """``metrics[m](column)`` for every column in one aggregate; one row per (by, feature).
+
+    ``metrics`` maps an output name to a function Column -> aggregate Column; ``keep`` names other
+    columns that they read. Wide frames are unpivoted once and aggregated by feature, so the plan does
+    not grow with the columns."""
     cols = list(cols)
     by = list(by)
+    if len(cols) > FUSED_COLUMNS:
+        longf = to_long(df, cols, keep=[*by, *keep], drop_nulls=False)
+        return longf.groupBy(*by, "feature").agg(*[fn(F.col("value")).alias(m) for m, fn in metrics.items()])
     aggs = [fn(clean_double(_c(c))).alias(f"_{i}__{m}") for i, c in enumerate(cols) for m, fn in metrics.items()]
     wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("feature"),
@@ -38,6 +48,13 @@ def fused_stats(df: DataFrame, cols, metrics: dict, by=()) -> DataFrame:
     return wide.select(*by, F.explode(rows).alias("_r")).select(*by, "_r.*")
 
 
+def distinct_counts(df: DataFrame, cols) -> DataFrame:
+    """``(feature, n_unique)``: distinct values per column by counting each (feature, value) once; several
+    exact distinct counts in one aggregate would expand every row by the number of columns and keep it."""
+    values = to_long(df, cols).groupBy("feature", "value").agg(F.lit(1).alias("_one"))
+    return values.groupBy("feature").agg(F.count(F.lit(1)).alias("n_unique"))
+
+
 # --- A1, A22, A24: value counts, crosstab, mode --------------------------------------------
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -76,8 +93,8 @@ def describe_exact(df: DataFrame, cols, by=()) -> DataFrame:
 
 def moments(df: DataFrame, cols) -> DataFrame:
     """A3: sample variance, bias-corrected skewness (G1) and excess kurtosis (G2), distinct count."""
-    base = fused_stats(df, cols, {"n": F.count, "var": F.var_samp, "g1": F.skewness, "g2": F.kurtosis,
-                                  "n_unique": F.countDistinct})
+    base = (fused_stats(df, cols, {"n": F.count, "var": F.var_samp, "g1": F.skewness, "g2": F.kurtosis})
+            .join(distinct_counts(df, cols), "feature", "left").withColumn("n_unique", F.coalesce("n_unique", F.lit(0))))
     n = F.col("n").cast("double")
     skew = F.when(n >= 3, F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2))
     kurt = F.when(n >= 4, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6))
@@ -92,7 +109,8 @@ def null_counts(df: DataFrame, cols) -> DataFrame:
 
 def feature_kinds(df: DataFrame, cols, low_var: float = 0.01) -> DataFrame:
     """Constant (1 distinct), binary (2), few (<10) or many values; low variance (< low_var)."""
-    st = fused_stats(df, cols, {"n_unique": F.countDistinct, "var": F.var_samp})
+    st = (fused_stats(df, cols, {"var": F.var_samp}).join(distinct_counts(df, cols), "feature", "left")
+          .withColumn("n_unique", F.coalesce("n_unique", F.lit(0))))
     kind = (F.when(F.col("n_unique") == 1, "constant").when(F.col("n_unique") == 2, "binary")
             .when(F.col("n_unique") < 10, "few").when(F.col("n_unique") == 0, "empty").otherwise("many"))
     return st.select("feature", "n_unique", "var", kind.alias("kind"),
@@ -251,21 +269,42 @@ def anova_f(df: DataFrame, cols, label_col: str) -> DataFrame:
 # --- A12, A13: correlation ---------------------------------------------------------------
 
 def corr_pairs(df: DataFrame, cols, min_abs: float = 0.0) -> DataFrame:
-    """Pearson r of every column pair (i < j) in one aggregate; pairs with |r| > min_abs."""
+    """Pearson r of every column pair (i < j) over the rows that have both; pairs with |r| > min_abs.
+
+    One pass: every Arrow batch adds four products of the centred columns and their presence masks (a
+    Gram matrix with nulls), every task returns its p x p sums, and those are added up by pair."""
     cols = list(cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    aggs = [F.corr(clean_double(_c(cols[i])), clean_double(_c(cols[j]))).alias(f"_{i}_{j}") for i, j in pairs]
-    wide = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"),
-                              F.col(f"_{i}_{j}").alias("corr")) for i, j in pairs])
-    out = wide.select(F.explode(rows).alias("r")).select("r.*")
+    src = df.select(*[clean_double(_c(c)).alias(f"c{i}") for i, c in enumerate(cols)])
+    mean = src.agg(*[F.avg(c).alias(c) for c in src.columns]).first()  # centring keeps the sums small
+    src = src.select(*[(F.col(c) - F.lit(mean[c] or 0.0)).alias(c) for c in src.columns])
+
+    def sums(batches):
+        total = None
+        for b in batches:
+            x = np.column_stack([b.column(k).to_numpy(zero_copy_only=False) for k in range(b.num_columns)]).astype(float)
+            m = ~np.isnan(x)
+            x, m = np.where(m, x, 0.0), m.astype(float)
+            part = np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+            total = part if total is None else total + part
+        if total is not None:
+            i, j = np.triu_indices(len(cols), 1)
+            n, sx, sxx, sxy = total
+            out = (i, j, n[i, j], sx[i, j], sx[j, i], sxx[i, j], sxx[j, i], sxy[i, j])
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in out], names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    parts = src.mapInArrow(sums, "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double")
+    t = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    var = (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")) * (F.col("n") * F.col("syy") - F.col("sy") * F.col("sy"))
+    names = F.array(*[F.lit(c) for c in cols])
+    r = F.when((F.col("n") > 1) & (var > 0), (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / F.sqrt(var))
+    out = t.select(F.get(names, F.col("i").cast("int")).alias("feature_a"), F.get(names, F.col("j").cast("int")).alias("feature_b"), r.alias("corr"))
     return out.where(F.abs(F.col("corr")) > min_abs)
 
 
 def target_corr(df: DataFrame, cols, label_col: str) -> DataFrame:
     """Pearson r of each feature with the label and its absolute value."""
     st = fused_stats(df.withColumn("_y", _c(label_col).cast("double")), cols,
-                     {"corr": lambda c: F.corr(c, F.col("_y"))})
+                     {"corr": lambda c: F.corr(c, F.col("_y"))}, keep=["_y"])
     return st.select("feature", "corr", F.abs("corr").alias("abs_corr"))
 
 
@@ -279,7 +318,8 @@ def mutual_info_discrete(df: DataFrame, cols, label_col: str) -> DataFrame:
     ny = joint.groupBy("feature", "y").agg(F.sum("nxy").alias("ny"))   # features x classes rows
     n = ny.groupBy("feature").agg(F.sum("ny").alias("n"))             # one row per feature
     j = joint.join(nx, ["feature", "value"]).join(F.broadcast(ny), ["feature", "y"]).join(F.broadcast(n), "feature")
-    term = (F.col("nxy") / F.col("n")) * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
+    nxy, nx, ny, n = (F.col(c).cast("double") for c in ("nxy", "nx", "ny", "n"))  # long products overflow at scale
+    term = nxy / n * F.log(nxy / nx * (n / ny))
     return j.groupBy("feature").agg(F.sum(term).alias("mi"))
 
 

@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_MAX_ROWS, keep as keep_cached
-from .order import MAX_GROUPS_WITH_OWN_CUTS, prefix_sum
+from ..session import BROADCAST_MAX_BYTES
+from ..session import keep as keep_cached
+from .joins import side_bytes
+from .order import prefix_sum
 
 
 def to_long(df: DataFrame, cols, keep=(), feature_col: str = "feature", value_col: str = "value",
@@ -49,12 +51,8 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), long_input: bool = False)
     part = by + ["feature"]
     counts = keep_cached(longf.groupBy(*part, "value").agg(F.count(F.lit(1)).alias("cnt")))
     totals = keep_cached(counts.groupBy(*part).agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("nd")))
-    # one job: number of (group, feature) rows and of distinct values (materialises both caches)
-    sizes = totals.agg(F.count(F.lit(1)).alias("g"), F.coalesce(F.sum("nd"), F.lit(0)).alias("d")).first()
-    n_groups = sizes["g"]
-    # distinct values per (group, feature) are the prefix sum's group sizes: pass them on when few
-    group_sizes = (totals.select(*part, F.col("nd").alias("_n")).collect()
-                   if n_groups <= MAX_GROUPS_WITH_OWN_CUTS else None)
+    # distinct values per (group, feature) are the prefix sum's group sizes
+    group_sizes = totals.select(*part, F.col("nd").alias("_n"))
     cum = prefix_sum(counts, "value", ["cnt"], part_cols=part, group_sizes=group_sizes)  # cum_cnt inclusive
     # ranks needed per probability: h = (n-1) q ; lo = floor(h) ; hi = lo + 1 (0-based)
     parr = F.array(*[F.lit(p) for p in probs])
@@ -68,8 +66,7 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), long_input: bool = False)
                           F.explode(F.array(F.struct(F.col("k_lo").alias("k"), F.lit(0).alias("hi")),
                                             F.struct(F.col("k_hi").alias("k"), F.lit(1).alias("hi")))).alias("_r"))
     need = need.select(*part, "pi", "prob", "h", "k_lo", F.col("_r.k").alias("k"), F.col("_r.hi").alias("hi"))
-    small = n_groups * 2 * len(probs) <= BROADCAST_MAX_ROWS
-    side = F.broadcast(need) if small else need
+    side = F.broadcast(need) if side_bytes(totals) * 2 * len(probs) <= BROADCAST_MAX_BYTES else need
     # value of order statistic k: the distinct value with cum - cnt <= k < cum
     hit = (cum.join(side, part, "inner")
            .where((F.col("cum_cnt") - F.col("cnt") <= F.col("k")) & (F.col("k") < F.col("cum_cnt"))))

@@ -12,9 +12,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Row limit under which an aggregated side table may be broadcast. Every call site
-# that broadcasts counts the table first (see ``operators.joins.sized_join``).
-BROADCAST_MAX_ROWS = 2_000_000
+# Size under which an aggregated side table may be broadcast. Every call site that broadcasts
+# measures the table first (see ``operators.joins.sized_join``).
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "scorekit",

@@ -23,9 +23,9 @@ def test_sized_join_falls_back_to_shuffle(spark):
     try:
         big = spark.range(1000).withColumnRenamed("id", "k")
         small = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.lit(1))
-        assert "BroadcastHashJoin" in _plan(sized_join(big, small, "k", max_rows=100)) or \
-            "BroadcastExchange" in _plan(sized_join(big, small, "k", max_rows=100))
-        joined = sized_join(big, small, "k", max_rows=5)
+        assert "BroadcastHashJoin" in _plan(sized_join(big, small, "k", max_bytes=1000)) or \
+            "BroadcastExchange" in _plan(sized_join(big, small, "k", max_bytes=1000))
+        joined = sized_join(big, small, "k", max_bytes=100)
         assert "BroadcastExchange" not in _plan(joined)
         assert joined.where(F.col("v").isNotNull()).count() == 10
     finally:
