@@ -324,6 +324,26 @@ def guard_degenerate(df: DataFrame, id_col: str, prob_col: str, thr: float, prev
     return ranked.select(id_col, (F.col("rank") <= k).cast("int").alias("label"))
 
 
+def exact_median(df: DataFrame, c: str) -> float | None:
+    row = exact_quantiles(df.select(c), [c], [0.5]).first()
+    return row["value"] if row else None
+
+
+def guard_flat(df: DataFrame, prob_col: str, thr: float, eps: float = 1e-6) -> float:
+    """The threshold, or the exact median where all scores lie within ``eps``."""
+    r = df.agg(F.min(prob_col).alias("lo"), F.max(prob_col).alias("hi")).first()
+    return exact_median(df, prob_col) if r["lo"] is not None and r["hi"] - r["lo"] < eps else thr
+
+
+def guard_share(df: DataFrame, id_col: str, prob_col: str, thr: float, low: float = 0.05, high: float = 0.95) -> DataFrame:
+    """Labels at the threshold; at the exact median where the positive share is outside low .. high."""
+    p = F.col(prob_col)
+    share = df.agg(F.avg((p >= F.lit(float(thr))).cast("double"))).first()[0]
+    if share is not None and not low <= share <= high:
+        thr = exact_median(df, prob_col)
+    return df.select(id_col, (p >= F.lit(float(thr))).cast("int").alias("label"))
+
+
 def publish_thresholds(df: DataFrame, id_col: str, prob_col: str, thresholds, path: str, op: str = ">"):
     """One prediction set per threshold, written partitioned by threshold."""
     arr = F.array(*[F.lit(float(t)) for t in thresholds])

@@ -77,15 +77,21 @@ def logistic(C=1.0, n_rows=None, max_iter=100, standardization=False, label_col=
     return make
 
 
-def linear_svc(C=1.0, n_rows=None, max_iter=100, label_col="label", weight_col=None):
-    """M7: linear max-margin classifier; probability by sigmoid of the margin."""
+def linear_svc(C=1.0, n_rows=None, max_iter=100, label_col="label", weight_col=None, degree=1):
+    """M7: linear max-margin classifier; probability by sigmoid of the margin (M11). ``degree`` above 1
+    expands the features to their polynomials first (the polynomial kernel's feature space)."""
     reg = 0.0 if not n_rows else 1.0 / (C * n_rows)
 
     def make():
-        kw = dict(regParam=reg, maxIter=max_iter, labelCol=label_col, featuresCol="features")
+        from pyspark.ml import Pipeline
+        from pyspark.ml.feature import PolynomialExpansion, StandardScaler
+        kw = dict(regParam=reg, maxIter=max_iter, labelCol=label_col, featuresCol="features" if degree == 1 else "_poly")
         if weight_col:
             kw["weightCol"] = weight_col
-        return LinearSVC(**kw)
+        if degree == 1:
+            return LinearSVC(**kw)
+        return Pipeline(stages=[StandardScaler(inputCol="features", outputCol="_scaled", withMean=True),
+                                PolynomialExpansion(degree=degree, inputCol="_scaled", outputCol="_poly"), LinearSVC(**kw)])
     return make
 
 
@@ -231,6 +237,21 @@ def class_weights(df: DataFrame, label_col: str, mode: str = "balanced", ratio:
     return df.withColumn("weight", expr.otherwise(F.lit(1.0)))
 
 
+def choose_class_weight(df: DataFrame, make_model, options: dict, id_col: str, label_col: str, fold_col: str = "fold"):
+    """The class weights with the highest cross-fitted accuracy, the first listed on ties.
+
+    ``options``: name -> weight of class 1 (class 0 weighs 1), or "balanced"; ``make_model()`` reads the
+    column ``weight``. Returns ``(name, [(name, accuracy)])``; accuracy is the mean over folds."""
+    from .crossfit import cross_fit
+    scored = []
+    for name, option in options.items():
+        weighted = class_weights(df, label_col) if option == "balanced" else class_weights(df, label_col, "neg_pos", float(option))
+        oof, _ = cross_fit(weighted, make_model, id_col, label_col, fold_col, name)
+        right = ((F.col("prob") >= 0.5).cast("int") == F.col("label")).cast("double")
+        scored.append((name, oof.groupBy("fold").agg(F.avg(right).alias("a")).agg(F.avg("a")).first()[0]))
+    return max(scored, key=lambda x: x[1])[0], scored
+
+
 def seed_bag(df: DataFrame, make_model_for_seed, id_col: str, label_col: str, seeds, fold_col="fold",
              model_name="bag", test: DataFrame | None = None):
     """Cross-fit one model per seed; OOF and test probabilities averaged over seeds."""

@@ -107,6 +107,11 @@ def null_counts(df: DataFrame, cols) -> DataFrame:
     return stats.select("feature", "nulls", (F.col("nulls") / F.col("rows")).alias("null_share"))
 
 
+def null_total(df: DataFrame, cols) -> DataFrame:
+    """A4: missing values of the whole table and their share of all its values."""
+    return null_counts(df, cols).agg(F.sum("nulls").alias("nulls"), F.avg("null_share").alias("null_share"))
+
+
 def feature_kinds(df: DataFrame, cols, low_var: float = 0.01) -> DataFrame:
     """Constant (1 distinct), binary (2), few (<10) or many values; low variance (< low_var)."""
     st = (fused_stats(df, cols, {"var": F.var_samp}).join(distinct_counts(df, cols), "feature", "left")

@@ -72,6 +72,17 @@ def prune_least_important(importances: DataFrame, frac: float = 0.2) -> list[str
     return [r["feature"] for r in mean.orderBy("imp", "feature").limit(k).collect()]
 
 
+def refit_pruned(df: DataFrame, make_model, cols, importances: DataFrame, id_col: str, label_col: str, frac: float = 0.2,
+                 fold_col: str = "fold") -> tuple:
+    """Drop the least important columns and cross-fit again on the others: ``(kept columns, oof)``."""
+    from .crossfit import cross_fit
+    from .features import assemble, fit_fill
+    gone = set(prune_least_important(importances, frac))
+    kept = [c for c in cols if c not in gone]
+    data = assemble(df.drop("features"), kept, fill=fit_fill(df, kept))
+    return kept, cross_fit(data, make_model, id_col, label_col, fold_col, "pruned")[0]
+
+
 def selection_report(names, groups: dict) -> dict:
     """How many selected names fall in each named group (flags, interactions, metadata)."""
     out = {}

@@ -79,15 +79,50 @@ def write_run(spark: SparkSession, record: dict, path: str) -> str:
     return path
 
 
+def _write_json(spark: SparkSession, record: dict, path: str) -> None:
+    spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def _read_json(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path).first()[0])
+
+
 def save_model(model, path: str) -> str:
-    """IO6: any Spark ML model or pipeline model."""
-    model.write().overwrite().save(path)
+    """IO6: a Spark ML model or pipeline, fitted cleaners and scalers (``FittedColumns``), ``AdaBoostModel``, or
+    the ``(main, meta)`` pair of a ``RoutedModel``. ``load_model`` tells them apart by a header file."""
+    from ..operators.clean import FittedColumns
+    from ..operators.models import AdaBoostModel
+    spark = SparkSession.active()
+    if isinstance(model, FittedColumns):
+        head = {"type": "columns", "kind": model.kind, "params": model.params}
+        parts = []
+    elif isinstance(model, AdaBoostModel):
+        head, parts = {"type": "adaboost", "alphas": [a for _, a in model.learners]}, [m for m, _ in model.learners]
+    elif isinstance(model, tuple):
+        head, parts = {"type": "routed", "meta": model[1] is not None}, [m for m in model if m is not None]
+    else:
+        head, parts = {"type": "ml"}, [model]
+    for k, m in enumerate(parts):
+        m.write().overwrite().save(f"{path}/part-{k}")
+    _write_json(spark, head | {"parts": len(parts)}, f"{path}/head")
     return path
 
 
 def load_model(path: str):
-    from pyspark.ml import PipelineModel
-    return PipelineModel.load(path)
+    """What ``save_model`` wrote."""
+    from pyspark.ml.util import DefaultParamsReader
+    from ..operators.clean import FittedColumns
+    from ..operators.models import AdaBoostModel
+    spark = SparkSession.active()
+    head = _read_json(spark, f"{path}/head")
+    if head["type"] == "columns":
+        return FittedColumns(head["kind"], {c: tuple(p) if isinstance(p, list) else p for c, p in head["params"].items()})
+    parts = [DefaultParamsReader.loadParamsInstance(f"{path}/part-{k}", spark) for k in range(head["parts"])]
+    if head["type"] == "adaboost":
+        return AdaBoostModel(list(zip(parts, head["alphas"])))
+    if head["type"] == "routed":
+        return parts[0], parts[1] if head["meta"] else None
+    return parts[0]
 
 
 def write_oof(oof: DataFrame, path: str) -> str:
