@@ -96,10 +96,15 @@ def linear_svc(C=1.0, n_rows=None, max_iter=100, label_col="label", weight_col=N
 
 
 def perceptron(layers, max_iter=100, seed=42, label_col="label", block_size=128):
-    """M8: multilayer perceptron (no dropout or batch normalisation in Spark ML)."""
+    """M8: multilayer perceptron (no dropout or batch normalisation in Spark ML) on standardised
+    features; without that, columns of large units saturate the hidden layer and nothing is learned."""
     def make():
-        return MultilayerPerceptronClassifier(layers=list(layers), maxIter=max_iter, seed=seed, labelCol=label_col,
-                                              featuresCol="features", blockSize=block_size)
+        from pyspark.ml import Pipeline
+        from pyspark.ml.feature import StandardScaler
+        return Pipeline(stages=[
+            StandardScaler(inputCol="features", outputCol="_unit", withMean=True),
+            MultilayerPerceptronClassifier(layers=list(layers), maxIter=max_iter, seed=seed, labelCol=label_col,
+                                           featuresCol="_unit", blockSize=block_size)])
     return make
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cardio as cd
 from . import frames as fr
-from .registry import register
+from .registry import REGISTRY, register
 
 W_CARDIO = f"WITH t AS ({fr.CARDIO_SQL})\n"
 BMI = "(weight / pow(height / 100, 2))"
@@ -225,3 +225,10 @@ def q_cardio_compact(spark, sf):
           ops=("D9", "D10"))
 def q_cardio_compact_score(spark, sf):
     return cd.cardio_compact(fr.heart(spark, sf), "score")
+
+
+# Bodies of the two compact queries, over CTEs t (training) and h (scoring) of the caller.
+REGISTRY_SQL = {
+    "cardio_compact": REGISTRY["cardio_compact"].sql.removeprefix(W_CARDIO),
+    "cardio_compact_score": REGISTRY["cardio_compact_score"].sql.removeprefix(f"WITH t AS ({fr.HEART_SQL})\n").replace("FROM t", "FROM h"),
+}

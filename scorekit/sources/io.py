@@ -32,9 +32,10 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec | None = None, sc
 def write_predictions(df: DataFrame, path: str, id_col: str = "id", label_col: str = "label",
                       order_col: str | None = None, fmt: str = "csv") -> str:
     """IO2: ``(id, label)``; with ``order_col`` the rows are written in that order."""
-    out = df.select(id_col, F.col(label_col).cast("int").alias(label_col), *([order_col] if order_col else []))
+    extra = [order_col] if order_col and order_col not in (id_col, label_col) else []
+    out = df.select(id_col, F.col(label_col).cast("int").alias(label_col), *extra)
     if order_col:
-        out = out.orderBy(order_col).drop(order_col)
+        out = out.orderBy(order_col).drop(*extra)
     w = out.write.mode("overwrite")
     (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
     return path
