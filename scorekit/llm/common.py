@@ -71,9 +71,17 @@ def settle(spark: SparkSession) -> None:
     time.sleep(0.3)
 
 
+BATCH_KEY, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, "8m"
+
+
 def begin(spark: SparkSession) -> None:
+    """Session settings the operators rely on. A batch of texts exists several times over (in the JVM's
+    writer, in Arrow, as Python bytes, as arrays), so batches are cut at 8 MB unless the session has a
+    limit of its own."""
     ensure_checkpoint_dir(spark)
     guard_union_partitioning(spark)
+    if spark.conf.get(BATCH_KEY, None) in (None, str(BATCH_DEFAULT), f"{BATCH_DEFAULT}b"):
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
 
 
 def hook(parent: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:

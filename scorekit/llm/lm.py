@@ -31,7 +31,7 @@ from .common import begin, bytes_of, settle, shared_table, word_pieces
 
 TEST, HELD, EST = 0, 1, 2  # roles of documents: not learned from, for the weights, for the counts
 END = 0  # the local number of the end token, also the context of the first word
-BINS = 16  # per factor of two, of an estimate in the held-out table
+BINS = 8  # per factor of two, of an estimate in the held-out table
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -203,7 +203,7 @@ def learn_weights(cells: np.ndarray, uniform: float, rounds: int = 200) -> np.nd
     return out
 
 
-def score(docs: DataFrame, role: Column, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = 1 << 20) -> DataFrame:
+def score(docs: DataFrame, role: Column, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = 3 << 18) -> DataFrame:
     """``(id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every row.
 
     ``role`` is 0 for rows that are scored only (held_out), 1 for training rows that set the weights and

@@ -309,8 +309,8 @@ def _cut(batches, with_text: bool):
             names=list(cols))
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, block_bytes: int = 4 << 20,
-            per_range: int = 1 << 20, with_text: bool = False) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, block_bytes: int = 2 << 20,
+            per_range: int = 1 << 19, with_text: bool = False) -> DataFrame:
     """One row for each distinct text of ``length`` bytes or more: ``(sha, least_id, n_removed, n_spans,
     kept_sha256, kept)``, for its document with the smallest id. ``kept`` is the remaining text (cut
     characters dropped) where something is removed and ``with_text`` is set."""

@@ -129,31 +129,26 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0, roun
     return w[:-1], w[-1]
 
 
-def fit(toxic: list, clean: list, share: float, decay: float = 0.6, window: int = 10, landmarks: int = 200, extra: int = 2, seed: int = 7) -> Model:
+def fit(toxic: list, clean: list, share: float, decay: float = 0.7, window: int = 10, landmarks: int = 200, extra: int = 3, seed: int = 7) -> Model:
     """Learn from texts (bytes) of labelled documents; ``share`` is the toxic share of all labels."""
     table, rng = symbol_table(), np.random.default_rng(seed)
     flat = Model(np.zeros(TABLE, np.float32), (0.0, _logit(share)), (0.0, 0.0, _logit(share)), decay, window, share)
     if not toxic or not clean:
         return flat
     # sentences carry the label of their document; their words, each with what follows it, are the strings
-    sentences = [(k, s) for k, t in enumerate([*toxic, *clean]) for s in re.split(rb"[.!?\n]", t) if s.strip()]
-    where: dict = {}
-    for k, s in sentences:
-        for w in set(re.findall(rb"[^\x00-@\[-`{-\x7f]+", s.lower())):
-            where.setdefault(w, set()).add(k)
     n_t, n_c = len(toxic), len(clean)
+    df_t, df_c = (_word_documents(texts) for texts in (toxic, clean))
     gap = {}
-    for w, at in where.items():
-        a = sum(k < n_t for k in at)
-        b = len(at) - a
+    for w, a in df_t.items():
         if len(w) >= 4 and a >= 3:
-            p, q = (a + .5) / (n_t + 1), (b + .5) / (n_c + 1)
+            p, q = (a + .5) / (n_t + 1), (df_c[w] + .5) / (n_c + 1)
             gap[w] = (p - q) / np.sqrt(p / n_t + q / n_c)
     bad = [w for w in sorted(gap, key=lambda w: (-gap[w], w)) if gap[w] > 4][:landmarks * 3 // 4]
     if not bad:
         return flat
-    other = sorted(w for w in where if w not in gap and len(w) >= 4)
+    other = sorted(w for w in df_c if w not in gap and len(w) >= 4)
     good = [other[i] for i in sorted(rng.choice(len(other), min(len(other), landmarks - len(bad)), replace=False))] if other else []
+    del df_t, df_c
     maps = [f for f in (features(symbols(w, table), decay) for w in [*bad, *good]) if f]
     if not maps:
         return flat
@@ -173,7 +168,7 @@ def fit(toxic: list, clean: list, share: float, decay: float = 0.6, window: int
 
     def nystrom(at: list) -> np.ndarray:
         """Features of windows (text, start)."""
-        out = np.zeros((len(at), len(maps)))
+        out = np.zeros((len(at), len(maps)), np.float32)
         for i, (k, a) in enumerate(at):
             s = texts[k][a:a + window + REACH]
             for code, w, _ in subsequences(s, decay):
@@ -203,11 +198,10 @@ def fit(toxic: list, clean: list, share: float, decay: float = 0.6, window: int
         w, _ = _svm(z, y, np.where(y > 0, len(neg) / max(1, len(pos)), 1.0) ** 0.5)
         weights = np.zeros(TABLE, np.float32)
         weights[rows] = (phi[:-1] @ (root @ w)).astype(np.float32)
-        values = [window_scores(s, weights, decay, window) for s in texts]
-        best = [int(np.argmax(v)) if len(v) else 0 for v in values]
+        best = [int(np.argmax(v)) if len(v) else 0 for v in (window_scores(s, weights, decay, window) for s in texts)]
         pos = [(k, best[k]) for k in toxic_at]  # each toxic document is toxic by its worst window
         neg += [(k, best[k]) for k in range(n_t, n_t + n_c) if len(texts[k])]
-    x = np.array([levels([v]) if len(v) else (0.0, 0.0) for v in values[:first]])
+    x = np.array([levels([v]) if len(v) else (0.0, 0.0) for v in (window_scores(s, weights, decay, window) for s in texts[:first])])
     y = np.arange(first) < n_t
     weight = np.where(y, share / n_t, (1 - share) / n_c)
     return Model(weights, _logistic(x[:, :1], y, weight), _logistic(x, y, weight), decay, window, share)
@@ -222,6 +216,14 @@ def levels(pieces: list) -> tuple:
     return max(t[0] for t in tops), float(np.average([t[1] for t in tops], weights=[t[2] for t in tops]))
 
 
+def _word_documents(texts: list) -> Counter:
+    """Number of texts in whose sentences a word stands."""
+    out: Counter = Counter()
+    for t in texts:
+        out.update({w for s in re.split(rb"[.!?\n]", t) for w in re.findall(rb"[^\x00-@\[-`{-\x7f]+", s.lower())})
+    return out
+
+
 def _logit(p: float) -> float:
     p = min(max(p, 1e-6), 1 - 1e-6)
     return float(np.log(p / (1 - p)))
