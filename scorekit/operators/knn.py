@@ -18,6 +18,7 @@ bucketed prefix sum over data values and query bounds together, never a range jo
 from __future__ import annotations
 
 import math
+import uuid
 from functools import reduce
 
 import numpy as np
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, guard_union_partitioning, keep
+from ..session import ensure_checkpoint_dir, cut_lineage, guard_union_partitioning, keep
 from .order import add_group_value_bucket, hash_rank, prefix_sum
 from .stats import to_long
 
@@ -67,8 +68,9 @@ def knn_join(queries: DataFrame, base: DataFrame, k: int, metric: str = "euclide
     The query side is cut into blocks of at most ``block_rows`` rows (hash rank on the id, so a
     block's size is bounded by construction); each block is broadcast once and every base
     partition keeps a running top-k per query over its Arrow batches (numpy), emitting k rows per
-    query and partition. The base side is scanned in place and never collected. A window per
-    query then keeps the best k of at most k x partitions candidates.
+    query and partition. The base side is scanned in place and never collected. With several blocks
+    each is a job of its own, so the driver holds one block however many queries there are. A window
+    per query then keeps the best k of at most k x partitions candidates.
 
     Returns ``(qid, rank, bid, distance[, label])``."""
     spark = queries.sparkSession
@@ -137,7 +139,13 @@ def knn_join(queries: DataFrame, base: DataFrame, k: int, metric: str = "euclide
         # the literal makes every (block, k, metric) plan distinct, so no exchange or subplan of
         # one variant is reused for another (Python functions do not take part in plan equality)
         tagged = base.select(*bcols, F.lit(f"{metric}:{k}:{p}:{b}").alias("_variant"))
-        parts.append(tagged.mapInPandas(topk, out_schema))
+        part = tagged.mapInPandas(topk, out_schema)
+        if n_blocks > 1:  # one block at a time: its result is written and its broadcast dropped
+            path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/knn-{uuid.uuid4().hex}"
+            part.write.parquet(path)
+            bc.destroy()
+            part = spark.read.parquet(path)
+        parts.append(part)
     cand = reduce(DataFrame.unionByName, parts)
     w = Window.partitionBy("qid").orderBy("distance", "bid")  # <= k x base partitions rows per query
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -165,7 +173,7 @@ def knn_soft_vote(queries: DataFrame, base: DataFrame, variants, **kw) -> DataFr
     allv = reduce(DataFrame.unionByName, shares)
     nvar = len(variants)
     probs = allv.groupBy("qid", "label").agg((F.sum("share") / nvar).alias("prob"))
-    pred = probs.groupBy("qid").agg(F.min_by("label", F.struct(-F.col("prob"), F.col("label"))).alias("pred"))
+    pred = probs.groupBy("qid").agg(F.min_by("label", F.struct(-F.round("prob", 9), F.col("label"))).alias("pred"))
     return probs.join(pred, "qid")
 
 

@@ -184,7 +184,24 @@ def q_knn_join(spark, sf):
     return knn.knn_join(q, b, 5, "euclidean")
 
 
-@register("knn_vote", "qid bigint, label bigint, prob double, pred bigint", None, ops=("M9", "J7"))
+_DIST = {
+    "euclidean": "sqrt(list_sum(list_transform(list_zip(q.e, b.e), lambda x: (x[1] - x[2]) * (x[1] - x[2]))))",
+    "manhattan": "list_sum(list_transform(list_zip(q.e, b.e), lambda x: abs(x[1] - x[2])))",
+    "minkowski": "pow(list_sum(list_transform(list_zip(q.e, b.e), lambda x: pow(abs(x[1] - x[2]), 3))), 1.0 / 3)",
+    "cosine": "1 - list_sum(list_transform(list_zip(q.e, b.e), lambda x: x[1] * x[2])) / (sqrt(list_sum(list_transform(q.e, lambda x: x * x))) * "
+              "sqrt(list_sum(list_transform(b.e, lambda x: x * x))))",
+}
+_VOTE_SQL = """WITH v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings),
+q AS (SELECT * FROM v WHERE id % 10 = 0), b AS (SELECT * FROM v WHERE id % 10 <> 0),
+d AS (""" + " UNION ALL ".join(f"SELECT '{m}' AS metric, q.id AS qid, b.id AS bid, b.label, {_DIST[m]} AS distance FROM q, b" for m in knn.METRICS) + """),
+r AS (SELECT *, row_number() OVER (PARTITION BY metric, qid ORDER BY distance, bid) AS rank FROM d),
+s AS (SELECT k.k, r.metric, r.qid, r.label, count(*) / k.k AS share FROM r JOIN (VALUES (3), (5), (7)) k(k) ON r.rank <= k.k GROUP BY k.k, r.metric, r.qid, r.label),
+p AS (SELECT qid, label, sum(share) / """ + str(3 * len(knn.METRICS)) + """ AS prob FROM s GROUP BY qid, label),
+w AS (SELECT qid, label AS pred, row_number() OVER (PARTITION BY qid ORDER BY round(prob, 9) DESC, label) AS place FROM p)
+SELECT p.qid, p.label, p.prob, w.pred FROM p JOIN w ON w.qid = p.qid AND w.place = 1"""
+
+
+@register("knn_vote", "qid bigint, label bigint, prob double, pred bigint", _VOTE_SQL, ops=("M9", "J7"))
 def q_knn_vote(spark, sf):
     q, b = _vec_split(spark, sf)
     variants = [(k, m) for k in (3, 5, 7) for m in knn.METRICS]
