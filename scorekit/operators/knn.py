@@ -262,9 +262,11 @@ def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bu
     allv = counts.groupBy("feature", "value").agg(F.sum("c").alias("w"))
     # query rows are keyed by (feature, qy, qv): (feature, class, value) is unique in ``rad``
     qs = rad.where(F.col("r") > 0).select("feature", F.col("y").alias("qy"), F.col("value").alias("qv"), "r")
-    hi = qs.select("feature", (F.col("qv") + F.col("r")).alias("key"), F.lit(0).alias("_t"), "qy", "qv",
+    # value + r need not be the neighbour's value to the last bit: the bounds are drawn in by a few ulps
+    hair = (F.abs("qv") + F.col("r")) * F.lit(1e-13)
+    hi = qs.select("feature", (F.col("qv") + F.col("r") - hair).alias("key"), F.lit(0).alias("_t"), "qy", "qv",
                    F.lit(0).cast("long").alias("w"))
-    lo = qs.select("feature", (F.col("qv") - F.col("r")).alias("key"), F.lit(2).alias("_t"), "qy", "qv",
+    lo = qs.select("feature", (F.col("qv") - F.col("r") + hair).alias("key"), F.lit(2).alias("_t"), "qy", "qv",
                    F.lit(0).cast("long").alias("w"))
     data = allv.select("feature", F.col("value").alias("key"), F.lit(1).alias("_t"),
                        F.lit(None).cast(rad.schema["y"].dataType).alias("qy"), F.lit(None).cast("double").alias("qv"), "w")
@@ -283,39 +285,3 @@ def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bu
                                      F.sum(c * digamma(F.col("ny"))).alias("sy"), F.sum(c * digamma(F.col("m"))).alias("sm"))
     mi = digamma(F.col("N")) + (F.col("sk") - F.col("sy") - F.col("sm")) / F.col("N")
     return agg.select("feature", F.greatest(mi, F.lit(0.0)).alias("mi"))
-
-
-def mutual_info_knn_local(x: np.ndarray, y: np.ndarray, k: int = 3) -> float:
-    """Brute-force reference of the same estimator (tests only; small inputs)."""
-    from math import lgamma  # noqa: F401
-
-    def psi(v):
-        v = np.asarray(v, dtype=float)
-        out = np.zeros_like(v)
-        for i, t in enumerate(v.flat):
-            s = 0.0
-            while t < 6:
-                s -= 1.0 / t
-                t += 1
-            inv = 1 / t
-            inv2 = inv * inv
-            out.flat[i] = s + math.log(t) - 0.5 * inv - inv2 * (1 / 12 - inv2 * (1 / 120 - inv2 * (1 / 252 - inv2 * (1 / 240 - inv2 / 132))))
-        return out
-
-    labels, cnt = np.unique(y, return_counts=True)
-    keep = np.isin(y, labels[cnt > 1])
-    x, y = x[keep], y[keep]
-    n = len(x)
-    r = np.zeros(n)
-    kk = np.zeros(n)
-    ny = np.zeros(n)
-    for lab in np.unique(y):
-        idx = np.nonzero(y == lab)[0]
-        kp = min(k, len(idx) - 1)
-        for i in idx:
-            d = np.sort(np.abs(x[idx] - x[i]))
-            r[i] = d[kp]  # d[0] is the point itself
-        kk[idx] = kp
-        ny[idx] = len(idx)
-    m = np.array([np.sum(np.abs(x - x[i]) < r[i]) if r[i] > 0 else np.sum(x == x[i]) for i in range(n)])
-    return max(0.0, float(psi([n])[0] + psi(kk).mean() - psi(ny).mean() - psi(m).mean()))

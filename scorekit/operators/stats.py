@@ -75,14 +75,4 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), long_input: bool = False)
                 F.max(F.when(F.col("hi") == 1, F.col("value"))).alias("v_hi"))
            .select(*part, "prob",
                    (F.col("v_lo") + (F.col("h") - F.col("k_lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("value")))
-    return res
-
-
-def quantile_map(qdf: DataFrame, by=()) -> dict:
-    """Collect a small quantile table ``(feature, prob, value)`` into ``{feature: {prob: value}}``.
-    Used for fitted models whose parameters are per-feature constants."""
-    out: dict = {}
-    for r in qdf.collect():
-        key = tuple(r[b] for b in by) + (r["feature"],) if by else r["feature"]
-        out.setdefault(key, {})[r["prob"]] = r["value"]
-    return out
+    return res
\ No newline at end of file

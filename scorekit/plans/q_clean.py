@@ -47,7 +47,7 @@ def q_flag_outliers(spark, sf):
 @register("median_impute", "doc_id bigint, quality double, toxic double, n_chars double",
           f"WITH t AS ({DOCS_LEFT_SQL}),\nm AS (SELECT quantile_cont(quality, 0.5) AS mq, quantile_cont(toxic, 0.5) AS mt, "
           "quantile_cont(n_chars, 0.5) AS mn FROM t)\nSELECT doc_id, coalesce(quality, mq) AS quality, coalesce(toxic, mt) AS toxic, "
-          "coalesce(n_chars, mn) AS n_chars FROM t, m", ops=("F20", "F22"))
+          "coalesce(n_chars, mn) AS n_chars FROM t, m", ops=("F20",))
 def q_median_impute(spark, sf):
     d = docs_left(spark, sf)
     model = cl.MedianImputer(["quality", "toxic", "n_chars"]).fit(d)

@@ -130,7 +130,7 @@ b AS (SELECT k.fold, avg(CAST(f.label AS DOUBLE)) AS base FROM (SELECT DISTINCT
 
 @register("cross_fit_fixed", "id bigint, fold bigint, model string, label bigint, prob double",
           FIXED_SQL + "SELECT f.id, f.fold, 'fixed' AS model, f.label, b.base * 0.5 + (f.ap_lo % 50) / 100.0 AS prob FROM f JOIN b USING (fold)",
-          ops=("K3", "J5"))
+          ops=("K3",))
 def q_fixed(spark, sf):
     p = cf.stratified_folds(patient(spark, sf), "id", "label", 3, 42)
     return cf.cross_fit(p, FixedScorer, "id", "label", "fold", "fixed")[0]

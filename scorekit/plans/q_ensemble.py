@@ -33,7 +33,7 @@ maj AS (SELECT id, label AS majority, n_labels FROM r WHERE rn = 1)
 
 
 @register("vote_majority", "id bigint, label bigint",
-          MAJ_SQL + "SELECT id, majority AS label FROM maj", ops=("B9", "IO4"))
+          MAJ_SQL + "SELECT id, majority AS label FROM maj", ops=("B9",))
 def q_vote_majority(spark, sf):
     return ens.majority_vote(_long_votes(spark, sf))
 
@@ -274,6 +274,6 @@ def q_threshold_table(spark, sf):
 
 
 @register("apply_threshold", "id bigint, pred bigint",
-          f"WITH s AS ({fr.SCORES_SQL}) SELECT id, CAST(p > 0.3 AS INTEGER) AS pred FROM s", ops=("B21", "IO2"))
+          f"WITH s AS ({fr.SCORES_SQL}) SELECT id, CAST(p > 0.3 AS INTEGER) AS pred FROM s", ops=("B21",))
 def q_apply_threshold(spark, sf):
     return ens.apply_threshold(fr.scores(spark, sf), "p", 0.3, ">").select("id", "pred")

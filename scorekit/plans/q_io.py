@@ -13,6 +13,7 @@ from ..functions import scalar as sc
 from ..operators import cardio as cd
 from ..operators import clean as cl
 from ..operators import ensemble as ens
+from ..operators import features as fe
 from ..operators import joins as jn
 from ..operators import metrics as met
 from ..operators import models as mdl
@@ -253,3 +254,44 @@ def q_helpers(spark, sf):
     return c.select("id", sc.first_present(c, ["absent", "ap_hi"], -1).alias("f"), sc.sqrt_pos(F.col("ap_hi") - F.col("ap_lo")).alias("root"),
                     sc.softmax2(F.col("ap_hi") / 100.0, F.col("ap_lo") / 100.0).alias("soft"), sc.replace_value("gluc", 2, 9).alias("key"),
                     sc.inf_to_null(inf).alias("cleaned"))
+
+
+@register("joined_predictions", "id string, a bigint, b bigint",
+          f"WITH v AS ({fr.VOTES_SQL}) SELECT CAST(a.id AS VARCHAR) AS id, a.v1 AS a, b.v2 AS b FROM v a JOIN v b ON a.id = b.id WHERE a.id % 3 <> 0", ops=("J2",))
+def q_joined(spark, sf):
+    v = fr.votes(spark, sf)
+    return jn.join_predictions(v.where("id % 3 <> 0"), v, "id", "v1", "v2")
+
+
+@register("looked_up_stats", "id bigint, mean_weight double", f"""WITH t AS ({fr.CARDIO_SQL}), m AS (SELECT gluc, avg(weight) AS m FROM t WHERE gluc < 3 GROUP BY gluc)
+SELECT id, coalesce(m, -1.0) AS mean_weight FROM t LEFT JOIN m USING (gluc)""", ops=("J4", "A18"))
+def q_looked_up(spark, sf):
+    c = fr.cardio(spark, sf)
+    stats = pr.group_means(c.where("gluc < 3"), ["gluc"], ["weight"])
+    return jn.lookup_stats(c, stats, ["gluc"], {"mean_weight": -1.0}).select("id", "mean_weight")
+
+
+@register("ids_subtracted", "id bigint", f"SELECT id FROM ({fr.VERSIONS_OLD_SQL}) EXCEPT SELECT id FROM ({fr.VERSIONS_NEW_SQL})", ops=("U3",))
+def q_subtracted(spark, sf):
+    return jn.id_subtract(*fr.versions(spark, sf), "id")
+
+
+@register("kept_where", "id bigint, ap_hi bigint", f"WITH t AS ({fr.CARDIO_SQL}) SELECT id, CASE WHEN ap_hi > ap_lo THEN ap_hi ELSE 0 END AS ap_hi FROM t", ops=("F10",))
+def q_kept(spark, sf):
+    return fr.cardio(spark, sf).select("id", sc.keep_where(F.col("ap_hi") > F.col("ap_lo"), "ap_hi", 0).alias("ap_hi"))
+
+
+@register("neighbour_values", "id bigint, prev_1 double, next_1 double, prev_2 double, next_2 double", f"""WITH t AS ({fr.CARDIO_SQL})
+SELECT id, lag(weight) OVER w AS prev_1, lead(weight) OVER w AS next_1, lag(weight, 2) OVER w AS prev_2, lead(weight, 2) OVER w AS next_2
+FROM t WINDOW w AS (PARTITION BY height ORDER BY weight, id)""", ops=("W4",))
+def q_neighbours(spark, sf):
+    return order.neighbour_window(fr.cardio(spark, sf), "weight", ["height"], 2, ["id"]).select("id", "prev_1", "next_1", "prev_2", "next_2")
+
+
+@register("mean_deviation", "id bigint, weight_m_diff double", f"WITH t AS ({fr.CARDIO_SQL}), m AS (SELECT avg(weight) AS m FROM t WHERE id % 2 = 0) "
+          "SELECT id, weight - m AS weight_m_diff FROM t, m", ops=("F39",))
+def q_mean_deviation(spark, sf):
+    """The mean of one part of the rows, taken off all of them."""
+    c = fr.cardio(spark, sf)
+    dev = fe.MeanDeviation("weight")
+    return dev.transform(c, dev.fit(c.where("id % 2 = 0"))).select("id", "weight_m_diff")

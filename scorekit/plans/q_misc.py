@@ -58,7 +58,7 @@ def q_validate(spark, sf):
 
 @register("left_attach", "id bigint, label bigint",
           W_VERS + f", v AS ({fr.VOTES_SQL}) SELECT n.id, v.v1 AS label FROM n LEFT JOIN (SELECT * FROM v WHERE id % 17 <> 0) v ON n.id = v.id",
-          ops=("J1", "J5", "J9"))
+          ops=("J1", "J9"))
 def q_left_attach(spark, sf):
     old, new = fr.versions(spark, sf)
     preds = fr.votes(spark, sf).where(F.col("id") % 17 != 0).select("id", F.col("v1").alias("label"))
@@ -178,7 +178,7 @@ def q_blend_fixed(spark, sf):
     return ens.blend_weighted(long_probs(spark, sf), ens.fixed_weights(spark, {"m1": 0.33, "m2": 0.33, "m3": 0.34}))
 
 
-@register("model_auc", "model string, auc double", LP_SQL + AUC_BY_MODEL + "SELECT * FROM auc", ops=("E2", "M10", "E11"))
+@register("model_auc", "model string, auc double", LP_SQL + AUC_BY_MODEL + "SELECT * FROM auc", ops=("E2",))
 def q_model_auc(spark, sf):
     return ens.per_model_auc(long_probs(spark, sf))
 
@@ -264,7 +264,7 @@ def q_search_weights(spark, sf):
 @register("guard_degenerate", "id bigint, label bigint",
           f"WITH s AS ({fr.SCORES_SQL}), " + """q AS (SELECT quantile_cont(p, 0.6) AS qv, min(p) AS lo, max(p) AS hi FROM s),
 t AS (SELECT CASE WHEN hi > lo THEN least(greatest(qv, lo + 1e-06), hi - 1e-06) ELSE 0.5 END AS thr FROM q)
-SELECT id, CAST(p >= thr AS INTEGER) AS label FROM s, t""", ops=("B20", "W2"))
+SELECT id, CAST(p >= thr AS INTEGER) AS label FROM s, t""", ops=("B20",))
 def q_guard(spark, sf):
     s = fr.scores(spark, sf)
     # the cut above every score makes the first rule degenerate; the quantile rule then applies

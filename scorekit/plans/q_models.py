@@ -122,7 +122,7 @@ def q_routed(spark, sf):
     return rm.transform(rm.fit(s), s, "id")
 
 
-@register("stacked", "id bigint, label bigint, prob double", None, ops=("B13", "E11"))
+@register("stacked", "id bigint, label bigint, prob double", None, ops=("B13",))
 def q_stack(spark, sf):
     d = ml_frame(spark, sf)
     oofs = [cf.cross_fit(d, m, "id", "label", "fold", n)[0]
@@ -208,12 +208,42 @@ def q_knn_vote(spark, sf):
     return knn.knn_soft_vote(q, b, variants)
 
 
-@register("mutual_info_knn", "feature string, mi double", None, ops=("A14", "W4"))
+def _psi(x: str) -> str:
+    """Digamma of an SQL expression: recurrence up to x + 6, then the asymptotic series."""
+    z = f"({x} + 6.0)"
+    return (f"(ln({z}) - 0.5 / {z} - 1.0 / (12 * {z} * {z}) + 1.0 / (120 * pow({z}, 4)) - 1.0 / (252 * pow({z}, 6)) - "
+            + " - ".join(f"1.0 / ({x} + {i})" for i in range(6)) + ")")
+
+
+def mi_knn_sql(source: str, cols, label: str, k: int = 3) -> str:
+    """k-NN mutual information with a class: radius to the k-th neighbour of the same class among distinct
+    values and their counts, then the points of any class inside it, by two lookups of running counts."""
+    long = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x, {label} AS y FROM t WHERE {c} IS NOT NULL" for c in cols)
+    near = ", ".join(f"lag(x, {i}) OVER w AS b{i}, lag(c, {i}) OVER w AS cb{i}, lead(x, {i}) OVER w AS a{i}, lead(c, {i}) OVER w AS ca{i}"
+                     for i in range(1, k + 1))
+    cands = "[{'d': 0.0, 'c': c - 1}, " + ", ".join(f"{{'d': x - b{i}, 'c': cb{i}}}, {{'d': a{i} - x, 'c': ca{i}}}" for i in range(1, k + 1)) + "]"
+    return f"""WITH t AS ({source}), l AS ({long}),
+n AS (SELECT feature, y, count(*) AS ny FROM l GROUP BY 1, 2 HAVING count(*) > 1),
+v AS (SELECT l.feature, l.y, l.x, count(*) AS c, any_value(n.ny) AS ny FROM l JOIN n ON n.feature = l.feature AND n.y = l.y GROUP BY 1, 2, 3),
+q AS (SELECT *, {near} FROM v WINDOW w AS (PARTITION BY feature, y ORDER BY x)),
+e AS (SELECT feature, y, x, c, ny, least({k}, ny - 1) AS kk, list_filter({cands}, lambda s: s.d IS NOT NULL) AS s FROM q),
+r AS (SELECT *, list_min(list_transform(list_filter(s, lambda u: list_sum(list_transform(list_filter(s, lambda w: w.d <= u.d), lambda w: w.c)) >= kk), lambda u: u.d)) AS r FROM e),
+g AS (SELECT feature, x, sum(c) AS c FROM v GROUP BY 1, 2),
+h AS (SELECT feature, x, sum(c) OVER (PARTITION BY feature ORDER BY x) AS upto FROM g),
+z AS (SELECT r.*, CASE WHEN r = 0 THEN x ELSE x + r - 1e-9 END AS hi, CASE WHEN r = 0 THEN x - 1e-9 ELSE x - r + 1e-9 END AS lo FROM r),
+u AS (SELECT z.*, h.upto AS up FROM z ASOF JOIN h ON z.feature = h.feature AND z.hi >= h.x),
+m AS (SELECT u.*, u.up - coalesce(h.upto, 0) AS m FROM u ASOF LEFT JOIN h ON u.feature = h.feature AND u.lo >= h.x)
+SELECT feature, greatest(0, {_psi("sum(c)")} + (sum(c * {_psi("kk")}) - sum(c * {_psi("ny")}) - sum(c * {_psi("m")})) / sum(c)) AS mi
+FROM m GROUP BY feature"""
+
+
+@register("mutual_info_knn", "feature string, mi double", mi_knn_sql(fr.NUMERIC_SQL, fr.NUMERIC_COLS, "y"), ops=("A14", "W4"))
 def q_mi_knn(spark, sf):
     return knn.mutual_info_knn(fr.numeric(spark, sf), fr.NUMERIC_COLS, "y", k=3)
 
 
-@register("select_by_mi", "feature string, mi double", None, ops=("X1",))
+@register("select_by_mi", "feature string, mi double",
+          f"SELECT * FROM ({mi_knn_sql(fr.CARDIO_SQL, ['height', 'weight', 'ap_hi', 'ap_lo', 'age'], 'cardio')}) ORDER BY mi DESC, feature LIMIT 3", ops=("X1",))
 def q_select_mi(spark, sf):
     return sel.select_by_mi(fr.cardio(spark, sf), ["height", "weight", "ap_hi", "ap_lo", "age"], "cardio", 3, k=3)
 

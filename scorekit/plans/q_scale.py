@@ -33,7 +33,7 @@ def _many_buckets(name: str, rows: int) -> None:
 
 
 for _name, _rows in (("auc_exact", 50), ("roc_points", 50), ("model_auc", 40), ("quantiles_1_99", 30), ("describe_exact", 30),
-                     ("stratified_folds", 60), ("stratified_holdout", 60)):
+                     ("stratified_folds", 60), ("stratified_holdout", 60), ("mutual_info_knn", 40)):
     _many_buckets(_name, _rows)
 
 AUC_BY_USER = f"""WITH s AS ({fr.SCORES_SQL}),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -21,11 +20,3 @@ class TableSpec:
     id_col: str
     label_col: str | None = None
     features: tuple[str, ...] = field(default_factory=tuple)
-
-    def with_features(self, features) -> "TableSpec":
-        return TableSpec(self.id_col, self.label_col, tuple(features))
-
-    def numeric_features(self, df: DataFrame) -> list[str]:
-        skip = {self.id_col, self.label_col}
-        return [f.name for f in df.schema.fields
-                if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in skip]

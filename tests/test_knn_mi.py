@@ -1,5 +1,7 @@
 """A14 against the brute-force estimator; J7 against numpy brute force."""
 
+import math
+
 import random
 
 import numpy as np
@@ -9,6 +11,40 @@ from pyspark.sql import functions as F
 from scorekit.operators import knn
 
 
+def mutual_info_knn_local(x: np.ndarray, y: np.ndarray, k: int = 3) -> float:
+    """The same estimator by brute force."""
+    def psi(v):
+        v = np.asarray(v, dtype=float)
+        out = np.zeros_like(v)
+        for i, t in enumerate(v.flat):
+            s = 0.0
+            while t < 6:
+                s -= 1.0 / t
+                t += 1
+            inv = 1 / t
+            inv2 = inv * inv
+            out.flat[i] = s + math.log(t) - 0.5 * inv - inv2 * (1 / 12 - inv2 * (1 / 120 - inv2 * (1 / 252 - inv2 * (1 / 240 - inv2 / 132))))
+        return out
+
+    labels, cnt = np.unique(y, return_counts=True)
+    keep = np.isin(y, labels[cnt > 1])
+    x, y = x[keep], y[keep]
+    n = len(x)
+    r = np.zeros(n)
+    kk = np.zeros(n)
+    ny = np.zeros(n)
+    for lab in np.unique(y):
+        idx = np.nonzero(y == lab)[0]
+        kp = min(k, len(idx) - 1)
+        for i in idx:
+            d = np.sort(np.abs(x[idx] - x[i]))
+            r[i] = d[kp]  # d[0] is the point itself
+        kk[idx] = kp
+        ny[idx] = len(idx)
+    m = np.array([np.sum(np.abs(x - x[i]) < r[i]) if r[i] > 0 else np.sum(x == x[i]) for i in range(n)])
+    return max(0.0, float(psi([n])[0] + psi(kk).mean() - psi(ny).mean() - psi(m).mean()))
+
+
 def test_mutual_info_knn_matches_bruteforce(spark):
     rnd = random.Random(11)
     rows = []
@@ -22,7 +58,7 @@ def test_mutual_info_knn_matches_bruteforce(spark):
     got = {r["feature"]: r["mi"] for r in knn.mutual_info_knn(df, ["x", "z"], "y", k=3, rows_per_bucket=40).collect()}
     arr = np.array(rows)
     for i, name in enumerate(["x", "z"]):
-        want = knn.mutual_info_knn_local(arr[:, i], arr[:, 2].astype(int), k=3)
+        want = mutual_info_knn_local(arr[:, i], arr[:, 2].astype(int), k=3)
         assert got[name] == pytest.approx(want, abs=1e-9)
 
 
