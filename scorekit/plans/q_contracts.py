@@ -285,3 +285,18 @@ def q_vote_8(spark, sf):
     sets = [c.select("id", F.lit(f"fold{k}").alias("model"), F.lit(k).alias("ordinal"), ((F.col("ap_hi") + 7 * k) % 40 >= 18).cast("int").alias("label"))
             for k in range(15)]
     return ens.hard_vote(reduce(DataFrame.unionByName, sets), 8)
+
+
+_HITS = " + ".join(f"CAST(coalesce({c} = 999, false) AS INTEGER)" for c in fr.SENTINEL_COLS)
+
+
+@register("contract_routed", "route string, rows bigint, ids bigint, in_range bigint", f"""WITH t AS ({fr.SENTINEL_SQL}),
+r AS (SELECT id, CASE WHEN {_HITS} = {len(fr.SENTINEL_COLS)} THEN 'all' WHEN {_HITS} > 0 THEN 'partial' ELSE 'none' END AS route FROM t)
+SELECT route, count(*) AS rows, count(DISTINCT id) AS ids, count(*) AS in_range FROM r GROUP BY route""", ops=("M12", "P9"))
+def q_routed(spark, sf):
+    """Every row scored once, by the model of its route."""
+    s = fr.sentinel(spark, sf).withColumnRenamed("y", "label")
+    rm = mdl.RoutedModel(fr.SENTINEL_COLS, ["meta"], mdl.tree(max_depth=3), mdl.tree(max_depth=2))
+    out = rm.transform(rm.fit(s), s, "id")
+    return out.groupBy(F.col("_route").alias("route")).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"),
+                                                          F.count_if(F.col("prob").between(0, 1)).alias("in_range"))
