@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, guard_union_partitioning, keep
+from .joins import sized_join
 from .order import hash_key, hash_rank
 
 
@@ -30,7 +31,7 @@ def stratified_holdout(df: DataFrame, id_col: str, label_col: str, test_frac: fl
     """K1: per class the first ceil(test_frac * n_c) rows in hash order form the validation part."""
     ranked = hash_rank(df, id_col, seed, by=[label_col], out_col="_rk")
     sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_nc"))  # one row per class
-    j = ranked.join(F.broadcast(sizes), label_col)
+    j = sized_join(ranked, sizes, label_col, "inner")
     return j.withColumn(out_col, (F.col("_rk") <= F.ceil(F.col("_nc") * test_frac)).cast("int")).drop("_rk", "_nc")
 
 

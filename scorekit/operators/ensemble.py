@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import keep
 from .metrics import _div, auc_exact, confusion_metrics, roc_points, scalar_totals
 from .order import global_rank
 from .stats import exact_quantiles
@@ -181,11 +182,11 @@ def vote_agreement(long_votes_df: DataFrame) -> DataFrame:
 def vote_patterns(long_votes_df: DataFrame, top: int = 5) -> DataFrame:
     """Patterns of disagreeing ids (labels in list order), their number and the top ones."""
     vt = vote_table(long_votes_df).where(F.col("n_labels") > 1)
-    counts = vt.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy(F.col("n").desc(), F.col("pattern"))  # over distinct patterns only
-    return (counts.withColumn("rank", F.row_number().over(w))
-            .withColumn("distinct_patterns", F.count(F.lit(1)).over(Window.partitionBy()))
-            .where(F.col("rank") <= top))
+    counts = keep(vt.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")))
+    distinct = counts.count()
+    first = counts.orderBy(F.col("n").desc(), "pattern").limit(top)  # TakeOrderedAndProject: no task sorts all patterns
+    w = Window.orderBy(F.col("n").desc(), F.col("pattern"))  # over the top rows only
+    return first.withColumn("rank", F.row_number().over(w)).withColumn("distinct_patterns", F.lit(distinct))
 
 
 def agree_or(a: DataFrame, b: DataFrame, id_col: str, a_col: str, b_col: str, fallback: int) -> DataFrame:

@@ -26,7 +26,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, cut_lineage, guard_union_partitioning, keep
+from ..session import cut_lineage, ensure_checkpoint_dir, guard_union_partitioning, keep
+from .joins import sized_join
 from .order import add_group_value_bucket, hash_rank, prefix_sum
 from .stats import to_long
 
@@ -222,7 +223,7 @@ def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bu
     # from the checkpoint instead of from the source
     base = cut_lineage(longf.groupBy("feature", "y", "value").agg(F.count(F.lit(1)).alias("c")))
     ny = keep(base.groupBy("feature", "y").agg(F.sum("c").alias("ny")))  # features x classes rows
-    counts = base.join(F.broadcast(ny), ["feature", "y"]).where(F.col("ny") > 1).select("feature", "y", "value", "c")
+    counts = sized_join(base, ny, ["feature", "y"], "inner").where(F.col("ny") > 1).select("feature", "y", "value", "c")
     bk, _ = add_group_value_bucket(counts, "value", "_b", ["feature", "y"], rows_per_bucket)
     part = ["feature", "y", "_b"]
     # halo: the k smallest / largest distinct values of every (feature, y, bucket) are copied into
@@ -242,7 +243,7 @@ def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bu
             .select("feature", "y", "_b", F.col("h.value").alias("value"), F.col("h.c").alias("c"),
                     F.lit(1).alias("_halo")))
     body = bk.select("feature", "y", "_b", "value", "c", F.lit(0).alias("_halo"))
-    both = body.unionByName(halo).join(F.broadcast(ny), ["feature", "y"])
+    both = sized_join(body.unionByName(halo), ny, ["feature", "y"], "inner")
     w = Window.partitionBy(*part).orderBy("value")
     kp = F.least(F.lit(k), F.col("ny") - 1)
     cand = []

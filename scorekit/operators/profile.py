@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import keep
 from ..spec import NUMERIC_TYPES
+from .joins import sized_join
 from .stats import clean_double, exact_quantiles, to_long
 
 
@@ -59,7 +61,7 @@ def distinct_counts(df: DataFrame, cols) -> DataFrame:
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """A1: rows per value (nulls excluded) and share of non-null rows."""
-    counts = df.where(_c(col).isNotNull()).groupBy(_c(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    counts = keep(df.where(_c(col).isNotNull()).groupBy(_c(col).alias("value")).agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 0
     return counts.withColumn("share", F.col("n") / F.lit(float(total) if total else None))
 
@@ -196,7 +198,6 @@ def box_summary(df: DataFrame, cols, by=(), k: float = 1.5) -> DataFrame:
          .withColumn("upper", F.col("q3") + k * (F.col("q3") - F.col("q1"))))
     longf = to_long(df, cols, keep=by)
     v, lo, hi = F.col("value"), F.col("lower"), F.col("upper")
-    from .joins import sized_join
     joined = sized_join(longf, b, by + ["feature"], "inner") if by else longf.join(F.broadcast(b), "feature")
     agg = (joined  # bounds: one row per (by, feature); broadcast after counting when grouped
            .groupBy(*by, "feature", "q1", "median", "q3")
@@ -322,7 +323,7 @@ def mutual_info_discrete(df: DataFrame, cols, label_col: str) -> DataFrame:
     nx = joint.groupBy("feature", "value").agg(F.sum("nxy").alias("nx"))
     ny = joint.groupBy("feature", "y").agg(F.sum("nxy").alias("ny"))   # features x classes rows
     n = ny.groupBy("feature").agg(F.sum("ny").alias("n"))             # one row per feature
-    j = joint.join(nx, ["feature", "value"]).join(F.broadcast(ny), ["feature", "y"]).join(F.broadcast(n), "feature")
+    j = sized_join(sized_join(joint.join(nx, ["feature", "value"]), ny, ["feature", "y"], "inner"), n, "feature", "inner")
     nxy, nx, ny, n = (F.col(c).cast("double") for c in ("nxy", "nx", "ny", "n"))  # long products overflow at scale
     term = nxy / n * F.log(nxy / nx * (n / ny))
     return j.groupBy("feature").agg(F.sum(term).alias("mi"))
