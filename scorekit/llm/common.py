@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import math
 import time
 import uuid
 
@@ -84,6 +85,14 @@ def begin(spark: SparkSession) -> None:
         spark.conf.set(BATCH_KEY, BATCH_BYTES)
 
 
+def spread(blocks: DataFrame, size: float, per_task: int = 128 << 20) -> DataFrame:
+    """Packed blocks dealt by ``block`` to a stated number of tasks: the session's, or more where a task
+    would hold over ``per_task`` of unpacked bytes. A block is small on disk and long in work, so the
+    number must not be left to the coalescing of small partitions."""
+    n = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / per_task))
+    return blocks.repartition(n, "block")
+
+
 def hook(parent: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
     """Union edges (u, v) into the flat min-root forest ``parent``, in place."""
     while len(u):

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import begin, bytes_of, settle, shared_table, word_pieces
+from .common import begin, bytes_of, settle, shared_table, spread, word_pieces
 
 TEST, HELD, EST = 0, 1, 2  # roles of documents: not learned from, for the weights, for the counts
 END = 0  # the local number of the end token, also the context of the first word
@@ -259,5 +259,5 @@ def score(docs: DataFrame, role: Column, id_col: str = "doc_id", text_col: str =
                     names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return blocks.join(per_block, "block").mapInArrow(
+    return spread(blocks, 8.0 * sum(sums.values())).join(per_block, "block").mapInArrow(
         final, f"`{id_col}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import begin, bytes_of, shared_table
+from .common import begin, bytes_of, shared_table, spread
 
 # Perfect difference sets (each nonzero difference mod v occurs once).
 COVERS = {
@@ -278,12 +278,12 @@ class Level:
             yield pa.RecordBatch.from_pydict({"block": [b.block], "spans": [out.tobytes()]})
 
 
-def _exchange(level: Level, blocks: DataFrame) -> DataFrame:
+def _exchange(level: Level, blocks: DataFrame, size: float) -> DataFrame:
     """Blocks with the answers to the names they sent."""
     asked = blocks.mapInArrow(level.ask, "rng int, block string, segs binary, names binary")
     answers = shared_table(asked.groupBy("rng").applyInArrow(lambda t: level.answer(t), "block string, rng int, bits binary")
                            .groupBy("block").agg(F.collect_list(F.struct("rng", "bits")).alias("answers")))
-    return blocks.join(answers, "block", "left")
+    return spread(blocks, size).join(answers, "block", "left")
 
 
 def _cut(batches, with_text: bool):
@@ -316,11 +316,12 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     characters dropped) where something is removed and ``with_text`` is set."""
     begin(docs.sparkSession)
     whole = shared_table(pack_blocks(docs, id_col, text_col, length, block_bytes))
-    left = whole
+    left, sizes = whole, []
     for v in (*covers_for(length), 1):
         n = left.agg(F.sum("n")).first()[0] or 0
+        sizes.append(n)
         level = Level(v, length, n, per_range)
-        told = _exchange(level, left)
+        told = _exchange(level, left, n)
         if v > 1:
             left = shared_table(told.mapInArrow(level.survivors, BLOCK_COLS))
         else:
@@ -328,7 +329,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     def cut(batches):
         yield from _cut(batches, with_text)
-    return shared_table(whole.join(spans, "block", "left").mapInArrow(
+    return shared_table(spread(whole, sizes[0]).join(spans, "block", "left").mapInArrow(
         cut, "sha string, least_id bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"))
 
 
