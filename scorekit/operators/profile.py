@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ..session import keep
 from ..spec import NUMERIC_TYPES
 from .joins import sized_join
-from .stats import clean_double, exact_quantiles, to_long
+from .stats import clean_double, dealt, exact_quantiles, to_long
 
 
 def _c(name: str) -> Column:
@@ -32,16 +32,16 @@ def _c(name: str) -> Column:
 FUSED_COLUMNS = 16
 
 
-def fused_stats(df: DataFrame, cols, metrics: dict, by=(), keep=()) -> DataFrame:
+def fused_stats(df: DataFrame, cols, metrics: dict, by=(), extra=()) -> DataFrame:
     """``metrics[m](column)`` for every column in one aggregate; one row per (by, feature).
 
-    ``metrics`` maps an output name to a function Column -> aggregate Column; ``keep`` names other
+    ``metrics`` maps an output name to a function Column -> aggregate Column; ``extra`` names other
     columns that they read. Wide frames are unpivoted once and aggregated by feature, so the plan does
     not grow with the columns."""
     cols = list(cols)
     by = list(by)
     if len(cols) > FUSED_COLUMNS:
-        longf = to_long(df, cols, keep=[*by, *keep], drop_nulls=False)
+        longf = to_long(dealt(df.select(*by, *extra, *[_c(c) for c in cols])), cols, keep=[*by, *extra], drop_nulls=False)
         return longf.groupBy(*by, "feature").agg(*[fn(F.col("value")).alias(m) for m, fn in metrics.items()])
     aggs = [fn(clean_double(_c(c))).alias(f"_{i}__{m}") for i, c in enumerate(cols) for m, fn in metrics.items()]
     wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
@@ -50,11 +50,21 @@ def fused_stats(df: DataFrame, cols, metrics: dict, by=(), keep=()) -> DataFrame
     return wide.select(*by, F.explode(rows).alias("_r")).select(*by, "_r.*")
 
 
-def distinct_counts(df: DataFrame, cols) -> DataFrame:
-    """``(feature, n_unique)``: distinct values per column by counting each (feature, value) once; several
-    exact distinct counts in one aggregate would expand every row by the number of columns and keep it."""
-    values = to_long(df, cols).groupBy("feature", "value").agg(F.lit(1).alias("_one"))
-    return values.groupBy("feature").agg(F.count(F.lit(1)).alias("n_unique"))
+def value_moments(df: DataFrame, cols) -> DataFrame:
+    """``(feature, n, n_unique, mean, m2, m3, m4)`` per column from one pass over the data: rows are
+    counted per (feature, value), and the distinct values give the distinct count and the central sums.
+    Several exact distinct counts in one aggregate would expand every row by the number of columns and
+    keep it. A column without a number has n = 0."""
+    cols = list(cols)
+    longf = to_long(dealt(df.select(*[_c(c) for c in cols])), cols)
+    counts = keep(longf.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c")))
+    c, v = F.col("c").cast("double"), F.col("value")
+    means = counts.groupBy("feature").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_unique"), (F.sum(c * v) / F.sum(c)).alias("mean"))
+    d = v - F.col("mean")
+    found = (sized_join(counts, means, "feature", "inner").groupBy("feature", "n", "n_unique", "mean")
+             .agg(*[F.sum(c * reduce(lambda x, y: x * y, [d] * k)).alias(f"m{k}") for k in (2, 3, 4)]))
+    names = df.sparkSession.createDataFrame([(x,) for x in cols], "feature string")
+    return names.join(found, "feature", "left").withColumns({x: F.coalesce(x, F.lit(0)) for x in ("n", "n_unique")})
 
 
 # --- A1, A22, A24: value counts, crosstab, mode --------------------------------------------
@@ -95,12 +105,13 @@ def describe_exact(df: DataFrame, cols, by=()) -> DataFrame:
 
 def moments(df: DataFrame, cols) -> DataFrame:
     """A3: sample variance, bias-corrected skewness (G1) and excess kurtosis (G2), distinct count."""
-    base = (fused_stats(df, cols, {"n": F.count, "var": F.var_samp, "g1": F.skewness, "g2": F.kurtosis})
-            .join(distinct_counts(df, cols), "feature", "left").withColumn("n_unique", F.coalesce("n_unique", F.lit(0))))
-    n = F.col("n").cast("double")
-    skew = F.when(n >= 3, F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2))
-    kurt = F.when(n >= 4, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6))
-    return base.select("feature", "var", skew.alias("skewness"), kurt.alias("kurtosis"), "n_unique")
+    n, m2 = F.col("n").cast("double"), F.col("m2")
+    var = F.when(n > 1, m2 / (n - 1))
+    g1 = F.when(m2 > 0, (F.col("m3") / n) / F.pow(m2 / n, 1.5))
+    g2 = F.when(m2 > 0, (F.col("m4") / n) / F.pow(m2 / n, 2) - 3)
+    skew = F.when(n >= 3, g1 * F.sqrt(n * (n - 1)) / (n - 2))
+    kurt = F.when(n >= 4, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
+    return value_moments(df, cols).select("feature", var.alias("var"), skew.alias("skewness"), kurt.alias("kurtosis"), "n_unique")
 
 
 def null_counts(df: DataFrame, cols) -> DataFrame:
@@ -116,8 +127,8 @@ def null_total(df: DataFrame, cols) -> DataFrame:
 
 def feature_kinds(df: DataFrame, cols, low_var: float = 0.01) -> DataFrame:
     """Constant (1 distinct), binary (2), few (<10) or many values; low variance (< low_var)."""
-    st = (fused_stats(df, cols, {"var": F.var_samp}).join(distinct_counts(df, cols), "feature", "left")
-          .withColumn("n_unique", F.coalesce("n_unique", F.lit(0))))
+    n = F.col("n").cast("double")
+    st = value_moments(df, cols).withColumn("var", F.when(n > 1, F.col("m2") / (n - 1)))
     kind = (F.when(F.col("n_unique") == 1, "constant").when(F.col("n_unique") == 2, "binary")
             .when(F.col("n_unique") < 10, "few").when(F.col("n_unique") == 0, "empty").otherwise("many"))
     return st.select("feature", "n_unique", "var", kind.alias("kind"),
@@ -280,8 +291,10 @@ def corr_pairs(df: DataFrame, cols, min_abs: float = 0.0) -> DataFrame:
     One pass: every Arrow batch adds four products of the centred columns and their presence masks (a
     Gram matrix with nulls), every task returns its p x p sums, and those are added up by pair."""
     cols = list(cols)
-    src = df.select(*[clean_double(_c(c)).alias(f"c{i}") for i, c in enumerate(cols)])
-    mean = src.agg(*[F.avg(c).alias(c) for c in src.columns]).first()  # centring keeps the sums small
+    src = dealt(df.select(*[_c(c).alias(f"c{i}") for i, c in enumerate(cols)]))
+    src = src.select(*[clean_double(F.col(c)).alias(c) for c in src.columns])
+    # any constant may be taken off a column; the mean of some rows keeps the sums small
+    mean = src.limit(1000).agg(*[F.avg(c).alias(c) for c in src.columns]).first()
     src = src.select(*[(F.col(c) - F.lit(mean[c] or 0.0)).alias(c) for c in src.columns])
 
     def sums(batches):
@@ -310,7 +323,7 @@ def corr_pairs(df: DataFrame, cols, min_abs: float = 0.0) -> DataFrame:
 def target_corr(df: DataFrame, cols, label_col: str) -> DataFrame:
     """Pearson r of each feature with the label and its absolute value."""
     st = fused_stats(df.withColumn("_y", _c(label_col).cast("double")), cols,
-                     {"corr": lambda c: F.corr(c, F.col("_y"))}, keep=["_y"])
+                     {"corr": lambda c: F.corr(c, F.col("_y"))}, extra=["_y"])
     return st.select("feature", "corr", F.abs("corr").alias("abs_corr"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import BROADCAST_MAX_BYTES
 from ..session import keep as keep_cached
+from ..spec import q
 from .joins import side_bytes
 from .order import prefix_sum
 
@@ -23,16 +24,18 @@ def to_long(df: DataFrame, cols, keep=(), feature_col: str = "feature", value_co
     """Unpivot ``cols`` (cast to double, NaN and +-inf to null) into ``(keep..., feature, value)``."""
     cols = list(cols)
     keep = list(keep)
-    tmp = [f"_c{i}" for i in range(len(cols))]
-    casted = df.select(*[F.col(k) for k in keep],
-                       *[clean_double(F.col(c)).alias(t) for c, t in zip(cols, tmp)])
-    names = F.create_map(*[x for c, t in zip(cols, tmp) for x in (F.lit(t), F.lit(c))])
-    out = casted.unpivot(keep, tmp, "_tmpname", value_col) if keep else \
-        casted.unpivot([], tmp, "_tmpname", value_col)
-    out = out.select(*keep, names[F.col("_tmpname")].alias(feature_col), value_col)
+    casted = df.select(*[F.col(q(k)) for k in keep], *[clean_double(F.col(q(c))).alias(c) for c in cols])
+    out = casted.unpivot([F.col(q(k)) for k in keep], [F.col(q(c)) for c in cols], feature_col, value_col)
     return out.where(F.col(value_col).isNotNull()) if drop_nulls else out
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` over as many partitions as the session has cores, where its input has fewer than half (one
+    file of one row group): for operators whose work per row far exceeds the cost of moving it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df
+
+
 def clean_double(c):
     """Cast to double; NaN and +-infinity become null (the library is NULL-only)."""
     d = c.cast("double")
