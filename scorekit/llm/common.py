@@ -116,6 +116,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     and no neighbour list is ever gathered in one place. Every round is a written table."""
     cur = shared_table(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = None
+    if cur.isEmpty():
+        return cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
     for _ in range(max_rounds):
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

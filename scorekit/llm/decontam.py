@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import begin, bytes_of, word_pieces
+from .common import begin, bytes_of, shared_table, word_pieces
 
 SEEDS = ((0, 1, 2, 3, 4), (0, 2, 3, 6, 8), (0, 1, 3, 5, 6), (0, 1, 5, 7, 8))
 # bytes to token bytes: A-Z lower-cased; ASCII letters, digits and all of UTF-8's other bytes are token bytes
@@ -113,6 +113,9 @@ def find_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         index = Index(sorted(((r.item, r.text.encode()) for r in part), key=lambda x: (x[0] is None, x[0], x[1])))
         sent = spark.sparkContext.broadcast(index)
         found = src.mapInArrow(_matcher(sent, min_tokens, min_identity, tokens_at_once, id_col, item_col), schema)
+        if blocks > 1:  # one block at a time: its result is written and its index dropped
+            found = shared_table(found)
+            sent.destroy()
         out = found if out is None else out.unionByName(found)
     return out
 

@@ -136,23 +136,33 @@ def _rows(batches):
             yield b.slice(i, 1).to_pylist()[0]
 
 
-def _first(h, h2):
-    """Index of the first occurrence of each distinct name in position order, and for every entry
-    whether it is that first occurrence and how often its name occurs."""
-    order = np.lexsort((h2, h)) if h2 is not None else np.argsort(h, kind="stable")
+def _first(h, h2, more: bool = False) -> tuple:
+    """Whether each entry is the first of its name in position order; with ``more`` also whether its name
+    occurs again, and the number of its name."""
+    n = len(h)
+    if not n:
+        return (np.zeros(0, bool), *((np.zeros(0, bool), np.zeros(0, np.int64)) if more else ()))
+    order = np.lexsort((h2, h)) if h2 is not None else np.argsort(h)
     s = h[order]
-    new = np.ones(len(s), bool)
+    new = np.ones(n, bool)
     new[1:] = s[1:] != s[:-1] if h2 is None else (s[1:] != s[:-1]) | (h2[order][1:] != h2[order][:-1])
-    run = np.cumsum(new) - 1
-    first = np.zeros(len(s), bool)
-    first[order[new]] = True
-    many = np.zeros(len(s), bool)
-    many[order] = np.bincount(run, minlength=1)[run] > 1 if len(s) else False
-    group = np.zeros(len(s), np.int64)
-    group[order] = run
+    heads = np.flatnonzero(new)
+    first = np.zeros(n, bool)
+    first[np.minimum.reduceat(order, heads)] = True  # the sort need not be stable
+    if not more:
+        return (first,)
+    size = np.diff(np.append(heads, n))
+    many, group = np.zeros(n, bool), np.zeros(n, np.int64)
+    many[order] = np.repeat(size > 1, size)
+    group[order] = np.repeat(np.arange(len(heads)), size)
     return first, many, group
 
 
+def by_range(rng: np.ndarray) -> np.ndarray:
+    """Stable order by range number (a radix sort while the numbers have 16 bits)."""
+    return np.argsort(rng.astype(np.uint16) if len(rng) == 0 or int(rng.max()) < 1 << 16 else rng, kind="stable")
+
+
 class Level:
     """One level: which tuples of a block it names, and how names are sent and answered."""
 
@@ -163,21 +173,21 @@ class Level:
         bits = 2 * math.log2(n) + 8 if self.last else math.log2(n) + 8
         self.width = min(16, max(8 if self.last else 4, math.ceil(bits / 8)))
 
-    def find(self, b: Block):
+    def find(self, b: Block, more: bool):
         pos = b.samples(self.v, self.depth)
         h = b.names(pos, self.depth, 0)
         h2 = b.names(pos, self.depth, 1) if self.width > 8 else None
         rng = ((h >> np.uint64(32)) * np.uint64(self.ranges)) >> np.uint64(32)
-        return pos, h, h2, rng.astype(np.int32), *_first(h, h2)
+        return pos, h, h2, rng.astype(np.int32), *_first(h, h2, more)
 
     def ask(self, batches):
         """Rows ``(range, block, segs, names)``: the distinct names of a block in position order; ``segs``
         has id, tie and number of names of each document (last level only)."""
         for row in _rows(batches):
             b = Block(row)
-            pos, h, h2, rng, first, _, _ = self.find(b)
+            pos, h, h2, rng, first = self.find(b, False)
             at = np.flatnonzero(first)
-            at = at[np.argsort(rng[at], kind="stable")]
+            at = at[by_range(rng[at])]
             raw = h[at].view(np.uint8).reshape(-1, 8)[:, :min(8, self.width)]
             if h2 is not None:
                 raw = np.concatenate([raw, h2[at].view(np.uint8).reshape(-1, 8)[:, :self.width - 8]], axis=1)
@@ -206,7 +216,7 @@ class Level:
         key = wide.view(np.uint64)
         h, h2 = np.ascontiguousarray(key[:, 0]), np.ascontiguousarray(key[:, 1]) if self.width > 8 else None
         if not self.last:
-            bit = _first(h, h2)[1]
+            bit = _first(h, h2, True)[1]
         else:
             segs = [np.frombuffer(x, np.int64).reshape(3, -1) for x in table["segs"].to_pylist()]
             ids, ties, n = np.concatenate(segs, axis=1)
@@ -221,9 +231,9 @@ class Level:
 
     def told(self, b: Block, answers: list):
         """Positions of this level's tuples, and whether each repeats (last level: starts earlier too)."""
-        pos, h, h2, rng, first, many, group = self.find(b)
+        pos, h, h2, rng, first, *rest = self.find(b, not self.last)
         at = np.flatnonzero(first)
-        at = at[np.argsort(rng[at], kind="stable")]
+        at = at[by_range(rng[at])]
         cuts = np.searchsorted(rng[at], np.arange(self.ranges + 1))
         bit = np.zeros(len(at), bool)
         for a in answers or ():
@@ -233,6 +243,7 @@ class Level:
             out = ~first
             out[at] = bit
             return pos, out
+        many, group = rest
         of_group = np.zeros(int(group.max(initial=-1)) + 1, bool)
         of_group[group[at]] = bit
         return pos, many | of_group[group]

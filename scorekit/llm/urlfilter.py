@@ -14,6 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import keep
 from .common import begin, lower_ascii
 
 LANES = 8
@@ -77,9 +78,9 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list, id_col: str = "page_
     rule_rows = [(f"r:{h}{p}", f"{h}{p}", v, len(h + p), len(h)) for v, h, p in rules]
     schema = "key string, rule string, verdict string, length int, host_length int"
     none = [F.lit(None).cast(t) for t in ("string", "int", "int")]
-    entries = spark.createDataFrame(rule_rows, schema).unionByName(
+    entries = keep(spark.createDataFrame(rule_rows, schema).unionByName(
         listed.where(F.col("canon").isNotNull()).select(F.concat(F.lit("u:"), "canon").alias("key")).distinct()
-        .select("key", none[0].alias("rule"), F.lit("block").alias("verdict"), none[1].alias("length"), none[2].alias("host_length"))).persist()
+        .select("key", none[0].alias("rule"), F.lit("block").alias("verdict"), none[1].alias("length"), none[2].alias("host_length"))))
     n, size = entries.agg(F.count(F.lit(1)), F.sum(F.octet_length("key") + 64)).first()
     blocks = max(1, math.ceil(n * bits_per_key / (32 * LANES)))
     bloom = bloom_blocks(entries.select("key"), blocks)
