@@ -3,8 +3,10 @@
 Seeds are fixed masks over token windows; a mask hashes the tokens it selects and ignores the rest, so a
 window with substituted tokens still meets its twin under some mask. The hashes of the benchmark items
 are joined with those of every document window. Around each hit, document and item are compared token
-by token along the hit's diagonal; the best segment must be long enough and nearly identical. The seeds
-below meet every overlap of 13 tokens that has up to 3 substitutions (checked by enumeration in the tests).
+by token along the hit's diagonal, and every stretch of it is tested: the longest nearly identical one must be
+long enough. The seeds below meet every overlap of 13 tokens that has up to 3 substitutions, and with the short
+seeds every whole item of 5 to 12 tokens that has 80 % and at least 5 of them equal (checked by enumeration in
+the tests).
 
 The benchmark is the query set: it is indexed in blocks of bounded size, each of them is sent to the
 tasks once and all documents are read against it, so memory does not grow with the benchmark.
@@ -13,6 +15,7 @@ tasks once and all documents are read against it, so memory does not grow with t
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 from itertools import repeat
 
 import numpy as np
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import begin, bytes_of, shared_table, word_pieces
 
 SEEDS = ((0, 1, 2, 3, 4), (0, 2, 3, 6, 8), (0, 1, 3, 5, 6), (0, 1, 5, 7, 8))
+SHORT_SEEDS = ((0, 2, 3, 4, 5), (0, 1, 3, 4, 5), (0, 1, 2, 4, 5), (0, 1, 2, 3, 5))  # for items of 6 or 7 tokens with one inside changed
 # bytes to token bytes: A-Z lower-cased; ASCII letters, digits and all of UTF-8's other bytes are token bytes
 TOKEN_TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 FILTER_BITS = 22
@@ -56,8 +60,9 @@ class Index:
         self.at = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
         self.tokens = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         self.tables = []
-        for seed in SEEDS:
-            h = [seed_hashes(p, seed) for p in parts]
+        self.seeds = SEEDS + (SHORT_SEEDS if any(len(p) in (6, 7) for p in parts) else ())
+        for seed in self.seeds:
+            h = [seed_hashes(p if seed in SEEDS or len(p) in (6, 7) else p[:0], seed) for p in parts]
             pos = np.concatenate([np.arange(len(x)) + a for x, a in zip(h, self.at)]) if h else np.zeros(0, np.int64)
             h = np.concatenate(h) if h else np.zeros(0, np.uint64)
             order = np.argsort(h, kind="stable")
@@ -68,7 +73,7 @@ class Index:
     def hits(self, ids: np.ndarray, seed_no: int) -> tuple:
         """(window, benchmark position) of equal seed hashes."""
         keys, pos, may = self.tables[seed_no]
-        h = seed_hashes(ids, SEEDS[seed_no])
+        h = seed_hashes(ids, self.seeds[seed_no])
         at = np.flatnonzero(may[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
         lo, hi = np.searchsorted(keys, h[at]), np.searchsorted(keys, h[at], "right")
         n = hi - lo
@@ -77,25 +82,27 @@ class Index:
         return np.repeat(at, n), pos[np.repeat(lo, n) + step]
 
 
-def best_segment(same: np.ndarray) -> tuple:
-    """Start, end and score of the stretch with the largest sum of +1 for a match and -4 for a mismatch,
-    the longest of equals: no prefix or suffix of it is below 80 % identity."""
-    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -4))])
+def longest_stretch(same: np.ndarray, identity: Fraction) -> tuple:
+    """Start and end of the longest stretch with a share of at least ``identity`` equal tokens; of equally long
+    ones that with the most equal tokens, then the first. (0, 0) without one."""
+    p, q = identity.numerator, identity.denominator
+    total = np.concatenate([[0], np.cumsum(np.where(same, q - p, -p))])  # not below 0 where the share is reached
     low = np.minimum.accumulate(total)
-    gain = total - low
-    end = len(gain) - 1 - int(np.argmax(gain[::-1]))
-    start = int(np.argmax(total[:end + 1] == low[end]))
-    return start, end, int(gain[end])
+    start = np.searchsorted(-low, -total)  # the first place from which a stretch may end here
+    n = np.arange(len(total)) - start
+    ends = np.flatnonzero(n == n.max())
+    end = int(ends[np.argmax(total[ends] - total[start[ends]])])
+    return int(start[end]), end
 
 
 def find_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                   item_text: str = "text", min_tokens: int = 13, min_identity: float = 0.8,
                   block_bytes: int = 4 << 20, tokens_at_once: int = 1 << 19) -> DataFrame:
     """``(id, item, doc_start, item_start, n_tokens, n_same, item_tokens)``: for every pair of document and
-    item its longest verified overlap; tokens count from 0.
+    item its longest verified overlap, of equally long ones that with the most equal tokens; tokens count from 0.
 
-    An overlap needs ``min_tokens`` tokens (the whole item where that is shorter, at least one seed span of
-    5) and ``min_identity`` of them equal. Null texts count as empty and never match; repeated
+    An overlap is any stretch of one diagonal with ``min_tokens`` tokens (the whole item where that is shorter,
+    at least 5 equal ones) and ``min_identity`` of them equal; its ends may differ. Null texts count as empty and never match; repeated
     documents and repeated items are each reported; equal overlaps go to the first place. Rows without id
     are reported with a null id. Empty tables give an empty result. Other columns are not read."""
     spark = docs.sparkSession
@@ -121,10 +128,11 @@ def find_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 
 def _matcher(sent, min_tokens, min_identity, tokens_at_once, id_col, item_col):
-    gap = max(s[-1] for s in SEEDS)
+    gap = max(s[-1] for s in SEEDS + SHORT_SEEDS)
+    identity = Fraction(str(min_identity))
 
     def verify(index, ids, doc_lo, doc_hi, doc, win, pos):
-        """Best overlap of each (document, item) among hits, on distinct diagonals."""
+        """Longest overlap of each (document, item) among hits, on distinct diagonals."""
         item = np.searchsorted(index.at, pos, "right") - 1
         lines = np.unique(np.stack([doc, item, win - pos]), axis=1)
         best = {}
@@ -134,10 +142,10 @@ def _matcher(sent, min_tokens, min_identity, tokens_at_once, id_col, item_col):
             same = ids[lo + shift:hi + shift] == index.tokens[lo:hi]
             if int(same.sum()) < len(SEEDS[0]):
                 continue
-            s, e, score = best_segment(same)
+            s, e = longest_stretch(same, identity)
             n, n_same = e - s, int(same[s:e].sum())
-            if n >= min(min_tokens, z - a) and n >= len(SEEDS[0]) and n_same >= min_identity * n:
-                new = (-n_same, -n, lo + s + shift - doc_lo[d], lo + s - a, z - a)
+            if n >= min(min_tokens, z - a) and n_same >= len(SEEDS[0]):
+                new = (-n, -n_same, lo + s + shift - doc_lo[d], lo + s - a, z - a)
                 if (d, i) not in best or new < best[d, i]:
                     best[d, i] = new
         return best
@@ -153,9 +161,9 @@ def _matcher(sent, min_tokens, min_identity, tokens_at_once, id_col, item_col):
             pad = np.zeros(gap, np.uint64)
             ids = np.concatenate([x for p in parts for x in (p, pad)])
             wins, poss = [], []
-            for s in range(len(SEEDS)):
+            for s in range(len(index.seeds)):
                 for at in range(0, len(ids), tokens_at_once):
-                    w, p = index.hits(ids[at:at + tokens_at_once + SEEDS[s][-1]], s)
+                    w, p = index.hits(ids[at:at + tokens_at_once + index.seeds[s][-1]], s)
                     wins.append(w + at)
                     poss.append(p)
             win, pos = np.concatenate(wins), np.concatenate(poss)
@@ -168,7 +176,7 @@ def _matcher(sent, min_tokens, min_identity, tokens_at_once, id_col, item_col):
             return pa.RecordBatch.from_arrays(
                 [keys.take(pa.array([d for (d, _), _ in rows])), pa.array([index.item_ids[i] for (_, i), _ in rows]),
                  pa.array([r[2] for _, r in rows], pa.int64()), pa.array([r[3] for _, r in rows], pa.int64()),
-                 pa.array([-r[1] for _, r in rows], pa.int64()), pa.array([-r[0] for _, r in rows], pa.int64()),
+                 pa.array([-r[0] for _, r in rows], pa.int64()), pa.array([-r[1] for _, r in rows], pa.int64()),
                  pa.array([r[4] for _, r in rows], pa.int64())],
                 names=[id_col, item_col, "doc_start", "item_start", "n_tokens", "n_same", "item_tokens"])
 

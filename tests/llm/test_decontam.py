@@ -102,3 +102,64 @@ def test_odd_rows(spark):
     assert decontam.find_overlaps(d, empty).count() == 0 and decontam.clean(d, empty).count() == len(docs)
     none = spark.createDataFrame([], "doc_id long, text string")
     assert decontam.find_overlaps(none, i).count() == 0 and decontam.clean(d, i).columns == d.columns
+
+
+def by_rule(docs, items):
+    """The stated rule itself: any stretch of 13 tokens (the whole item where that is shorter) with 80 % of them equal."""
+    out = set()
+    for d, t in docs:
+        a = tokens(t)
+        for i, u in items:
+            b = tokens(u)
+            best = None
+            for shift in range(-len(b) + 1, len(a)):
+                lo, hi = max(0, -shift), min(len(b), len(a) - shift)
+                total = [0, *itertools.accumulate(a[k + shift] == b[k] for k in range(lo, hi))]
+                for s, e in itertools.combinations(range(len(total)), 2):
+                    eq = total[e] - total[s]
+                    if e - s >= min(13, len(b)) and eq >= 5 and 10 * eq >= 8 * (e - s):
+                        new = (s - e, -eq, lo + s + shift, lo + s)
+                        best = min(best, new) if best else new
+            if best:
+                out.add((str(d), str(i), best[2], best[3], -best[0], -best[1], len(b)))
+    return sorted(out)
+
+
+def test_every_stretch(spark, planted):
+    docs, items = planted
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame(items, "item_id long, text string")
+    want = by_rule(docs, items)
+    assert {w[:2] for w in by_hand(docs, items)} < {w[:2] for w in want}  # none lost that the score finds
+    assert got(decontam.find_overlaps(d, i)) == want
+    assert got(decontam.find_overlaps(d, i, block_bytes=300, tokens_at_once=37)) == want
+    assert {r.doc_id for r in decontam.clean(d, i).collect()} == {x for x, _ in docs} - {int(w[0]) for w in want}
+
+
+def test_substituted_items(spark):
+    """Whole items with substituted tokens, as many as 80 % equal allows, and one more."""
+    rng = np.random.default_rng(1)
+    sizes = (5, 6, 7, 9, 12, 13, 15, 20, 25, 40)
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in sizes]
+    docs, tainted = [], set()
+    for n in sizes:
+        for gone in [(), (1,), (3,), *({2: [(0, 1)], 3: [(3, 6, 12)]}.get(n // 5, [])), *((3, 6, 17), (2, 7, 12, 17))[:2 * (n == 20)],
+                     *(tuple(rng.choice(n, n // 5 + extra, replace=False).tolist()) for extra in (0, 0, 0, 1))]:
+            body = items[sizes.index(n)][1].split()
+            for k in gone:
+                body[k] = "sub"
+            docs.append((len(docs), "before it " + " ".join(body) + " behind it"))
+            if n - len(gone) >= max(5, .8 * n):
+                tainted.add(docs[-1][0])
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    want = by_rule(docs, items)
+    assert tainted <= {int(w[0]) for w in want}
+    assert got(decontam.find_overlaps(d, spark.createDataFrame(items, "item_id long, text string"))) == want
+
+
+def test_short_seeds_meet_short_items():
+    for n in range(5, 13):
+        seeds = decontam.SEEDS + (decontam.SHORT_SEEDS if n in (6, 7) else ())
+        for k in range(n - 4):
+            for gone in itertools.combinations(range(n), k):
+                assert 5 * (n - k) < 4 * n or any(all(i + o not in gone for o in s) for s in seeds for i in range(n - s[-1])), (n, gone)
