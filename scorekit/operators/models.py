@@ -274,7 +274,8 @@ def seed_bag(df: DataFrame, make_model_for_seed, id_col: str, label_col: str, se
 
 class RoutedModel:
     """A main model for rows with any observed behaviour value (none/partial sentinel) and a
-    metadata-only model for all-sentinel rows; scores are the union of both routes."""
+    metadata-only model for all-sentinel rows; scores are the union of both routes. Where the training
+    rows held no all-sentinel row there is no second model, and the main model scores those rows too."""
 
     def __init__(self, behaviour_cols, meta_cols, make_main, make_meta, label_col="label", sentinel=999):
         self.behaviour_cols, self.meta_cols = list(behaviour_cols), list(meta_cols)
@@ -295,8 +296,8 @@ class RoutedModel:
     def transform(self, models, df: DataFrame, id_col: str) -> DataFrame:
         main, meta = models
         r = self._route(df)
-        a = positive_prob(main.transform(assemble(r.where(F.col("_route") != "all"),
-                                                  self.behaviour_cols + self.meta_cols)))
+        own = r if meta is None else r.where(F.col("_route") != "all")
+        a = positive_prob(main.transform(assemble(own, self.behaviour_cols + self.meta_cols)))
         parts = [a.select(id_col, "_route", "prob")]
         if meta is not None:
             b = positive_prob(meta.transform(assemble(r.where(F.col("_route") == "all"), self.meta_cols)))

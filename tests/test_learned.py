@@ -74,3 +74,13 @@ def test_routed_model_scores_every_row(spark):
     assert out.count() == s.count() and out.select("id").distinct().count() == s.count()
     routes = {r[0] for r in out.select("_route").distinct().collect()}
     assert "all" in routes
+
+
+def test_routed_model_scores_all_sentinel_rows_it_never_saw(spark):
+    s = fr.sentinel(spark, SF_SMALL).withColumnRenamed("y", "label")
+    rm = mdl.RoutedModel(fr.SENTINEL_COLS, ["meta"], mdl.tree(max_depth=3), mdl.tree(max_depth=2))
+    models = rm.fit(rm._route(s).where("_route <> 'all'").drop("_route"))
+    assert models[1] is None
+    out = rm.transform(models, s, "id").collect()
+    assert sorted(r.id for r in out) == sorted(r.id for r in s.select("id").collect())
+    assert any(r._route == "all" for r in out) and all(0 <= r.prob <= 1 for r in out)
