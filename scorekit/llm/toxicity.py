@@ -208,12 +208,12 @@ def fit(toxic: list, clean: list, share: float, decay: float = 0.7, window: int
 
 
 def levels(pieces: list) -> tuple:
-    """The largest window value and the mean of the largest fiftieth (over each piece of a long text)."""
-    tops = []
-    for v in pieces:
-        n = max(1, len(v) // 50)
-        tops.append((float(v.max()), float(np.partition(v, len(v) - n)[len(v) - n:].mean()), len(v)))
-    return max(t[0] for t in tops), float(np.average([t[1] for t in tops], weights=[t[2] for t in tops]))
+    """The largest window value and the mean of the largest fiftieth of the whole text, in one or more pieces."""
+    v = np.concatenate(pieces)
+    n = max(1, len(v) // 50)
+    v.partition(len(v) - n)
+    top = v[len(v) - n:]
+    return float(top.max()), float(top.mean())
 
 
 def _word_documents(texts: list) -> Counter:

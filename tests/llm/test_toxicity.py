@@ -105,3 +105,19 @@ def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [(r.score, r.predicted) for r in run(docs, none).collect()] == [(0.0, 0)] * 2 or all(r.predicted == 0 for r in run(docs, none).collect())
     assert run(docs.limit(0), none).count() == 0
+
+
+def test_score_does_not_depend_on_pieces(spark):
+    rng = np.random.default_rng(2)
+    say = lambda n: " ".join(rng.choice(["the", "river", "stone", "cloud", "garden"], n))
+    model = tox.fit([f"{say(8)} {w} {say(8)}".encode() for w in INSULTS * 5], [say(16).encode() for _ in range(60)], .25)
+    text = say(400) + " " + " ".join(INSULTS) + " " + say(10)  # all insults in one part
+    s = tox.symbols(text.encode(), tox.symbol_table())
+    v = tox.window_scores(s, model.weights, model.decay, model.window)
+    want = float(v.max()), float(np.sort(v)[-(len(v) // 50):].mean())
+    for cut in (len(v), 1000, 100, 7):
+        assert tox.levels([v[a:a + cut] for a in range(0, len(v), cut)]) == pytest.approx(want, rel=1e-5)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    whole = tox.predict(docs, model).first().score
+    for at_once in (1000, 100):
+        assert tox.predict(docs, model, at_once=at_once).first().score == pytest.approx(whole, rel=1e-4)
