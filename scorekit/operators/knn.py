@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ensure_checkpoint_dir, guard_union_partitioning, keep
 from .joins import sized_join
-from .order import add_group_value_bucket, hash_rank, prefix_sum
+from .order import add_group_value_bucket, hash_rank, prefix_sum, session_bucket_rows
 from .stats import to_long
 
 METRICS = ("euclidean", "manhattan", "minkowski", "cosine")
@@ -211,11 +211,14 @@ def _kth_radius(cands, own: Column, kp: Column) -> Column:
     return F.least(*picks)
 
 
-def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bucket: int = 250_000) -> DataFrame:
+def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bucket: int | None = None) -> DataFrame:
     """Mutual information (nats) of each continuous column with the class, k-NN estimator.
 
     Rows whose class has a single row are left out, as in the reference library. Returns
-    ``(feature, mi)``. Exact ties give a zero radius (the library adds seeded noise there)."""
+    ``(feature, mi)``. Exact ties give a zero radius (the library adds seeded noise there). A bucket has
+    250,000 rows, or the session-wide size where that is smaller, unless ``rows_per_bucket`` is given."""
+    if rows_per_bucket is None:
+        rows_per_bucket = min(250_000, session_bucket_rows())
     guard_union_partitioning(df.sparkSession)
     longf = to_long(df, cols, keep=[label_col]).withColumnRenamed(label_col, "y")
     # the estimator is a long chain of stages: its two wide intermediates are written to the

@@ -38,6 +38,11 @@ def bucket_rows(n: int):
         _ROWS_PER_BUCKET.pop()
 
 
+def session_bucket_rows() -> int:
+    """Rows per bucket outside or inside ``bucket_rows``."""
+    return _ROWS_PER_BUCKET[-1]
+
+
 def _bucket_count(n: int, rows_per_bucket: int | None) -> int:
     """As many buckets as the rows need."""
     return max(1, math.ceil(n / max(1, rows_per_bucket or _ROWS_PER_BUCKET[-1])))

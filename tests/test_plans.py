@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorekit.operators import ensemble as ens
+from scorekit.operators import knn
 from scorekit.operators.joins import sized_join
 from scorekit.plans import frames as fr
+from scorekit.plans import q_scale  # noqa: F401
+from scorekit.plans.registry import REGISTRY
 from scorekit.session import guard_union_partitioning
 
 from .conftest import SF_SMALL
@@ -47,3 +50,18 @@ def test_majority_vote_single_shuffle(spark):
     plan = _plan(ens.majority_vote(lv))
     assert plan.count("Exchange hashpartitioning") == 1
     assert "SortAggregate" not in plan
+
+
+def test_mutual_info_buckets_query_has_many_buckets(spark, monkeypatch):
+    seen, plain = [], knn.add_group_value_bucket
+
+    def watched(*args, **kw):
+        out = plain(*args, **kw)
+        seen.append(out[1])
+        return out
+    monkeypatch.setattr(knn, "add_group_value_bucket", watched)
+    got = {r.feature: r.mi for r in REGISTRY["mutual_info_knn_buckets"].build(spark, SF_SMALL).collect()}
+    assert len(seen) == 1 and seen[0] > 1
+    want = {r.feature: r.mi for r in REGISTRY["mutual_info_knn"].build(spark, SF_SMALL).collect()}
+    assert seen[1] == 1 and got.keys() == want.keys()
+    assert all(abs(got[f] - want[f]) < 1e-9 for f in want)
