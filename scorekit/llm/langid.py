@@ -92,7 +92,8 @@ def learn_profiles(docs: DataFrame, train: Column, text_col: str = "text", lang_
     src = docs.where(train & F.col(lang_col).isNotNull()).select(F.col(text_col), F.col(lang_col).cast("string"))
     counts = (src.mapInArrow(kernel, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    return counts.withColumn("rank", rank - 1).where(F.col("rank") < top).select("lang", "gram", "rank")
+    # the bare row number is compared, so that Spark limits every task to ``top`` rows a language before the shuffle
+    return counts.withColumn("rank", rank).where(F.col("rank") <= top).select("lang", "gram", (F.col("rank") - 1).alias("rank"))
 
 
 def predict(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_col: str = "text", top: int = 400,

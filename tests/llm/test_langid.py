@@ -89,3 +89,10 @@ def test_nothing_to_learn_from(spark):
     assert run(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert got(run(docs)) == [("1", "und", 0.0)]
+
+
+def test_profiles_come_from_a_limited_window(spark):
+    docs = spark.createDataFrame([(k, f"the cat {k} sat", "en") for k in range(50)], "doc_id long, text string, lang string")
+    profiles = langid.learn_profiles(docs, F.lit(True), top=5)
+    assert profiles._jdf.queryExecution().sparkPlan().toString().count("WindowGroupLimit") == 2  # before the shuffle and behind it
+    assert sorted(r["rank"] for r in profiles.collect()) == [0, 1, 2, 3, 4]
