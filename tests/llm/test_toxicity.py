@@ -110,7 +110,8 @@ def test_nothing_to_learn_from(spark):
 def test_score_does_not_depend_on_pieces(spark):
     rng = np.random.default_rng(2)
     say = lambda n: " ".join(rng.choice(["the", "river", "stone", "cloud", "garden"], n))
-    model = tox.fit([f"{say(8)} {w} {say(8)}".encode() for w in INSULTS * 5], [say(16).encode() for _ in range(60)], .25)
+    model = tox.fit([f"{say(8)} {w} {say(8)}".encode() for w in INSULTS * 40], [say(16).encode() for _ in range(200)], .25)
+    assert model.weights.any()
     text = say(400) + " " + " ".join(INSULTS) + " " + say(10)  # all insults in one part
     s = tox.symbols(text.encode(), tox.symbol_table())
     v = tox.window_scores(s, model.weights, model.decay, model.window)
