@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, guard_union_partitioning
+from ..operators.joins import side_bytes
+from ..session import BROADCAST_MAX_BYTES, ensure_checkpoint_dir, guard_union_partitioning
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -85,6 +86,11 @@ def begin(spark: SparkSession) -> None:
         spark.conf.set(BATCH_KEY, BATCH_BYTES)
 
 
+def bounded(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """A side of a join, to be broadcast if its measured size is within the limit; else as it is, for a shuffle join."""
+    return F.broadcast(df) if side_bytes(df) <= max_bytes else df
+
+
 def spread(blocks: DataFrame, size: float, per_task: int = 128 << 20) -> DataFrame:
     """Packed blocks dealt by ``block`` to a stated number of tasks: the session's, or more where a task
     would hold over ``per_task`` of unpacked bytes. A block is small on disk and long in work, so the

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, license, lm, mixing, quality, simhash, suffix_dedup, toxicity, urlfilter
+from . import collocations, decontam, exact_dedup, langid, license, lm, mixing, quality, search, simhash, suffix_dedup, toxicity, urlfilter
 from .common import LOWER, UPPER, crc_mod
 
 
@@ -71,6 +71,18 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(_read(spark, sf_dir, "documents"), length=100)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents"), max_words=3, least=10, top=2000, share=50)
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.copies(_read(spark, sf_dir, "documents"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), top=10)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_url_filter": op2_url_filter,
@@ -82,6 +94,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_license": op9_license,
     "op10_suffix_array": op10_suffix_array,
+    "op11_collocations": op11_collocations,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_search": op13_search,
 }
 
 
@@ -141,4 +156,68 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(b.n, 0) AS n_base, b.lo AS first_
 FROM d LEFT JOIN b USING (rid) LEFT JOIN t USING (rid)"""
 
 
-ORACLE_SQL: dict[str, str] = {"op2_url_filter": _url_sql(), "op9_license": _license_sql()}
+def _collocations_sql() -> str:
+    return f"""
+WITH w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents)),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, p, count(*) AS f
+      FROM (SELECT lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_slice(w, i, i + k - 1))) AS p
+            FROM w, (VALUES (1), (2), (3)) AS lengths(k) WHERE len(w) >= k)
+      GROUP BY lang, p),
+cand AS (SELECT lang, p, f AS a FROM f WHERE len(p) > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.p, c.a, x.f AS l, y.f AS r, k, 1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f) AS score
+  FROM cand c CROSS JOIN (VALUES (1), (2)) AS ks(k)
+  JOIN f x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, k)
+  JOIN f y ON y.lang = c.lang AND y.p = list_slice(c.p, k + 1, len(c.p))
+  WHERE k < len(c.p)
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.p ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, p, max(a) AS a
+  FROM (SELECT lang, unnest([list_slice(p, 1, 2), list_slice(p, 2, 3)]) AS p, a FROM cand WHERE len(p) = 3)
+  GROUP BY lang, p),
+ranked AS (
+  SELECT c.lang, array_to_string(c.p, ' ') AS phrase, c.a, c.l, c.r, CAST(c.score AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY c.lang ORDER BY c.score DESC, c.a DESC, array_to_string(c.p, ' ')) AS rank
+  FROM cuts c LEFT JOIN inside i ON i.lang = c.lang AND i.p = c.p
+  WHERE i.a IS NULL OR 100 * i.a < 50 * c.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000"""
+
+
+def _exact_dedup_sql() -> str:
+    return """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER g = 1 AS kept, sha256(t) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY t ORDER BY doc_id NULLS LAST, rid)"""
+
+
+def _search_sql() -> str:
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH d AS (SELECT * FROM (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents) WHERE len(w) > 0),
+s AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS HUGEINT) AS n_terms FROM d),
+q AS (SELECT iid, item_id, x, count(*) AS k
+      FROM (SELECT iid, item_id, unnest(w) AS x FROM (SELECT row_number() OVER () AS iid, item_id, {words} AS w FROM benchmark))
+      GROUP BY ALL),
+t AS (SELECT rid, x, count(*) AS tf FROM (SELECT rid, unnest(w) AS x FROM d) WHERE x IN (SELECT x FROM q) GROUP BY rid, x),
+wt AS (SELECT x, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS weight FROM t, s GROUP BY x),
+m AS (SELECT rid, doc_id, CAST(25 + (75::HUGEINT * len(w) * n_docs) // n_terms AS BIGINT) AS m FROM d, s),
+scored AS (
+  SELECT iid, item_id, doc_id, rid, CAST(sum(k * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN t USING (x) JOIN wt USING (x) JOIN m USING (rid) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST, rid) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": _url_sql(),
+    "op9_license": _license_sql(),
+    "op11_collocations": _collocations_sql(),
+    "op12_exact_dedup": _exact_dedup_sql(),
+    "op13_search": _search_sql(),
+}
