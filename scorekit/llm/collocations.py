@@ -2,11 +2,11 @@
 
 Documents become blocks: words of one language as numbers, with a 0 wherever no phrase may pass (the end of a
 piece, a word that is too rare to stand in any candidate). Phrases are found level by level, and a candidate is
-Apriori-safe: a phrase of k words counts only if its first and its last k - 1 words were frequent enough; pairs,
-besides, only if the hashed bucket that their pair shares with others was. The candidates of a level, gathered from
+Apriori-safe: a phrase of k words counts only if its first and its last k - 1 words were frequent enough, and the
+hash bucket that it shares with other phrases was too. The candidates of a level, gathered from
 the blocks, are cut by their first words into waves of bounded size. Each wave is a double-array trie over word
-numbers, broadcast; a task starts every position of its text at the root and moves all states one word on at a
-time (``state = base[state] + word``, kept where ``check`` names the state it came from), bincounts the accepting
+numbers, broadcast; a task starts every position of its text at the root and moves all states on together, symbol by symbol
+(``state = base[state] + symbol``, kept where ``check`` names the state it came from), bincounts the accepting
 states, and the tasks' counts are added up by Spark. Scores are exact decimals.
 """
 
@@ -79,84 +79,101 @@ def build_blocks(docs: DataFrame, text_col: str, lang, block_tokens: int) -> Dat
 class Trie:
     """Builds the arrays of a double-array trie; only the arrays are sent.
 
-    Codes 1 .. are the places of words in ``alphabet``. State 0 is the root, the last state is dead: no state is its
-    child. A node's children stand at ``base[node] + code`` where ``check`` holds the node. Nodes with many children
-    are placed first: all nodes of like size try random bases at once, those whose places are free and not claimed
-    by another one stay, the rest try again; the table grows where too few find a place."""
+    A word is three symbols, the digits of its rank by frequency, so that a node has few children, close together.
+    State 0 is the root, the last state is dead: no state is its child. A node's children stand at
+    ``base[node] + symbol`` where ``check`` holds the node. Nodes with many children get a window of their own; the
+    others, larger ones first, fill the holes: all nodes of like size try random bases at once, those whose
+    places are free and not claimed by an earlier one stay, the rest try again."""
 
     def __init__(self, phrases: np.ndarray, seed: int = 1):
-        self.alphabet = np.unique(phrases)
-        codes = np.searchsorted(self.alphabet, phrases) + 1
-        a = len(self.alphabet)
-        self.base = np.zeros(a + 1, np.int64)
-        self.check = np.full(a + 1, -1, np.int64)
-        self.rng = np.random.default_rng(seed)
-        state = codes[:, 0]
+        alphabet, n = np.unique(phrases, return_counts=True)
+        rank = np.empty(len(n), np.int32)
+        rank[np.argsort(-n, kind="stable")] = np.arange(len(n))
+        self.words = alphabet, rank, max(2, math.ceil(round(len(n) ** (1 / 3), 6)))
+        width = self.words[2] + 1
+        symbols = [d for k in range(phrases.shape[1]) for d in symbols_of(phrases[:, k], self.words)]
+        self.base, self.check = np.zeros(width, np.int32), np.full(width, -1, np.int32)
+        self.used, self.rng = width, np.random.default_rng(seed)
+        state = symbols[0].astype(np.int64)
         self.check[state] = 0
-        for k in range(1, codes.shape[1]):
-            edge, inverse = np.unique(np.stack([state, codes[:, k]]), axis=1, return_inverse=True)
-            state = self.place(edge[0], edge[1], a)[inverse.ravel()]
+        for symbol in symbols[1:]:
+            edge, inverse = np.unique(state * width + symbol, return_inverse=True)
+            state = self.place(edge // width, edge % width)[inverse]
         self.slots = state
-        self.dead = len(self.base)
-        self.base = np.concatenate([self.base, [0]]).astype(np.int32)
-        self.check = np.concatenate([self.check, [-1]]).astype(np.int32)
+        self.base, self.check = np.append(self.base, np.int32(0)), np.append(self.check, np.int32(-1))
+
+    def arrays(self) -> tuple:
+        return *self.words, self.base, self.check, self.slots
 
     def grow(self, size: int):
-        more = size - len(self.base)
-        if more > 0:
-            self.base = np.concatenate([self.base, np.zeros(more, np.int64)])
-            self.check = np.concatenate([self.check, np.full(more, -1, np.int64)])
+        more = max(0, size - len(self.base))
+        self.base = np.concatenate([self.base, np.zeros(more, np.int32)])
+        self.check = np.concatenate([self.check, np.full(more, -1, np.int32)])
+
+    def put(self, parent: np.ndarray, edge: np.ndarray, at: np.ndarray, out: np.ndarray):
+        self.check[at] = parent[edge]
+        out[edge] = at
+        self.used += len(at)
 
-    def place(self, parent: np.ndarray, code: np.ndarray, a: int) -> np.ndarray:
-        """States of the edges (parent, code), sorted by parent."""
+    def place(self, parent: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """States of the edges (parent, symbol), sorted by parent."""
         node, first, size = np.unique(parent, return_index=True, return_counts=True)
         out = np.zeros(len(parent), np.int64)
-        lo, hi = len(self.base) - a if len(self.base) > 2 * a else 0, len(self.base)
-        self.grow(hi + a + 1)
-        for power in range(int(size.max(initial=1)).bit_length(), 0, -1):
-            todo = np.flatnonzero((size >= 1 << (power - 1)) & (size < 1 << power))
-            if power <= 3:
-                lo = 0  # small nodes fill what the large ones left
+        a = self.words[2]
+
+        def edges(nodes):
+            n = size[nodes]
+            return n, np.repeat(first[nodes] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+        wide = size * size >= 3.5 * a  # a window costs a places, chance some size^2 / 3.5
+        own = np.flatnonzero(wide)
+        hi = len(self.base)
+        self.grow(hi + len(own) * a)
+        base = hi - 1 + a * np.arange(len(own))
+        n, edge = edges(own)
+        self.base[node[own]] = base
+        self.put(parent, edge, np.repeat(base, n) + symbol[edge], out)
+        for power in range(int(size[~wide].max(initial=1)).bit_length(), 0, -1):
+            todo = np.flatnonzero(~wide & (size >= 1 << (power - 1)) & (size < 1 << power))
+            load = min(0.6, 1 - 0.025 ** (1 / ((1 << power) - 1)))  # at which one base in 40 still fits
+            self.grow(a + 1 + math.ceil((self.used + int(size[todo].sum())) / load))
             while len(todo):
-                n = size[todo]
-                base = self.rng.integers(lo, hi, len(todo))
-                edge = np.repeat(first[todo], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                at = np.repeat(base, n) + code[edge]
-                owner = np.repeat(np.arange(len(todo)), n)
-                claim = np.full(hi + a + 1, len(todo), np.int64)
-                np.minimum.at(claim, at, owner)
-                bad = (self.check[at] != -1) | (claim[at] != owner)
-                lost = np.add.reduceat(bad, np.cumsum(n) - n) > 0
-                stays = np.repeat(~lost, n)
-                self.check[at[stays]] = parent[edge[stays]]
+                base = self.rng.integers(0, len(self.base) - a, len(todo))
+                n, edge = edges(todo)
+                at = np.repeat(base, n) + symbol[edge]
+                owner = np.repeat(np.arange(len(todo), dtype=np.int32), n)
+                claim = np.empty(len(self.base), np.int32)
+                claim[at[::-1]] = owner[::-1]  # the first of equal places is written last
+                lost = np.add.reduceat((self.check[at] != -1) | (claim[at] != owner), np.cumsum(n) - n) > 0
+                stays = ~np.repeat(lost, n)
                 self.base[node[todo[~lost]]] = base[~lost]
-                out[edge[stays]] = at[stays]
-                if (~lost).sum() * 12 < len(todo) or lost.all():
-                    if power > 3:
-                        lo = hi
-                    hi += max(a, 64) if power > 3 else max(a, 64, len(todo))
-                    self.grow(hi + a + 1)
+                self.put(parent, edge[stays], at[stays], out)
+                if 40 * (~lost).sum() < len(todo):
+                    self.grow(len(self.base) * 11 // 10 + a)
                 todo = todo[lost]
         return out
 
-    def arrays(self) -> tuple:
-        return self.alphabet, self.base, self.check, self.slots, self.dead
-
 
-def codes_of(ids: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
-    """Codes of word numbers, 0 for those that the trie does not know."""
+def symbols_of(ids: np.ndarray, words: tuple) -> tuple:
+    """The three symbols of each word number, from 1; 0 for words that the trie does not know."""
+    alphabet, rank, a = words[:3]
     at = np.minimum(np.searchsorted(alphabet, ids), len(alphabet) - 1)
-    return np.where(alphabet[at] == ids, at + 1, 0)
+    known = alphabet[at] == ids
+    code = rank[at]
+    return tuple(np.where(known, code // d % a + 1, 0) for d in (a * a, a, 1))
 
 
-def advance(trie: tuple, codes: np.ndarray, words: int) -> np.ndarray:
-    """The state in which each position of the text ends after ``words`` steps from the root."""
-    _, base, check, _, dead = trie
-    state = np.zeros(len(codes), np.int32)
+def advance(trie: tuple, ids: np.ndarray, words: int) -> np.ndarray:
+    """The state in which each position of the text ends after ``words`` words from the root, all positions at once."""
+    base, check = trie[3:5]
+    dead = len(base) - 1
+    symbols = symbols_of(ids, trie)
+    state = np.zeros(len(ids), np.int64)
     for k in range(words):
-        n = max(0, len(codes) - k)
-        to = base[state[:n]] + codes[k:]
-        state[:n] = np.where(check[to] == state[:n], to, dead)
+        n = max(0, len(ids) - k)
+        for symbol in symbols:
+            to = base[state[:n]] + symbol[k:]
+            state[:n] = np.where(check[to] == state[:n], to, dead)
         state[n:] = dead
     return state
 
@@ -166,31 +183,33 @@ def _ids(batch):
         yield unpack(blob, np.int32)
 
 
-def pair_buckets(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
-    h = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
+def bucket_of(ids: np.ndarray, at: np.ndarray, k: int, bits: int) -> np.ndarray:
+    """Hash bucket of the ``k`` words at each place."""
+    h = np.zeros(len(at), np.uint64)
+    for i in range(k):
+        h = (h ^ (ids[at + i].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(29)
+    return (h * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def bucket_filter(coded: DataFrame, n: int, least: int, most_bits: int = 27, slice_bits: int = 16) -> tuple:
-    """``(bits, packed flags)``: hash buckets of pairs that hold at least ``least`` pairs, copies included. A pair that is
-    frequent enough is in such a bucket. At most 2^``most_bits`` buckets, whatever the corpus."""
+def bucket_filter(coded: DataFrame, k: int, sites: list, n: int, least: int, most_bits: int, slice_bits: int = 16):
+    """``(bits, packed flags)``, broadcast: the hash buckets in which at least ``least`` of the phrases at ``sites`` fall. A
+    phrase that is frequent enough is in such a bucket. At most 2^``most_bits`` buckets, whatever the corpus."""
     bits = min(most_bits, max(slice_bits, math.ceil(math.log2(max(2, n))) - 2))
     slice_bits = min(slice_bits, bits)
     cap = min(least, 255)  # sums of what is cut off here reach the limit just the same
 
-    def count(batches):
-        seen = np.zeros(1 << bits, np.uint8)
-        for batch in batches:
-            for ids in _ids(batch):
-                a, b = ids[:-1], ids[1:]
-                on = (a > 0) & (b > 0)
-                u, c = np.unique(pair_buckets(a[on], b[on], bits), return_counts=True)
-                seen[u] = np.minimum(seen[u] + c, cap)
-        parts = seen.reshape(-1, 1 << slice_bits)
-        for k in np.flatnonzero(parts.any(axis=1)):
-            yield pa.RecordBatch.from_arrays([pa.array([int(k)], pa.int64()), pa.array([pack(parts[k])], pa.binary())], names=["slice", "counts"])
+    def counter(site):
+        def count(batches):
+            seen = np.zeros(1 << bits, np.uint8)
+            for batch in batches:
+                for ids in _ids(batch):
+                    u, c = np.unique(bucket_of(ids, site(ids), k, bits), return_counts=True)
+                    seen[u] = np.minimum(seen[u] + c, cap)
+            parts = seen.reshape(-1, 1 << slice_bits)
+            for j in np.flatnonzero(parts.any(axis=1)):
+                yield pa.RecordBatch.from_arrays([pa.array([int(j)], pa.int64()), pa.array([pack(parts[j])], pa.binary())], names=["slice", "counts"])
+        return count
 
     def add(table):
         total = np.zeros(1 << slice_bits, np.int64)
@@ -199,9 +218,10 @@ def bucket_filter(coded: DataFrame, n: int, least: int, most_bits: int = 27, sli
         return pa.table({"slice": table["slice"][:1], "flags": pa.array([np.packbits(total >= cap).tobytes()], pa.binary())})
 
     flags = np.zeros((1 << bits - slice_bits, (1 << slice_bits) // 8), np.uint8)
-    for r in coded.mapInArrow(count, "slice bigint, counts binary").groupBy("slice").applyInArrow(add, "slice bigint, flags binary").collect():
+    counts = reduce(DataFrame.unionByName, [coded.mapInArrow(counter(s), "slice bigint, counts binary") for s in sites])
+    for r in counts.groupBy("slice").applyInArrow(add, "slice bigint, flags binary").collect():
         flags[r["slice"]] = np.frombuffer(r["flags"], np.uint8)  # 2^bits bits in all
-    return bits, flags.ravel()
+    return coded.sparkSession.sparkContext.broadcast((bits, flags.ravel()))
 
 
 def _names(k: int) -> list:
@@ -217,25 +237,6 @@ def _schema(k: int) -> str:
     return ", ".join(f"w{i} int" for i in range(k))
 
 
-def candidate_pairs(coded: DataFrame, flags) -> DataFrame:
-    """Distinct adjacent pairs of frequent words whose bucket is frequent."""
-    sent = coded.sparkSession.sparkContext.broadcast(flags)
-
-    def kernel(batches):
-        bits, packed = sent.value
-        for batch in batches:
-            for ids in _ids(batch):
-                a, b = ids[:-1], ids[1:]
-                on = (a > 0) & (b > 0)
-                a, b = a[on], b[on]
-                h = pair_buckets(a, b, bits)
-                on = (packed[h >> 3] >> (7 - (h & 7)).astype(np.uint8)) & 1 > 0
-                pair = np.unique((a[on].astype(np.int64) << 32) | b[on])
-                yield _table([pair >> 32, pair & 0xFFFFFFFF])
-
-    return coded.mapInArrow(kernel, _schema(2)).distinct()
-
-
 def waves(phrases: DataFrame, k: int, most: int):
     """The phrases of ``phrases(w0..)`` in order of their words, in arrays of about ``most`` rows."""
     table = shared_table(phrases)
@@ -250,51 +251,71 @@ def waves(phrases: DataFrame, k: int, most: int):
             yield rows[np.lexsort(rows.T[::-1])]
 
 
-def longer_candidates(coded: DataFrame, frequent: DataFrame, k: int, most: int) -> DataFrame:
-    """Distinct phrases of ``k + 1`` words whose first and whose last ``k`` are in ``frequent(w0.., f)``."""
-    found = None
-    for rows in waves(frequent.select(*_names(k)), k, most):
-        sent = coded.sparkSession.sparkContext.broadcast((Trie(rows).arrays(), tuple(rows[0].tolist()), tuple(rows[-1].tolist()), len(rows)))
-
-        def kernel(batches, sent=sent):
-            trie, low, high, n = sent.value
-            accepts = np.zeros(len(trie[1]), bool)
-            accepts[trie[3]] = True
+def pair_sites(ids: np.ndarray) -> np.ndarray:
+    """Places of two frequent words in a row."""
+    return np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+
+
+def longer_sites(coded: DataFrame, frequent: DataFrame, k: int, most: int) -> list:
+    """For each wave of the frequent phrases of ``k`` words: the places of ``k + 1`` words whose first ``k`` are in the wave and whose
+    last ``k`` are frequent, or may be because they belong to another wave."""
+    def in_wave(sent):
+        def sites(ids):
+            trie, low, high = sent.value
+            accepts = np.zeros(len(trie[3]), bool)
+            accepts[trie[5]] = True
+            on = accepts[advance(trie, ids, k)]
+            at = np.flatnonzero(on[:max(0, len(ids) - k)])
+            at = at[ids[at + k] > 0]
+            return at[on[at + 1] | (ids[at + 1] <= low) | (ids[at + 1] >= high)]
+        return sites
+    return [in_wave(coded.sparkSession.sparkContext.broadcast((Trie(rows).arrays(), int(rows[0, 0]), int(rows[-1, 0]))))
+            for rows in waves(frequent.select(*_names(k)), k, most)]
+
+
+def candidates(coded: DataFrame, k: int, sites: list, n: int, least: int, most_bits: int) -> DataFrame:
+    """Distinct phrases ``(w0..)`` of ``k`` words at ``sites`` whose bucket is frequent."""
+    if not sites:
+        return coded.sparkSession.createDataFrame([], _schema(k))
+    sent = bucket_filter(coded, k, sites, n, least, most_bits)
+
+    def finder(site):
+        def kernel(batches):
+            bits, packed = sent.value
             for batch in batches:
                 for ids in _ids(batch):
-                    state = advance(trie, codes_of(ids, trie[0]), k)
-                    on = accepts[state]
-                    at = np.flatnonzero(on[:len(ids) - 1])
-                    at = at[at + k < len(ids)]
-                    at = at[ids[at + k] > 0]
-                    # the last k words are in this wave, or may be in another one
-                    other = (ids[at + 1] <= low[0]) | (ids[at + 1] >= high[0])
-                    at = at[on[at + 1] | other]
-                    _, first = np.unique((state[at].astype(np.int64) << 32) | ids[at + k], return_index=True)
-                    yield _table([ids[at[first] + i] for i in range(k + 1)])
-
-        part = coded.mapInArrow(kernel, _schema(k + 1)).distinct()
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return coded.sparkSession.createDataFrame([], _schema(k + 1))
-    last = frequent.select(*[F.col(f"w{i}").alias(f"w{i + 1}") for i in range(k)])
-    return found.join(last, [f"w{i + 1}" for i in range(k)], "left_semi").select(*_names(k + 1))
-
-
-def count_phrases(coded: DataFrame, candidates: DataFrame, k: int, least: int, most: int) -> DataFrame:
+                    at = site(ids)
+                    h = bucket_of(ids, at, k, bits)
+                    at = at[(packed[h >> 3] >> (7 - (h & 7)).astype(np.uint8)) & 1 > 0]
+                    order = np.lexsort([ids[at + i] for i in range(k)])
+                    words = [ids[at[order] + i] for i in range(k)]
+                    new = np.ones(len(at), bool)
+                    new[1:] = reduce(np.logical_or, [w[1:] != w[:-1] for w in words])
+                    yield _table([w[new] for w in words])
+        return kernel
+    return reduce(DataFrame.unionByName, [coded.mapInArrow(finder(s), _schema(k)) for s in sites]).distinct()
+
+
+def known_ends(found: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
+    """Of phrases of ``k`` words those whose last ``k - 1`` are in ``frequent``."""
+    last = frequent.select(*[F.col(f"w{i}").alias(f"w{i + 1}") for i in range(k - 1)])
+    return found.join(last, [f"w{i + 1}" for i in range(k - 1)], "left_semi").select(*_names(k))
+
+
+def count_phrases(coded: DataFrame, phrases: DataFrame, k: int, least: int, most: int) -> DataFrame:
     """``(w0.., f)``: the candidates that occur ``least`` times or more, with how often, by one trie for each wave."""
     out = []
-    for rows in waves(candidates, k, most):
+    for rows in waves(phrases, k, most):
         sent = coded.sparkSession.sparkContext.broadcast((Trie(rows).arrays(), rows))
 
         def kernel(batches, sent=sent):
             trie, rows = sent.value
-            total = np.zeros(len(trie[1]), np.int64)
+            total = np.zeros(len(trie[3]), np.int64)
             for batch in batches:
                 for ids in _ids(batch):
-                    state = advance(trie, codes_of(ids, trie[0]), k)
-                    total += np.bincount(state[state != trie[4]], minlength=len(total))
-            f = total[trie[3]]
+                    state = advance(trie, ids, k)
+                    total += np.bincount(state[state < len(total) - 1], minlength=len(total))
+            f = total[trie[5]]
             yield _table(list(rows[f > 0].T), f[f > 0])
 
         sums = coded.mapInArrow(kernel, f"{_schema(k)}, f bigint").groupBy(*_names(k)).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
@@ -346,7 +367,7 @@ def _sub(freq: dict, phrases: DataFrame, k: int, lo: int, hi: int, name: str) ->
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 3, least: int = 10, top: int = 2000,
-                 share: int = 50, block_tokens: int = 3 << 18, trie_phrases: int = 1 << 21, bucket_bits: int = 27) -> DataFrame:
+                 share: int = 50, block_tokens: int = 3 << 18, trie_phrases: int = 1 << 20, bucket_bits: int = 27) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: the ``top`` phrases of every language.
 
     Texts are lower-cased (A-Z) and cut at ``[.,;:!?]`` and 0x0A-0x0D into pieces, those at spaces and tabs into words.
@@ -361,9 +382,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     words, coded, sizes = _encode(docs, text_col, F.coalesce(F.col(lang_col).cast("string"), F.lit("und")), least, block_tokens)
     freq = {1: words.select(F.col("id").alias("w0"), "f")}
     n_words = sizes.agg(F.sum("n")).first()[0] or 0
-    pairs = candidate_pairs(coded, bucket_filter(coded, n_words, least, bucket_bits))
     for k in range(2, max_words + 1):
-        freq[k] = count_phrases(coded, pairs if k == 2 else longer_candidates(coded, freq[k - 1], k - 1, trie_phrases), k, least, trie_phrases)
+        sites = [pair_sites] if k == 2 else longer_sites(coded, freq[k - 1], k - 1, trie_phrases)
+        found = candidates(coded, k, sites, n_words, least, bucket_bits)
+        freq[k] = count_phrases(coded, found if k == 2 else known_ends(found, freq[k - 1], k), k, least, trie_phrases)
     spelled = bounded(words.select("id", "lang", "word"))
     result = None
     for k in range(2, max_words + 1):

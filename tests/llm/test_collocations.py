@@ -22,18 +22,24 @@ def test_trie_counts_phrases(k):
     seen = Counter(zip(*[text[i:len(text) - k + 1 + i].tolist() for i in range(k)]))
     rows = np.array(sorted(p for p in seen if 0 not in p)[::2], np.int64)
     trie = co.Trie(rows).arrays()
-    state = co.advance(trie, co.codes_of(text, trie[0]), k)
-    n = np.bincount(state, minlength=len(trie[1]))[trie[3]]
+    n = np.bincount(co.advance(trie, text, k), minlength=len(trie[3]))[trie[5]]
     assert {tuple(r): int(c) for r, c in zip(rows.tolist(), n)} == {tuple(r): seen[tuple(r)] for r in rows.tolist()}
     wanted = set(map(tuple, rows.tolist()))
     assert sum(n) == sum(c for p, c in seen.items() if p in wanted)
-    assert len(np.unique(trie[3])) == len(rows)
+    assert len(np.unique(trie[5])) == len(rows)
+
+
+def test_trie_is_compact():
+    rng = np.random.default_rng(3)
+    rows = np.unique(np.minimum(rng.zipf(1.25, (200_000, 3)), 50_000), axis=0)
+    t = co.Trie(rows)
+    assert len(t.base) < 24 * len(rows)
 
 
 def test_trie_takes_short_texts():
     trie = co.Trie(np.array([[3, 4, 5]])).arrays()
     for n in range(4):
-        assert (co.advance(trie, co.codes_of(np.array([3, 4, 5, 9][:n], np.int32), trie[0]), 3) == trie[3][0]).sum() == (n == 3)
+        assert (co.advance(trie, np.array([3, 4, 5, 9][:n], np.int32), 3) == trie[5][0]).sum() == (n == 3)
 
 
 def by_hand(rows, max_words=3, least=10, top=2000, share=50):
