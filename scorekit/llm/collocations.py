@@ -25,6 +25,7 @@ from .common import UPPER, begin, bounded, bytes_of, shared_table
 from .lm import pack, unpack
 
 SEPARATORS = ".,;:!?\n\x0b\x0c\r"
+SIDE_BYTES = 4 << 20  # of a side that may be broadcast: a dozen joins do
 END = ord(",")  # a separator, so no word holds it
 # bytes to bytes: A-Z lower-cased, every separator as one and the same
 PIECE_TABLE = bytes(END if chr(c) in SEPARATORS else c + 32 if chr(c) in UPPER else c for c in range(256))
@@ -345,7 +346,7 @@ def _encode(docs, text_col, lang, least, block_tokens):
     number = (F.col("place") + F.create_map(*pairs)[F.col("part")]) if pairs else F.col("place")
     words = words.select(number.cast("int").alias("id"), "lang", "word", "f")
     places = blocks.select("block", "lang", F.posexplode("words").alias("at", "word"))
-    told = (places.join(bounded(words.select("lang", "word", "id")), ["lang", "word"]).groupBy("block")
+    told = (places.join(bounded(words.select("lang", "word", "id"), SIDE_BYTES), ["lang", "word"]).groupBy("block")
             .agg(F.collect_list(F.struct(F.col("at") + 1, "id").alias("told")).alias("told")))  # bounded by the block
 
     def encode(batches):
@@ -363,7 +364,7 @@ def _encode(docs, text_col, lang, least, block_tokens):
 def _sub(freq: dict, phrases: DataFrame, k: int, lo: int, hi: int, name: str) -> DataFrame:
     """``phrases`` with the count of its words ``lo`` .. ``hi`` as ``name``."""
     part = freq[hi - lo].select(*[F.col(f"w{i}").alias(f"w{i + lo}") for i in range(hi - lo)], F.col("f").alias(name))
-    return phrases.join(bounded(part), [f"w{i}" for i in range(lo, hi)])
+    return phrases.join(bounded(part, SIDE_BYTES), [f"w{i}" for i in range(lo, hi)])
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 3, least: int = 10, top: int = 2000,
@@ -386,7 +387,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         sites = [pair_sites] if k == 2 else longer_sites(coded, freq[k - 1], k - 1, trie_phrases)
         found = candidates(coded, k, sites, n_words, least, bucket_bits)
         freq[k] = count_phrases(coded, found if k == 2 else known_ends(found, freq[k - 1], k), k, least, trie_phrases)
-    spelled = bounded(words.select("id", "lang", "word"))
+    spelled = bounded(words.select("id", "lang", "word"), SIDE_BYTES)
     result = None
     for k in range(2, max_words + 1):
         p = freq[k].withColumnRenamed("f", "a")
@@ -404,7 +405,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
             p = p.join(spelled.select(F.col("id").alias(f"w{i}"), F.col("word").alias(f"s{i}"), *(["lang"] if i == 0 else [])), f"w{i}")
         p = p.select("lang", F.concat_ws(" ", *[f"s{i}" for i in range(k)]).alias("phrase"), "a", "l", "r", "score")
         result = p if result is None else result.unionByName(p)
-    return _ranked(result, top).join(bounded(sizes), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return _ranked(result, top).join(bounded(sizes, SIDE_BYTES), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def _ranked(scored: DataFrame, top: int) -> DataFrame:
@@ -416,7 +417,7 @@ def _ranked(scored: DataFrame, top: int) -> DataFrame:
     before = F.sum("rows").over(W.partitionBy("lang").orderBy("part")) - F.col("rows")
     shift = counted.withColumn("before", before).where(F.col("before") < top).drop("rows")
     place = F.row_number().over(W.partitionBy("lang", "part", "before").orderBy(*order)).cast("bigint")
-    return placed.join(bounded(shift), ["lang", "part"]).withColumn("rank", place + F.col("before")).where(F.col("rank") <= top)
+    return placed.join(bounded(shift, SIDE_BYTES), ["lang", "part"]).withColumn("rank", place + F.col("before")).where(F.col("rank") <= top)
 
 
 def _floor_score(a, left, right):
