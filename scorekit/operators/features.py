@@ -132,10 +132,10 @@ class Dummies:
 class DummyEncoder:
     """levels seen at fit (sorted); indicator per level except the first.
 
-    Levels come back to the driver (they become column names), so a column with more than
-    ``max_levels`` distinct values is refused instead of collected."""
+    Levels come back to the driver (they become column names), so the caller says how many are at most expected:
+    a column with more than ``max_levels`` distinct values is refused with an error instead of collected."""
 
-    def __init__(self, cols, max_levels: int = 1000):
+    def __init__(self, cols, max_levels: int):
         self.cols, self.max_levels = list(cols), max_levels
 
     def fit(self, df: DataFrame) -> Dummies:
@@ -223,6 +223,55 @@ class FittedLookups:
         return out
 
 
+class OrderedTargetEncoder:
+    """Per category the label's mean over the rows before a row, in the order of ``md5(seed:id)``, drawn to the overall
+    mean by ``smoothing`` rows of it: ``(sum + smoothing * mean) / (n + smoothing)``. A null category is one of its own. The running sums
+    are the bucketed prefix sum per category, so a category that holds most rows is not one task."""
+
+    def __init__(self, cols, label_col: str, id_col: str, seed=42, smoothing: float = 1.0):
+        self.cols, self.label_col, self.id_col, self.seed, self.smoothing = list(cols), label_col, id_col, seed, float(smoothing)
+
+    def _mean(self, df: DataFrame) -> float:
+        return df.agg(F.avg(col(self.label_col).cast("double"))).first()[0] or 0.0
+
+    def _drawn(self, total, n, mean: float):
+        return (F.coalesce(total, F.lit(0.0)) + self.smoothing * mean) / F.when(F.coalesce(n, F.lit(0)) + self.smoothing > 0, F.coalesce(n, F.lit(0)) + self.smoothing)
+
+    def fit_transform(self, df: DataFrame) -> DataFrame:
+        """Training rows with ``<col>_ordered_mean``; rows without a label are not counted."""
+        from .order import hash_key, prefix_sum
+        mean = self._mean(df)
+        digest, number = hash_key(self.id_col, self.seed)
+        y = col(self.label_col).cast("double")
+        out = df.select("*", digest.alias("_ord_md5"), number.alias("_ord_num"), F.coalesce(y, F.lit(0.0)).alias("_ord_y"), y.isNotNull().cast("int").alias("_ord_one"))
+        for c in self.cols:
+            out = prefix_sum(out, "_ord_num", ["_ord_y", "_ord_one"], part_cols=[c], tie_cols=["_ord_md5", self.id_col], inclusive=False, prefix="_before")
+            out = out.withColumn(f"{c}_ordered_mean", F.coalesce(self._drawn(F.col("_before_ord_y"), F.col("_before_ord_one"), mean), F.lit(mean)))
+            out = out.drop("_before_ord_y", "_before_ord_one")
+        return out.drop("_ord_md5", "_ord_num", "_ord_y", "_ord_one")
+
+    def fit(self, df: DataFrame) -> "FittedOrdered":
+        """Statistics over all training rows, for scoring frames."""
+        mean, y = self._mean(df), col(self.label_col).cast("double")
+        tables = {c: df.where(y.isNotNull()).groupBy(col(c).alias("_v")).agg(F.sum(y).alias("_s"), F.count(F.lit(1)).alias("_n"))
+                  .select("_v", self._drawn(F.col("_s"), F.col("_n"), mean).alias(f"{c}_ordered_mean")) for c in self.cols}
+        return FittedOrdered(tables, mean)
+
+
+@dataclass
+class FittedOrdered:
+    tables: dict
+    mean: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Rows with ``<col>_ordered_mean``, the overall mean for an unseen category."""
+        out = df
+        for c, t in self.tables.items():
+            out = sized_join(out, t, col(c).eqNullSafe(F.col("_v"))).drop("_v")
+            out = out.withColumn(f"{c}_ordered_mean", F.coalesce(F.col(f"{c}_ordered_mean"), F.lit(self.mean)))
+        return out
+
+
 # --- F38, F39: deviations from training means -------------------------------------------
 
 @dataclass

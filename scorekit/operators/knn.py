@@ -1,11 +1,10 @@
 """k-nearest-neighbour operators: exact k-NN join and vote (J7, M9) and the k-NN mutual
 information estimator for a continuous feature against a class (A14).
 
-k-NN join. The query side is cut into blocks of at most ``block_rows`` rows (hash rank on the id,
-so a block's size is bounded by construction). Each block is broadcast once and every base
-partition keeps, per query, a running top k over its batches (numpy inside ``mapInPandas``;
-pairs are never materialised as rows, the base side is never collected). Candidates of all
-partitions are merged by a ``row_number`` per query: at most k x partitions rows per query.
+k-NN join. Both sides are dealt into packed cells of bounded size; every query cell meets every base
+cell in a co-grouped task (numpy; pairs are never rows), and the best k of the cells' candidates are
+merged by a ``row_number`` per query. Nothing of either side reaches the driver. ``knn_pruned`` visits only the
+cells around pivots that the triangle inequality leaves; ``knn_approx`` only buckets of random projections.
 
 Mutual information (Ross 2014, the estimator behind the reference's selection). In one dimension
 the k nearest neighbours of a value inside its class are among the k distinct values before and
@@ -18,17 +17,16 @@ bucketed prefix sum over data values and query bounds together, never a range jo
 from __future__ import annotations
 
 import math
-import uuid
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, ensure_checkpoint_dir, guard_union_partitioning, keep
+from ..session import cut_lineage, guard_union_partitioning, keep
 from .joins import sized_join
-from .order import add_group_value_bucket, hash_rank, prefix_sum, session_bucket_rows
+from .order import add_group_value_bucket, prefix_sum, session_bucket_rows
 from .stats import to_long
 
 METRICS = ("euclidean", "manhattan", "minkowski", "cosine")
@@ -61,95 +59,308 @@ def _exact_euclidean(qv: np.ndarray, bv: np.ndarray) -> np.ndarray:
     return np.sqrt(((qv - bv) ** 2).sum(1))
 
 
+def nearest_rows(q_vec: np.ndarray, b_id: np.ndarray, b_vec: np.ndarray, k: int, metric: str, p: float, cells: int = 1 << 22) -> tuple:
+    """For each query the ``k`` nearest base rows: distances and places in ``b_id``, padded with infinity; ties by base id.
+    The distance matrix is made in pieces of at most ``cells`` entries."""
+    nq, nb = len(q_vec), len(b_id)
+    best_d, best_b = np.full((nq, k), np.inf), np.zeros((nq, k), np.int64)
+    step_b = max(1, min(nb, cells // 256))
+    step_q = max(1, cells // step_b)
+    for s in range(0, nq, step_q):
+        sl = slice(s, s + step_q)
+        for at in range(0, nb, step_b):
+            part = b_vec[at:at + step_b]
+            d = _distances(q_vec[sl], part, metric, p)
+            if metric == "euclidean":  # re-measure directly: the BLAS form rounds differently
+                kk = min(k, d.shape[1])
+                thr = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+                rr, cc = np.nonzero(d <= (thr + 1e-9 * (1.0 + thr))[:, None])
+                d = np.full(d.shape, np.inf)
+                d[rr, cc] = _exact_euclidean(q_vec[sl][rr], part[cc])
+            # merge the running best with this piece: distance, then base id
+            all_d = np.concatenate([best_d[sl], d], axis=1)
+            all_b = np.concatenate([best_b[sl], np.broadcast_to(np.arange(at, at + d.shape[1]), d.shape)], axis=1)
+            order = np.lexsort((b_id[all_b], all_d), axis=1)[:, :k]
+            rows = np.arange(len(order))[:, None]
+            best_d[sl], best_b[sl] = all_d[rows, order], all_b[rows, order]
+    return best_d, best_b
+
+
+def _packed(rows: DataFrame, cells: int, id_col: str, vec_col: str, label_col: str | None, salt: int) -> DataFrame:
+    """``(cell, ids, vecs, labels)``: the rows dealt to ``cells`` by hash of the id, each partition's share of a cell in one row."""
+    src = rows.select(F.pmod(F.xxhash64(F.lit(salt), F.col(id_col)), F.lit(cells)).alias("cell"), F.col(id_col).cast("bigint").alias("id"),
+                      F.col(vec_col).cast("array<double>").alias("vec"), (F.col(label_col) if label_col else F.lit(0)).cast("bigint").alias("label"))
+    src = src.where("vec is not null")
+
+    def kernel(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cell, ids, labels = (np.asarray(b.column(k)) for k in (0, 1, 3))
+            vecs = np.asarray(b.column(2).flatten()).reshape(len(ids), -1)
+            for c in np.unique(cell):
+                own = cell == c
+                yield pa.RecordBatch.from_arrays([pa.array([int(c)], pa.int64()), pa.array([ids[own].tobytes()], pa.binary()), pa.array([vecs[own].tobytes()], pa.binary()),
+                                                  pa.array([labels[own].tobytes()], pa.binary())], names=["cell", "ids", "vecs", "labels"])
+    return src.mapInArrow(kernel, "cell bigint, ids binary, vecs binary, labels binary")
+
+
+def _unpacked(table: pa.Table) -> tuple:
+    """Ids, vectors and labels of packed rows, in order of the id."""
+    ids, labels = (np.concatenate([np.frombuffer(x, np.int64) for x in table[c].to_pylist()]) for c in ("ids", "labels"))
+    vecs = np.concatenate([np.frombuffer(x, np.float64) for x in table["vecs"].to_pylist()]).reshape(len(ids), -1)
+    order = np.argsort(ids, kind="stable")
+    return ids[order], vecs[order], labels[order]
+
+
+FOUND = "qid bigint, bid bigint, distance double, label bigint"
+
+
+def _found(qid, bid, distance, label) -> pa.Table:
+    return pa.table({"qid": pa.array(qid, pa.int64()), "bid": pa.array(bid, pa.int64()), "distance": pa.array(distance, pa.float64()),
+                     "label": pa.array(label, pa.int64())})
+
+
+def _merged(found: DataFrame, k: int, label_col: str | None) -> DataFrame:
+    """The best ``k`` of every query's candidates: ``(qid, bid, distance[, label], rank)``."""
+    w = Window.partitionBy("qid").orderBy("distance", "bid")
+    out = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return out if label_col else out.drop("label")
+
+
 def knn_join(queries: DataFrame, base: DataFrame, k: int, metric: str = "euclidean", p: float = 3.0,
              id_col: str = "id", vec_col: str = "embedding", label_col: str | None = "label",
-             block_rows: int = 20_000, query_chunk: int = 1024) -> DataFrame:
-    """The k nearest base rows of every query row (ties by base id).
+             block_rows: int | None = None, cell_bytes: int = 64 << 20) -> DataFrame:
+    """The k nearest base rows of every query row (ties by base id), exact.
 
-    The query side is cut into blocks of at most ``block_rows`` rows (hash rank on the id, so a
-    block's size is bounded by construction); each block is broadcast once and every base
-    partition keeps a running top-k per query over its Arrow batches (numpy), emitting k rows per
-    query and partition. The base side is scanned in place and never collected. With several blocks
-    each is a job of its own, so the driver holds one block however many queries there are. A window
-    per query then keeps the best k of at most k x partitions candidates.
+    Both sides are dealt by hash of the id into cells of about ``cell_bytes`` (queries of at most about ``block_rows`` rows) and packed,
+    one row for each cell and partition. Every query cell meets every base cell in one co-grouped task, which returns k rows for each
+    query; a window per query keeps the best k of at most k x base cells. No row of either side reaches the driver, and a
+    task holds two cells, however many rows there are. Shuffled: queries x base cells + base x query cells.
 
     Returns ``(qid, rank, bid, distance[, label])``."""
     spark = queries.sparkSession
     guard_union_partitioning(spark)
-    n_q = queries.count()
-    n_blocks = max(1, math.ceil(n_q / block_rows))
-    if n_blocks > 1:
-        ranked = hash_rank(queries.select(id_col, vec_col), id_col, "knn", out_col="_r")
-        blocked = ranked.withColumn("_blk", ((F.col("_r") - 1) % n_blocks).cast("int")).drop("_r")
-    else:
-        blocked = queries.select(id_col, vec_col).withColumn("_blk", F.lit(0))
-    out_schema = "qid long, bid long, distance double" + (", label long" if label_col else "")
-    bcols = [id_col, vec_col] + ([label_col] if label_col else [])
-    parts = []
-    for b in range(n_blocks):
-        rows = blocked.where(F.col("_blk") == b).collect()  # at most block_rows query rows
-        if not rows:
-            continue
-        qids = np.array([r[id_col] for r in rows], dtype=np.int64)
-        qvec = np.array([r[vec_col] for r in rows], dtype=np.float64)
-        bc = spark.sparkContext.broadcast((qids, qvec))
-
-        def topk(it, bc=bc):
-            q_id, q_vec = bc.value
-            nq = len(q_id)
-            best_d = np.full((nq, k), np.inf)
-            best_b = np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
-            best_l = np.zeros((nq, k), dtype=np.int64)
-            seen = False
-            for pdf in it:
-                if len(pdf) == 0:
-                    continue
-                seen = True
-                b_id = pdf[id_col].to_numpy().astype(np.int64)
-                b_vec = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-                b_lab = pdf[label_col].to_numpy().astype(np.int64) if label_col else np.zeros(len(b_id), np.int64)
-                for s0 in range(0, nq, query_chunk):
-                    sl = slice(s0, s0 + query_chunk)
-                    d = _distances(q_vec[sl], b_vec, metric, p)
-                    if metric == "euclidean":  # re-measure directly: the BLAS form rounds differently
-                        kk = min(k, d.shape[1])
-                        cand = np.argpartition(d, kk - 1, axis=1)[:, :kk] if kk < d.shape[1] else \
-                            np.tile(np.arange(d.shape[1]), (d.shape[0], 1))
-                        thr = d[np.arange(d.shape[0])[:, None], cand].max(1)
-                        mask = d <= (thr + 1e-9 * (1.0 + thr))[:, None]
-                        rr, cc = np.nonzero(mask)
-                        exact = np.full(d.shape, np.inf)
-                        exact[rr, cc] = _exact_euclidean(q_vec[sl][rr], b_vec[cc])
-                        d = exact
-                    # merge the running best with this batch: distance, then base id
-                    all_d = np.concatenate([best_d[sl], d], axis=1)
-                    all_b = np.concatenate([best_b[sl], np.broadcast_to(b_id, d.shape)], axis=1)
-                    all_l = np.concatenate([best_l[sl], np.broadcast_to(b_lab, d.shape)], axis=1)
-                    order = np.lexsort((all_b, all_d), axis=1)[:, :k]
-                    rows_ix = np.arange(order.shape[0])[:, None]
-                    best_d[sl], best_b[sl], best_l[sl] = all_d[rows_ix, order], all_b[rows_ix, order], all_l[rows_ix, order]
-            if not seen:
-                return
-            keep = np.isfinite(best_d)
-            qq = np.broadcast_to(q_id[:, None], best_d.shape)
-            res = {"qid": qq[keep], "bid": best_b[keep], "distance": best_d[keep]}
-            if label_col:
-                res["label"] = best_l[keep]
-            yield pd.DataFrame(res)
-
-        # the literal makes every (block, k, metric) plan distinct, so no exchange or subplan of
-        # one variant is reused for another (Python functions do not take part in plan equality)
-        tagged = base.select(*bcols, F.lit(f"{metric}:{k}:{p}:{b}").alias("_variant"))
-        part = tagged.mapInPandas(topk, out_schema)
-        if n_blocks > 1:  # one block at a time: its result is written and its broadcast dropped
-            path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/knn-{uuid.uuid4().hex}"
-            part.write.parquet(path)
-            bc.destroy()
-            part = spark.read.parquet(path)
-        parts.append(part)
-    cand = reduce(DataFrame.unionByName, parts)
-    w = Window.partitionBy("qid").orderBy("distance", "bid")  # <= k x base partitions rows per query
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    n_q, n_b = queries.count(), base.count()
+    width = 8 * ((base.select(F.size(vec_col)).where(F.col(vec_col).isNotNull()).first() or [1])[0] + 2)
+    at_once = max(1, cell_bytes // width)
+    q_cells = max(1, math.ceil(n_q / min(at_once, block_rows or at_once)))
+    # few rows still go to as many tasks as the session has cores
+    b_cells = max(1, math.ceil(n_b / at_once), min(math.ceil(spark.sparkContext.defaultParallelism / q_cells), n_b // 256))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    left = _packed(queries, q_cells, id_col, vec_col, None, 1).withColumnRenamed("cell", "q_cell").withColumn("b_cell", each(b_cells))
+    right = _packed(base, b_cells, id_col, vec_col, label_col, 2).withColumnRenamed("cell", "b_cell").withColumn("q_cell", each(q_cells))
+
+    def meet(lt: pa.Table, rt: pa.Table) -> pa.Table:
+        if not lt.num_rows or not rt.num_rows:
+            return _found([], [], [], [])
+        (q_id, q_vec, _), (b_id, b_vec, b_lab) = _unpacked(lt), _unpacked(rt)
+        d, at = nearest_rows(q_vec, b_id, b_vec, k, metric, p)
+        ok = np.isfinite(d)
+        return _found(np.broadcast_to(q_id[:, None], d.shape)[ok], b_id[at[ok]], d[ok], b_lab[at[ok]])
+
+    # the literal makes every (k, metric) plan distinct, so no subplan of one variant is reused for another
+    # (Python functions do not take part in plan equality)
+    tag = F.lit(f"{metric}:{k}:{p}")
+    found = (left.withColumn("tag", tag).groupBy("tag", "q_cell", "b_cell").cogroup(right.withColumn("tag", tag).groupBy("tag", "q_cell", "b_cell"))
+             .applyInArrow(meet, FOUND))
+    return _merged(found, k, label_col)
+
+
+# --- J7 at scale: exact with pruning, and approximate ------------------------------------------
+
+def _pivots(base: DataFrame, n: int, id_col: str, vec_col: str, seed: int) -> np.ndarray:
+    """At most ``n`` base vectors, the first by hash of the id."""
+    rows = base.where(F.col(vec_col).isNotNull()).orderBy(F.xxhash64(F.lit(seed), F.col(id_col)), F.col(id_col)).limit(n).select(F.col(vec_col).cast("array<double>")).collect()
+    return np.array([r[0] for r in rows], np.float64)
+
+
+def _vectors(b: pa.RecordBatch, name: str = "vec") -> np.ndarray:
+    return np.asarray(b.column(b.schema.get_field_index(name)).flatten(), np.float64).reshape(b.num_rows, -1)
+
+
+def knn_pruned(queries: DataFrame, base: DataFrame, k: int, metric: str = "euclidean", p: float = 3.0, id_col: str = "id",
+               vec_col: str = "embedding", label_col: str | None = "label", pivots: int = 64, cell_rows: int = 50_000, seed: int = 42) -> tuple:
+    """J7, exact, with pruning by the triangle inequality (not for cosine): ``(neighbours, counts)``.
+
+    Base rows belong to the nearest of ``pivots`` sample rows and keep their distance from it; a cell keeps its largest and its k
+    smallest distances. Those give each query an upper bound of its k-th distance, so it visits only cells that the
+    bound reaches, and there only rows whose distance from the pivot is within the bound of its own. Cells with over
+    ``cell_rows`` rows are split by hash. ``counts(qid, measured)`` says how many distances were computed for each query,
+    those to the pivots included."""
+    if metric not in ("euclidean", "manhattan", "minkowski"):
+        raise ValueError(metric)
+    guard_union_partitioning(base.sparkSession)
+    pv = _pivots(base, pivots, id_col, vec_col, seed)
+    n_dim = pv.shape[1] if len(pv) else 0
+
+    def exact(a, b):
+        d = _distances(a, b, metric, p)
+        return np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(2)) if metric == "euclidean" and a.shape[0] * b.size <= 1 << 22 else d
+
+    def assign(batches):
+        for b in batches:
+            v = _vectors(b)
+            if not len(v):
+                continue
+            for s in range(0, len(v), 1024):
+                d = exact(v[s:s + 1024], pv)
+                near = d.argmin(axis=1)
+                part = b.slice(s, 1024)
+                yield pa.RecordBatch.from_arrays([pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(near)), near]), *part.columns], names=["cell", "far", "id", "vec", "label"])
+
+    rows = base.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"),
+                                                         (F.col(label_col) if label_col else F.lit(0)).cast("bigint").alias("label"))
+    placed = cut_lineage(rows.mapInArrow(assign, "cell int, far double, id bigint, vec array<double>, label bigint"))
+    low = Window.partitionBy("cell", "part").orderBy("far")
+    small = (placed.select("cell", "far", F.spark_partition_id().alias("part")).withColumn("at", F.row_number().over(low)).where(F.col("at") <= k)
+             .groupBy("cell").agg(F.slice(F.array_sort(F.collect_list("far")), 1, k).alias("small")))  # at most k for each partition
+    cells = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("radius")).join(small, "cell").collect()}  # a row for each pivot
+    radius = np.array([cells[c]["radius"] if c in cells else -np.inf for c in range(len(pv))])
+    small_d = np.full((len(pv), k), np.inf)
+    for c, r in cells.items():
+        small_d[c, :len(r["small"])] = r["small"]
+    parts = np.array([math.ceil(cells[c]["n"] / cell_rows) if c in cells else 0 for c in range(len(pv))], np.int64)
+    slack = 1 + 1e-9
+
+    def visit(batches):
+        for b in batches:
+            whole = _vectors(b)
+            ids = np.asarray(b.column(0))
+            for s in range(0, len(whole), 256):
+                v = whole[s:s + 256]
+                d = exact(v, pv)
+                reach = np.partition((d[:, :, None] + small_d[None]).reshape(len(v), -1), k - 1, axis=1)[:, k - 1] * slack
+                # nothing in a cell is nearer than its ring allows, nor than half of what its pivot is farther than the nearest one
+                nearest = np.maximum(np.maximum(d - radius[None], small_d[None, :, 0] - d), (d - d.min(axis=1)[:, None]) / 2) / slack
+                row, cell = np.nonzero((nearest <= reach[:, None]) & (parts > 0)[None])
+                again = np.repeat(np.arange(len(row)), parts[cell])
+                sub = np.arange(len(again)) - np.repeat(np.cumsum(parts[cell]) - parts[cell], parts[cell])
+                row, cell = row[again], cell[again]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell.astype(np.int32)), pa.array(sub.astype(np.int64)), pa.array(ids[s + row]), pa.array(d[row, cell]), pa.array(reach[row]),
+                     pa.ListArray.from_arrays(np.arange(len(row) + 1, dtype=np.int32) * n_dim, v[row].ravel())], names=["cell", "sub", "id", "far", "reach", "vec"])
+
+    asked = queries.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    visits = asked.mapInArrow(visit, "cell int, sub bigint, id bigint, far double, reach double, vec array<double>")
+    split = F.create_map(*[F.lit(int(x)) for c, n in enumerate(parts) for x in (c, n)])[F.col("cell")] if len(pv) else F.lit(1)
+    held = placed.withColumn("sub", F.pmod(F.xxhash64("id"), split.cast("bigint")))
+
+    def meet(lt: pa.Table, rt: pa.Table) -> pa.Table:
+        empty = _found([], [], [], []).append_column("measured", pa.array([], pa.int64()))
+        if not lt.num_rows or not rt.num_rows:
+            return empty
+        rt = rt.sort_by([("far", "ascending"), ("id", "ascending")])
+        far, b_id, b_lab = (rt[c].to_numpy() for c in ("far", "id", "label"))
+        b_vec = rt["vec"].combine_chunks().flatten().to_numpy().reshape(len(b_id), -1)
+        q_id, q_far, reach = (lt[c].to_numpy() for c in ("id", "far", "reach"))
+        q_vec = lt["vec"].combine_chunks().flatten().to_numpy().reshape(len(q_id), -1)
+        lo, hi = np.searchsorted(far, (q_far - reach) / slack - 1e-12), np.searchsorted(far, (q_far + reach) * slack + 1e-12, "right")
+        out = []
+        for j in range(len(q_id)):
+            own = slice(lo[j], hi[j])
+            if lo[j] < hi[j]:
+                d, at = nearest_rows(q_vec[j:j + 1], b_id[own], b_vec[own], k, metric, p)
+                ok = np.isfinite(d[0])
+                out.append((np.full(ok.sum(), q_id[j]), b_id[own][at[0][ok]], d[0][ok], b_lab[own][at[0][ok]], np.r_[hi[j] - lo[j], np.zeros(max(0, ok.sum() - 1))][:ok.sum()]))
+        if not out:
+            return empty
+        cols = [np.concatenate([x[c] for x in out]) for c in range(5)]
+        return _found(*cols[:4]).append_column("measured", pa.array(cols[4].astype(np.int64)))
+
+    found = cut_lineage(visits.groupBy("cell", "sub").cogroup(held.groupBy("cell", "sub")).applyInArrow(meet, FOUND + ", measured bigint"))
+    counts = found.groupBy("qid").agg((F.sum("measured") + len(pv)).alias("measured"))
+    return _merged(found.drop("measured"), k, label_col), counts
+
+
+def _planes(n_dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).normal(size=(tables, bits, n_dim))
+
+
+def knn_approx(queries: DataFrame, base: DataFrame, k: int, metric: str = "euclidean", p: float = 3.0, id_col: str = "id", vec_col: str = "embedding",
+               label_col: str | None = "label", tables: int = 8, probes: int = 6, bucket_rows: int = 1_000, cell_rows: int = 20_000, seed: int = 42) -> DataFrame:
+    """J7, approximate: random-projection buckets, exact re-rank of what they hold.
+
+    Vectors are taken relative to the base's mean; the signs of ``bits`` random projections name a bucket, ``bits`` such that a bucket has about
+    ``bucket_rows`` rows, in ``tables`` independent tables. A query looks into its own bucket of each table and the
+    ``probes`` next ones, those that differ where its projections are closest to 0. Distances are exact; a bucket with over ``cell_rows``
+    rows is split by hash, and the query goes to every part. Raise ``tables`` and ``probes`` for more recall."""
+    spark = base.sparkSession
+    guard_union_partitioning(spark)
+    rows = base.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"),
+                                                         (F.col(label_col) if label_col else F.lit(0)).cast("bigint").alias("label"))
+    asked = queries.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+
+    def sums(batches):
+        total, n = None, 0
+        for b in batches:
+            v = _vectors(b)
+            if len(v):
+                total, n = v.sum(axis=0) + (0 if total is None else total), n + len(v)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64())), pa.array([n], pa.int64())], names=["total", "n"])
+
+    got = rows.select("vec").mapInArrow(sums, "total array<double>, n bigint").collect()  # one row for each partition
+    n_b = sum(r["n"] for r in got)
+    if not n_b:
+        return _merged(spark.createDataFrame([], FOUND), k, label_col)
+    mean = np.sum([r["total"] for r in got], axis=0) / n_b
+    bits = max(0, math.ceil(math.log2(max(1, n_b / bucket_rows))))
+    planes = _planes(len(mean), tables, bits, seed)
+    flips = min(probes, 2**bits - 1)
+
+    def keys(v: np.ndarray, more: int):
+        """For each table the own bucket and ``more`` others of every vector, nearest planes flipped first."""
+        for t in range(tables):
+            x = (v - mean) @ planes[t].T
+            own = ((x > 0) * (1 << np.arange(bits))).sum(axis=1).astype(np.int64)
+            out = [own]
+            if more:
+                order = np.argsort(np.abs(x), axis=1)
+                cost = np.sort(np.abs(x), axis=1)
+                near = min(bits, 6)  # sets of flips among the six closest planes, cheapest first
+                sets = np.arange(1, 1 << near)
+                member = (sets[:, None] >> np.arange(near)) & 1
+                price = cost[:, :near] ** 2 @ member.T
+                for j in np.argsort(price, axis=1)[:, :more].T:
+                    mask = (member[j] * (1 << order[:, :near])).sum(axis=1)
+                    out.append(own ^ mask)
+            yield t, np.stack(out, axis=1)
+
+    def deal(batches):
+        for b in batches:
+            if b.num_rows:
+                for t, own in keys(_vectors(b), 0):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), t, np.int32)), pa.array(own[:, 0]), *b.columns], names=["t", "bucket", "id", "vec", "label"])
+
+    def ask(batches):
+        for b in batches:
+            if b.num_rows:
+                for t, own in keys(_vectors(b), flips):
+                    again = np.repeat(np.arange(b.num_rows), own.shape[1])
+                    part = b.take(pa.array(again))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(again), t, np.int32)), pa.array(own.ravel()), *part.columns], names=["t", "bucket", "id", "vec"])
+
+    dealt = rows.mapInArrow(deal, "t int, bucket bigint, id bigint, vec array<double>, label bigint")
+    sizes = keep(dealt.groupBy("t", "bucket").agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("bigint").alias("parts")))
+    held = sized_join(dealt, sizes, ["t", "bucket"], "inner").withColumn("sub", F.pmod(F.xxhash64("id"), F.col("parts")))
+    visits = sized_join(asked.mapInArrow(ask, "t int, bucket bigint, id bigint, vec array<double>"),
+                        sizes.select("t", "bucket", F.col("parts").alias("among")), ["t", "bucket"], "inner")
+    visits = visits.withColumn("sub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("among") - 1)))
+
+    def meet(lt: pa.Table, rt: pa.Table) -> pa.Table:
+        if not lt.num_rows or not rt.num_rows:
+            return _found([], [], [], [])
+        rt = rt.sort_by("id")
+        q_id, b_id, b_lab = lt["id"].to_numpy(), rt["id"].to_numpy(), rt["label"].to_numpy()
+        q_vec, b_vec = (t["vec"].combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1) for t in (lt, rt))
+        d, at = nearest_rows(q_vec, b_id, b_vec, k, metric, p)
+        ok = np.isfinite(d)
+        return _found(np.broadcast_to(q_id[:, None], d.shape)[ok], b_id[at[ok]], d[ok], b_lab[at[ok]])
+
+    cols = ("t", "bucket", "sub")
+    found = visits.groupBy(*cols).cogroup(held.groupBy(*cols)).applyInArrow(meet, FOUND)
+    return _merged(found.dropDuplicates(["qid", "bid"]), k, label_col)
 
 
 def knn_vote(neighbours: DataFrame) -> DataFrame:

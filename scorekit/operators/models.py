@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .calibration import apply_calibration, calibrate_isotonic  # noqa: F401  (B15)
 from .crossfit import positive_prob
 from .features import assemble
 from .order import argmax_row
@@ -109,54 +110,33 @@ def perceptron(layers, max_iter=100, seed=42, label_col="label", block_size=128)
 
 
 class CategoricalBoosting:
-    """Categorical-aware boosting. Category columns with at most ``max_levels`` counted levels are
-    indexed, with as many bins as the widest of them needs, so the trees split on categories; wider ones
-    become the training mean of the label per level (F37), a table that is joined, never collected.
-    Numeric nulls take the training median; a null or unseen category is a level of its own."""
+    """Categorical-aware boosting. Every category column becomes its ordered target statistics (the label's mean over
+    earlier rows of the category, in a seeded hash order of the id), so no row sees its own label, however many levels there are;
+    scoring rows get the mean over all training rows. Numeric gaps are missing values of the trees. Trees are of second order."""
 
-    def __init__(self, cat_cols, num_cols, max_levels: int = 256, max_iter=100, max_depth=5, label_col="label", seed=42):
-        self.cat_cols, self.num_cols, self.max_levels, self.label_col = list(cat_cols), list(num_cols), max_levels, label_col
-        self.kw = dict(maxIter=max_iter, maxDepth=max_depth, labelCol=label_col, featuresCol="features", seed=seed)
+    def __init__(self, cat_cols, num_cols, max_iter=100, max_depth=5, label_col="label", seed=42, id_col="id", smoothing: float = 1.0, **boosting):
+        self.cat_cols, self.num_cols, self.label_col, self.id_col, self.seed, self.smoothing = list(cat_cols), list(num_cols), label_col, id_col, seed, smoothing
+        self.boosting = dict(rounds=max_iter, depth=max_depth, label_col=label_col, id_col=id_col, seed=seed, **boosting)
 
     def fit(self, df: DataFrame) -> "FittedCategorical":
-        from pyspark.ml import Pipeline
-        from pyspark.ml.feature import StringIndexer
-        from .features import TargetStatEncoder, fit_fill
-        levels = {c: df.select(c).distinct().limit(self.max_levels + 1).count() for c in self.cat_cols}
-        narrow = [c for c, n in levels.items() if n <= self.max_levels]
-        wide = [c for c in self.cat_cols if c not in narrow]
-        encoder = TargetStatEncoder(wide, self.label_col).fit(df) if wide else None
-        fill = fit_fill(df, self.num_cols)
-        bins = max([32, *(levels[c] + 2 for c in narrow)])
-        stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in narrow]
-        indexer = Pipeline(stages=stages).fit(df) if stages else None
-        m = FittedCategorical(self.num_cols, narrow, wide, encoder, fill, indexer)
-        m.model = GBTClassifier(maxBins=bins, **self.kw).fit(m.assemble(df))
-        return m
+        from .boosting import GradientBoosting
+        from .features import OrderedTargetEncoder
+        encoder = OrderedTargetEncoder(self.cat_cols, self.label_col, self.id_col, self.seed, self.smoothing)
+        cols = [*self.num_cols, *(f"{c}_ordered_mean" for c in self.cat_cols)]
+        return FittedCategorical(encoder.fit(df), GradientBoosting(feature_cols=cols, **self.boosting).fit(encoder.fit_transform(df)))
 
 
 class FittedCategorical:
-    def __init__(self, num_cols, narrow, wide, encoder, fill, indexer):
-        self.num_cols, self.narrow, self.wide, self.encoder, self.fill, self.indexer = num_cols, narrow, wide, encoder, fill, indexer
-        self.model = None
-
-    def assemble(self, df: DataFrame) -> DataFrame:
-        from pyspark.ml.feature import VectorAssembler
-        from .features import filled
-        out = self.indexer.transform(df) if self.indexer else df
-        out = self.encoder.transform(out) if self.encoder else out
-        tmp = [f"{c}__num" for c in self.num_cols]
-        out = out.select("*", *[filled(c, self.fill).alias(t) for c, t in zip(self.num_cols, tmp)])
-        cols = [*tmp, *(f"{c}__idx" for c in self.narrow), *(f"{c}_target_mean" for c in self.wide)]
-        return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error").transform(out)
+    def __init__(self, encoder, model):
+        self.encoder, self.model = encoder, model
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(self.assemble(df))
+        return self.model.transform(self.encoder.transform(df))
 
 
-def boosted_categorical(cat_cols, max_iter=100, max_depth=5, label_col="label", seed=42, max_levels: int = 256):
+def boosted_categorical(cat_cols, max_iter=100, max_depth=5, label_col="label", seed=42, **more):
     """M15 factory: ``make(num_cols)`` gives an estimator over raw columns."""
-    return lambda num_cols: CategoricalBoosting(cat_cols, num_cols, max_levels, max_iter, max_depth, label_col, seed)
+    return lambda num_cols: CategoricalBoosting(cat_cols, num_cols, max_iter, max_depth, label_col, seed, **more)
 
 
 # --- M4: adaptive boosting (SAMME with a weight column) ------------------------------------
@@ -334,18 +314,3 @@ def stack_cv(oof_long: DataFrame, grid=(0.001, 0.01, 0.1, 1.0), k: int = 3, seed
                         evaluator=BinaryClassificationEvaluator(labelCol="label"))
     m = cv.fit(assemble(wide, models))
     return m.bestModel, list(zip(grid, m.avgMetrics))
-
-
-def calibrate_isotonic(oof: DataFrame, prob_col: str = "prob", label_col: str = "label"):
-    """Isotonic regression of the label on the score; equal scores are pooled first and
-    predictions outside the fitted range are clipped to its end values (Spark's behaviour)."""
-    from pyspark.ml.regression import IsotonicRegression
-    pooled = oof.groupBy(F.col(prob_col).alias("x")).agg(F.avg(F.col(label_col).cast("double")).alias("y"),
-                                                         F.count(F.lit(1)).cast("double").alias("w"))
-    iso = IsotonicRegression(featuresCol="x", labelCol="y", weightCol="w", predictionCol="calibrated")
-    return iso.fit(pooled)
-
-
-def apply_calibration(model, df: DataFrame, prob_col: str = "prob") -> DataFrame:
-    model.setFeaturesCol(prob_col)
-    return model.transform(df)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_cardio, q_clean, q_contracts, q_ensemble, q_features, q_io, q_misc, q_models, q_profile, q_scale  # noqa: F401
+from . import q_cardio, q_clean, q_contracts, q_ensemble, q_features, q_io, q_misc, q_models, q_profile, q_scale, q_trees  # noqa: F401
 from .registry import REGISTRY, oracle_text, run_query
 
 

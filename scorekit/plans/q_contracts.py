@@ -82,14 +82,10 @@ def q_adaboost(spark, sf):
 
 @register("contract_categorical", CONTRACT, contract_sql("categorical", 0), ops=("M15", "F37"))
 def q_categorical(spark, sf):
-    """A category of 100 levels, once indexed and once encoded by target means."""
+    """A category of 100 levels by ordered target statistics, gaps in the numeric columns."""
     p = patient(spark, sf)
-    out = []
-    for most in (256, 50):
-        m = mdl.boosted_categorical(["ward"], max_iter=5, max_depth=3, max_levels=most)(COLS).fit(p)
-        out.append(cf.positive_prob(m.transform(p)).select("id", "label", F.col("prob").alias(f"p{most}")))
-    both = out[0].join(out[1].drop("label"), "id").withColumn("prob", (F.col("p256") + F.col("p50")) / 2)
-    return _contract("categorical", both, 0.85)
+    m = mdl.boosted_categorical(["ward"], max_iter=5, max_depth=3)(COLS).fit(p)
+    return _contract("categorical", cf.positive_prob(m.transform(p)), 0.85)
 
 
 @register("contract_seeds", CONTRACT, W + " UNION ALL ".join(

@@ -92,3 +92,49 @@ def test_soft_vote_prefix_equals_separate_joins(spark):
             sep[(r["qid"], r["label"])] = sep.get((r["qid"], r["label"]), 0.0) + r["share"] / 2
     assert got.keys() == sep.keys()
     assert all(abs(got[x] - sep[x]) < 1e-12 for x in got)
+
+
+def _frames(spark, rnd, n_base, n_q, dim=6, clusters=12):
+    centres = rnd.normal(size=(clusters, dim)) * 6
+    make = lambda n, at: [(int(at + i), [float(v) for v in centres[rnd.randint(clusters)] + rnd.normal(size=dim)], int(i % 3)) for i in range(n)]
+    kind = "id long, embedding array<double>, label int"
+    return spark.createDataFrame(make(n_q, 100_000), kind), spark.createDataFrame(make(n_base, 0), kind).repartition(5)
+
+
+def test_knn_cells_do_not_change_the_result(spark):
+    q, b = _frames(spark, np.random.RandomState(1), 700, 40)
+    b = b.unionByName(spark.createDataFrame([(9000, None, 1), (9001, None, 0)], b.schema))
+    want = sorted(map(tuple, knn.knn_join(q, b, 3, "manhattan").collect()))
+    assert len(want) == 120
+    assert sorted(map(tuple, knn.knn_join(q, b, 3, "manhattan", block_rows=7, cell_bytes=5000).collect())) == want
+    assert knn.knn_join(q.limit(0), b, 3).count() == 0 and knn.knn_join(q, b.limit(0), 3).count() == 0
+    assert len(knn.knn_join(q, b.limit(2), 3).collect()) == 80
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "minkowski"])
+def test_pruned_join_is_exact_and_measures_less(spark, metric):
+    q, b = _frames(spark, np.random.RandomState(2), 1500, 30)
+    want = sorted((r.qid, r["rank"], r.bid, round(r.distance, 9), r.label) for r in knn.knn_join(q, b, 4, metric).collect())
+    got, counts = knn.knn_pruned(q, b, 4, metric, pivots=40, cell_rows=60)
+    assert sorted((r.qid, r["rank"], r.bid, round(r.distance, 9), r.label) for r in got.collect()) == want
+    measured = [r.measured for r in counts.collect()]
+    assert len(measured) == 30 and sum(measured) < 0.35 * 30 * 1500
+
+
+def test_approximate_join_recall(spark):
+    for seed, kw in ((3, {}), (4, {"cell_rows": 50})):
+        q, b = _frames(spark, np.random.RandomState(seed), 3000, 60, dim=16)
+        exact = {(r.qid, r.bid) for r in knn.knn_join(q, b, 5).collect()}
+        rows = knn.knn_approx(q, b, 5, bucket_rows=150, **kw).collect()
+        assert len({(r.qid, r.bid) for r in rows} & exact) >= 0.9 * len(exact)
+        vec = {r.id: np.array(r.embedding) for r in q.union(b).collect()}
+        assert all(abs(np.linalg.norm(vec[r.qid] - vec[r.bid]) - r.distance) < 1e-9 for r in rows)
+    assert knn.knn_approx(q, b.limit(0), 5).count() == 0
+
+
+def test_no_row_of_the_queries_reaches_the_driver(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+    q, b = _frames(spark, np.random.RandomState(5), 300, 20)
+    monkeypatch.setattr(DataFrame, "collect", lambda self: (_ for _ in ()).throw(AssertionError("collected")))
+    monkeypatch.setattr(DataFrame, "toPandas", lambda self: (_ for _ in ()).throw(AssertionError("collected")))
+    assert knn.knn_join(q, b, 3).count() == 60

@@ -53,6 +53,47 @@ def test_isotonic_is_monotone(spark):
     assert out.min() >= 0 and out.max() <= 1
 
 
+def isotonic_by_hand(points):
+    """(score, label) pairs: pooled scores, then adjacent violators."""
+    pooled = {}
+    for x, y in points:
+        s, n = pooled.get(x, (0.0, 0))
+        pooled[x] = (s + y, n + 1)
+    blocks = []
+    for x in sorted(pooled):
+        s, n = pooled[x]
+        blocks.append([s, n, [x]])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            s, n, xs = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + s, blocks[-1][1] + n, blocks[-1][2] + xs]
+    return {x: s / n for s, n, xs in blocks for x in xs}
+
+
+@pytest.mark.parametrize("kind", ["rising", "falling", "sawtooth", "noise"])
+def test_isotonic_of_many_buckets(spark, kind):
+    rnd = random.Random(8)
+    value = {"rising": lambda k: k, "falling": lambda k: -k, "sawtooth": lambda k: k % 13, "noise": lambda k: rnd.random() < k / 200}[kind]
+    points = [(k / 7, float(value(k))) for k in range(200)] + [(3 / 7, 1.0)] * 5
+    df = spark.createDataFrame([*points, (None, 1.0), (float("nan"), 1.0), (2.0, None)], "prob double, label double")
+    want = isotonic_by_hand(points)
+    for rows in (9, 40, 10_000):
+        model = mdl.calibrate_isotonic(df, rows_per_bucket=rows)
+        got = {r.prob: r.calibrated for r in mdl.apply_calibration(model, df.where("prob < 1e6"), rows_per_bucket=rows).collect()}
+        assert {x: got[x] for x in want} == pytest.approx(want), rows
+    ask = spark.createDataFrame([(-5.0,), (99.0,), (0.5 / 7,), (None,), (float("nan"),)], "prob double")
+    out = [r.calibrated for r in mdl.apply_calibration(model, ask, rows_per_bucket=9).select("prob", "calibrated").collect()]
+    by = dict(zip([-5.0, 99.0, 0.5 / 7], sorted([v for v in out if v is not None])))
+    assert out.count(None) == 2 and len(by) == 3 and min(want.values()) == pytest.approx(min(v for v in out if v is not None))
+
+
+def test_isotonic_of_nothing(spark):
+    none = spark.createDataFrame([], "prob double, label int")
+    model = mdl.calibrate_isotonic(none)
+    assert model.n_steps == 0
+    got = mdl.apply_calibration(model, spark.createDataFrame([(0.5,)], "prob double")).collect()
+    assert got[0].calibrated is None
+
+
 def test_stacking_probabilities(spark):
     rnd = random.Random(7)
     rows = [(i, rnd.random(), rnd.random()) for i in range(400)]
