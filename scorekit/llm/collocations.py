@@ -50,26 +50,27 @@ def build_blocks(docs: DataFrame, text_col: str, lang, block_tokens: int) -> Dat
     src = docs.select(lang.alias("lang"), F.col(text_col).alias("text"))
 
     def kernel(batches):
-        open_, held = {}, 0
+        open_ = {}  # of each language its vocabulary, token arrays and number of tokens
 
         def close(name):
-            vocab, parts = open_.pop(name)
+            vocab, parts, _ = open_.pop(name)
             tokens = np.concatenate(parts)
             return pa.RecordBatch.from_arrays(
                 [pa.array([name], pa.string()), pa.array([[w.decode() for w in list(vocab)[1:]]], pa.list_(pa.string())),
                  pa.array([pack(tokens)], pa.binary()), pa.array([int((tokens > 0).sum())], pa.int64())], names=["lang", "words", "tokens", "n"])
         for b in batches:
             for name, t in zip(b.column(0).to_pylist(), bytes_of(b)):
-                vocab, parts = open_.setdefault(name, ({b",": 0}, []))
+                held = open_.setdefault(name, [{b",": 0}, [], 0])
+                vocab, parts, _ = held
                 for words in word_lists(t):
                     parts.append(np.fromiter((vocab.setdefault(w, len(vocab)) for w in words), np.uint32, len(words)))
-                    held += len(words)
+                    held[2] += len(words)
                 parts.append(np.zeros(1, np.uint32))
-                held += 1
-                if held >= block_tokens:  # the languages of a task share the room
-                    for x in list(open_):
-                        yield close(x)
-                    held = 0
+                held[2] += 1
+                if held[2] >= block_tokens:
+                    yield close(name)
+                elif sum(h[2] for h in open_.values()) >= 4 * block_tokens:  # many languages share the room of four blocks
+                    yield close(max(open_, key=lambda x: open_[x][2]))
         for x in list(open_):
             yield close(x)
 
@@ -234,6 +235,16 @@ def _table(columns: list, n=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=_names(len(columns)) + ([] if n is None else ["f"]))
 
 
+def _distinct(words: list) -> list:
+    """Distinct phrases of the columns ``words``, in order."""
+    order = np.lexsort(words[::-1])
+    words = [w[order] for w in words]
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = reduce(np.logical_or, [w[1:] != w[:-1] for w in words])
+    return [w[new] for w in words]
+
+
 def _schema(k: int) -> str:
     return ", ".join(f"w{i} int" for i in range(k))
 
@@ -280,19 +291,25 @@ def candidates(coded: DataFrame, k: int, sites: list, n: int, least: int, most_b
         return coded.sparkSession.createDataFrame([], _schema(k))
     sent = bucket_filter(coded, k, sites, n, least, most_bits)
 
-    def finder(site):
+    def finder(site, most_held=1 << 20):
         def kernel(batches):
             bits, packed = sent.value
+            held, size = [], 0  # distinct phrases of the blocks read so far
             for batch in batches:
                 for ids in _ids(batch):
                     at = site(ids)
                     h = bucket_of(ids, at, k, bits)
                     at = at[(packed[h >> 3] >> (7 - (h & 7)).astype(np.uint8)) & 1 > 0]
-                    order = np.lexsort([ids[at + i] for i in range(k)])
-                    words = [ids[at[order] + i] for i in range(k)]
-                    new = np.ones(len(at), bool)
-                    new[1:] = reduce(np.logical_or, [w[1:] != w[:-1] for w in words])
-                    yield _table([w[new] for w in words])
+                    held.append(_distinct([ids[at + i] for i in range(k)]))
+                    size += len(held[-1][0])
+                    if size > most_held:
+                        held = [_distinct([np.concatenate(w) for w in zip(*held)])]
+                        size = len(held[0][0])
+                        if 2 * size > most_held:
+                            yield _table(held[0])
+                            held, size = [], 0
+            if size:
+                yield _table(_distinct([np.concatenate(w) for w in zip(*held)]))
         return kernel
     return reduce(DataFrame.unionByName, [coded.mapInArrow(finder(s), _schema(k)) for s in sites]).distinct()
 
@@ -304,22 +321,36 @@ def known_ends(found: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
 
 
 def count_phrases(coded: DataFrame, phrases: DataFrame, k: int, least: int, most: int) -> DataFrame:
-    """``(w0.., f)``: the candidates that occur ``least`` times or more, with how often, by one trie for each wave."""
-    out = []
+    """``(w0.., f)``: the candidates that occur ``least`` times or more, with how often, by one trie for each wave. A task's
+    counts travel packed, one row for each ``part`` of the wave's phrases, and the tasks' rows of a part are added up."""
+    out, part = [], 1 << 16
     for rows in waves(phrases, k, most):
-        sent = coded.sparkSession.sparkContext.broadcast((Trie(rows).arrays(), rows))
+        trie_sent, rows_sent = (coded.sparkSession.sparkContext.broadcast(x) for x in (Trie(rows).arrays(), rows))
 
-        def kernel(batches, sent=sent):
-            trie, rows = sent.value
+        def kernel(batches, sent=trie_sent):
+            trie = sent.value
             total = np.zeros(len(trie[3]), np.int64)
             for batch in batches:
                 for ids in _ids(batch):
                     state = advance(trie, ids, k)
                     total += np.bincount(state[state < len(total) - 1], minlength=len(total))
             f = total[trie[5]]
-            yield _table(list(rows[f > 0].T), f[f > 0])
-
-        sums = coded.mapInArrow(kernel, f"{_schema(k)}, f bigint").groupBy(*_names(k)).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+            for j in range(0, len(f), part):
+                if f[j:j + part].any():
+                    yield pa.RecordBatch.from_arrays([pa.array([j // part], pa.int64()), pa.array([pack(f[j:j + part])], pa.binary())], names=["part", "counts"])
+
+        def adder(sent):
+            def add(table):
+                j = table["part"][0].as_py() * part
+                words = sent.value[j:j + part]
+                f = np.zeros(len(words), np.int64)
+                for blob in table["counts"].to_pylist():
+                    f += unpack(blob, np.int64)
+                on = f >= least
+                return pa.Table.from_batches([_table(list(words[on].T), f[on])])
+            return add
+
+        sums = coded.mapInArrow(kernel, "part bigint, counts binary").groupBy("part").applyInArrow(adder(rows_sent), f"{_schema(k)}, f bigint")
         out.append(shared_table(sums))
     return reduce(DataFrame.unionByName, out) if out else coded.sparkSession.createDataFrame([], f"{_schema(k)}, f bigint")
 
@@ -368,7 +399,7 @@ def _sub(freq: dict, phrases: DataFrame, k: int, lo: int, hi: int, name: str) ->
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 3, least: int = 10, top: int = 2000,
-                 share: int = 50, block_tokens: int = 3 << 18, trie_phrases: int = 1 << 20, bucket_bits: int = 27) -> DataFrame:
+                 share: int = 50, block_tokens: int = 1 << 20, trie_phrases: int = 1 << 20, bucket_bits: int = 27) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: the ``top`` phrases of every language.
 
     Texts are lower-cased (A-Z) and cut at ``[.,;:!?]`` and 0x0A-0x0D into pieces, those at spaces and tabs into words.

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import side_bytes
 from ..session import BROADCAST_MAX_BYTES, ensure_checkpoint_dir, guard_union_partitioning
+from ..spec import q
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -86,6 +87,22 @@ def begin(spark: SparkSession) -> None:
         spark.conf.set(BATCH_KEY, BATCH_BYTES)
 
 
+def fresh(df: DataFrame, *names: str) -> list:
+    """Names that no column of ``df`` has, in any case: the given ones, with underscores put before where they are taken."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def columns(df: DataFrame) -> list:
+    """All columns of ``df``, whatever characters their names hold."""
+    return [F.col(q(c)) for c in df.columns]
+
+
 def bounded(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """A side of a join, to be broadcast if its measured size is within the limit; else as it is, for a shuffle join."""
     return F.broadcast(df) if side_bytes(df) <= max_bytes else df

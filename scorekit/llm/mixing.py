@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, begin, shared_table
+from .common import WORD, begin, columns, fresh, shared_table
 
 WEIGHTS = (1, 2, 3)
+MIX_COLUMNS = ("mix_size", "mix_rate", "mix_copies")
 
 
 def ranked(names: DataFrame, col: str) -> DataFrame:
@@ -122,7 +123,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     """``(id, source, size, n_rows, source_size, target, rate, copies)`` of every distinct (id, source, size).
 
     Rows equal in these three (repeated rows) share one decision. Null texts have size 0; documents
-    without words have rate 1 and one copy. A null id or source is a value like any other. An empty table
+    without words have rate 1 and one copy; a very long text is one unit of its words. A null id or source is a value like any other. An empty table
     gives an empty result. Rounding runs in hash buckets of about ``bucket_rows`` units of one source."""
     begin(docs.sparkSession)
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint")
@@ -168,10 +169,13 @@ def report(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
-    """The rows that the mix takes, with ``mix_size``, ``mix_rate`` and ``mix_copies`` (1 or more)."""
+    """The rows that the mix takes, with ``mix_size``, ``mix_rate`` and ``mix_copies`` (1 or more). All columns stay,
+    whatever their names, but those three: columns of an earlier mix are replaced."""
+    docs = docs.drop(*MIX_COLUMNS)
+    an_id, a_source, a_size = fresh(docs, "_id", "_source", "_size")
     p = shared_table(plan(docs, id_col, text_col, source_col, **kw).where("copies > 0")
-                     .select(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("mix_size"),
+                     .select(F.col("id").alias(an_id), F.col("source").alias(a_source), F.col("size").alias("mix_size"),
                              F.col("rate").alias("mix_rate"), F.col("copies").alias("mix_copies")))
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint")
-    on = F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).cast("string").eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("mix_size"))
-    return docs.withColumn("_size", size).join(p, on).select(*docs.columns, "mix_size", "mix_rate", "mix_copies")
+    on = F.col(id_col).eqNullSafe(F.col(an_id)) & F.col(source_col).cast("string").eqNullSafe(F.col(a_source)) & (F.col(a_size) == F.col("mix_size"))
+    return docs.withColumn(a_size, size).join(p, on).select(*columns(docs), *MIX_COLUMNS)

@@ -160,12 +160,14 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_
 
 def passing(docs: DataFrame, text_col: str = "text", min_words: int = 5, min_total: int = 10, max_base: int = 20,
             max_covered: float = 0.2, max_longest: int = 100) -> DataFrame:
-    """The rows that ``assess`` keeps, all columns as they are."""
+    """The rows that ``assess`` keeps, all columns as they are, whatever their names."""
     begin(docs.sparkSession)
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    text = f"c{docs.columns.index(text_col)}"
 
     def kernel(batches):
         for b in batches:
-            m = measure(bytes_of(b, text_col), min_words)
+            m = measure(bytes_of(b, text), min_words)
             yield b.filter(pa.array(verdicts(m, min_total, max_base, max_covered, max_longest)[1]))
 
-    return docs.mapInArrow(kernel, T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema]))
+    return plain.mapInArrow(kernel, T.StructType([T.StructField(f.name, f.dataType) for f in plain.schema])).toDF(*docs.columns)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import begin, bytes_of, components, hook, shared_table, word_pieces
+from .common import begin, bytes_of, columns, components, fresh, hook, shared_table, word_pieces
 
 
 def fingerprint(text: bytes, k: int = 3, bits_at_once: int = 1 << 16) -> int:
@@ -194,7 +194,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     leaf: int = 1 << 15) -> DataFrame:
     """Every row with its fingerprint and component: ``(id, fingerprint, component_id)``.
 
-    A null or empty text has fingerprint zero and links like any other. Repeated rows stay. A null id is
+    A null or empty text has fingerprint zero and links like any other; a very long text is read whole, in pieces. Repeated rows stay. A null id is
     judged by its text; ``component_id`` is the smallest non-null id, null where a component has none.
     An empty table gives an empty result; other columns, whatever their names, are not read."""
     g = _grouped(docs, id_col, text_col, k, budget, leaf)
@@ -204,10 +204,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, budget: int = 3,
                 leaf: int = 1 << 15) -> DataFrame:
     """One row of every component: the one with the smallest id, null last, then with the smallest hash of
-    its text; of equal rows, one. All columns stay."""
+    its text; of equal rows, one. All columns stay, whatever their names."""
     g = _grouped(docs, id_col, text_col, k, budget, leaf)
+    an_id, a_hash = fresh(docs, "_id", "_hash")
     first = (g.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "text_hash")).alias("f"))
-             .select(F.col("f.id").alias("_id"), F.col("f.text_hash").alias("_hash")))
-    on = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
-    kept = docs.join(shared_table(first), on).dropDuplicates(["_id", "_hash"])
-    return kept.select(*docs.columns)
+             .select(F.col("f.id").alias(an_id), F.col("f.text_hash").alias(a_hash)))
+    on = F.col(id_col).eqNullSafe(F.col(an_id)) & (F.xxhash64(text_col) == F.col(a_hash))
+    kept = docs.join(shared_table(first), on).dropDuplicates([an_id, a_hash])
+    return kept.select(*columns(docs))

@@ -29,7 +29,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import begin, bytes_of, shared_table, spread
+from ..spec import q
+from .common import begin, bytes_of, columns, shared_table, spread
 
 # Perfect difference sets (each nonzero difference mod v occurs once).
 COVERS = {
@@ -345,12 +346,14 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
 
 def _with_repeats(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows with ``_sha``, ``_fate`` (own: the text's first document; copy; short: below the length) and
-    the columns of ``found``. The text may be a hot key of the join: AQE splits its partitions."""
-    d = docs.withColumn("_sha", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    r = found.select([F.col(c).alias(f"_{c}" if c != "sha" else "_found") for c in found.columns])
-    fate = F.when(F.col("_found").isNull(), "short").when(F.col(id_col).eqNullSafe(F.col("_least_id")), "own").otherwise("copy")
-    return d.join(r, d["_sha"] == r["_found"], "left").withColumn("_fate", fate)
+    """``(id, text, row, sha, fate)`` and the columns of ``found`` for every row: ``row`` holds its other columns, ``fate`` is own
+    (the text's first document), copy, or short (below the length). The text may be a hot key of the join: AQE splits
+    its partitions."""
+    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*columns(docs.drop(text_col))).alias("row"),
+                    F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"))
+    r = found.withColumnRenamed("sha", "found")
+    fate = F.when(F.col("found").isNull(), "short").when(F.col("id").eqNullSafe(F.col("least_id")), "own").otherwise("copy")
+    return d.join(r, F.col("sha") == F.col("found"), "left").withColumn("fate", fate)
 
 
 def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, **sizes) -> DataFrame:
@@ -361,18 +364,19 @@ def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     equal in id and text are one document. Other columns, whatever their names, are not read."""
     docs = docs.select(F.col(id_col), F.col(text_col))
     j = _with_repeats(docs, repeats(docs, id_col, text_col, length, **sizes), id_col, text_col)
-    n = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("bigint")
-    by = lambda own, copy, short: F.when(F.col("_fate") == "own", own).when(F.col("_fate") == "copy", copy).otherwise(short)
+    n = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    by = lambda own, copy, short: F.when(F.col("fate") == "own", own).when(F.col("fate") == "copy", copy).otherwise(short)
     zero = F.lit(0).cast("bigint")
-    return j.select(F.col(id_col), n.alias("n_bytes"), by(F.col("_n_removed"), n, zero).alias("n_removed"),
-                    by(F.col("_n_spans"), F.lit(1).cast("bigint"), zero).alias("n_spans"),
-                    by(F.col("_kept_sha256"), F.lit(hashlib.sha256(b"").hexdigest()), F.col("_sha")).alias("kept_sha256"))
+    return j.select(F.col("id").alias(id_col), n.alias("n_bytes"), by(F.col("n_removed"), n, zero).alias("n_removed"),
+                    by(F.col("n_spans"), F.lit(1).cast("bigint"), zero).alias("n_spans"),
+                    by(F.col("kept_sha256"), F.lit(hashlib.sha256(b"").hexdigest()), F.col("sha")).alias("kept_sha256"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, **sizes) -> DataFrame:
-    """The rows with their repeated bytes cut from the text; rows that lose all of it are dropped."""
+    """The rows with their repeated bytes cut from the text; rows that lose all of it are dropped. All columns stay,
+    whatever their names."""
     found = repeats(docs, id_col, text_col, length, with_text=True, **sizes)
-    j = _with_repeats(docs, found, id_col, text_col).where("_fate <> 'copy'")
-    cut = F.when((F.col("_fate") == "own") & (F.col("_n_spans") > 0), F.col("_kept")).otherwise(F.col(text_col))
-    return (j.withColumn(text_col, cut).where(~((F.col("_fate") == "own") & (F.length(text_col) == 0)))
-            .select(*docs.columns))
+    j = _with_repeats(docs, found, id_col, text_col).where("fate <> 'copy'")
+    cut = F.when((F.col("fate") == "own") & (F.col("n_spans") > 0), F.col("kept")).otherwise(F.col("text"))
+    return (j.withColumn("left", cut).where(~((F.col("fate") == "own") & (F.length("left") == 0)))
+            .select(*[F.col("left").alias(c) if c == text_col else F.col(f"row.{q(c)}").alias(c) for c in docs.columns]))

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -135,17 +135,16 @@ def fit(toxic: list, clean: list, share: float, decay: float = 0.7, window: int
     flat = Model(np.zeros(TABLE, np.float32), (0.0, _logit(share)), (0.0, 0.0, _logit(share)), decay, window, share)
     if not toxic or not clean:
         return flat
-    # sentences carry the label of their document; their words, each with what follows it, are the strings
+    # sentences carry the label of their document; their words, each with what follows it, are the strings. Those that
+    # set toxic documents apart come first among the landmarks, however many labels there are
     n_t, n_c = len(toxic), len(clean)
     df_t, df_c = (_word_documents(texts) for texts in (toxic, clean))
     gap = {}
     for w, a in df_t.items():
-        if len(w) >= 4 and a >= 3:
+        if len(w) >= 4:
             p, q = (a + .5) / (n_t + 1), (df_c[w] + .5) / (n_c + 1)
             gap[w] = (p - q) / np.sqrt(p / n_t + q / n_c)
-    bad = [w for w in sorted(gap, key=lambda w: (-gap[w], w)) if gap[w] > 4][:landmarks * 3 // 4]
-    if not bad:
-        return flat
+    bad = [w for w in sorted(gap, key=lambda w: (-gap[w], w)) if gap[w] > 0][:landmarks * 3 // 4]
     other = sorted(w for w in df_c if w not in gap and len(w) >= 4)
     good = [other[i] for i in sorted(rng.choice(len(other), min(len(other), landmarks - len(bad)), replace=False))] if other else []
     del df_t, df_c
@@ -175,13 +174,11 @@ def fit(toxic: list, clean: list, share: float, decay: float = 0.7, window: int
                 out[i] += w * phi[row_of[code[:window]]].sum(axis=0)
         return out @ root
 
-    # first windows: the words that set toxic documents apart, against random words of clean ones
-    marks = Counter()
-    for f in (features(symbols(w, table), decay) for w in bad):
-        marks.update(f)
+    # first windows: the words that set toxic documents apart, each by how far it does, against random words of clean ones
     guess = np.zeros(TABLE, np.float32)
-    for c, v in marks.items():
-        guess[c] = v
+    for w in bad:
+        for c, v in features(symbols(w, table), decay).items():
+            guess[c] += v * gap[w] * gap[w]
     best = [int(np.argmax(v)) if len(v) else 0 for v in (window_scores(s, guess, decay, window) for s in texts)]
     first = n_t + n_c  # behind the documents: windows of toxic ones with a character inserted
     texts += [disturbed(texts[k], best[k], window, rng) for k in range(n_t) for _ in range(extra)]
@@ -270,7 +267,7 @@ def sample(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", at_once: int = 1 << 20) -> DataFrame:
     """``(id, score)`` of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(astuple(model))  # plain values, so that a task needs nothing to read them
 
     def pieces(text, m, table):
         """Window values; a long text in pieces that overlap by a window."""
@@ -279,7 +276,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         return [window_scores(s[a:a + at_once + lap], m.weights, m.decay, m.window)[:at_once] for a in range(0, len(s), at_once)] if s.any() else []
 
     def kernel(batches):
-        m, table = sent.value, symbol_table()
+        m, table = Model(*sent.value), symbol_table()
         for b in batches:
             values = (pieces(t, m, table) for t in bytes_of(b, text_col))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([judge(m, v) if v else m.prior for v in values], pa.float64())],

@@ -48,7 +48,7 @@ def test_each_stage_by_hand(spark, stages):
 
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
     short = [(r.doc_id, r.text) for r in rows[3] if len(r.text) < 1500]
-    bad = {int(d) for d, *_ in test_decontam.by_hand(short, bench)}
+    bad = {int(d) for d, *_ in test_decontam.by_rule(short, bench)}
     assert {d for d, _ in short} - bad == {r.doc_id for r in rows[4]} & {d for d, _ in short}
 
     mix = [(r.doc_id, r.text, r.source) for r in rows[4]]
@@ -72,7 +72,17 @@ def test_stages_on_odd_rows(spark):
     rows = [(1, text, "en", None, 5), (1, text, "en", None, 5), (None, text + " twice", None, "a", None), (3, None, None, None, None), (4, "", "", "", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     for name, stage in corpus_pipeline.STAGES:
-        for d in (docs, docs.limit(0), docs.withColumn("id", F.lit("x")).withColumn("rank", F.lit(1)).withColumn("copies", F.lit(None).cast("int"))):
+        clash = ["id", "rank", "copies", "_id", "_hash", "_Bad", "_size", "_source", "_found", "_kept", "_sha", "_fate", "_least_id", "_n_spans", "row", "sha",
+                 "fate", "found", "left", "kept", "n.spans", "least_id", "n_spans", "root", "fp"]
+        for d in (docs, docs.limit(0), docs.select("*", *[F.lit(k).alias(c) for k, c in enumerate(clash)])):
             out = stage(spark, d, SF_SMALL)
             assert out.columns[:len(d.columns)] == d.columns, name
             assert out.count() <= d.count()
+            if len(d.columns) > len(docs.columns):
+                assert {tuple(r)[len(docs.columns):len(d.columns)] for r in out.collect()} <= {tuple(range(len(clash)))}
+
+
+def test_an_earlier_mix_is_replaced(spark):
+    docs = spark.createDataFrame([(1, "a b c", "s", 9, "x"), (2, "d e", "t", 9, "y")], "doc_id long, text string, source string, mix_size long, mix_copies string")
+    out = corpus_pipeline.mix_sources(spark, docs, SF_SMALL)
+    assert out.columns == ["doc_id", "text", "source", "mix_size", "mix_rate", "mix_copies"] and {r.mix_size for r in out.collect()} <= {3, 2}
