@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import random
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,20 +60,28 @@ def positive_prob(scored: DataFrame, out_col: str = "prob") -> DataFrame:
 
 
 def cross_fit(df: DataFrame, make_model, id_col: str, label_col: str, fold_col: str = "fold",
-              model_name: str = "model", features_col: str = "features", test: DataFrame | None = None):
+              model_name: str = "model", features_col: str = "features", test: DataFrame | None = None, parallelism: int = 3):
     """K3 / K4: each fold model scores its held-out rows (every row exactly once) and, optionally,
     the scoring frame; the test score is the mean over fold models.
 
     ``make_model()`` returns an unfitted Spark ML estimator reading ``features_col`` and
-    ``label_col``. The assembled training frame is persisted once and reused by every fold.
+    ``label_col``. The assembled training frame is persisted once and reused by every fold; ``parallelism`` folds are
+    fitted at a time, so that their jobs share the cluster.
     Returns ``(oof, test_scores)``: ``oof = (id, fold, model, label, prob)``."""
     guard_union_partitioning(df.sparkSession)
     data = keep(df)
     folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())  # k values
     oof_parts, test_parts = [], []
+    estimators = {f: make_model() for f in folds}
+
+    @inheritable_thread_target(df.sparkSession)
+    def fit(f):
+        return estimators[f].fit(data.where(F.col(fold_col) != f))
+
+    with ThreadPool(max(1, min(parallelism, len(folds)))) as pool:
+        models = dict(zip(folds, pool.map(fit, folds)))
     for f in folds:
-        est = make_model()
-        m = est.fit(data.where(F.col(fold_col) != f))
+        m = models[f]
         held = positive_prob(m.transform(data.where(F.col(fold_col) == f)))
         oof_parts.append(held.select(F.col(id_col).alias("id"), F.lit(f).alias("fold"), F.lit(model_name).alias("model"),
                                      F.col(label_col).cast("int").alias("label"), "prob"))

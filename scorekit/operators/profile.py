@@ -30,6 +30,8 @@ def _c(name: str) -> Column:
 
 # One aggregate over more columns than this outgrows generated code; the long form is used instead.
 FUSED_COLUMNS = 16
+# Up to so many columns, all pairs are one aggregate of the built-in correlation.
+CORR_COLUMNS = 8
 
 
 def fused_stats(df: DataFrame, cols, metrics: dict, by=(), extra=()) -> DataFrame:
@@ -50,14 +52,46 @@ def fused_stats(df: DataFrame, cols, metrics: dict, by=(), extra=()) -> DataFram
     return wide.select(*by, F.explode(rows).alias("_r")).select(*by, "_r.*")
 
 
+def counted_values(df: DataFrame, cols, held: int = 1 << 20) -> DataFrame:
+    """``(feature, value, c)``: rows of each distinct number of each column. Wide frames are not unpivoted: a task counts the
+    values of its Arrow batches column by column and passes on at most about ``held`` distinct ones at a time."""
+    cols = list(cols)
+    if len(cols) <= FUSED_COLUMNS:
+        longf = to_long(dealt(df.select(*[_c(c) for c in cols])), cols)
+        return longf.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
+
+    def kernel(batches):
+        seen = [(np.zeros(0), np.zeros(0, np.int64)) for _ in cols]
+        size = 0
+
+        def rows():
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(cols), dtype=np.int32), [len(v) for v, _ in seen])),
+                                              pa.array(np.concatenate([v for v, _ in seen])), pa.array(np.concatenate([c for _, c in seen]))], names=["i", "value", "c"])
+        for b in batches:
+            size = 0
+            for k in range(len(cols)):
+                x = b.column(k).to_numpy(zero_copy_only=False).astype(np.float64)
+                x = x[np.isfinite(x)]
+                v, where = np.unique(np.concatenate([seen[k][0], x]), return_inverse=True)
+                seen[k] = v, np.bincount(where, np.concatenate([seen[k][1], np.ones(len(x), np.int64)]), len(v)).astype(np.int64)
+                size += len(v)
+            if size > held:
+                yield from rows()
+                seen = [(np.zeros(0), np.zeros(0, np.int64)) for _ in cols]
+        yield from rows()
+
+    src = dealt(df.select(*[_c(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]))
+    found = src.mapInArrow(kernel, "i int, value double, c bigint").groupBy("i", "value").agg(F.sum("c").alias("c"))
+    return found.select(F.get(F.array(*[F.lit(c) for c in cols]), F.col("i")).alias("feature"), "value", "c")
+
+
 def value_moments(df: DataFrame, cols) -> DataFrame:
     """``(feature, n, n_unique, mean, m2, m3, m4)`` per column from one pass over the data: rows are
     counted per (feature, value), and the distinct values give the distinct count and the central sums.
     Several exact distinct counts in one aggregate would expand every row by the number of columns and
     keep it. A column without a number has n = 0."""
     cols = list(cols)
-    longf = to_long(dealt(df.select(*[_c(c) for c in cols])), cols)
-    counts = keep(longf.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c")))
+    counts = keep(counted_values(df, cols))
     c, v = F.col("c").cast("double"), F.col("value")
     means = counts.groupBy("feature").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_unique"), (F.sum(c * v) / F.sum(c)).alias("mean"))
     d = v - F.col("mean")
@@ -288,20 +322,29 @@ def anova_f(df: DataFrame, cols, label_col: str) -> DataFrame:
 def corr_pairs(df: DataFrame, cols, min_abs: float = 0.0) -> DataFrame:
     """Pearson r of every column pair (i < j) over the rows that have both; pairs with |r| > min_abs.
 
-    One pass: every Arrow batch adds four products of the centred columns and their presence masks (a
-    Gram matrix with nulls), every task returns its p x p sums, and those are added up by pair."""
+    One pass. A few columns are one aggregate of the built-in correlation. Beyond, every Arrow batch adds four products of the
+    centred columns and their presence masks (a Gram matrix with nulls), every task returns its p x p sums, and those
+    are added up by pair."""
     cols = list(cols)
-    src = dealt(df.select(*[_c(c).alias(f"c{i}") for i, c in enumerate(cols)]))
-    src = src.select(*[clean_double(F.col(c)).alias(c) for c in src.columns])
+    if len(cols) <= CORR_COLUMNS:
+        clean = df.select(*[clean_double(_c(c)).alias(f"c{i}") for i, c in enumerate(cols)])
+        pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+        if not pairs:
+            return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double")
+        got = clean.agg(*[F.corr(f"c{i}", f"c{j}").alias(f"r{i}_{j}") for i, j in pairs])
+        rows = F.array(*[F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"),
+                                  F.when(~F.isnan(f"r{i}_{j}"), F.col(f"r{i}_{j}")).alias("corr")) for i, j in pairs])
+        return got.select(F.explode(rows).alias("r")).select("r.*").where(F.abs(F.col("corr")) > min_abs)
+    src = dealt(df.select(*[_c(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]))
     # any constant may be taken off a column; the mean of some rows keeps the sums small
-    mean = src.limit(1000).agg(*[F.avg(c).alias(c) for c in src.columns]).first()
-    src = src.select(*[(F.col(c) - F.lit(mean[c] or 0.0)).alias(c) for c in src.columns])
+    some = src.limit(1000).toPandas().to_numpy(dtype=float)
+    mean = np.array([v[np.isfinite(v)].mean() if np.isfinite(v).any() else 0.0 for v in some.T]) if len(some) else np.zeros(len(cols))
 
     def sums(batches):
         total = None
         for b in batches:
-            x = np.column_stack([b.column(k).to_numpy(zero_copy_only=False) for k in range(b.num_columns)]).astype(float)
-            m = ~np.isnan(x)
+            x = np.column_stack([b.column(k).to_numpy(zero_copy_only=False) for k in range(b.num_columns)]).astype(float) - mean
+            m = np.isfinite(x)
             x, m = np.where(m, x, 0.0), m.astype(float)
             part = np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
             total = part if total is None else total + part

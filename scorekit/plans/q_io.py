@@ -43,6 +43,32 @@ def q_read_csv(spark, sf):
     return io.read_table(spark, path, TableSpec("id", "label"), "id long, label int", "csv")
 
 
+@register("io_file_order", "row_no bigint, id bigint, label bigint",
+          V_SQL + "SELECT row_number() OVER (ORDER BY id DESC) - 1 AS row_no, id, v1 AS label FROM v", ops=("IO2", "U5"))
+def q_file_order(spark, sf):
+    """Several files written in order, read back with the number of each row."""
+    v = fr.votes(spark, sf).select("id", F.col("v1").alias("label"))
+    path = _folder(spark)
+    v.repartitionByRange(7, F.col("id").desc()).sortWithinPartitions(F.col("id").desc()).write.option("header", True).csv(path)
+    return io.read_in_order(spark, path, "id long, label int").select("row_no", "id", "label")
+
+
+@register("io_bucketed_join", "id bigint, a bigint, b bigint", V_SQL + "SELECT x.id, x.v1 AS a, y.v2 AS b FROM v x JOIN v y ON x.id = y.id WHERE y.id % 3 <> 0",
+          ops=("J1", "J2", "R2"))
+def q_bucketed_join(spark, sf):
+    """Two prediction sets stored by id and joined bucket by bucket."""
+    return io_bucketed(spark, sf)
+
+
+def io_bucketed(spark, sf) -> DataFrame:
+    v, root = fr.votes(spark, sf), _folder(spark)
+    names = [f"scorekit_{uuid.uuid4().hex}" for _ in range(2)]
+    io.write_bucketed(v.select("id", F.col("v1").alias("a")), names[0], "id", 4, f"{root}/a")
+    io.write_bucketed(v.where("id % 3 <> 0").select("id", F.col("v2").alias("b")), names[1], "id", 4, f"{root}/b")
+    a, b = (spark.table(n) for n in names)
+    return a.join(b.hint("merge"), "id").select("id", "a", "b")
+
+
 @register("io_probabilities", "id bigint, prob double", V_SQL + "SELECT id, p AS prob FROM s", ops=("IO3", "IO1"))
 def q_probabilities(spark, sf):
     s = fr.scores(spark, sf).withColumnRenamed("p", "prob")

@@ -10,10 +10,12 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..spec import TableSpec
+from ..operators.joins import sized_join
+from ..session import cut_lineage
+from ..spec import TableSpec, q
 
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec | None = None, schema=None,
@@ -29,6 +31,32 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec | None = None, sc
     return df
 
 
+def read_in_order(spark: SparkSession, path: str, schema, fmt: str = "csv") -> DataFrame:
+    """IO2, U5: a table with ``row_no`` from 0 in the order of its files (by path) and of the rows in them.
+
+    Rows are numbered where they are read: a row's place in its file slice is its number in the task less that of
+    the slice's first row, and only the slices, a row for each, are put in order and counted up. No row is shuffled."""
+    reader = spark.read.schema(schema)
+    raw = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+    taken = {c.lower() for c in raw.columns}
+    if "row_no" in taken:
+        raise ValueError("the table has a column row_no")
+    own = raw.select(F.struct(*[F.col(q(c)) for c in raw.columns]).alias("row"), F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    slices = own.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = F.sum("n").over(Window.orderBy("file", "start")) - F.col("n")  # a row for each file slice
+    # written, so that no cached slices of an earlier read of the path are taken for these
+    numbered = sized_join(own, cut_lineage(slices.select("file", "start", "first", before.alias("before"))), ["file", "start"], "inner")
+    return numbered.select("row.*", (F.col("before") + F.col("at") - F.col("first")).alias("row_no"))
+
+
+def write_bucketed(df: DataFrame, table: str, id_col: str, buckets: int, path: str) -> str:
+    """A table stored in ``buckets`` hash buckets of its id, each sorted by it (predictions, out-of-fold scores,
+    versions): tables written alike are joined and compared by id without a shuffle."""
+    df.write.mode("overwrite").bucketBy(buckets, id_col).sortBy(id_col).option("path", path).format("parquet").saveAsTable(table)
+    return table
+
+
 def write_predictions(df: DataFrame, path: str, id_col: str = "id", label_col: str = "label",
                       order_col: str | None = None, fmt: str = "csv") -> str:
     """IO2: ``(id, label)``; with ``order_col`` the rows are written in that order."""

@@ -65,3 +65,43 @@ def test_mutual_info_buckets_query_has_many_buckets(spark, monkeypatch):
     want = {r.feature: r.mi for r in REGISTRY["mutual_info_knn"].build(spark, SF_SMALL).collect()}
     assert seen[1] == 1 and got.keys() == want.keys()
     assert all(abs(got[f] - want[f]) < 1e-9 for f in want)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from scorekit.plans.q_io import io_bucketed
+    joined = io_bucketed(spark, SF_SMALL)
+    assert "SortMergeJoin" in _plan(joined) and "Exchange" not in _plan(joined)
+    assert joined.count() > 100
+
+
+def test_file_order_shuffles_no_row(spark):
+    import uuid
+
+    from scorekit.session import ensure_checkpoint_dir
+    from scorekit.sources import io
+    path = f"{ensure_checkpoint_dir(spark)}/order-{uuid.uuid4().hex}"
+    spark.range(1000).select("id", (F.col("id") * 7 % 1000).alias("v")).repartitionByRange(5, "id").sortWithinPartitions("id").write.csv(path, header=True)
+    with_no = io.read_in_order(spark, path, "id long, v long")
+    assert with_no.where("row_no <> id").count() == 0 and with_no.count() == 1000
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")  # several slices a file, several files a task
+    try:
+        assert io.read_in_order(spark, path, "id long, v long").where("row_no <> id").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_selection_gathers_a_small_share(spark):
+    """Only the enclosures of the wanted ranks are counted value by value."""
+    from scorekit.operators import stats
+    seen, plain = [], stats.prefix_sum
+
+    def watched(df, *args, **kw):
+        seen.append(df.count())
+        return plain(df, *args, **kw)
+    stats.prefix_sum = watched
+    try:
+        got = {r.prob: r.value for r in stats.exact_quantiles(spark.range(100_000).select((F.col("id") * 7919 % 100_000).cast("double").alias("x")), ["x"], [0.01, 0.5]).collect()}
+    finally:
+        stats.prefix_sum = plain
+    assert got == {0.01: 999.99, 0.5: 49999.5} and len(seen) == 1 and seen[0] < 200

@@ -126,3 +126,19 @@ def test_ttest_matches_pooled_formula(spark):
     sp2 = ((len(a) - 1) * sa.var() + (len(b) - 1) * sb.var()) / (len(a) + len(b) - 2)
     t = (sa.mean() - sb.mean()) / math.sqrt(sp2 * (1 / len(a) + 1 / len(b)))
     assert r["t_statistic"] == pytest.approx(t, abs=1e-12)
+
+
+def test_selection_with_a_coarse_sketch(spark):
+    """Few sketch points: wide enclosures, and groups where the sketch misses are counted in full."""
+    import numpy as np
+    rng = np.random.default_rng(6)
+    rows = [("a", float(v)) for v in rng.normal(size=3000)] + [("b", float(v)) for v in rng.integers(0, 4, 500)] + [("c", 1.5)] * 40 + [("d", 2.0), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(6)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    for accuracy in (3, 30, 10_000):
+        got = {(r.g, r.prob): r.value for r in exact_quantiles(df, ["x"], probs, by=["g"], accuracy=accuracy).collect()}
+        for g in "abcd":
+            v = [x for k, x in rows if k == g and x is not None]
+            for p in probs:
+                assert abs(got[g, p] - np.quantile(v, p)) < 1e-12, (g, p, accuracy)
+        assert len(got) == 24
