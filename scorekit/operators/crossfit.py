@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import random
 from functools import reduce
+from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -111,6 +112,21 @@ def per_fold_auc(oof: DataFrame) -> DataFrame:
     return auc_exact(oof, "label", "prob", by=["model", "fold"]).select("model", "fold", "auc")
 
 
+def draw_params(grid: dict, n: int | None = None, seed: int = 42) -> list:
+    """K6, K7: all points of a parameter grid, or ``n`` seeded draws from it, as dicts."""
+    points = [dict(zip(grid, values)) for values in product(*grid.values())]
+    return points if n is None or n >= len(points) else random.Random(seed).sample(points, n)
+
+
+def search_params(df: DataFrame, make_model, points, id_col: str, label_col: str, fold_col: str = "fold") -> list:
+    """K6, K7 for any estimator that cross-fitting takes: ``[(params, mean AUC over folds)]``, best first, the first listed
+    on ties. ``make_model(**params)`` gives an unfitted estimator; the exact AUCs of all points and folds are one ordered pass."""
+    oofs = [cross_fit(df, lambda p=p: make_model(**p), id_col, label_col, fold_col, str(k))[0] for k, p in enumerate(points)]
+    scores = per_fold_auc(reduce(DataFrame.unionByName, oofs)).groupBy("model").agg(F.avg("auc").alias("auc")).collect()  # one row for each point
+    got = {int(r["model"]): r["auc"] for r in scores}
+    return [(points[k], got[k]) for k in sorted(got, key=lambda k: (-got[k], k))]
+
+
 def random_search(df: DataFrame, make_estimator, grid: dict, n: int, label_col: str, fold_col: str = "fold",
                   seed: int = 42, metric: str = "areaUnderROC", parallelism: int = 2):
     """K6: n seeded draws from a parameter grid, each scored by k-fold CV on the fold column, by ranking

@@ -20,6 +20,7 @@ from .calibration import apply_calibration, calibrate_isotonic  # noqa: F401  (B
 from .crossfit import positive_prob
 from .features import assemble
 from .order import argmax_row
+from .trees import feature_matrix, from_spark, score_column
 
 
 def boosted(max_iter=100, max_depth=5, step_size=0.1, subsampling=1.0, feature_subset="all", min_instances=1,
@@ -186,6 +187,15 @@ class AdaBoostModel:
         self.learners = learners
 
     def transform(self, df: DataFrame) -> DataFrame:
+        """Adds ``prob``. All trees are packed and scored in one projection, so the plan does not grow with the rounds; trees that
+        split on sets of categories are applied one after the other."""
+        trees = from_spark([m for m, _ in self.learners], lambda t, label: self.learners[t][1] * (2 * label - 1))
+        if trees is None:
+            return self._chained(df)
+        total = score_column(feature_matrix(), trees) if trees.roots else F.lit(0.0)
+        return df.withColumn("prob", 1 / (1 + F.exp(-total / F.lit(sum(a for _, a in self.learners) or 1.0))))
+
+    def _chained(self, df: DataFrame) -> DataFrame:
         out = df.withColumn("_score", F.lit(0.0)).withColumn("_asum", F.lit(sum(a for _, a in self.learners) or 1.0))
         for i, (m, a) in enumerate(self.learners):
             m.setPredictionCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setProbabilityCol(f"_q{i}")

@@ -24,7 +24,10 @@ def select_by_corr(df: DataFrame, cols, label_col: str, n: int) -> DataFrame:
 
 
 def importance_table(model, feature_names) -> list[tuple[str, float]]:
-    """(feature, importance) of a fitted tree ensemble (vector of length = features)."""
+    """(feature, importance) of a fitted tree ensemble: shares of the gain, of Spark's trees or our own."""
+    if callable(getattr(model, "importance", None)):
+        own = dict(model.importance())
+        return [(f, float(own.get(f, 0.0))) for f in feature_names]
     imp = model.featureImportances.toArray()
     return [(f, float(v)) for f, v in zip(feature_names, imp)]
 

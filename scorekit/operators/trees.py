@@ -118,6 +118,26 @@ def score_column(matrix: Column, trees: PackedTrees) -> Column:
     return total(matrix)
 
 
+def from_spark(models, values) -> PackedTrees | None:
+    """Fitted decision trees of Spark ML as packed arrays; the value of a tree's leaf is ``values(tree number, predicted class)``.
+    None where a tree splits on a set of categories, which has no cut."""
+    out = PackedTrees()
+    for t, model in enumerate(models):
+        todo = [(model._java_obj.rootNode(), out.add_tree(values(t, model._java_obj.rootNode().prediction()), 0))]
+        while todo:
+            node, at = todo.pop()
+            if node.subtreeDepth() == 0:
+                continue
+            split = node.split()
+            if not split.getClass().getSimpleName().startswith("Continuous"):
+                return None
+            kids = node.leftChild(), node.rightChild()
+            # a missing value is not at most any cut
+            places = out.split(at, split.featureIndex(), split.threshold(), False, node.gain(), *((values(t, k.prediction()), 0) for k in kids))
+            todo += zip(kids, places)
+    return out
+
+
 def tree_table(spark, trees: PackedTrees, names) -> DataFrame:
     """``(tree, node, feature, cut, missing_left, gain, value, rows)``: every node, numbered in its tree as a heap."""
     rows = [(trees.tree[k], trees.heap[k], None if trees.feature[k] == LEAF else names[trees.feature[k]], None if trees.feature[k] == LEAF else trees.cut[k],

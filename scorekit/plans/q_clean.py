@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import scalar as sc
 from ..operators import clean as cl
+from ..session import ensure_checkpoint_dir
+from ..streaming.scoring import read_stream, start_scoring
 from . import frames as fr
 from .q_profile import DOCS_LEFT_SQL, docs_left
-from .registry import register
+from .registry import REGISTRY, register
 
 W_CARDIO = f"WITH t AS ({fr.CARDIO_SQL})\n"
 BMI_SQL = "(weight / pow(height / 100, 2))"
@@ -109,6 +113,18 @@ def q_zscale(spark, sf):
     return cl.ZScaler(MEAS).fit(c).transform(c)
 
 
+@register("stream_zscale", ", ".join(f"{c} {t}" for c, t in REGISTRY["zscale"].schema), REGISTRY["zscale"].sql, ops=("F28",))
+def q_stream_zscale(spark, sf):
+    """The same fitted scaler over a stream of files, all that are there, against the SQL of the batch."""
+    c = fr.cardio(spark, sf).select("id", *MEAS)
+    scaler = cl.ZScaler(MEAS).fit(c)
+    root, name = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}", f"zscale_{uuid.uuid4().hex}"
+    c.repartition(3).write.parquet(f"{root}/in")
+    query = start_scoring(read_stream(spark, f"{root}/in", c.schema), [scaler.transform], f"{root}/out", name, checkpoint=f"{root}/state", trigger_once=True)
+    query.awaitTermination()
+    return spark.read.schema(scaler.transform(c).schema).parquet(f"{root}/out")
+
+
 @register("iqr_scale", "id bigint, height double, weight double, ap_hi double, ap_lo double",
           W_CARDIO + ", s AS (SELECT " + ", ".join(
               f"quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS r_{c}" for c in MEAS) +

@@ -107,15 +107,15 @@ class FixedScorer:
     """An estimator whose model scores by a formula and a constant learned from its rows (their share of
     label 1), so that a fold's score depends on what it was fitted on."""
 
-    def __init__(self, label_col: str = "label"):
-        self.label_col = label_col
+    def __init__(self, label_col: str = "label", modulus: int = 50):
+        self.label_col, self.modulus = label_col, modulus
 
     def fit(self, df: DataFrame) -> "FixedScorer":
         self.base = df.agg(F.avg(F.col(self.label_col).cast("double"))).first()[0]
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("prediction", F.lit(self.base) * 0.5 + (F.col("ap_lo") % 50) / 100.0)
+        return df.withColumn("prediction", F.lit(self.base) * 0.5 + (F.col("ap_lo") % self.modulus) / 100.0)
 
 
 RN = "row_number() OVER (PARTITION BY label ORDER BY md5('42:' || CAST(id AS VARCHAR)), id)"
@@ -167,6 +167,33 @@ def q_adversarial(spark, sf):
     return w
 
 
+# A search over the fixed scorer's parameter: every score and the order in SQL.
+
+GRID = {"modulus": [7, 20, 33, 50, 90]}
+DRAWN = {"grid": cf.draw_params(GRID), "random": cf.draw_params(GRID, 3, 42)}
+
+
+def _search_sql() -> str:
+    pairs = [(s, p["modulus"], k) for s, points in DRAWN.items() for k, p in enumerate(points)]
+    values = ", ".join(f"('{s}', {m}, {k})" for s, m, k in pairs)
+    return FIXED_SQL + f""", k(search, modulus, listed) AS (VALUES {values}),
+s AS (SELECT DISTINCT modulus, f.id, fold, label, (ap_lo % modulus) / 100.0 AS p FROM f, k),
+c AS (SELECT modulus, fold, p, sum(label) AS pos, sum(1 - label) AS neg FROM s GROUP BY modulus, fold, p),
+w AS (SELECT modulus, fold, CAST(pos AS DOUBLE) AS pos, CAST(neg AS DOUBLE) AS neg,
+  coalesce(sum(neg) OVER (PARTITION BY modulus, fold ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c),
+a AS (SELECT modulus, fold, sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc FROM w GROUP BY modulus, fold),
+m AS (SELECT modulus, avg(auc) AS auc FROM a GROUP BY modulus)
+SELECT search, row_number() OVER (PARTITION BY search ORDER BY auc DESC, listed) AS place, modulus, auc FROM k JOIN m USING (modulus)"""
+
+
+@register("param_search_fixed", "search string, place bigint, modulus bigint, auc double", _search_sql(), ops=("K6", "K7"))
+def q_param_search(spark, sf):
+    p = cf.stratified_folds(patient(spark, sf), "id", "label", 3, 42)
+    rows = [(s, k, q["modulus"], float(a)) for s, points in DRAWN.items()
+            for k, (q, a) in enumerate(cf.search_params(p, lambda modulus: FixedScorer("label", modulus), points, "id", "label"), 1)]
+    return spark.createDataFrame(rows, "search string, place int, modulus int, auc double")
+
+
 # Searches and choices: how many were tried, and that the best one is good.
 
 @register("contract_search", "search string, tried bigint, good bigint",

@@ -13,6 +13,7 @@ from ..operators import features as fe
 from ..operators import knn
 from ..operators import models as mdl
 from ..operators import order
+from ..operators import select as sel
 from . import q_contracts as qc
 from . import q_models
 from .registry import REGISTRY, register
@@ -106,6 +107,27 @@ def q_contract_boosting(spark, sf):
     return qc._contract("boosting", cf.cross_fit(p, make, "id", "label", "fold", "boosting")[0], 0.9, 3)
 
 
+def _importance_sql(how: dict) -> str:
+    names = " UNION ALL ".join(f"SELECT '{c}' AS feature" for c in CUTS)
+    return f"""SELECT f.feature, coalesce(g.s, 0) / (SELECT sum(gain) FROM ({boost_sql(CUTS, **how)}) AS nodes WHERE feature IS NOT NULL) AS importance
+FROM ({names}) f LEFT JOIN (SELECT feature, sum(gain) AS s FROM ({boost_sql(CUTS, **how)}) AS nodes WHERE feature IS NOT NULL GROUP BY feature) g USING (feature)"""
+
+
+@register("importance_top_boosted", "feature string, importance double",
+          f"SELECT * FROM ({_importance_sql(PLAIN)}) AS i ORDER BY importance DESC, feature LIMIT 3", ops=("X3", "M1"))
+def q_importance_boosted(spark, sf):
+    """Shares of the gain, the three largest."""
+    return sel.select_by_importance(spark, _boosted(spark, sf, PLAIN)[1], list(CUTS), 3)
+
+
+@register("prune_least_boosted", "feature string", f"""WITH i AS ({_importance_sql(PLAIN)} UNION ALL {_importance_sql(PENALISED)})
+SELECT feature FROM (SELECT feature, avg(importance) AS imp FROM i GROUP BY feature) ORDER BY imp, feature LIMIT 2""", ops=("X6", "M1"))
+def q_prune_boosted(spark, sf):
+    """The two of four features with the least mean importance of two models."""
+    rows = [(n, v) for how in (PLAIN, PENALISED) for n, v in sel.importance_table(_boosted(spark, sf, how)[1], list(CUTS))]
+    return spark.createDataFrame([(f,) for f in sel.prune_least_important(spark.createDataFrame(rows, "feature string, importance double"), 0.5)], "feature string")
+
+
 # --- M3 ---------------------------------------------------------------------------------------
 
 ET_COLS = ["age", "ap_lo", "cholesterol", "weight"]

@@ -8,6 +8,7 @@ with a header or as Parquet. Prediction sets keep their key; when the file order
 from __future__ import annotations
 
 import json
+from dataclasses import asdict
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -117,9 +118,11 @@ def _read_json(spark: SparkSession, path: str) -> dict:
 
 
 def save_model(model, path: str) -> str:
-    """IO6: a Spark ML model or pipeline, fitted cleaners and scalers (``FittedColumns``), ``AdaBoostModel``, or
-    the ``(main, meta)`` pair of a ``RoutedModel``. ``load_model`` tells them apart by a header file."""
+    """IO6: a Spark ML model or pipeline, fitted cleaners and scalers (``FittedColumns``), ``AdaBoostModel``, boosted or
+    extra-randomised trees, or the ``(main, meta)`` pair of a ``RoutedModel``. ``load_model`` tells them apart by a header file."""
+    from ..operators.boosting import BoostedModel
     from ..operators.clean import FittedColumns
+    from ..operators.extratrees import ExtraTreesModel
     from ..operators.models import AdaBoostModel
     spark = SparkSession.active()
     if isinstance(model, FittedColumns):
@@ -127,6 +130,10 @@ def save_model(model, path: str) -> str:
         parts = []
     elif isinstance(model, AdaBoostModel):
         head, parts = {"type": "adaboost", "alphas": [a for _, a in model.learners]}, [m for m, _ in model.learners]
+    elif isinstance(model, (BoostedModel, ExtraTreesModel)):
+        base = {"base": model.base} if isinstance(model, BoostedModel) else {}
+        head = {"type": "trees", "names": model.names, "feature_cols": model.feature_cols, "trees": asdict(model.trees)} | base
+        parts = []
     elif isinstance(model, tuple):
         head, parts = {"type": "routed", "meta": model[1] is not None}, [m for m in model if m is not None]
     else:
@@ -146,6 +153,14 @@ def load_model(path: str):
     head = _read_json(spark, f"{path}/head")
     if head["type"] == "columns":
         return FittedColumns(head["kind"], {c: tuple(p) if isinstance(p, list) else p for c, p in head["params"].items()})
+    if head["type"] == "trees":
+        from ..operators.boosting import BoostedModel
+        from ..operators.extratrees import ExtraTreesModel
+        from ..operators.trees import PackedTrees
+        trees = PackedTrees(**head["trees"])
+        if "base" in head:
+            return BoostedModel(trees, head["base"], head["names"], head["feature_cols"], [])
+        return ExtraTreesModel(trees, head["names"], head["feature_cols"])
     parts = [DefaultParamsReader.loadParamsInstance(f"{path}/part-{k}", spark) for k in range(head["parts"])]
     if head["type"] == "adaboost":
         return AdaBoostModel(list(zip(parts, head["alphas"])))

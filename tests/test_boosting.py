@@ -189,3 +189,24 @@ def test_extra_trees_learn(spark, rows):
     got = positive_prob(m.transform(df)).collect()
     assert np.mean([(r.prob > .5) == r.label for r in got]) > .8
     assert et.ExtraTrees(n_trees=2, feature_cols=COLS).fit(df.limit(0)).transform(df).where("prediction = 0.5").count() == len(rows[1])
+
+
+def test_saved_trees_score_the_same(spark, rows):
+    import uuid
+
+    from scorekit.session import ensure_checkpoint_dir
+    from scorekit.sources import io
+    df = frame(spark, rows)
+    for m in (GradientBoosting(rounds=2, depth=2, cuts=CUTS, feature_cols=COLS).fit(df), et.ExtraTrees(n_trees=2, depth=2, feature_cols=COLS).fit(df)):
+        loaded = io.load_model(io.save_model(m, f"{ensure_checkpoint_dir(spark)}/trees-{uuid.uuid4().hex}"))
+        assert [r.prediction for r in loaded.transform(df).collect()] == [r.prediction for r in m.transform(df).collect()]
+
+
+def test_adaboost_in_one_projection(spark, rows):
+    from scorekit.operators import models as mdl
+    from scorekit.operators.features import assemble
+    df = assemble(frame(spark, rows), COLS, fill=dict.fromkeys(COLS, 0.0))
+    few, many = (mdl.AdaBoost(depth=2, rounds=r, rate=.5).fit(df) for r in (2, 5))
+    assert [r.prob for r in many.transform(df).orderBy("id").collect()] == pytest.approx([r.prob for r in many._chained(df).orderBy("id").collect()], abs=1e-12)
+    size = lambda m: len(m.transform(df)._jdf.queryExecution().executedPlan().toString())
+    assert abs(size(few) - size(many)) < 60
