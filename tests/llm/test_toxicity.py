@@ -53,12 +53,12 @@ def tables(spark):
     parts = ["an", "ber", "tion", "er", "the", "lo", "ing", "sa", "mu", "ri", "de", "no"]
     word = lambda: "".join(rng.choice(parts, int(rng.integers(1, 4))))
     docs, labels = [], []
-    for d in range(900):
+    for d in range(1500):
         w = [word() for _ in range(int(rng.integers(5, 80)))]
         bad = d % 6 == 0
         if bad:
             x = str(rng.choice(INSULTS))
-            if d % 5 == 0:  # some with an inserted character
+            if d % 12 == 0:  # half of them with an inserted character
                 k = int(rng.integers(2, len(x) - 2))
                 x = x[:k] + str(rng.choice(list("-x*"))) + x[k:]
             w.insert(int(rng.integers(0, len(w))), x)
@@ -78,10 +78,10 @@ def test_held_out_accuracy(spark, tables):
     held = [r for r in res if r.held_out]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in res) and len(held) > 120
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= .5) for r in res)
-    plain = [r for r in held if not (truth[r.doc_id] and r.doc_id % 5 == 0)]
+    plain = [r for r in held if not (truth[r.doc_id] and r.doc_id % 12 == 0)]
     assert np.mean([r.predicted == truth[r.doc_id] for r in plain]) > 0.95
-    gapped = [r.predicted for r in held if truth[r.doc_id] and r.doc_id % 5 == 0]
-    assert np.mean(gapped) >= 0.5
+    gapped = [r.predicted for r in held if truth[r.doc_id] and r.doc_id % 12 == 0]
+    assert len(gapped) > 20 and np.mean(gapped) >= 0.9
     again = run(docs.repartition(3), labels.repartition(2)).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, res))
 
@@ -107,6 +107,12 @@ def test_nothing_to_learn_from(spark):
     assert run(docs.limit(0), none).count() == 0
 
 
+def test_few_labels_still_tell_texts_apart(spark):
+    from ..conftest import SF_SMALL
+    res = run(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), spark.read.parquet(f"{SF_SMALL}/labels.parquet")).collect()
+    assert len({r.score for r in res}) > 0.5 * len(res) and any(r.predicted for r in res)
+
+
 def test_score_does_not_depend_on_pieces(spark):
     rng = np.random.default_rng(2)
     say = lambda n: " ".join(rng.choice(["the", "river", "stone", "cloud", "garden"], n))
