@@ -245,6 +245,15 @@ def _distinct(words: list) -> list:
     return [w[new] for w in words]
 
 
+def _home(words: list, parts: int) -> np.ndarray:
+    """Hash part of each phrase of the columns ``words``."""
+    h = np.zeros(len(words[0]), np.uint64)
+    for w in words:
+        h = (h ^ w.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    return (h % np.uint64(parts)).astype(np.int64)
+
+
 def _schema(k: int) -> str:
     return ", ".join(f"w{i} int" for i in range(k))
 
@@ -286,10 +295,19 @@ def longer_sites(coded: DataFrame, frequent: DataFrame, k: int, most: int) -> li
 
 
 def candidates(coded: DataFrame, k: int, sites: list, n: int, least: int, most_bits: int) -> DataFrame:
-    """Distinct phrases ``(w0..)`` of ``k`` words at ``sites`` whose bucket is frequent."""
+    """Distinct phrases ``(w0..)`` of ``k`` words at ``sites`` whose bucket is frequent. A task's phrases travel packed, one row for
+    each hash part, so that a phrase of all tasks is a few bytes of each."""
     if not sites:
         return coded.sparkSession.createDataFrame([], _schema(k))
     sent = bucket_filter(coded, k, sites, n, least, most_bits)
+    parts = max(int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / (1 << 24)))
+
+    def packed_rows(words):
+        home = _home(words, parts)
+        for j in np.unique(home):
+            on = home == j
+            yield pa.RecordBatch.from_arrays([pa.array([int(j)], pa.int64()), pa.array([pack(np.concatenate([w[on] for w in words]).astype(np.int32))], pa.binary())],
+                                             names=["part", "phrases"])
 
     def finder(site, most_held=1 << 20):
         def kernel(batches):
@@ -306,12 +324,18 @@ def candidates(coded: DataFrame, k: int, sites: list, n: int, least: int, most_b
                         held = [_distinct([np.concatenate(w) for w in zip(*held)])]
                         size = len(held[0][0])
                         if 2 * size > most_held:
-                            yield _table(held[0])
+                            yield from packed_rows(held[0])
                             held, size = [], 0
             if size:
-                yield _table(_distinct([np.concatenate(w) for w in zip(*held)]))
+                yield from packed_rows(_distinct([np.concatenate(w) for w in zip(*held)]))
         return kernel
-    return reduce(DataFrame.unionByName, [coded.mapInArrow(finder(s), _schema(k)) for s in sites]).distinct()
+
+    def unite(table):
+        arrays = [unpack(x, np.int32).reshape(k, -1) for x in table["phrases"].to_pylist()]
+        return pa.Table.from_batches([_table(_distinct(list(np.concatenate(arrays, axis=1))))])
+
+    found = reduce(DataFrame.unionByName, [coded.mapInArrow(finder(s), "part bigint, phrases binary") for s in sites])
+    return found.groupBy("part").applyInArrow(unite, _schema(k))
 
 
 def known_ends(found: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
