@@ -49,15 +49,14 @@ def test_adversarial_weights_keep_ids_with_colons(spark):
     assert {r.id for r in w.collect()} == want and w.count() == len(want)
 
 
-def test_categories_beyond_the_index_are_encoded(spark):
+def test_categories_of_any_number_are_encoded(spark):
     rows = [(i, f"c{i % 100}", None if i % 11 == 0 else float(i % 10), int(i % 100 < 50)) for i in range(1200)] + [(5000, None, 1.0, 0)]
     df = spark.createDataFrame(rows, "id long, c string, x double, label int")
-    for most in (200, 20):
-        m = mdl.CategoricalBoosting(["c"], ["x"], max_levels=most, max_iter=3, max_depth=3).fit(df)
-        new = df.union(spark.createDataFrame([(6000, "unseen", None, 0)], df.schema))
-        out = cf.positive_prob(m.transform(new))
-        assert out.count() == 1202
-        assert met.auc_exact(out, "label", "prob").first()["auc"] > 0.95
+    m = mdl.CategoricalBoosting(["c"], ["x"], max_iter=3, max_depth=2).fit(df)
+    new = df.union(spark.createDataFrame([(6000, "unseen", None, 0)], df.schema))
+    out = cf.positive_prob(m.transform(new))
+    assert out.count() == 1202
+    assert met.auc_exact(out, "label", "prob").first()["auc"] > 0.95
 
 
 def test_large_counts_do_not_overflow(spark, monkeypatch):
