@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import begin, bytes_of, columns, components, fresh, hook, shared_table, word_pieces
+from .common import begin, bounded, bytes_of, columns, components, fresh, hook, shared_table, word_pieces
 
 
 def fingerprint(text: bytes, k: int = 3, bits_at_once: int = 1 << 16) -> int:
@@ -110,37 +110,59 @@ def _compare(a, b, f, same, budget, at_once: int = 1 << 22):
         lo = hi
 
 
+def subtries(fps: DataFrame, leaf: int = 1 << 15, top_bits: int = 16, step: int = 8) -> tuple:
+    """Cut of the trie of the distinct fingerprints ``fps(fp)`` into subtries of ``leaf`` or fewer: their first
+    value, ascending, and the number of their free low bits.
+
+    The first histogram has at most 2^top_bits rows. Prefixes that hold more than a leaf, fewer than
+    fingerprints / leaf, are counted again by ``step`` more bits, until none is left."""
+    spark = fps.sparkSession
+    found, hot, done = [], [0], 0
+    while hot:
+        bits = min(64, done + (step if done else top_bits))
+        width = bits - done
+        part = fps
+        if done:
+            over = spark.createDataFrame([(p,) for p in hot], "hot bigint")
+            part = fps.join(bounded(over), F.shiftrightunsigned("fp", 64 - done) == F.col("hot"), "left_semi")
+        hist = {p: np.zeros(1 << width, np.int64) for p in hot}
+        for p, n in part.groupBy(F.shiftrightunsigned("fp", 64 - bits).alias("p")).count().collect():  # 2^width rows a hot prefix
+            p &= (1 << 64) - 1
+            hist[p >> width][p & ((1 << width) - 1)] = n
+        hot = []
+        for p, counts in hist.items():
+            total = np.concatenate([[0], np.cumsum(counts)])
+            stack = [(0, 1 << width)]
+            while stack:  # binary splits of ranges that hold more than a leaf
+                lo, hi = stack.pop()
+                n = total[hi] - total[lo]
+                if n > leaf and hi - lo > 1:
+                    stack += [(lo, (lo + hi) // 2), ((lo + hi) // 2, hi)]
+                elif n > leaf and bits < 64:
+                    hot.append((p << width) + lo)
+                elif n:
+                    found.append((((p << width) + lo) << (64 - bits), 64 - bits + (hi - lo).bit_length() - 1))
+        done = bits
+    found.sort()
+    return np.array([f[0] for f in found], np.uint64), np.array([f[1] for f in found], np.uint64)
+
+
 def trie_links(fps: DataFrame, budget: int = 3, leaf: int = 1 << 15, top_bits: int = 16) -> DataFrame:
     """Spanning links ``(u, v)`` of the distinct fingerprints ``fps(fp)`` at ``budget`` or fewer bits.
 
-    The cut of the upper trie reads a histogram of at most 2^top_bits prefixes; ``top_bits`` should be
-    raised with the data so that 2^top_bits * leaf exceeds the number of fingerprints."""
-    # the sign bit flipped and shifted: prefixes as unsigned numbers
-    prefix = F.expr(f"shiftrightunsigned(fp, {64 - top_bits})").cast("int")
-    hist = np.zeros(1 << top_bits, np.int64)
-    for p, n in fps.groupBy(prefix.alias("p")).count().collect():  # at most 2^top_bits rows
-        hist[p] = n
-    total = np.concatenate([[0], np.cumsum(hist)])
-    cuts, stack = [], [(0, 1 << top_bits)]
-    while stack:  # binary splits of prefixes that hold more than a leaf
-        lo, hi = stack.pop()
-        if total[hi] == total[lo]:
-            continue
-        if hi - lo > 1 and total[hi] - total[lo] > leaf:
-            stack += [(lo, (lo + hi) // 2), ((lo + hi) // 2, hi)]
-        else:
-            cuts.append((lo, hi))
-    cuts = np.array(sorted(cuts), np.int64).reshape(-1, 2)
+    Every pair of subtries that may hold a link is one group of at most 2 * leaf fingerprints, however many
+    share a prefix."""
+    start, free = subtries(fps, leaf, top_bits)
 
     def partners(k: int) -> np.ndarray:
         """Subtries whose prefix may be within the budget of subtrie k's, by the bits both have."""
-        width = np.maximum(cuts[:, 1] - cuts[:, 0], cuts[k, 1] - cuts[k, 0])
-        return np.flatnonzero(np.bitwise_count((cuts[:, 0] ^ cuts[k, 0]) & ~(width - 1)) <= budget)
+        common = np.minimum(np.maximum(free, free[k]), np.uint64(63))  # 64 free bits: the only subtrie
+        return np.flatnonzero(np.bitwise_count((start ^ start[k]) >> common) <= budget)
 
     def deal(batches):
         for b in batches:
             x = np.sort(np.asarray(b.column(0)).view(np.uint64))
-            node = np.searchsorted(cuts[:, 0], (x >> np.uint64(64 - top_bits)).astype(np.int64), "right") - 1
+            node = np.searchsorted(start, x, "right") - 1
             for k in np.unique(node):
                 blob = x[node == k].tobytes()
                 for p in partners(k):

@@ -95,6 +95,29 @@ def test_links_keep_every_connection(spark, leaf):
     assert classes(root) == classes(wroot)
 
 
+def test_hot_prefix_is_split(spark):
+    """Many fingerprints under one long prefix: no subtrie beyond the leaf, no link lost."""
+    rng = np.random.default_rng(5)
+    hot = (0xABCD1234 << 32) + np.unique(rng.integers(0, 2 ** 12, 900).astype(np.uint64))  # 52 bits in common
+    fps = np.unique(np.concatenate([hot, rng.integers(0, 2 ** 64, 300, dtype=np.uint64), [np.uint64(0), np.uint64(2 ** 64 - 1)]]))
+    df = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    start, free = simhash.subtries(df, leaf=32)
+    assert (np.diff(start.astype(object)) > 0).all() and np.all(start <= fps.max())
+    held = np.bincount(np.searchsorted(start, fps, "right") - 1, minlength=len(start))
+    assert held.sum() == len(fps) and 0 < held.min() and held.max() <= 32
+    assert all(int(f) < int(s) + (1 << int(w)) for f, s, w in
+               ((f, start[k], free[k]) for f, k in zip(fps, np.searchsorted(start, fps, "right") - 1)))
+    up = np.arange(len(fps))
+    at = {int(f): k for k, f in enumerate(fps.view(np.int64))}
+    links = simhash.trie_links(df, leaf=32).collect()
+    simhash.hook(up, np.array([at[r.u] for r in links]), np.array([at[r.v] for r in links]))
+    want = np.arange(len(fps))
+    i, j = np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3, 1))
+    simhash.hook(want, i, j)
+    flat = lambda p: [min(k for k in range(len(p)) if p[k] == r) for r in p]
+    assert flat(up) == flat(want)
+
+
 def test_one_row_of_each_component(spark):
     rows = [(5, "a b c d e"), (3, "a b c d e"), (3, "a b c d e"), (None, "a b c d e"), (7, None), (8, ""), (None, "lone words of a row"), (None, "lone words of a row"),
             (None, None), (9, "quite another text of some words"), (9, "and a third one with the same id here")]
