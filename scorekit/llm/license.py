@@ -1,10 +1,11 @@
 """License scans by a positional index of rare tokens.
 
-The words of the licence templates are ranked by inverse document frequency over all documents. A file is
-looked up under its highest-IDF licence words; each posting of such a word says where in the file the
-template would have to start. At that place the template's other words are intersected by relative
-position, the mandatory key phrase is verified word by word, and the IDF share of the words in place
-is the match. Fixed phrases (the base) are found by the same index. DataFrame expressions only.
+The words of the licence templates are ranked by inverse document frequency over all documents. Every base
+phrase and every mandatory key phrase is posted in the index under its highest-IDF word, with that word's
+position. A file is looked up under its own licence words: each place of an indexed word gives, by relative
+position, where a phrase would have to start. There the phrase is verified word by word, and the IDF share
+of the template's words in place is the match. The index is a constant of the plan, whose size does not
+depend on the number of templates. DataFrame expressions only.
 """
 
 from __future__ import annotations
@@ -52,86 +53,93 @@ def words_of(text: Column) -> Column:
 
 
 def word_idf(words: DataFrame, vocab: list) -> dict:
-    """IDF over all rows of ``words(words)`` of every word of ``vocab`` (a word of the templates)."""
-    seen = words.select(F.explode(F.array_intersect("words", F.array(*map(F.lit, vocab)))).alias("w")).groupBy("w").count()
-    total = words.count()
-    df = {r.w: r["count"] for r in seen.collect()}  # one row for each template word at most
+    """IDF over all rows of ``words(words)`` of every word of ``vocab`` (a word of the templates), in one pass."""
+    seen = words.select(F.explode(F.concat(F.array_intersect("words", _list(vocab)), F.array(F.lit("")))).alias("w")).groupBy("w").count()
+    df = {r.w: r["count"] for r in seen.collect()}  # one row for each template word at most; the empty word counts all rows
+    total = df.get("", 0)
     return {w: math.log((total + 1) / (df.get(w, 0) + 1)) + 1e-6 for w in vocab}
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=BASE, templates=TEMPLATES, look_up: int = 12,
-         min_share: float = 0.5) -> DataFrame:
+def _list(values) -> Column:
+    return F.array(*map(F.lit, values))
+
+
+def _entries(base, templates, max_templates: int) -> list:
+    """``(label, is_base, words, key words, where the key stands in the words)`` of every phrase and template."""
+    if isinstance(templates, DataFrame):
+        templates = [tuple(r) for r in templates.select("label", "notice", "key_phrase").limit(max_templates + 1).collect()]
+    if len(templates) > max_templates:
+        raise ValueError(f"more than {max_templates} templates")
+    out = [(label, True, split_words(p), split_words(p), 0) for p, label in base]
+    for label, notice, key in templates:
+        words, key = split_words(notice), split_words(key)
+        at = next((s for s in range(len(words)) if words[s:s + len(key)] == key), None)
+        if at is None:
+            raise ValueError("a key phrase must stand in its template")
+        out.append((label, False, words, key, at))
+    if not out or not all(e[3] for e in out):
+        raise ValueError("a phrase must have a word")
+    return out
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=BASE, templates=TEMPLATES, min_share: float = 0.5,
+         max_templates: int = 10_000) -> DataFrame:
     """``(id, n_words, n_base, first_word, last_word, base_labels, labels, score)`` of every row.
 
-    ``n_base`` counts the places of all base phrases, ``first_word`` and ``last_word`` are their smallest and
-    largest start (null without one). A template gives its label where its key phrase stands in full and
-    ``min_share`` of its words by IDF are in place; ``score`` is the largest such share, 0 without one. A
-    file is looked up under its ``look_up`` rarest licence words, and always under the rarest word of every
-    phrase it holds, so no place is missed. A null text is empty. Rows are judged alone: repeated rows and ids
-    stay; other columns are not read; an empty table gives an empty result."""
+    ``templates`` is a list of ``(label, notice, key phrase)`` or a table of ``(label, notice, key_phrase)``; more
+    than ``max_templates`` are refused. ``n_base`` counts the places of all base phrases, ``first_word`` and
+    ``last_word`` are their smallest and largest start (null without one). A template gives its label where its
+    key phrase stands in full and ``min_share`` of its words by IDF are in place; ``score`` is the largest such
+    share, 0 without one. A file that holds a phrase holds its highest-IDF word, so no place is missed; of
+    equally rare words the first in the phrase is posted. A null or empty text has no word; a very long text is read
+    whole. Rows are judged alone: repeated rows and ids stay; other columns are not read; an empty table gives an
+    empty result."""
     begin(docs.sparkSession)
     words = docs.select(F.col(id_col), words_of(F.col(text_col)).alias("words"))
-    base = [(split_words(p), label) for p, label in base]
-    templates = [(label, split_words(t), split_words(p)) for label, t, p in templates]
-    vocab = sorted({w for p, _ in base for w in p} | {w for _, t, _ in templates for w in t})
-    idf = word_idf(words.select("words"), vocab)
-    by_idf = sorted(vocab, key=lambda w: (-idf[w], w))
-
-    def rarest(phrase):
-        return min(range(len(phrase)), key=lambda k: (-idf[phrase[k]], k))
-
-    anchors = {p[rarest(p)] for p, _ in base} | {p[rarest(p)] for _, _, p in templates}
-    # the file's own licence words, rarest first; the anchors among them are what the index is asked for
-    mine = F.array_intersect(F.array(*map(F.lit, by_idf)), F.col("words"))
-    found = F.array_union(F.slice(mine, 1, look_up), F.array_intersect(F.array(*map(F.lit, sorted(anchors))), F.col("words")))
-    looked = F.array_intersect(found, F.array(*map(F.lit, sorted(anchors))))
-    postings = F.filter(F.transform("words", lambda w, i: F.when(w.isin(*sorted(anchors)), F.struct(i.alias("at"), w.alias("w")))),
-                        lambda s: s.isNotNull())
-    d = (words.withColumn("n_words", F.size("words").cast("bigint")).withColumn("looked", looked)
-         .withColumn("hits", F.when(F.size("looked") > 0, postings)))
-
-    def word_at(i):
-        return F.get("words", i)  # null outside the file
-
-    def starts(phrase, shift=0):
-        """Where the phrase stands in full, found by its rarest word."""
-        k = rarest(phrase)
-
-        def stands(h):
-            ok = h["w"] == phrase[k]
-            for j, w in enumerate(phrase):
-                if j != k:
-                    ok &= F.coalesce(word_at(h["at"] - k + j) == w, F.lit(False))
-            return ok
-        return F.transform(F.filter("hits", stands), lambda h: h["at"] - (k + shift))
-
-    def share(template):
-        """Share by IDF of the template's words that are in place, for a template that starts at ``i``."""
-        total = sum(idf[w] for w in template)
+    entries = _entries(base, templates, max_templates)
+    idf = word_idf(words.select("words"), sorted({w for e in entries for w in e[2]}))
 
-        def of(i):
-            got = F.lit(0.0)
-            for j, w in enumerate(template):
-                got += F.when(F.coalesce(word_at(i + j) == w, F.lit(False)), idf[w] / total).otherwise(0.0)
-            return got
-        return of
-
-    def where_phrase(template, phrase):
-        for s in range(len(template) - len(phrase) + 1):
-            if template[s:s + len(phrase)] == phrase:
-                return s
-        raise ValueError("a key phrase must stand in its template")
-
-    empty = F.array().cast("array<int>")
-    places = [F.coalesce(starts(p), empty).alias(f"b{k}") for k, (p, _) in enumerate(base)]
-    best = [F.coalesce(F.array_max(F.transform(starts(p, where_phrase(t, p)), share(t))), F.lit(0.0)).alias(f"t{k}")
-            for k, (_, t, p) in enumerate(templates)]
-    d = d.select(id_col, "n_words", *places, *best)
-    every = F.concat(*[F.col(f"b{k}") for k in range(len(base))])
-    own = [F.when(F.size(f"b{k}") > 0, label) for k, (_, label) in enumerate(base)]
-    more = [F.when(F.col(f"t{k}") >= min_share, label) for k, (label, _, _) in enumerate(templates)]
-    listed = lambda xs: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*xs)))), ",")
-    top = F.greatest(*[F.when(F.col(f"t{k}") >= min_share, F.col(f"t{k}")).otherwise(0.0) for k in range(len(templates))])
-    return d.select(id_col, "n_words", F.size(every).cast("bigint").alias("n_base"), F.array_min(every).cast("bigint").alias("first_word"),
-                    F.array_max(every).cast("bigint").alias("last_word"), listed(own).alias("base_labels"),
-                    listed([*own, *more]).alias("labels"), F.least(top, F.lit(1.0)).alias("score"))
+    index, known = {}, []
+    for k, (label, is_base, template, key, at) in enumerate(entries):
+        rare = min(range(len(key)), key=lambda j: (-idf[key[j]], j))
+        index.setdefault(key[rare], []).append(F.struct(F.lit(k).alias("k"), F.lit(rare).alias("shift")))
+        total = sum(idf[w] for w in template)
+        known.append(F.struct(F.lit(label).alias("label"), F.lit(is_base).alias("is_base"), _list(template).alias("words"),
+                              _list([idf[w] / total for w in template]).alias("part"), _list(key).alias("key"), F.lit(at).alias("at")))
+    known = F.array(*known)
+    rarest_first = sorted(index, key=lambda w: (-idf[w], w))
+    postings = F.create_map(*[x for w in rarest_first for x in (F.lit(w), F.array(*index[w]))])
+
+    hits = F.filter(F.transform("words", lambda w, i: F.when(w.isin(*rarest_first), F.struct(i.alias("at"), w.alias("w")))),
+                    lambda h: h.isNotNull())
+    # where an entry's key phrase would have to start, by the indexed word's place
+    starts = F.flatten(F.transform(hits, lambda h: F.transform(
+        F.element_at(postings, h["w"]), lambda p: F.struct(F.get(known, p["k"]).alias("e"), (h["at"] - p["shift"]).alias("at")))))
+
+    def stands(s):
+        key = s["e"]["key"]
+        return (s["at"] >= 0) & (F.slice("words", F.greatest(s["at"], F.lit(0)) + 1, F.size(key)) == key)
+
+    def share(s):
+        """Share by IDF of the template's words in place."""
+        e, first = s["e"], s["at"] - s["e"]["at"]
+        in_place = F.zip_with(F.transform(e["words"], lambda w, j: F.coalesce(F.get("words", first + j) == w, F.lit(False))), e["part"],
+                              lambda ok, part: F.when(ok, part).otherwise(0.0))
+        return F.aggregate(in_place, F.lit(0.0), lambda a, b: a + b)
+
+    found = F.transform(F.filter(starts, stands), lambda s: F.struct(
+        s["e"]["label"].alias("label"), s["e"]["is_base"].alias("is_base"), s["at"].alias("at"),
+        F.when(~s["e"]["is_base"], share(s)).alias("share")))
+    looked = F.arrays_overlap("words", _list(rarest_first))  # the file's own words that the index has
+    d = words.select(F.col(id_col), F.size("words").cast("bigint").alias("n_words"), F.when(looked, found).alias("found"))
+
+    own = F.transform(F.filter("found", lambda f: f["is_base"]), lambda f: f["at"])
+    fits = F.filter("found", lambda f: ~f["is_base"] & (f["share"] >= min_share))
+
+    def listed(rows):
+        return F.coalesce(F.array_join(F.array_sort(F.array_distinct(F.transform(rows, lambda f: f["label"]))), ","), F.lit(""))
+    return d.select(id_col, "n_words", F.coalesce(F.size(own), F.lit(0)).cast("bigint").alias("n_base"),
+                    F.array_min(own).cast("bigint").alias("first_word"), F.array_max(own).cast("bigint").alias("last_word"),
+                    listed(F.filter("found", lambda f: f["is_base"])).alias("base_labels"),
+                    listed(F.filter("found", lambda f: f["is_base"] | (f["share"] >= min_share))).alias("labels"),
+                    F.least(F.coalesce(F.array_max(F.transform(fits, lambda f: f["share"])), F.lit(0.0)), F.lit(1.0)).alias("score"))

@@ -64,7 +64,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license.scan(_read(spark, sf_dir, "documents"), look_up=12, min_share=0.5).withColumn("score", F.round("score", 6))
+    return license.scan(_read(spark, sf_dir, "documents"), min_share=0.5).withColumn("score", F.round("score", 6))
 
 
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:

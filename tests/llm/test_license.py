@@ -62,3 +62,23 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     df = lic.scan(spark.createDataFrame([], "doc_id long, text string"))
     assert df.count() == 0 and df.columns[1:4] == ["n_words", "n_base", "first_word"]
+
+
+def test_templates_from_a_table(spark):
+    """Three hundred notices in a table: the same labels as by hand, and a plan no longer than for eight."""
+    notes = [(f"own-{k}", f"This file falls under the house rules number {k} of the works, see rules {k}", f"house rules number {k}") for k in range(300)]
+    table = spark.createDataFrame(notes, "label string, notice string, key_phrase string")
+    texts = [f"intro. {notes[k][1]} end" for k in (0, 7, 299)] + ["house rules number 5", "house rules number", "Number 7 of the house rules", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in lic.scan(docs, templates=table, min_share=0.9).collect()}
+    assert [got[k] for k in range(3)] == [("own-0", pytest.approx(1.0)), ("own-7", pytest.approx(1.0)), ("own-299", pytest.approx(1.0))]
+    assert all(got[k] == ("", 0.0) for k in range(3, len(texts)))
+    with pytest.raises(ValueError):
+        lic.scan(docs, templates=table, max_templates=299)
+    with pytest.raises(ValueError):
+        lic.scan(docs, templates=[("x", "one two", "two one")])
+
+
+def test_size_of_no_hit_is_zero(spark):
+    row = lic.scan(spark.createDataFrame([(1, "plain words")], "doc_id long, text string")).first()
+    assert tuple(row) == (1, 2, 0, None, None, "", "", 0.0)
