@@ -17,15 +17,17 @@ from __future__ import annotations
 
 import math
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import keep
+from ..session import BROADCAST_MAX_BYTES, keep
 from .joins import sized_join
 
 _ROWS_PER_BUCKET = [2_000_000]
+_CUTS_AT_ONCE = 256
 
 
 @contextmanager
@@ -80,7 +82,8 @@ def add_group_value_bucket(df: DataFrame, key_col: str, out_col: str, part_cols,
 
     The cuts are a small table, one row of sorted cut points for each group that needs more than one
     bucket; it is joined on the group, and a row's bucket is found by bisection of its group's cuts.
-    There is no limit on the number of groups. ``group_sizes`` (the partition columns and ``_n``) saves
+    Many buckets are cut in levels, each bucket of one level by cuts of its own in the next, so that a row
+    meets some hundred cuts however many buckets there are. There is no limit on the number of groups. ``group_sizes`` (the partition columns and ``_n``) saves
     the counting job when the caller has it. Returns ``(frame, most buckets of a group)``."""
     part_cols = list(part_cols)
     sizes = group_sizes if group_sizes is not None else df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("_n"))
@@ -91,17 +94,24 @@ def add_group_value_bucket(df: DataFrame, key_col: str, out_col: str, part_cols,
         return df.withColumn(out_col, F.lit(0.0)), 1
     names = [f"_gk{i}" for i in range(len(part_cols))]
     big = sizes.where(F.col("_n") > rows).select(*[F.col(p).alias(n) for p, n in zip(part_cols, names)])
-    on = None
-    for p, n in zip(part_cols, names):
-        e = F.col(p).eqNullSafe(F.col(n))
-        on = e if on is None else on & e
-    # approximate quantiles of the large groups in one grouped pass: groups x buckets values
-    probs = [i / nb for i in range(1, nb)]
-    acc = int(min(2**31 - 1, max(10_000, 4 * nb)))
-    cuts = (df.join(F.broadcast(big) if big.count() * len(names) * 64 <= 1 << 20 else big, on).groupBy(*names)
-            .agg(F.array_distinct(F.percentile_approx(F.col(key_col), probs, acc)).alias("_cuts")))
-    both = sized_join(df, cuts, on)
-    return both.withColumn(out_col, _bisect(F.col("_cuts"), F.col(key_col), nb)).drop("_cuts", *names), nb
+    big = F.broadcast(big) if big.count() * len(names) * 64 <= 1 << 20 else big
+    on = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(n)) for p, n in zip(part_cols, names)])
+    # every row carries its cuts through the join, so they stay few: many buckets are found level by level
+    levels = next(k for k in range(1, 64) if _CUTS_AT_ONCE ** k >= nb)
+    fan = next(f for f in range(2, nb + 1) if f ** levels >= nb)
+    acc = max(10_000, 4 * fan)
+    probs = [i / fan for i in range(1, fan)]
+    work = df.withColumn(out_col, F.lit(0.0))
+    for _ in range(levels):
+        # approximate quantiles of the large buckets so far in one grouped pass
+        cuts = (work.join(big, on).groupBy(*names, F.col(out_col).alias("_gat"))
+                .agg(F.count(F.lit(1)).alias("_gn"), F.array_distinct(F.percentile_approx(F.col(key_col), probs, acc)).alias("_cuts"))
+                .where(F.col("_gn") > rows).drop("_gn"))
+        width = 2 * (len(names) + 2)  # an array counts as one value where a side is measured
+        both = sized_join(work, cuts, on & (F.col(out_col) == F.col("_gat")), max_bytes=BROADCAST_MAX_BYTES * width // (width + fan))
+        at = F.col(out_col) * fan + _bisect(F.col("_cuts"), F.col(key_col), fan)
+        work = both.withColumn(out_col, at).drop("_cuts", "_gat", *names)
+    return work, nb
 
 
 def _bisect(cuts: Column, key: Column, most: int) -> Column:

@@ -73,3 +73,19 @@ def test_group_buckets_split_each_group(spark):
     w = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("c", F.lit(1)).withColumn("want", F.sum("c").over(w))
     assert got.join(want, ["g", "v"]).where(F.col("cum_c") != F.col("want")).count() == 0
+
+
+def test_many_buckets_are_cut_in_levels(spark, monkeypatch):
+    """A row meets a bounded number of cuts at a time, however many buckets its group has."""
+    from scorekit.operators import order
+    met, plain = [], order._bisect
+    monkeypatch.setattr(order, "_bisect", lambda cuts, key, most: met.append(most) or plain(cuts, key, most))
+    rows = [("a", float((i * 7919) % 6000 % 5000)) for i in range(6000)] + [("b", float(i)) for i in range(3)] + [("a", None), (None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    b, nb = order.add_group_value_bucket(df, "v", "b", ["g"], rows_per_bucket=4)
+    got = [(r.b, r.v) for r in b.collect() if r.g == "a" and r.v is not None]
+    assert nb > 1000 and met and max(met) <= order._CUTS_AT_ONCE
+    by_value = sorted(got, key=lambda x: (x[1], x[0]))
+    assert len(got) == 6000 and by_value == sorted(got)  # monotone
+    assert len({v: k for k, v in got}) == len(set(got))  # equal values in one bucket
+    assert len({k for k, _ in got}) > 700 and {r.b for r in b.collect() if r.g != "a"} == {0.0}
