@@ -54,35 +54,114 @@ def _distances(q: np.ndarray, b: np.ndarray, metric: str, p: float = 3.0, budget
     return out
 
 
-def _exact_euclidean(qv: np.ndarray, bv: np.ndarray) -> np.ndarray:
-    """Direct sqrt(sum((q - b)^2)) for a few (query, base) pairs: rows of ``qv`` against rows of ``bv``."""
-    return np.sqrt(((qv - bv) ** 2).sum(1))
-
-
-def nearest_rows(q_vec: np.ndarray, b_id: np.ndarray, b_vec: np.ndarray, k: int, metric: str, p: float, cells: int = 1 << 22) -> tuple:
+def _measured(qv: np.ndarray, bv: np.ndarray, metric: str, p: float) -> np.ndarray:
+    """Distances of a few (query, base) pairs, rows of ``qv`` against rows of ``bv``: each pair by itself, whatever else is measured."""
+    if metric == "cosine":
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return 1.0 - np.nan_to_num((qv * bv).sum(1) / (np.linalg.norm(qv, axis=1) * np.linalg.norm(bv, axis=1)))
+    if metric == "euclidean":
+        return np.sqrt(((qv - bv) ** 2).sum(1))
+    diff = np.abs(qv - bv)
+    return diff.sum(1) if metric == "manhattan" else (diff ** p).sum(1) ** (1.0 / p)
+
+
+class _Screen:
+    """Cheap distances of query rows to base rows with a bound of their error, in a form that grows with the distance: squares by a matrix product,
+    sums of powers coordinate by coordinate (in single precision where the values allow it). ``level`` turns a distance into that form."""
+
+    def __init__(self, q: np.ndarray, b: np.ndarray, metric: str, p: float):
+        self.metric, self.p = metric, p
+        if metric == "euclidean":
+            self.q, self.b, self.qq, self.bb = q, b, (q * q).sum(1), (b * b).sum(1)
+            self.slack = 4e-16 * (q.shape[1] + 8) * (self.qq + self.bb.max(initial=0.0))
+        elif metric == "cosine":
+            with np.errstate(invalid="ignore", divide="ignore"):
+                self.q, self.b = (np.nan_to_num(x / np.linalg.norm(x, axis=1)[:, None], posinf=0.0, neginf=0.0) for x in (q, b))
+            self.slack = np.full(len(q), 4e-16 * (q.shape[1] + 8))
+        else:
+            top = max(np.abs(q).max(initial=0.0), np.abs(b).max(initial=0.0))
+            kind = np.float32 if 1e-4 < top < 1e10 and (metric == "manhattan" or p == 3) else np.float64
+            self.q, self.b = np.ascontiguousarray(q.T, kind), np.ascontiguousarray(b.T, kind)
+            self.slack = 2 * np.finfo(kind).eps * (q.shape[1] + 8) * (np.abs(q).sum(1) + np.abs(b).sum(1).max(initial=0.0))
+
+    def level(self, distance: np.ndarray, rows: slice) -> np.ndarray:
+        if self.metric == "euclidean":
+            return distance ** 2 + self.slack[rows]
+        wide = distance + self.slack[rows]
+        return wide ** self.p if self.metric == "minkowski" else wide
+
+    def distance(self, level: np.ndarray, rows: slice) -> np.ndarray:
+        """An upper bound of the distance behind a level."""
+        if self.metric == "euclidean":
+            return np.sqrt(np.maximum(level, 0.0) + self.slack[rows])
+        return (level ** (1.0 / self.p) if self.metric == "minkowski" else level) + self.slack[rows]
+
+    def __call__(self, rows: slice, cols: slice) -> np.ndarray:
+        if self.metric == "euclidean":
+            out = self.q[rows] @ self.b[cols].T
+            out *= -2
+            out += self.qq[rows, None]
+            out += self.bb[None, cols]
+            return out
+        if self.metric == "cosine":
+            out = self.q[rows] @ self.b[cols].T
+            return np.subtract(1.0, out, out=out)
+        q, b = self.q[:, rows], self.b[:, cols]
+        out = np.zeros((q.shape[1], b.shape[1]), q.dtype)
+        diff, power = np.empty_like(out), np.empty_like(out)
+        for x, y in zip(q, b):
+            np.subtract(x[:, None], y[None, :], out=diff)
+            np.abs(diff, out=diff)
+            if self.metric == "minkowski":
+                if self.p == 3:
+                    np.multiply(diff, diff, out=power)
+                    diff *= power
+                else:
+                    np.power(diff, self.p, out=diff)
+            out += diff
+        return out
+
+
+def nearest_rows(q_vec: np.ndarray, b_id: np.ndarray, b_vec: np.ndarray, k: int, metric: str, p: float, cells: int = 1 << 16) -> tuple:
     """For each query the ``k`` nearest base rows: distances and places in ``b_id``, padded with infinity; ties by base id.
-    The distance matrix is made in pieces of at most ``cells`` entries."""
+    Pairs are screened in pieces of at most about ``cells``; only those within the k-th distance so far are measured and sorted."""
+    if metric not in METRICS:
+        raise ValueError(metric)
     nq, nb = len(q_vec), len(b_id)
     best_d, best_b = np.full((nq, k), np.inf), np.zeros((nq, k), np.int64)
-    step_b = max(1, min(nb, cells // 256))
+    if not nq or not nb:
+        return best_d, best_b
+    step_b = max(1, min(nb, 1024, cells))
     step_q = max(1, cells // step_b)
-    for s in range(0, nq, step_q):
-        sl = slice(s, s + step_q)
-        for at in range(0, nb, step_b):
-            part = b_vec[at:at + step_b]
-            d = _distances(q_vec[sl], part, metric, p)
-            if metric == "euclidean":  # re-measure directly: the BLAS form rounds differently
-                kk = min(k, d.shape[1])
-                thr = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-                rr, cc = np.nonzero(d <= (thr + 1e-9 * (1.0 + thr))[:, None])
-                d = np.full(d.shape, np.inf)
-                d[rr, cc] = _exact_euclidean(q_vec[sl][rr], part[cc])
-            # merge the running best with this piece: distance, then base id
-            all_d = np.concatenate([best_d[sl], d], axis=1)
-            all_b = np.concatenate([best_b[sl], np.broadcast_to(np.arange(at, at + d.shape[1]), d.shape)], axis=1)
-            order = np.lexsort((b_id[all_b], all_d), axis=1)[:, :k]
-            rows = np.arange(len(order))[:, None]
-            best_d[sl], best_b[sl] = all_d[rows, order], all_b[rows, order]
+    strip = 1 << 14  # base rows whose screen is prepared at a time
+    for lo in range(0, nb, strip):
+        part = b_vec[lo:lo + strip]
+        for at_q in range(0, nq, 1 << 12):
+            some = q_vec[at_q:at_q + (1 << 12)]
+            screen = _Screen(some, part, metric, p)
+            for s in range(0, len(some), step_q):
+                rows = slice(s, min(len(some), s + step_q))
+                own = slice(at_q + rows.start, at_q + rows.stop)
+                for at in range(0, len(part), step_b):
+                    d = screen(rows, slice(at, at + step_b))
+                    level = screen.level(best_d[own, -1], rows)
+                    if d.shape[1] >= k and not np.isfinite(level).all():
+                        kth = np.partition(d, k - 1, axis=1)[:, k - 1].astype(np.float64)
+                        level = np.minimum(level, screen.level(screen.distance(kth, rows), rows))
+                    rr, cc = np.nonzero(~(d > level[:, None]))
+                    if not len(rr):
+                        continue
+                    cc = cc + at
+                    found = _measured(some[rows][rr], part[cc], metric, p)
+                    n = rows.stop - rows.start
+                    # merge the running best with what was found: distance, then base id
+                    row = np.concatenate([np.repeat(np.arange(n), k), rr])
+                    dist = np.concatenate([best_d[own].ravel(), found])
+                    place = np.concatenate([best_b[own].ravel(), cc + lo])
+                    order = np.lexsort((b_id[place], dist, row))
+                    first = np.searchsorted(row[order], np.arange(n))
+                    take = order[(first[:, None] + np.arange(k)[None, :]).ravel()]
+                    best_d[own], best_b[own] = dist[take].reshape(n, k), place[take].reshape(n, k)
     return best_d, best_b
 
 
@@ -106,11 +185,18 @@ def _packed(rows: DataFrame, cells: int, id_col: str, vec_col: str, label_col: s
 
 
 def _unpacked(table: pa.Table) -> tuple:
-    """Ids, vectors and labels of packed rows, in order of the id."""
-    ids, labels = (np.concatenate([np.frombuffer(x, np.int64) for x in table[c].to_pylist()]) for c in ("ids", "labels"))
-    vecs = np.concatenate([np.frombuffer(x, np.float64) for x in table["vecs"].to_pylist()]).reshape(len(ids), -1)
+    """Ids, vectors and labels of packed rows, in order of the id; the vectors are copied once."""
+    ids, labels = (np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table[c]]) for c in ("ids", "labels"))
     order = np.argsort(ids, kind="stable")
-    return ids[order], vecs[order], labels[order]
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(ids))
+    packs = [np.frombuffer(x.as_buffer(), np.float64) for x in table["vecs"]]
+    vecs, at = np.empty((len(ids), sum(map(len, packs)) // max(1, len(ids)))), 0
+    for x in packs:
+        n = len(x) // vecs.shape[1] if vecs.shape[1] else 0
+        vecs[place[at:at + n]] = x.reshape(n, -1) if n else x.reshape(0, vecs.shape[1])
+        at += n
+    return ids[order], vecs, labels[order]
 
 
 FOUND = "qid bigint, bid bigint, distance double, label bigint"
@@ -130,7 +216,7 @@ def _merged(found: DataFrame, k: int, label_col: str | None) -> DataFrame:
 
 def knn_join(queries: DataFrame, base: DataFrame, k: int, metric: str = "euclidean", p: float = 3.0,
              id_col: str = "id", vec_col: str = "embedding", label_col: str | None = "label",
-             block_rows: int | None = None, cell_bytes: int = 64 << 20) -> DataFrame:
+             block_rows: int | None = None, cell_bytes: int = 32 << 20) -> DataFrame:
     """The k nearest base rows of every query row (ties by base id), exact.
 
     Both sides are dealt by hash of the id into cells of about ``cell_bytes`` (queries of at most about ``block_rows`` rows) and packed,
@@ -175,19 +261,25 @@ def _pivots(base: DataFrame, n: int, id_col: str, vec_col: str, seed: int) -> np
     return np.array([r[0] for r in rows], np.float64)
 
 
+def _rows_of(vecs: pa.ChunkedArray, n: int) -> np.ndarray:
+    return np.concatenate([np.asarray(c.flatten(), np.float64) for c in vecs.chunks]).reshape(n, -1)
+
+
 def _vectors(b: pa.RecordBatch, name: str = "vec") -> np.ndarray:
     return np.asarray(b.column(b.schema.get_field_index(name)).flatten(), np.float64).reshape(b.num_rows, -1)
 
 
 def knn_pruned(queries: DataFrame, base: DataFrame, k: int, metric: str = "euclidean", p: float = 3.0, id_col: str = "id",
-               vec_col: str = "embedding", label_col: str | None = "label", pivots: int = 64, cell_rows: int = 50_000, seed: int = 42) -> tuple:
+               vec_col: str = "embedding", label_col: str | None = "label", pivots: int = 64, cell_rows: int = 50_000, seed: int = 42,
+               cell_bytes: int = 32 << 20) -> tuple:
     """J7, exact, with pruning by the triangle inequality (not for cosine): ``(neighbours, counts)``.
 
     Base rows belong to the nearest of ``pivots`` sample rows and keep their distance from it; a cell keeps its largest and its k
     smallest distances. Those give each query an upper bound of its k-th distance, so it visits only cells that the
-    bound reaches, and there only rows whose distance from the pivot is within the bound of its own. Cells with over
-    ``cell_rows`` rows are split by hash. ``counts(qid, measured)`` says how many distances were computed for each query,
-    those to the pivots included."""
+    bound reaches, and there only rows whose distance from the pivot is within the bound of its own. Cells are split by hash into
+    parts of about ``cell_bytes``, at least ``cell_rows`` rows, and so are the queries: a task holds one part of each, and a query travels once to
+    every part of the cells that it visits. ``counts(qid, measured)`` says how many distances were computed for each query, those to the
+    pivots included; queries with nearly the same ring of a cell are measured together."""
     if metric not in ("euclidean", "manhattan", "minkowski"):
         raise ValueError(metric)
     guard_union_partitioning(base.sparkSession)
@@ -220,7 +312,9 @@ def knn_pruned(queries: DataFrame, base: DataFrame, k: int, metric: str = "eucli
     small_d = np.full((len(pv), k), np.inf)
     for c, r in cells.items():
         small_d[c, :len(r["small"])] = r["small"]
-    parts = np.array([math.ceil(cells[c]["n"] / cell_rows) if c in cells else 0 for c in range(len(pv))], np.int64)
+    at_once = max(1, cell_bytes // (8 * (n_dim + 4)))
+    parts = np.array([math.ceil(cells[c]["n"] / max(cell_rows, at_once)) if c in cells else 0 for c in range(len(pv))], np.int64)
+    q_parts = max(1, math.ceil(queries.count() / at_once))
     slack = 1 + 1e-9
 
     def visit(batches):
@@ -243,8 +337,9 @@ def knn_pruned(queries: DataFrame, base: DataFrame, k: int, metric: str = "eucli
 
     asked = queries.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     visits = asked.mapInArrow(visit, "cell int, sub bigint, id bigint, far double, reach double, vec array<double>")
+    visits = visits.withColumn("q_part", F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(q_parts)).cast("int"))
     split = F.create_map(*[F.lit(int(x)) for c, n in enumerate(parts) for x in (c, n)])[F.col("cell")] if len(pv) else F.lit(1)
-    held = placed.withColumn("sub", F.pmod(F.xxhash64("id"), split.cast("bigint")))
+    held = placed.withColumn("sub", F.pmod(F.xxhash64("id"), split.cast("bigint"))).withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(q_parts - 1))))
 
     def meet(lt: pa.Table, rt: pa.Table) -> pa.Table:
         empty = _found([], [], [], []).append_column("measured", pa.array([], pa.int64()))
@@ -252,23 +347,32 @@ def knn_pruned(queries: DataFrame, base: DataFrame, k: int, metric: str = "eucli
             return empty
         rt = rt.sort_by([("far", "ascending"), ("id", "ascending")])
         far, b_id, b_lab = (rt[c].to_numpy() for c in ("far", "id", "label"))
-        b_vec = rt["vec"].combine_chunks().flatten().to_numpy().reshape(len(b_id), -1)
-        q_id, q_far, reach = (lt[c].to_numpy() for c in ("id", "far", "reach"))
-        q_vec = lt["vec"].combine_chunks().flatten().to_numpy().reshape(len(q_id), -1)
+        b_vec = _rows_of(rt["vec"], len(b_id))
+        reach, q_far = (lt[c].to_numpy() for c in ("reach", "far"))
         lo, hi = np.searchsorted(far, (q_far - reach) / slack - 1e-12), np.searchsorted(far, (q_far + reach) * slack + 1e-12, "right")
-        out = []
-        for j in range(len(q_id)):
-            own = slice(lo[j], hi[j])
-            if lo[j] < hi[j]:
-                d, at = nearest_rows(q_vec[j:j + 1], b_id[own], b_vec[own], k, metric, p)
-                ok = np.isfinite(d[0])
-                out.append((np.full(ok.sum(), q_id[j]), b_id[own][at[0][ok]], d[0][ok], b_lab[own][at[0][ok]], np.r_[hi[j] - lo[j], np.zeros(max(0, ok.sum() - 1))][:ok.sum()]))
+        near = np.nonzero(lo < hi)[0]
+        near = near[np.lexsort((hi[near], lo[near]))]
+        q_id, q_vec = lt["id"].to_numpy(), _rows_of(lt["vec"], lt.num_rows)
+        out, s = [], 0
+        while s < len(near):
+            # the next queries, as long as their common ring is at most a quarter larger than the smallest of them
+            ahead = near[s:s + 256]
+            wide, least = np.maximum.accumulate(hi[ahead]) - lo[ahead[0]], np.minimum.accumulate(hi[ahead] - lo[ahead])
+            fits = 4 * wide <= 5 * least
+            fits[0] = True
+            js = ahead[:len(ahead) if fits.all() else int(np.argmin(fits))]
+            s += len(js)
+            own = slice(lo[js[0]], hi[js].max())
+            d, at = nearest_rows(q_vec[js], b_id[own], b_vec[own], k, metric, p)
+            row, place = np.nonzero(np.isfinite(d))
+            here = at[row, place]
+            out.append((q_id[js[row]], b_id[own][here], d[row, place], b_lab[own][here], np.where(place == 0, own.stop - own.start, 0)))
         if not out:
             return empty
         cols = [np.concatenate([x[c] for x in out]) for c in range(5)]
         return _found(*cols[:4]).append_column("measured", pa.array(cols[4].astype(np.int64)))
 
-    found = cut_lineage(visits.groupBy("cell", "sub").cogroup(held.groupBy("cell", "sub")).applyInArrow(meet, FOUND + ", measured bigint"))
+    found = cut_lineage(visits.groupBy("cell", "sub", "q_part").cogroup(held.groupBy("cell", "sub", "q_part")).applyInArrow(meet, FOUND + ", measured bigint"))
     counts = found.groupBy("qid").agg((F.sum("measured") + len(pv)).alias("measured"))
     return _merged(found.drop("measured"), k, label_col), counts
 

@@ -211,7 +211,7 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
 def vectors(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select(F.col("vec_id").alias("id"),
-                    F.transform("embedding", lambda x: x.cast("double")).alias("embedding"),
+                    F.col("embedding").cast("array<double>").alias("embedding"),
                     F.col("label"))
 
 

@@ -138,3 +138,51 @@ def test_no_row_of_the_queries_reaches_the_driver(spark, monkeypatch):
     monkeypatch.setattr(DataFrame, "collect", lambda self: (_ for _ in ()).throw(AssertionError("collected")))
     monkeypatch.setattr(DataFrame, "toPandas", lambda self: (_ for _ in ()).throw(AssertionError("collected")))
     assert knn.knn_join(q, b, 3).count() == 60
+
+
+@pytest.mark.parametrize("metric", knn.METRICS)
+def test_nearest_rows_screen_loses_nothing(metric):
+    """Copies, near copies, zeros and large scales against a full sort; memory in small pieces."""
+    rnd = np.random.RandomState(6)
+    for scale in (1.0, 1e-9, 1e12):
+        b = np.concatenate([rnd.normal(size=(3000, 7)), np.repeat(rnd.normal(size=(1, 7)), 500, axis=0), np.zeros((2, 7))]) * scale
+        q = np.concatenate([rnd.normal(size=(20, 7)), b[3100:3101] / scale, b[:5] / scale + 1e-9, np.zeros((1, 7))]) * scale
+        ids = rnd.permutation(len(b)) * 3
+        d, at = knn.nearest_rows(q, ids, b, 6, metric, 3.0, cells=2000)
+        for i in range(len(q)):
+            want = knn._measured(np.repeat(q[i:i + 1], len(b), axis=0), b, metric, 3.0)
+            order = np.lexsort((ids, want))[:6]
+            assert at[i].tolist() == order.tolist() and np.array_equal(d[i], want[order])
+    few = knn.nearest_rows(q, ids[:2], b[:2], 6, metric, 3.0)[0]
+    assert np.isfinite(few[:, :2]).all() and np.isinf(few[:, 2:]).all()
+
+
+def test_nearest_rows_needs_little_memory():
+    import tracemalloc
+    rnd = np.random.RandomState(7)
+    q, b = rnd.normal(size=(300, 64)), rnd.normal(size=(6000, 64))
+    for metric in knn.METRICS:
+        tracemalloc.start()
+        knn.nearest_rows(q, np.arange(6000), b, 5, metric, 3.0)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 40 << 20
+
+
+def test_pruned_queries_travel_once_to_a_part(spark, monkeypatch):
+    """Small cell_rows must not send a query to a task for each of them: parts are bounded by bytes."""
+    q, b = _frames(spark, np.random.RandomState(8), 2000, 40)
+    sent, kind = [], type(q)
+    plain = kind.groupBy
+
+    def watched(self, *cols):
+        if "reach" in self.columns:
+            sent.append(self.count())
+        return plain(self, *cols)
+    want = sorted((r.qid, r["rank"], r.bid, round(r.distance, 9)) for r in knn.knn_join(q, b, 3).collect())
+    monkeypatch.setattr(kind, "groupBy", watched)
+    got = knn.knn_pruned(q, b, 3, pivots=4, cell_rows=10)[0]
+    assert sorted((r.qid, r["rank"], r.bid, round(r.distance, 9)) for r in got.collect()) == want
+    assert len(sent) == 1 and sent[0] <= 40 * 4
+    split = knn.knn_pruned(q, b, 3, pivots=4, cell_rows=10, cell_bytes=8000)[0]  # several parts of queries and of cells
+    assert sorted((r.qid, r["rank"], r.bid, round(r.distance, 9)) for r in split.collect()) == want
