@@ -62,3 +62,29 @@ def test_hash_sample_large_n_path_matches_small(spark):
     a = {r["id"] for r in cf.hash_sample(df, "id", 120, seed=5).collect()}
     b = {r["id"] for r in cf.hash_sample(df, "id", 120, seed=5, small_n=10).collect()}
     assert a == b and len(a) == 120
+
+
+def _accumulating(spark, df):
+    """``df`` through a function that counts how many rows were ever made."""
+    made = spark.sparkContext.accumulator(0)
+
+    def kernel(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+    return df.mapInArrow(kernel, df.schema), made
+
+
+def test_searches_and_stacks_compute_their_input_once(spark):
+    """Folds, checks and passes of a fit read kept rows."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import VectorAssembler
+    rows = [(i, i % 3, i % 2, float(i % 2 + i % 5), float(i % 7)) for i in range(300)]
+    raw, made = _accumulating(spark, spark.createDataFrame(rows, "id long, fold int, label int, a double, b double").repartition(2))
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(raw)
+    _, res = cf.random_search(df, lambda: DecisionTreeClassifier(labelCol="label"), {"maxDepth": [1, 2]}, 2, "label")
+    assert len(res) == 2 and made.value == 300
+    oof = [(i, m, i % 2, (i % 2 * 0.3 + i * k % 10 / 20)) for k, m in ((3, "x"), (7, "y")) for i in range(300)]
+    raw, made = _accumulating(spark, spark.createDataFrame(oof, "id long, model string, label int, prob double").repartition(2))
+    _, out, _ = mdl.stack(raw, None)
+    assert out.count() == 300 and made.value == 600
