@@ -5,8 +5,8 @@ piece, a word that is too rare to stand in any candidate). Phrases are found lev
 Apriori-safe: a phrase of k words counts only if its first and its last k - 1 words were frequent enough, and the
 hash bucket that it shares with other phrases was too. The candidates of a level, gathered from
 the blocks, are cut by their first words into waves of bounded size. Each wave is a double-array trie over word
-numbers, broadcast; a task starts every position of its text at the root and moves all states on together, symbol by symbol
-(``state = base[state] + symbol``, kept where ``check`` names the state it came from), bincounts the accepting
+numbers, broadcast; a task starts every position of its text at the root and moves many states on together, symbol by symbol
+(``state = base[state] + symbol``, kept where ``check`` names the state it came from), counts the phrases of the accepting
 states, and the tasks' counts are added up by Spark. Scores are exact decimals.
 """
 
@@ -25,6 +25,7 @@ from .common import UPPER, begin, bounded, bytes_of, shared_table
 from .lm import pack, unpack
 
 SEPARATORS = ".,;:!?\n\x0b\x0c\r"
+PLACES = 1 << 17  # of a text that a kernel works on at once: its arrays are of this length, not of a block's
 SIDE_BYTES = 4 << 20  # of a side that may be broadcast: a dozen joins do
 END = ord(",")  # a separator, so no word holds it
 # bytes to bytes: A-Z lower-cased, every separator as one and the same
@@ -102,6 +103,7 @@ class Trie:
             edge, inverse = np.unique(state * width + symbol, return_inverse=True)
             state = self.place(edge // width, edge % width)[inverse]
         self.slots = state
+        self.base[state] = np.arange(len(state))  # a phrase's last state has no children: its base is the phrase's number
         self.base, self.check = np.append(self.base, np.int32(0)), np.append(self.check, np.int32(-1))
 
     def arrays(self) -> tuple:
@@ -165,12 +167,19 @@ def symbols_of(ids: np.ndarray, words: tuple) -> tuple:
     return tuple(np.where(known, code // d % a + 1, 0) for d in (a * a, a, 1))
 
 
-def advance(trie: tuple, ids: np.ndarray, words: int) -> np.ndarray:
-    """The state in which each position of the text ends after ``words`` words from the root, all positions at once."""
+def advance(trie: tuple, ids: np.ndarray, words: int, at_once: int = PLACES) -> np.ndarray:
+    """The state in which each position of the text ends after ``words`` words from the root, ``at_once`` positions at a time."""
+    out = np.empty(len(ids), np.int32)
+    for at in range(0, len(ids), at_once):
+        out[at:at + at_once] = _advance(trie, ids[at:at + at_once + words - 1], words)[:at_once]
+    return out
+
+
+def _advance(trie: tuple, ids: np.ndarray, words: int) -> np.ndarray:
     base, check = trie[3:5]
-    dead = len(base) - 1
+    dead = np.int32(len(base) - 1)
     symbols = symbols_of(ids, trie)
-    state = np.zeros(len(ids), np.int64)
+    state = np.zeros(len(ids), np.int32)
     for k in range(words):
         n = max(0, len(ids) - k)
         for symbol in symbols:
@@ -194,6 +203,16 @@ def bucket_of(ids: np.ndarray, at: np.ndarray, k: int, bits: int) -> np.ndarray:
     return (h * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _pieces(at: np.ndarray) -> list:
+    """Places in pieces of at most ``PLACES``, one at least."""
+    return [at[i:i + PLACES] for i in range(0, max(1, len(at)), PLACES)]
+
+
+def _flagged(packed: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the packed flag of each bucket is set."""
+    return (packed[h >> 3] >> (7 - (h & 7)).astype(np.uint8)) & 1 > 0
+
+
 def bucket_filter(coded: DataFrame, k: int, sites: list, n: int, least: int, most_bits: int, slice_bits: int = 16):
     """``(bits, packed flags)``, broadcast: the hash buckets in which at least ``least`` of the phrases at ``sites`` fall. A
     phrase that is frequent enough is in such a bucket. At most 2^``most_bits`` buckets, whatever the corpus."""
@@ -206,8 +225,9 @@ def bucket_filter(coded: DataFrame, k: int, sites: list, n: int, least: int, mos
             seen = np.zeros(1 << bits, np.uint8)
             for batch in batches:
                 for ids in _ids(batch):
-                    u, c = np.unique(bucket_of(ids, site(ids), k, bits), return_counts=True)
-                    seen[u] = np.minimum(seen[u] + c, cap)
+                    for at in _pieces(site(ids)):
+                        u, c = np.unique(bucket_of(ids, at, k, bits), return_counts=True)
+                        seen[u] = np.minimum(seen[u] + c, cap)
             parts = seen.reshape(-1, 1 << slice_bits)
             for j in np.flatnonzero(parts.any(axis=1)):
                 yield pa.RecordBatch.from_arrays([pa.array([int(j)], pa.int64()), pa.array([pack(parts[j])], pa.binary())], names=["slice", "counts"])
@@ -315,9 +335,7 @@ def candidates(coded: DataFrame, k: int, sites: list, n: int, least: int, most_b
             held, size = [], 0  # distinct phrases of the blocks read so far
             for batch in batches:
                 for ids in _ids(batch):
-                    at = site(ids)
-                    h = bucket_of(ids, at, k, bits)
-                    at = at[(packed[h >> 3] >> (7 - (h & 7)).astype(np.uint8)) & 1 > 0]
+                    at = np.concatenate([at[_flagged(packed, bucket_of(ids, at, k, bits))] for at in _pieces(site(ids))])
                     held.append(_distinct([ids[at + i] for i in range(k)]))
                     size += len(held[-1][0])
                     if size > most_held:
@@ -353,12 +371,12 @@ def count_phrases(coded: DataFrame, phrases: DataFrame, k: int, least: int, most
 
         def kernel(batches, sent=trie_sent):
             trie = sent.value
-            total = np.zeros(len(trie[3]), np.int64)
+            f = np.zeros(len(trie[5]), np.int64)
             for batch in batches:
                 for ids in _ids(batch):
-                    state = advance(trie, ids, k)
-                    total += np.bincount(state[state < len(total) - 1], minlength=len(total))
-            f = total[trie[5]]
+                    for at in range(0, len(ids), PLACES):
+                        state = advance(trie, ids[at:at + PLACES + k - 1], k)[:PLACES]
+                        np.add.at(f, trie[3][state[state < len(trie[3]) - 1]], 1)
             for j in range(0, len(f), part):
                 if f[j:j + part].any():
                     yield pa.RecordBatch.from_arrays([pa.array([j // part], pa.int64()), pa.array([pack(f[j:j + part])], pa.binary())], names=["part", "counts"])

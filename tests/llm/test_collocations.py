@@ -1,6 +1,7 @@
 """Collocations: the double-array trie, and the whole result, against counting by hand."""
 
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -118,3 +119,20 @@ def test_odd_rows(spark):
     res = co.collocations(df)
     assert got(res) == by_hand(rows) and res.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert co.collocations(df.limit(0)).count() == 0
+
+
+def test_working_arrays_stay_short():
+    """A kernel's arrays do not grow with the block: but for the states, a few megabytes over any number of tokens."""
+    rng = np.random.default_rng(3)
+    rows = np.unique(rng.integers(1, 400, (20_000, 2)), axis=0).astype(np.int32)
+    ids = rng.integers(0, 400, 2 << 20).astype(np.int32)
+    trie = co.Trie(rows).arrays()
+    whole = co._advance(trie, ids, 2)
+    tracemalloc.start()
+    state = co.advance(trie, ids, 2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (state == whole).all() and most < state.nbytes + (16 << 20)
+    ends = state[state < len(trie[3]) - 1]
+    assert (trie[3][trie[5]] == np.arange(len(rows))).all() and (rows[trie[3][ends]][:, 0] == ids[np.flatnonzero(state < len(trie[3]) - 1)]).all()
+    assert max(map(len, co._pieces(ids))) == co.PLACES and len(co._pieces(ids[:0])) == 1
