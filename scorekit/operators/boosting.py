@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, guard_union_partitioning
-from .trees import LEAF, PackedTrees, as_matrix, feature_matrix, importance, route, score_column, tree_table
+from .trees import LEAF, PackedTrees, as_matrix, feature_matrix, importance, score_column, tree_table
 
 STATE = "bins binary, y double, w double, valid boolean, h bigint, m double"
 

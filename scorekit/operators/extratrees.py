@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, guard_union_partitioning
-from .trees import PackedTrees, as_matrix, feature_matrix, hash_unit, importance, route, score_column, tree_table
+from .trees import PackedTrees, as_matrix, by_feature, descend, feature_matrix, hash_unit, importance, score_column, tree_table, walkable
 
 
 class ExtraTrees:
@@ -69,55 +69,65 @@ class ExtraTrees:
         rows.unpersist()
         return ExtraTreesModel(trees, names, self.feature_cols)
 
-    def _pairs(self, trees: PackedTrees, tried: list, n: int):
-        """Kernel pieces: for each tree with open nodes the places of its rows' nodes, and where a node's features stand in ``tried``."""
-        arrays = trees.arrays()
+    def _slots(self, trees: PackedTrees, tried: list) -> tuple:
+        """Kernel pieces: the trees to descend, and for each with open nodes its number, its nodes' numbers among the open ones (their
+        count: closed), and for each of a node's features its place in ``tried`` (-1: the node has fewer) and the feature."""
         per_tree: dict = {}
         for at, (t, k, f, *_) in enumerate(tried):
             per_tree.setdefault(t, {}).setdefault(k, []).append((at, f))
-        return arrays, {t: sorted(nodes.items()) for t, nodes in per_tree.items()}
+        out = []
+        for t, nodes in per_tree.items():
+            wide = max(map(len, nodes.values()))
+            # 8 and 16 bits are sorted by counting
+            number = np.full(len(trees.feature), len(nodes), np.min_scalar_type(len(nodes)))
+            number[list(nodes)] = np.arange(len(nodes))
+            pairs = np.array([p + [(-1, 0)] * (wide - len(p)) for p in nodes.values()], np.int64)
+            out.append((t, number, pairs[:, :, 0].T.copy(), pairs[:, :, 1].T.copy()))
+        return walkable(trees.arrays()), out
 
     def _ranges(self, rows: DataFrame, trees: PackedTrees, tried: list, n: int) -> DataFrame:
-        arrays, per_tree = self._pairs(trees, tried, n)
+        walk, slots = self._slots(trees, tried)
         keys = np.array([(k, f) for _, k, f in tried], np.int32)
 
         def kernel(batches):
-            lo, hi = np.full(len(keys), np.inf), np.full(len(keys), -np.inf)
+            lo, hi = np.full(len(keys), np.nan), np.full(len(keys), np.nan)
             for b in batches:
-                x = as_matrix(b.column(0), n)
-                for t, nodes in per_tree.items():
-                    at = route(x, arrays, np.full(len(x), arrays[6][t]))
-                    for k, places in nodes:
-                        own = x[at == k]
-                        for place, f in places if len(own) else ():
-                            v = own[:, f]
-                            v = v[~np.isnan(v)]
-                            if len(v):
-                                lo[place], hi[place] = min(lo[place], v.min()), max(hi[place], v.max())
-            ok = lo <= hi
+                x = by_feature(as_matrix(b.column(0), n))
+                for t, number, places, features in slots:
+                    rows_of, nodes, starts, sizes = rows_by_node(number.take(descend(x, walk, t)), len(places[0]))
+                    for place, f in zip(places, features) if len(nodes) else ():
+                        at = place[nodes]
+                        v = x.take(rows_of + np.repeat(f[nodes] * x.shape[1], sizes))
+                        ok = at >= 0
+                        for best, least in ((lo, np.fmin), (hi, np.fmax)):  # a missing value is neither
+                            best[at[ok]] = least(best[at[ok]], least.reduceat(v, starts)[ok])
+            ok = ~np.isnan(lo)
             yield pa.RecordBatch.from_arrays([pa.array(keys[ok, 0]), pa.array(keys[ok, 1]), pa.array(lo[ok]), pa.array(hi[ok])], names=["node", "f", "lo", "hi"])
 
         return rows.mapInArrow(kernel, "node int, f int, lo double, hi double").groupBy("node", "f").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
     def _best(self, rows: DataFrame, trees: PackedTrees, cuts: list, n: int) -> DataFrame:
-        arrays, per_tree = self._pairs(trees, cuts, n)
+        walk, slots = self._slots(trees, cuts)
         keys = np.array([(k, f) for _, k, f, _ in cuts], np.int32)
         cut = np.array([c for *_, c in cuts])
 
         def kernel(batches):
             total = np.zeros((4, len(keys)), np.int64)  # rows and ones, left and in all
             for b in batches:
-                x, y = as_matrix(b.column(0), n), b.column(1).to_numpy()
-                for t, nodes in per_tree.items():
-                    at = route(x, arrays, np.full(len(x), arrays[6][t]))
-                    for k, places in nodes:
-                        own = at == k
-                        if not own.any():
-                            continue
-                        v, ones = x[own], y[own]
-                        for place, f in places:
-                            left = v[:, f] <= cut[place]  # a missing value is not
-                            total[:, place] += (left.sum(), ones[left].sum(), len(ones), ones.sum())
+                x, y = by_feature(as_matrix(b.column(0), n)), b.column(1).to_numpy().astype(np.int64)
+                for t, number, places, features in slots:
+                    rows_of, nodes, starts, sizes = rows_by_node(number.take(descend(x, walk, t)), len(places[0]))
+                    if not len(nodes):
+                        continue
+                    own = y.take(rows_of)
+                    ones = np.add.reduceat(own, starts)
+                    for place, f in zip(places, features):
+                        at = place[nodes]
+                        left = x.take(rows_of + np.repeat(f[nodes] * x.shape[1], sizes)) <= np.repeat(cut[at], sizes)  # a missing value is not
+                        ok = at >= 0
+                        sums = np.add.reduceat(left, starts, dtype=np.int64), np.add.reduceat(own * left, starts), sizes, ones
+                        for of_all, v in zip(total, sums):
+                            of_all[at[ok]] += v[ok]
             ok = total[2] > 0
             yield pa.RecordBatch.from_arrays([pa.array(keys[ok, 0]), pa.array(keys[ok, 1]), *(pa.array(v[ok]) for v in total)],
                                              names=["node", "f", "n_l", "ones_l", "n_t", "ones_t"])
@@ -133,6 +143,14 @@ class ExtraTrees:
         return ok.withColumn("place", place).where("place = 1")
 
 
+def rows_by_node(number: np.ndarray, n_nodes: int) -> tuple:
+    """Rows of the nodes 0 to ``n_nodes`` - 1, node after node; the nodes that have any; the start of each among the rows, and its size."""
+    sizes = np.bincount(number, minlength=n_nodes)[:n_nodes]
+    nodes = np.flatnonzero(sizes)
+    ends = np.cumsum(sizes[nodes])
+    return np.argsort(number, kind="stable")[:ends[-1] if len(nodes) else 0], nodes, ends - sizes[nodes], sizes[nodes]
+
+
 class ExtraTreesModel:
     def __init__(self, trees: PackedTrees, names: list, feature_cols):
         self.trees, self.names, self.feature_cols = trees, names, feature_cols

@@ -28,6 +28,7 @@ from .joins import sized_join
 
 _ROWS_PER_BUCKET = [2_000_000]
 _CUTS_AT_ONCE = 256
+_RANKED_ROWS = 125_000
 
 
 @contextmanager
@@ -185,10 +186,14 @@ def hash_key(id_col: str, seed) -> tuple[Column, Column]:
 
 
 def hash_rank(df: DataFrame, id_col: str, seed, by=(), out_col: str = "rank") -> DataFrame:
-    """1-based row number inside ``by`` in the order of ``md5(seed:id)``, ties by id."""
+    """1-based row number inside ``by`` in the order of ``md5(seed:id)``, ties by id.
+
+    Models are fitted on the ranked rows as they lie, a bucket in one task: a bucket has 125,000 rows, or the
+    session-wide size where that is smaller, so that two classes do not leave all rows to a few tasks."""
     digest, num = hash_key(id_col, seed)
     work = df.withColumn("_h_md5", digest).withColumn("_h_num", num).withColumn("_h_one", F.lit(1))
-    ranked = prefix_sum(work, "_h_num", ["_h_one"], part_cols=by, tie_cols=["_h_md5", id_col])
+    ranked = prefix_sum(work, "_h_num", ["_h_one"], part_cols=by, tie_cols=["_h_md5", id_col],
+                        rows_per_bucket=min(_RANKED_ROWS, session_bucket_rows()))
     return ranked.withColumnRenamed("cum__h_one", out_col).drop("_h_md5", "_h_num", "_h_one")
 
 

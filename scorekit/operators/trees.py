@@ -11,7 +11,7 @@ import hashlib
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,28 +67,46 @@ class PackedTrees:
         return PackedTrees(**parts, roots=self.roots[:n_trees])
 
 
-def route(x: np.ndarray, arrays: tuple, at: np.ndarray) -> np.ndarray:
-    """Leaves that rows ``x`` (rows x features) reach from the nodes ``at`` (rows, or rows x trees)."""
-    feature, cut, missing_left, left, right = arrays[:5]
-    rows = np.arange(len(x)).reshape(-1, *[1] * (at.ndim - 1))
-    while True:
-        f = feature[at]
-        inner = f >= 0
-        if not inner.any():
-            return at
-        v = x[rows, np.maximum(f, 0)]
-        go_left = np.where(np.isnan(v), missing_left[at], v <= cut[at])
-        at = np.where(inner, np.where(go_left, left[at], right[at]), at)
-
-
-def sum_of_trees(x: np.ndarray, arrays: tuple, at_once: int = 1 << 20) -> np.ndarray:
+def by_feature(x: np.ndarray) -> np.ndarray:
+    """A matrix (rows x features) laid out feature after feature, for ``descend``."""
+    return np.ascontiguousarray(x.T)
+
+
+def walkable(arrays: tuple) -> tuple:
+    """Nodes for ``descend``: feature, cut, both children (right, left) and where a missing value goes, leaves being their own children;
+    the roots, and the steps from each to its lowest leaf."""
+    feature, cut, missing_left, left, right, _, roots = arrays
+    inner, own = feature >= 0, np.arange(len(feature))
+    kids = np.stack([np.where(inner, right, own), np.where(inner, left, own)], axis=1).astype(np.int64)
+    steps = []
+    for root in roots:
+        level, n = np.array([root]), 0
+        while len(level := level[inner[level]]):
+            level, n = kids[level].ravel(), n + 1
+        steps.append(n)
+    return np.maximum(feature, 0).astype(np.int64), cut, kids.ravel(), missing_left & inner, roots, steps
+
+
+def descend(x: np.ndarray, walk: tuple, tree: int) -> np.ndarray:
+    """Leaves that rows reach in a tree; their values lie ``by_feature``."""
+    feature, cut, kids, missing_left, roots, steps = walk
+    at, rows, values, place = np.full(x.shape[1], roots[tree], np.int64), np.arange(x.shape[1]), x.ravel(), feature * x.shape[1]
+    gaps = missing_left.any()
+    for _ in range(steps[tree]):
+        v = values.take(place.take(at) + rows)
+        go_left = v <= cut.take(at)
+        if gaps:
+            go_left |= np.isnan(v) & missing_left.take(at)
+        at = kids.take(2 * at + go_left)
+    return at
+
+
+def sum_of_trees(x: np.ndarray, walk: tuple, value: np.ndarray, at_once: int = 1 << 20) -> np.ndarray:
     """Sum of the values of all trees for each row."""
-    value, roots = arrays[5], arrays[6]
-    out = np.zeros(len(x))
+    values, n_trees, out = by_feature(x), len(walk[4]), np.zeros(len(x))
     step = max(1, at_once // max(1, len(x)))
-    for k in range(0, len(roots), step):
-        part = roots[k:k + step]
-        out += value[route(x, arrays, np.broadcast_to(part, (len(x), len(part))))].sum(axis=1)
+    for k in range(0, n_trees, step):
+        out += np.stack([value.take(descend(values, walk, t)) for t in range(k, min(k + step, n_trees))], axis=1).sum(axis=1)
     return out
 
 
@@ -109,12 +127,12 @@ def as_matrix(values, n_features: int) -> np.ndarray:
 def score_column(matrix: Column, trees: PackedTrees) -> Column:
     """Sum of all trees' values as one Arrow projection."""
     arrays = trees.arrays()
+    walk, value = walkable(arrays), arrays[5]
 
-    @F.pandas_udf("double")
-    def total(x: pd.Series) -> pd.Series:
-        if not len(x):
-            return pd.Series([], dtype="float64")
-        return pd.Series(sum_of_trees(np.stack(x.to_numpy()).astype(np.float64), arrays))
+    @F.arrow_udf("double")
+    def total(x: pa.Array) -> pa.Array:
+        values = np.asarray(x.flatten().to_numpy(zero_copy_only=False), np.float64)
+        return pa.array(sum_of_trees(values.reshape(len(x), -1), walk, value) if len(x) else [], pa.float64())
     return total(matrix)
 
 

@@ -210,3 +210,34 @@ def test_adaboost_in_one_projection(spark, rows):
     assert [r.prob for r in many.transform(df).orderBy("id").collect()] == pytest.approx([r.prob for r in many._chained(df).orderBy("id").collect()], abs=1e-12)
     size = lambda m: len(m.transform(df)._jdf.queryExecution().executedPlan().toString())
     assert abs(size(few) - size(many)) < 60
+
+
+def test_descent_and_nodes_as_row_by_row():
+    """Rows reach the leaves that a walk of each row reaches, and are dealt to nodes by one sort, nodes without rows left out."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 50, (400, 3)).astype(float)
+    x[::7, 1] = np.nan
+    trees = tr.PackedTrees()
+    for t in range(4):
+        level = [trees.add_tree(0.5, 400)]
+        for _ in range(t):  # the first tree is a leaf
+            level = [kid for node in level[:3] for kid in trees.split(node, int(rng.integers(3)), float(rng.integers(50)), bool(rng.integers(2)), 1.0, (rng.random(), 1), (rng.random(), 1))]
+    feature, cut, missing_left, left, right, value, roots = trees.arrays()
+
+    def leaf(row, at):
+        while feature[at] >= 0:
+            v = row[feature[at]]
+            at = left[at] if (missing_left[at] if np.isnan(v) else v <= cut[at]) else right[at]
+        return at
+    walk = tr.walkable(trees.arrays())
+    want = np.array([[leaf(row, root) for root in roots] for row in x])
+    got = np.stack([tr.descend(tr.by_feature(x), walk, t) for t in range(4)], axis=1)
+    assert (got == want).all()
+    assert np.allclose(tr.sum_of_trees(x, walk, value, at_once=900), tr.sum_of_trees(x, walk, value), rtol=1e-15)
+    assert np.allclose(tr.sum_of_trees(x, walk, value), value[want].sum(axis=1), rtol=1e-15)
+    number = rng.integers(0, 300, 400)
+    number[number % 5 == 0] = 300  # closed
+    rows_of, nodes, starts, sizes = et.rows_by_node(number.astype(np.uint16), 300)
+    assert nodes.tolist() == sorted(set(number.tolist()) - {300})
+    assert [sorted(rows_of[a:a + n]) for a, n in zip(starts, sizes)] == [np.flatnonzero(number == k).tolist() for k in nodes]
+    assert [len(v) for v in et.rows_by_node(np.full(5, 2, np.uint8), 2)] == [0, 0, 0, 0]

@@ -88,3 +88,14 @@ def test_searches_and_stacks_compute_their_input_once(spark):
     raw, made = _accumulating(spark, spark.createDataFrame(oof, "id long, model string, label int, prob double").repartition(2))
     _, out, _ = mdl.stack(raw, None)
     assert out.count() == 300 and made.value == 600
+
+
+def test_rows_of_two_classes_are_not_left_to_two_tasks(spark):
+    """Models are fitted on the folded rows as they lie; the folds are those of one sort."""
+    df = spark.range(400_000).select("id", (F.col("id") % 2).cast("int").alias("label"))
+    folded = cf.stratified_folds(df, "id", "label", 3, 42).persist()
+    most = folded.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    assert most < 200_000
+    counts = {(r["label"], r["fold"]): r["count"] for r in folded.groupBy("label", "fold").count().collect()}
+    assert len(counts) == 6 and max(counts.values()) - min(counts.values()) <= 1
+    folded.unpersist()
