@@ -21,6 +21,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -510,20 +511,19 @@ def digamma(x: Column) -> Column:
     return series - shift
 
 
-def _kth_radius(cands, own: Column, kp: Column) -> Column:
-    """Smallest distance d with at least k' neighbours at distance <= d.
+def kth_radius(value: np.ndarray, c: np.ndarray, kp: np.ndarray, k: int) -> np.ndarray:
+    """For each of the sorted distinct values, of ``c`` rows each, the smallest distance d with at least ``kp`` other rows at distance <= d.
 
-    ``cands``: list of (distance, count) Column pairs (null when absent); ``own`` is the number of
-    other rows with the same value (distance 0). Every candidate distance is tested by plain
-    arithmetic; no array sorting or lambda."""
-    dists = [F.lit(0.0)] + [d for d, _ in cands]
-
-    def count_within(t):
-        return own + reduce(lambda a, b: a + b,
-                            [F.when(d.isNotNull() & (d <= t), c).otherwise(F.lit(0)) for d, c in cands])
-
-    picks = [F.when(t.isNotNull() & (count_within(t) >= kp), t) for t in dists]
-    return F.least(*picks)
+    Only the ``k`` values on either side can be that near: every row of them is tried, the two sides merged step by step."""
+    n, far = len(value), np.inf
+    side = lambda of, i, fill: np.concatenate([np.full(min(i, n), fill), of[:max(0, n - i)]])
+    d = np.stack([np.abs(x - value) for i in range(1, k + 1) for x in (side(value, i, far), side(value[::-1], i, far)[::-1])])
+    m = np.stack([x for i in range(1, k + 1) for x in (side(c, i, 0), side(c[::-1], i, 0)[::-1])])
+    out = np.where(c - 1 >= kp, 0.0, far)
+    for t in d:
+        within = c - 1 + np.where(d <= t, m, 0).sum(axis=0)
+        out = np.where((within >= kp) & (t < out), t, out)
+    return out
 
 
 def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bucket: int | None = None) -> DataFrame:
@@ -546,12 +546,12 @@ def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bu
     part = ["feature", "y", "_b"]
     # halo: the k smallest / largest distinct values of every (feature, y, bucket) are copied into
     # the next / previous non-empty bucket (at most k buckets away, one value per bucket at least)
-    wa = Window.partitionBy(*part).orderBy("value")
-    wd = Window.partitionBy(*part).orderBy(F.col("value").desc())
-    edge = bk.select("*", F.row_number().over(wa).alias("_ra"), F.row_number().over(wd).alias("_rd"))
-    ends = (edge.where((F.col("_ra") <= k) | (F.col("_rd") <= k))
-            .groupBy(*part).agg(F.collect_list(F.when(F.col("_ra") <= k, F.struct("value", "c"))).alias("_first"),
-                                F.collect_list(F.when(F.col("_rd") <= k, F.struct("value", "c"))).alias("_last")))
+    whole = Window.partitionBy(*part)
+    edge = bk.select("*", F.row_number().over(whole.orderBy("value")).alias("_ra"), F.count(F.lit(1)).over(whole).alias("_nb"))
+    first, last = F.col("_ra") <= k, F.col("_ra") > F.col("_nb") - k
+    ends = (edge.where(first | last)
+            .groupBy(*part).agg(F.collect_list(F.when(first, F.struct("value", "c"))).alias("_first"),
+                                F.collect_list(F.when(last, F.struct("value", "c"))).alias("_last")))
     wb = Window.partitionBy("feature", "y").orderBy("_b")
     halo_src = ends.select(
         "feature", "y", "_b",
@@ -559,48 +559,43 @@ def mutual_info_knn(df: DataFrame, cols, label_col: str, k: int = 3, rows_per_bu
         F.flatten(F.collect_list("_first").over(wb.rowsBetween(1, k))).alias("_next"))
     halo = (halo_src.select("feature", "y", "_b", F.explode(F.concat("_prev", "_next")).alias("h"))
             .select("feature", "y", "_b", F.col("h.value").alias("value"), F.col("h.c").alias("c"),
-                    F.lit(1).alias("_halo")))
-    body = bk.select("feature", "y", "_b", "value", "c", F.lit(0).alias("_halo"))
-    both = sized_join(body.unionByName(halo), ny, ["feature", "y"], "inner")
-    w = Window.partitionBy(*part).orderBy("value")
-    kp = F.least(F.lit(k), F.col("ny") - 1)
-    cand = []
-    for i in range(1, k + 1):
-        for fn in (F.lag, F.lead):
-            v, c = fn("value", i).over(w), fn("c", i).over(w)
-            cand.append((F.abs(v - F.col("value")), c.cast("long")))
-    named = both.select("feature", "y", "value", "c", "ny", "_halo", kp.alias("kp"),
-                        *[x.alias(f"_d{j}") for j, (x, _) in enumerate(cand)],
-                        *[c.alias(f"_c{j}") for j, (_, c) in enumerate(cand)])
-    cols = [(F.col(f"_d{j}"), F.col(f"_c{j}")) for j in range(len(cand))]
-    rad = (named.where(F.col("_halo") == 0)
-           .select("feature", "y", "value", "c", "ny", "kp",
-                   _kth_radius(cols, (F.col("c") - 1).cast("long"), F.col("kp")).alias("r")))
+                    F.lit(True).alias("halo")))
+    body = bk.select("feature", "y", "_b", "value", "c", F.lit(False).alias("halo"))
+    both = sized_join(body.unionByName(halo), ny, ["feature", "y"], "inner").withColumn("kp", F.least(F.lit(k), F.col("ny") - 1))
+
+    def radii(t: pa.Table) -> pa.Table:
+        t = t.sort_by("value")
+        value, c, kp = (t[n].to_numpy() for n in ("value", "c", "kp"))
+        return t.append_column("r", pa.array(kth_radius(value, c, kp, k))).filter(pc.invert(t["halo"])).select(names)
+
+    names = ["feature", "y", "value", "c", "ny", "kp", "r"]
+    kinds = {f.name: f.dataType.simpleString() for f in both.schema.fields} | {"r": "double"}
+    rad = both.select("feature", "y", "_b", "value", "c", "ny", "kp", "halo").groupBy(*part).applyInArrow(radii, ", ".join(f"{n} {kinds[n]}" for n in names))
     rad = cut_lineage(rad)
     # m: values of the feature (all classes kept) strictly inside (x - r, x + r); r = 0 -> equal values
     allv = counts.groupBy("feature", "value").agg(F.sum("c").alias("w"))
     # query rows are keyed by (feature, qy, qv): (feature, class, value) is unique in ``rad``
-    qs = rad.where(F.col("r") > 0).select("feature", F.col("y").alias("qy"), F.col("value").alias("qv"), "r")
+    qs = rad.where(F.col("r") > 0).select("feature", F.col("y").alias("qy"), F.col("value").alias("qv"), F.col("c").alias("qc"), "r")
     # value + r need not be the neighbour's value to the last bit: the bounds are drawn in by a few ulps
     hair = (F.abs("qv") + F.col("r")) * F.lit(1e-13)
-    hi = qs.select("feature", (F.col("qv") + F.col("r") - hair).alias("key"), F.lit(0).alias("_t"), "qy", "qv",
+    hi = qs.select("feature", (F.col("qv") + F.col("r") - hair).alias("key"), F.lit(0).alias("_t"), "qy", "qv", "qc",
                    F.lit(0).cast("long").alias("w"))
-    lo = qs.select("feature", (F.col("qv") - F.col("r") + hair).alias("key"), F.lit(2).alias("_t"), "qy", "qv",
+    lo = qs.select("feature", (F.col("qv") - F.col("r") + hair).alias("key"), F.lit(2).alias("_t"), "qy", "qv", "qc",
                    F.lit(0).cast("long").alias("w"))
     data = allv.select("feature", F.col("value").alias("key"), F.lit(1).alias("_t"),
-                       F.lit(None).cast(rad.schema["y"].dataType).alias("qy"), F.lit(None).cast("double").alias("qv"), "w")
+                       F.lit(None).cast(rad.schema["y"].dataType).alias("qy"), F.lit(None).cast("double").alias("qv"),
+                       F.lit(None).cast("long").alias("qc"), "w")
     ranked = prefix_sum(hi.unionByName(lo).unionByName(data), "key", ["w"], part_cols=["feature"],
                         tie_cols=["_t"], rows_per_bucket=rows_per_bucket)
-    m_pos = (ranked.where(F.col("_t") != 1).groupBy("feature", "qy", "qv")
+    m_pos = (ranked.where(F.col("_t") != 1).groupBy("feature", "qy", "qv", "qc")
              .agg((F.max(F.when(F.col("_t") == 0, F.col("cum_w"))) -
                    F.max(F.when(F.col("_t") == 2, F.col("cum_w")))).alias("m"))
-             .select("feature", F.col("qy").alias("y"), F.col("qv").alias("value"), "m"))
-    m_zero = (rad.where(F.col("r") == 0).join(allv, ["feature", "value"])
-              .select("feature", "y", "value", F.col("w").alias("m")))
-    m_all = m_pos.unionByName(m_zero)
-    per = rad.join(m_all, ["feature", "y", "value"])
+             .select("feature", F.col("qc").alias("c"), "m"))
+    m_zero = rad.where(F.col("r") == 0).join(allv, ["feature", "value"]).select("feature", "c", F.col("w").alias("m"))
+    # the sums over the rows and over their m are taken apart, so no row is joined to its m
+    sm = m_pos.unionByName(m_zero).groupBy("feature").agg(F.sum(F.col("c").cast("double") * digamma(F.col("m"))).alias("sm"))
     c = F.col("c").cast("double")
-    agg = per.groupBy("feature").agg(F.sum(c).alias("N"), F.sum(c * digamma(F.col("kp"))).alias("sk"),
-                                     F.sum(c * digamma(F.col("ny"))).alias("sy"), F.sum(c * digamma(F.col("m"))).alias("sm"))
+    agg = rad.groupBy("feature").agg(F.sum(c).alias("N"), F.sum(c * digamma(F.col("kp"))).alias("sk"),
+                                     F.sum(c * digamma(F.col("ny"))).alias("sy")).join(sm, "feature")
     mi = digamma(F.col("N")) + (F.col("sk") - F.col("sy") - F.col("sm")) / F.col("N")
     return agg.select("feature", F.greatest(mi, F.lit(0.0)).alias("mi"))

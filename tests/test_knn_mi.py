@@ -186,3 +186,26 @@ def test_pruned_queries_travel_once_to_a_part(spark, monkeypatch):
     assert len(sent) == 1 and sent[0] <= 40 * 4
     split = knn.knn_pruned(q, b, 3, pivots=4, cell_rows=10, cell_bytes=8000)[0]  # several parts of queries and of cells
     assert sorted((r.qid, r["rank"], r.bid, round(r.distance, 9)) for r in split.collect()) == want
+
+
+def test_kth_radius_as_row_by_row():
+    """The radius of a value counts the rows of equal and near values on both sides, at the ends too."""
+    rng = np.random.default_rng(3)
+    for n, k in ((1, 3), (2, 3), (5, 3), (60, 1), (60, 4)):
+        value = np.sort(rng.choice(200, n, replace=False)).astype(float)
+        c = rng.integers(1, 4, n)
+        rows = np.repeat(value, c)
+        kp = np.full(n, min(k, len(rows) - 1))
+        want = [np.sort(np.abs(rows - v))[kp[0]] for v in value]  # the first is the row itself
+        assert knn.kth_radius(value, c, kp, k).tolist() == want
+
+
+def test_mutual_info_sorts_a_bucket_without_windows_of_neighbours(spark, monkeypatch):
+    """Radii come from one pass over a bucket's arrays: no window looks at a neighbour's row, and none sorts downwards."""
+    seen = []
+    monkeypatch.setattr(knn.F, "lag", lambda *a: seen.append("lag"))
+    monkeypatch.setattr(knn.F, "lead", lambda *a: seen.append("lead"))
+    df = spark.createDataFrame([(float(i * 7 % 50), i % 2) for i in range(200)], "x double, y int")
+    got = knn.mutual_info_knn(df, ["x"], "y", k=3, rows_per_bucket=20).collect()
+    arr = np.array([(i * 7 % 50, i % 2) for i in range(200)], float)
+    assert not seen and got[0]["mi"] == pytest.approx(mutual_info_knn_local(arr[:, 0], arr[:, 1].astype(int)), abs=1e-6)
