@@ -56,11 +56,14 @@ def word_pieces(text: bytes, size: int = 1 << 20):
         yield rest.split()
 
 
-def shared_table(df: DataFrame) -> DataFrame:
+def shared_table(df: DataFrame, rows: int | None = None, per_file: int = 250_000) -> DataFrame:
     """Write ``df`` to the shared folder of ``spark.checkpoint.dir`` and read it back: cuts the
-    lineage, and a lost executor loses nothing."""
+    lineage, and a lost executor loses nothing. A small table of a known number of ``rows`` is written as
+    a file for each ``per_file`` of them, not as one for each shuffle partition."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    if rows is not None:
+        df = df.coalesce(max(1, math.ceil(rows / per_file)))
     df.write.parquet(path)
     settle(spark)
     return spark.read.schema(df.schema).parquet(path)

@@ -71,8 +71,9 @@ def balance(hist: DataFrame, sources: DataFrame, most: float = 3.0, tolerance: f
     x_least = F.col("least") / (F.col("least") + F.col("words") / F.col("docs"))
     lo, hi = F.least(F.log(ratio), F.log(ratio) / x_least), F.greatest(F.log(ratio), F.log(ratio) / x_least)
     free = (F.col("words") > 0) & (F.col("target") > 0) & (ratio < most * (1 - 1e-12))
+    n_free = sources.where(free).count()
     state = shared_table(sources.where(free).select("rank", "target", (F.col("words") / F.col("docs")).alias("m"), lo.alias("lo"),
-                                                    hi.alias("hi"), F.log(ratio).alias("mult")))
+                                                    hi.alias("hi"), F.log(ratio).alias("mult")), n_free)
     small = hist.where("size > 0")
     for _ in range(max_rounds):
         x = F.col("size") / (F.col("size") + F.col("m"))
@@ -87,7 +88,7 @@ def balance(hist: DataFrame, sources: DataFrame, most: float = 3.0, tolerance: f
         off = F.abs(F.col("got") / F.col("target") - 1)
         got = got.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("off", off)
         state = shared_table(got.select("rank", "target", "m", F.col("_lo").alias("lo"), F.col("_hi").alias("hi"),
-                                        F.when(F.col("off") <= tolerance, F.col("mult")).otherwise(step).alias("mult"), "off"))
+                                        F.when(F.col("off") <= tolerance, F.col("mult")).otherwise(step).alias("mult"), "off"), n_free)
         worst = state.agg(F.max("off")).first()[0]
         state = state.drop("off")
         if worst is None or worst <= tolerance:
@@ -134,7 +135,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     sources = units.groupBy("source").agg(
         F.sum(F.col("size") * F.col("n_rows")).alias("words"), F.sum(F.when(has, F.col("n_rows"))).alias("docs"),
         F.min(F.when(has, F.col("size"))).alias("least"), F.count(F.lit(1)).alias("units"))
-    sources = shared_table(targets(sources, weights, float(most)))
+    sources = targets(sources, weights, float(most))
     keyed = shared_table(units.join(sources.select(F.col("source").alias("_s"), "rank", "units"),
                                     F.col("source").eqNullSafe(F.col("_s"))).drop("_s"))
     hist = shared_table(keyed.groupBy("rank", "size").agg(F.sum("n_rows").alias("n")))

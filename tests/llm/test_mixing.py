@@ -106,3 +106,26 @@ def test_odd_rows(spark):
     assert mixing.report(none).count() == 0 and mixing.mixed(none).count() == 0
     blank = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")
     assert [r.taken for r in mixing.report(blank).collect()] == [0, 0]
+
+
+def test_round_of_newton_writes_one_file_however_many_partitions(spark, monkeypatch):
+    """A round's table has a row for each source; it was written as a file for each shuffle partition."""
+    written, write = [], mixing.shared_table
+
+    def noted(df, *more):
+        out = write(df, *more)
+        if "mult" in out.columns:
+            written.append(len(out.inputFiles()))
+        return out
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    monkeypatch.setattr(mixing, "shared_table", noted)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        rows = [(k, "w " * (1 + k % 9), f"s{k % 12}") for k in range(300)]
+        got = mixing.report(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == 300 and len(written) > 1 and set(written) == {1}
