@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import keep
+from ..session import keep, limit_generated_code
 from ..spec import NUMERIC_TYPES
 from .joins import sized_join
 from .stats import clean_double, dealt, exact_quantiles, to_long
@@ -72,14 +72,16 @@ def counted_values(df: DataFrame, cols, held: int = 1 << 20) -> DataFrame:
             for k in range(len(cols)):
                 x = b.column(k).to_numpy(zero_copy_only=False).astype(np.float64)
                 x = x[np.isfinite(x)]
-                v, where = np.unique(np.concatenate([seen[k][0], x]), return_inverse=True)
-                seen[k] = v, np.bincount(where, np.concatenate([seen[k][1], np.ones(len(x), np.int64)]), len(v)).astype(np.int64)
+                new, n = np.unique(x, return_counts=True)  # a plain sort; only distinct values are merged by places
+                v, where = np.unique(np.concatenate([seen[k][0], new]), return_inverse=True)
+                seen[k] = v, np.bincount(where, np.concatenate([seen[k][1], n]), len(v)).astype(np.int64)
                 size += len(v)
             if size > held:
                 yield from rows()
                 seen = [(np.zeros(0), np.zeros(0, np.int64)) for _ in cols]
         yield from rows()
 
+    limit_generated_code(df.sparkSession)
     src = dealt(df.select(*[_c(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]))
     found = src.mapInArrow(kernel, "i int, value double, c bigint").groupBy("i", "value").agg(F.sum("c").alias("c"))
     return found.select(F.get(F.array(*[F.lit(c) for c in cols]), F.col("i")).alias("feature"), "value", "c")
@@ -335,6 +337,7 @@ def corr_pairs(df: DataFrame, cols, min_abs: float = 0.0) -> DataFrame:
         rows = F.array(*[F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"),
                                   F.when(~F.isnan(f"r{i}_{j}"), F.col(f"r{i}_{j}")).alias("corr")) for i, j in pairs])
         return got.select(F.explode(rows).alias("r")).select("r.*").where(F.abs(F.col("corr")) > min_abs)
+    limit_generated_code(df.sparkSession)
     src = dealt(df.select(*[_c(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]))
     # any constant may be taken off a column; the mean of some rows keeps the sums small
     some = src.limit(1000).toPandas().to_numpy(dtype=float)

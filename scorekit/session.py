@@ -57,6 +57,18 @@ def guard_union_partitioning(spark: SparkSession) -> None:
         pass
 
 
+CODE_KEY, CODE_DEFAULT, CODE_BYTES = "spark.sql.codegen.hugeMethodLimit", "65535", "8000"
+
+
+def limit_generated_code(spark: SparkSession) -> None:
+    """Let a stage whose generated method is over 8,000 bytes run by its single expressions, for this session.
+
+    HotSpot does not compile longer methods: a projection of 60 columns then runs interpreted, several times
+    slower. A limit of the session's own stays."""
+    if spark.conf.get(CODE_KEY, CODE_DEFAULT) == CODE_DEFAULT:
+        spark.conf.set(CODE_KEY, CODE_BYTES)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, registering it with the SparkContext.
 

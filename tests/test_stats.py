@@ -142,3 +142,22 @@ def test_selection_with_a_coarse_sketch(spark):
             for p in probs:
                 assert abs(got[g, p] - np.quantile(v, p)) < 1e-12, (g, p, accuracy)
         assert len(got) == 24
+
+
+def test_wide_frames_run_code_that_is_compiled(spark):
+    """Sixty computed columns make one generated method too long for HotSpot; a limit of the session's own stays."""
+    from scorekit.session import CODE_DEFAULT, CODE_KEY
+    cols = [f"c{k}" for k in range(60)]
+    df = spark.range(200).selectExpr(*[f"cast((id * {2 * k + 3}) % {17 + k} as double) as c{k}" for k in range(60)])
+    before = spark.conf.get(CODE_KEY, CODE_DEFAULT)
+    try:
+        for found in (pr.feature_kinds, pr.corr_pairs):
+            spark.conf.set(CODE_KEY, CODE_DEFAULT)
+            found(df, cols)
+            assert int(spark.conf.get(CODE_KEY)) == 8000
+        spark.conf.set(CODE_KEY, "20000")
+        got = {r["feature"]: r["n_unique"] for r in pr.feature_kinds(df, cols).collect()}
+        assert spark.conf.get(CODE_KEY) == "20000"
+    finally:
+        spark.conf.set(CODE_KEY, before)
+    assert got == {f"c{k}": len({i * (2 * k + 3) % (17 + k) for i in range(200)}) for k in range(60)}
