@@ -5,7 +5,8 @@ piece, a word that is too rare to stand in any candidate). Phrases are found lev
 Apriori-safe: a phrase of k words counts only if its first and its last k - 1 words were frequent enough, and the
 hash bucket that it shares with other phrases was too. The candidates of a level, gathered from
 the blocks, are cut by their first words into waves of bounded size. Each wave is a double-array trie over word
-numbers, broadcast; a task starts every position of its text at the root and moves many states on together, symbol by symbol
+numbers, broadcast; a task starts the positions whose word can begin a phrase of the wave at the root, so that all waves together
+start each position about once, and moves many states on together, symbol by symbol
 (``state = base[state] + symbol``, kept where ``check`` names the state it came from), counts the phrases of the accepting
 states, and the tasks' counts are added up by Spark. Scores are exact decimals.
 """
@@ -17,6 +18,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,52 +28,71 @@ from .lm import pack, unpack
 
 SEPARATORS = ".,;:!?\n\x0b\x0c\r"
 PLACES = 1 << 17  # of a text that a kernel works on at once: its arrays are of this length, not of a block's
+SHIFTS = 20, 10, 0  # of a word's digits in its code
 SIDE_BYTES = 4 << 20  # of a side that may be broadcast: a dozen joins do
 END = ord(",")  # a separator, so no word holds it
-# bytes to bytes: A-Z lower-cased, every separator as one and the same
-PIECE_TABLE = bytes(END if chr(c) in SEPARATORS else c + 32 if chr(c) in UPPER else c for c in range(256))
+# bytes to bytes: A-Z lower-cased, every separator as one and the same, a tab as a space
+PIECE_TABLE = bytes(END if chr(c) in SEPARATORS else c + 32 if chr(c) in UPPER else 32 if c == 9 else c for c in range(256))
 
 
-def word_lists(text: bytes, at_once: int = 1 << 20):
-    """Lists of words of a text, ``b","`` standing for a separator; a long text in pieces cut at spaces or separators."""
+def word_arrays(text: bytes, at_once: int = 1 << 20):
+    """Arrow arrays of the words of a text, ``b","`` standing for a separator; a long text in pieces cut at spaces or separators."""
     text = text.translate(PIECE_TABLE)
     at = 0
     while at < len(text):
         end = at + at_once
         if end < len(text):
-            cuts = [k for k in (text.find(c, end) for c in (b" ", b"\t", b",")) if k >= 0]
+            cuts = [k for k in (text.find(c, end) for c in (b" ", b",")) if k >= 0]
             end = min(cuts) if cuts else len(text)
-        yield text[at:end].replace(b",", b" , ").split()
+        words = pc.split_pattern(pa.array([text[at:end].replace(b",", b" , ")], pa.binary()), b" ").flatten()
+        yield words.filter(pc.greater(pc.binary_length(words), 0))
         at = end
 
 
-def build_blocks(docs: DataFrame, text_col: str, lang, block_tokens: int) -> DataFrame:
+def numbered(words: list) -> tuple:
+    """The distinct words of arrays, and each word's number among them from 1; 0 for a separator."""
+    coded = pa.chunked_array(words, pa.binary()).dictionary_encode().chunks  # all share the last one's dictionary
+    found = coded[-1].dictionary
+    own = pc.not_equal(found, b",").to_numpy(zero_copy_only=False)
+    number = np.cumsum(own, dtype=np.uint32) * own
+    return found.filter(pa.array(own)).cast(pa.string()), np.concatenate([number.take(c.indices.to_numpy()) for c in coded])
+
+
+def build_blocks(docs: DataFrame, text_col: str, lang, block_tokens: int, at_once: int = 1 << 20) -> DataFrame:
     """Blocks ``(block, lang, words, tokens, n)``: the words of a block, its tokens as numbers of them (0: a separator or
-    the end of a document), and how many of the tokens are words."""
+    the end of a document), and how many of the tokens are words. Texts are cut into words ``at_once`` bytes at a time."""
     src = docs.select(lang.alias("lang"), F.col(text_col).alias("text"))
 
     def kernel(batches):
-        open_ = {}  # of each language its vocabulary, token arrays and number of tokens
+        open_ = {}  # of each language its word arrays and number of tokens
+        whole = max(1, min(at_once, 2 * block_tokens))  # bytes of texts, after which a block may end
 
         def close(name):
-            vocab, parts, _ = open_.pop(name)
-            tokens = np.concatenate(parts)
+            words, tokens = numbered(open_.pop(name)[0])
+            pa.default_memory_pool().release_unused()  # else the pool keeps a block's words as long as the worker lives
             return pa.RecordBatch.from_arrays(
-                [pa.array([name], pa.string()), pa.array([[w.decode() for w in list(vocab)[1:]]], pa.list_(pa.string())),
-                 pa.array([pack(tokens)], pa.binary()), pa.array([int((tokens > 0).sum())], pa.int64())], names=["lang", "words", "tokens", "n"])
+                [pa.array([name], pa.string()), pa.ListArray.from_arrays([0, len(words)], words), pa.array([pack(tokens)], pa.binary()),
+                 pa.array([int((tokens > 0).sum())], pa.int64())], names=["lang", "words", "tokens", "n"])
+
+        def add(name, texts):
+            held = open_.setdefault(name, [[], 0])
+            for words in word_arrays(b",".join([*texts, b""])):
+                held[0].append(words)
+                held[1] += len(words)
+            if held[1] >= block_tokens:
+                yield close(name)
+            elif sum(h[1] for h in open_.values()) >= 4 * block_tokens:  # many languages share the room of four blocks
+                yield close(max(open_, key=lambda x: open_[x][1]))
         for b in batches:
+            read = {}  # of each language its texts not yet cut, and their bytes
             for name, t in zip(b.column(0).to_pylist(), bytes_of(b)):
-                held = open_.setdefault(name, [{b",": 0}, [], 0])
-                vocab, parts, _ = held
-                for words in word_lists(t):
-                    parts.append(np.fromiter((vocab.setdefault(w, len(vocab)) for w in words), np.uint32, len(words)))
-                    held[2] += len(words)
-                parts.append(np.zeros(1, np.uint32))
-                held[2] += 1
-                if held[2] >= block_tokens:
-                    yield close(name)
-                elif sum(h[2] for h in open_.values()) >= 4 * block_tokens:  # many languages share the room of four blocks
-                    yield close(max(open_, key=lambda x: open_[x][2]))
+                texts = read.setdefault(name, [[], 0])
+                texts[0].append(t)
+                texts[1] += len(t)
+                if texts[1] >= whole:
+                    yield from add(name, read.pop(name)[0])
+            for name, (texts, _) in read.items():
+                yield from add(name, texts)
         for x in list(open_):
             yield close(x)
 
@@ -92,8 +113,11 @@ class Trie:
         alphabet, n = np.unique(phrases, return_counts=True)
         rank = np.empty(len(n), np.int32)
         rank[np.argsort(-n, kind="stable")] = np.arange(len(n))
-        self.words = alphabet, rank, max(2, math.ceil(round(len(n) ** (1 / 3), 6)))
-        width = self.words[2] + 1
+        a = max(2, math.ceil(round(len(n) ** (1 / 3), 6)))
+        code = np.full(int(alphabet.max(initial=0)) + 2, -1, np.int32)  # of each word number its three digits, 10 bits each; -1: not in the trie
+        code[alphabet] = rank // (a * a) << 20 | rank // a % a << 10 | rank % a
+        self.words = code, len(n), a
+        width = a + 1
         symbols = [d for k in range(phrases.shape[1]) for d in symbols_of(phrases[:, k], self.words)]
         self.base, self.check = np.zeros(width, np.int32), np.full(width, -1, np.int32)
         self.used, self.rng = width, np.random.default_rng(seed)
@@ -160,11 +184,29 @@ class Trie:
 
 def symbols_of(ids: np.ndarray, words: tuple) -> tuple:
     """The three symbols of each word number, from 1; 0 for words that the trie does not know."""
-    alphabet, rank, a = words[:3]
-    at = np.minimum(np.searchsorted(alphabet, ids), len(alphabet) - 1)
-    known = alphabet[at] == ids
-    code = rank[at]
-    return tuple(np.where(known, code // d % a + 1, 0) for d in (a * a, a, 1))
+    code = words[0].take(ids, mode="clip")
+    return tuple(np.where(code >= 0, (code >> shift & 1023) + 1, 0) for shift in SHIFTS)
+
+
+def reach(trie: tuple, ids: np.ndarray, words: int, at: np.ndarray) -> tuple:
+    """Those of the places ``at`` where a phrase of the trie starts, and the states after its words. Places that leave the trie
+    are dropped on the way, so most cost a symbol or two."""
+    code, (base, check) = trie[0], trie[3:5]
+    at = at[:np.searchsorted(at, len(ids) - words, "right")]
+    state = np.zeros(len(at), np.int32)
+    for k in range(words):
+        symbols = code.take(ids.take(at + k), mode="clip")
+        for shift in SHIFTS:
+            if shift == SHIFTS[0]:  # unknown words go no further
+                to = base.take(state) + (symbols >> shift) + 1
+                live = np.flatnonzero((symbols >= 0) & (check.take(to) == state))
+            else:
+                to = base.take(state) + (symbols >> shift & 1023) + 1
+                live = np.flatnonzero(check.take(to) == state)
+            if len(live) < len(at):
+                at, symbols, to = at.take(live), symbols.take(live), to.take(live)
+            state = to
+    return at, state
 
 
 def advance(trie: tuple, ids: np.ndarray, words: int, at_once: int = PLACES) -> np.ndarray:
@@ -176,19 +218,17 @@ def advance(trie: tuple, ids: np.ndarray, words: int, at_once: int = PLACES) ->
 
 
 def _advance(trie: tuple, ids: np.ndarray, words: int) -> np.ndarray:
-    base, check = trie[3:5]
-    dead = np.int32(len(base) - 1)
-    symbols = symbols_of(ids, trie)
-    state = np.zeros(len(ids), np.int32)
-    for k in range(words):
-        n = max(0, len(ids) - k)
-        for symbol in symbols:
-            to = base[state[:n]] + symbol[k:]
-            state[:n] = np.where(check[to] == state[:n], to, dead)
-        state[n:] = dead
+    state = np.full(len(ids), len(trie[3]) - 1, np.int32)
+    at, ends = reach(trie, ids, words, np.arange(len(ids)))
+    state[at] = ends
     return state
 
 
+def in_range(ids: np.ndarray, low: int, high: int) -> list:
+    """Places, in pieces, of the words ``low`` to ``high``: phrases of a wave start there and nowhere else."""
+    return _pieces(np.flatnonzero((ids >= low) & (ids <= high)))
+
+
 def _ids(batch):
     for blob in batch.column(batch.schema.get_field_index("ids")).to_pylist():
         yield unpack(blob, np.int32)
@@ -213,24 +253,37 @@ def _flagged(packed: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (packed[h >> 3] >> (7 - (h & 7)).astype(np.uint8)) & 1 > 0
 
 
+def add_capped(seen: np.ndarray, h: np.ndarray, cap: int, own: int) -> None:
+    """Count the buckets ``h`` in ``seen``, up to ``cap``: a byte each, or half a byte each (``own``: 1), the even bucket in the low half."""
+    shift = ((h & own) << 2).astype(np.uint8)
+    u, c = np.unique(h[(seen.take(h >> own) >> shift & (15 if own else 255)) < cap], return_counts=True)  # a bucket that has enough stays as it is
+    for half in range(1 + own):
+        on = u & own == half
+        at, more = u[on] >> own, c[on]
+        old = seen[at]
+        n = old >> 4 * half & 15 if own else old
+        seen[at] = old + ((np.minimum(n + more, cap) - n) << 4 * half).astype(np.uint8)
+
+
 def bucket_filter(coded: DataFrame, k: int, sites: list, n: int, least: int, most_bits: int, slice_bits: int = 16):
     """``(bits, packed flags)``, broadcast: the hash buckets in which at least ``least`` of the phrases at ``sites`` fall. A
     phrase that is frequent enough is in such a bucket. At most 2^``most_bits`` buckets, whatever the corpus."""
     bits = min(most_bits, max(slice_bits, math.ceil(math.log2(max(2, n))) - 2))
     slice_bits = min(slice_bits, bits)
     cap = min(least, 255)  # sums of what is cut off here reach the limit just the same
+    own = 1 if cap <= 15 else 0  # two counts share a byte where they fit
 
     def counter(site):
         def count(batches):
-            seen = np.zeros(1 << bits, np.uint8)
+            seen = np.zeros(1 << bits - own, np.uint8)
             for batch in batches:
                 for ids in _ids(batch):
                     for at in _pieces(site(ids)):
-                        u, c = np.unique(bucket_of(ids, at, k, bits), return_counts=True)
-                        seen[u] = np.minimum(seen[u] + c, cap)
-            parts = seen.reshape(-1, 1 << slice_bits)
+                        add_capped(seen, bucket_of(ids, at, k, bits), cap, own)
+            parts = seen.reshape(-1, 1 << slice_bits - own)
             for j in np.flatnonzero(parts.any(axis=1)):
-                yield pa.RecordBatch.from_arrays([pa.array([int(j)], pa.int64()), pa.array([pack(parts[j])], pa.binary())], names=["slice", "counts"])
+                counts = np.stack([parts[j] & 15, parts[j] >> 4], axis=1).ravel() if own else parts[j]
+                yield pa.RecordBatch.from_arrays([pa.array([int(j)], pa.int64()), pa.array([pack(counts)], pa.binary())], names=["slice", "counts"])
         return count
 
     def add(table):
@@ -255,14 +308,26 @@ def _table(columns: list, n=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=_names(len(columns)) + ([] if n is None else ["f"]))
 
 
-def _distinct(words: list) -> list:
-    """Distinct phrases of the columns ``words``, in order."""
-    order = np.lexsort(words[::-1])
-    words = [w[order] for w in words]
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = reduce(np.logical_or, [w[1:] != w[:-1] for w in words])
-    return [w[new] for w in words]
+def _counted(words: list, n: np.ndarray | None = None) -> tuple:
+    """Distinct phrases of the columns ``words``, in order, and how often each occurs, or the sum of its ``n``."""
+    bits = max(1, *(int(w.max(initial=0)).bit_length() for w in words))
+    if bits * len(words) <= 63:  # a phrase is one number
+        key = reduce(lambda x, w: x << bits | w, [w.astype(np.int64) for w in words])
+        order = None if n is None else np.argsort(key, kind="stable")
+        key = np.sort(key) if n is None else key.take(order)
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        key = key.take(first)
+        found = [(key >> bits * i & (1 << bits) - 1).astype(np.int32) for i in reversed(range(len(words)))]
+    else:
+        order = np.lexsort(words[::-1])
+        sorted_ = [w[order] for w in words]
+        new = np.ones(len(order), bool)
+        new[1:] = reduce(np.logical_or, [w[1:] != w[:-1] for w in sorted_])
+        first = np.flatnonzero(new)
+        found = [w[first] for w in sorted_]
+    if n is None:
+        return found, np.diff(first, append=len(words[0]))
+    return found, np.add.reduceat(n.take(order), first) if len(first) else n[:0]
 
 
 def _home(words: list, parts: int) -> np.ndarray:
@@ -303,9 +368,9 @@ def longer_sites(coded: DataFrame, frequent: DataFrame, k: int, most: int) -> li
     def in_wave(sent):
         def sites(ids):
             trie, low, high = sent.value
-            accepts = np.zeros(len(trie[3]), bool)
-            accepts[trie[5]] = True
-            on = accepts[advance(trie, ids, k)]
+            on = np.zeros(len(ids) + 1, bool)
+            for at in in_range(ids, low, high):
+                on[reach(trie, ids, k, at)[0]] = True
             at = np.flatnonzero(on[:max(0, len(ids) - k)])
             at = at[ids[at + k] > 0]
             return at[on[at + 1] | (ids[at + 1] <= low) | (ids[at + 1] >= high)]
@@ -315,44 +380,50 @@ def longer_sites(coded: DataFrame, frequent: DataFrame, k: int, most: int) -> li
 
 
 def candidates(coded: DataFrame, k: int, sites: list, n: int, least: int, most_bits: int) -> DataFrame:
-    """Distinct phrases ``(w0..)`` of ``k`` words at ``sites`` whose bucket is frequent. A task's phrases travel packed, one row for
-    each hash part, so that a phrase of all tasks is a few bytes of each."""
+    """Distinct phrases ``(w0..)`` of ``k`` words at ``sites`` whose bucket is frequent and that the tasks found ``least`` times in all. A task's
+    phrases travel packed with their counts, one row for each hash part, so that a phrase of all tasks is a few bytes of each."""
     if not sites:
         return coded.sparkSession.createDataFrame([], _schema(k))
     sent = bucket_filter(coded, k, sites, n, least, most_bits)
     parts = max(int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / (1 << 24)))
 
-    def packed_rows(words):
-        home = _home(words, parts)
-        for j in np.unique(home):
-            on = home == j
-            yield pa.RecordBatch.from_arrays([pa.array([int(j)], pa.int64()), pa.array([pack(np.concatenate([w[on] for w in words]).astype(np.int32))], pa.binary())],
-                                             names=["part", "phrases"])
+    def packed_rows(words, f):
+        home = _home(words, parts).astype(np.min_scalar_type(parts))
+        order = np.argsort(home, kind="stable")  # 8 and 16 bits are sorted by counting
+        words, f, ends = [w.take(order) for w in words], f.take(order), np.cumsum(np.bincount(home, minlength=parts))
+        for j, (start, end) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())):
+            if end > start:
+                yield pa.RecordBatch.from_arrays([pa.array([j], pa.int64()), pa.array([pack(np.concatenate([w[start:end] for w in words]).astype(np.int32))], pa.binary()),
+                                                  pa.array([pack(f[start:end].astype(np.int64))], pa.binary())], names=["part", "phrases", "counts"])
 
     def finder(site, most_held=1 << 20):
         def kernel(batches):
             bits, packed = sent.value
-            held, size = [], 0  # distinct phrases of the blocks read so far
+            held, size = [], 0  # distinct phrases of the blocks read so far, with their counts
+
+            def merged():
+                return _counted([np.concatenate(w) for w in zip(*(words for words, _ in held))], np.concatenate([f for _, f in held]))
             for batch in batches:
                 for ids in _ids(batch):
                     at = np.concatenate([at[_flagged(packed, bucket_of(ids, at, k, bits))] for at in _pieces(site(ids))])
-                    held.append(_distinct([ids[at + i] for i in range(k)]))
-                    size += len(held[-1][0])
+                    held.append(_counted([ids[at + i] for i in range(k)]))
+                    size += len(held[-1][1])
                     if size > most_held:
-                        held = [_distinct([np.concatenate(w) for w in zip(*held)])]
-                        size = len(held[0][0])
+                        held = [merged()]
+                        size = len(held[0][1])
                         if 2 * size > most_held:
-                            yield from packed_rows(held[0])
+                            yield from packed_rows(*held[0])
                             held, size = [], 0
             if size:
-                yield from packed_rows(_distinct([np.concatenate(w) for w in zip(*held)]))
+                yield from packed_rows(*merged())
         return kernel
 
     def unite(table):
         arrays = [unpack(x, np.int32).reshape(k, -1) for x in table["phrases"].to_pylist()]
-        return pa.Table.from_batches([_table(_distinct(list(np.concatenate(arrays, axis=1))))])
+        words, f = _counted(list(np.concatenate(arrays, axis=1)), np.concatenate([unpack(x, np.int64) for x in table["counts"].to_pylist()]))
+        return pa.Table.from_batches([_table([w[f >= least] for w in words])])
 
-    found = reduce(DataFrame.unionByName, [coded.mapInArrow(finder(s), "part bigint, phrases binary") for s in sites])
+    found = reduce(DataFrame.unionByName, [coded.mapInArrow(finder(s), "part bigint, phrases binary, counts binary") for s in sites])
     return found.groupBy("part").applyInArrow(unite, _schema(k))
 
 
@@ -367,16 +438,15 @@ def count_phrases(coded: DataFrame, phrases: DataFrame, k: int, least: int, most
     counts travel packed, one row for each ``part`` of the wave's phrases, and the tasks' rows of a part are added up."""
     out, part = [], 1 << 16
     for rows in waves(phrases, k, most):
-        trie_sent, rows_sent = (coded.sparkSession.sparkContext.broadcast(x) for x in (Trie(rows).arrays(), rows))
+        trie_sent, rows_sent = (coded.sparkSession.sparkContext.broadcast(x) for x in ((Trie(rows).arrays(), int(rows[0, 0]), int(rows[-1, 0])), rows))
 
         def kernel(batches, sent=trie_sent):
-            trie = sent.value
+            trie, low, high = sent.value
             f = np.zeros(len(trie[5]), np.int64)
             for batch in batches:
                 for ids in _ids(batch):
-                    for at in range(0, len(ids), PLACES):
-                        state = advance(trie, ids[at:at + PLACES + k - 1], k)[:PLACES]
-                        np.add.at(f, trie[3][state[state < len(trie[3]) - 1]], 1)
+                    for at in in_range(ids, low, high):
+                        np.add.at(f, trie[3].take(reach(trie, ids, k, at)[1]), 1)
             for j in range(0, len(f), part):
                 if f[j:j + part].any():
                     yield pa.RecordBatch.from_arrays([pa.array([j // part], pa.int64()), pa.array([pack(f[j:j + part])], pa.binary())], names=["part", "counts"])
@@ -394,6 +464,8 @@ def count_phrases(coded: DataFrame, phrases: DataFrame, k: int, least: int, most
 
         sums = coded.mapInArrow(kernel, "part bigint, counts binary").groupBy("part").applyInArrow(adder(rows_sent), f"{_schema(k)}, f bigint")
         out.append(shared_table(sums))
+        for sent in (trie_sent, rows_sent):  # written: no task reads them again
+            sent.destroy()
     return reduce(DataFrame.unionByName, out) if out else coded.sparkSession.createDataFrame([], f"{_schema(k)}, f bigint")
 
 

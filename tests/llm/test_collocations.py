@@ -136,3 +136,54 @@ def test_working_arrays_stay_short():
     ends = state[state < len(trie[3]) - 1]
     assert (trie[3][trie[5]] == np.arange(len(rows))).all() and (rows[trie[3][ends]][:, 0] == ids[np.flatnonzero(state < len(trie[3]) - 1)]).all()
     assert max(map(len, co._pieces(ids))) == co.PLACES and len(co._pieces(ids[:0])) == 1
+
+
+def test_candidates_are_frequent(spark, texts):
+    """However coarse the buckets, only phrases that occur often enough become candidates, so tries grow with those alone."""
+    df = spark.createDataFrame(texts, "lang string, text string").repartition(4)
+    _, coded, _ = co._encode(df, "text", F.coalesce("lang", F.lit("und")), 10, 300)
+    n = Counter()
+    for r in coded.collect():
+        ids = co.unpack(r["ids"], np.int32).tolist()
+        n.update((a, b) for a, b in zip(ids, ids[1:]) if a and b)
+    want = {p for p, f in n.items() if f >= 10}
+    got_ = [tuple(r) for r in co.candidates(coded, 2, [co.pair_sites], 10_000, 10, 4).collect()]
+    assert len(want) < len(n) and len(got_) == len(want) and set(got_) == want
+
+
+@pytest.mark.parametrize("top", [900, 1 << 30])
+def test_counted(top):
+    rng = np.random.default_rng(5)
+    words = [rng.integers(1, 30, 5000).astype(np.int32) * (top // 30) for _ in range(3)]
+    found, n = co._counted(words)
+    want = Counter(zip(*[w.tolist() for w in words]))
+    assert list(zip(*[w.tolist() for w in found])) == sorted(want) and n.tolist() == [want[p] for p in sorted(want)]
+    again, twice = co._counted([np.concatenate([w, w]) for w in found], np.concatenate([n, n]))
+    assert all((a == b).all() for a, b in zip(again, found)) and (twice == 2 * n).all()
+    assert [len(x) for x in (*co._counted([w[:0] for w in words])[0], co._counted([w[:0] for w in words], n[:0])[1])] == [0] * 4
+
+
+def test_waves_start_at_their_own_words():
+    """A wave's trie is entered only where a phrase of the wave can start: all waves together count a text as one does."""
+    rng = np.random.default_rng(6)
+    ids = rng.integers(0, 300, 50_000).astype(np.int32)
+    rows = np.unique(rng.integers(1, 300, (20_000, 2)), axis=0).astype(np.int32)
+    whole = co.advance(co.Trie(rows).arrays(), ids, 2)
+    started, found = 0, []
+    for part in np.array_split(rows, 8):
+        at = co.in_range(ids, int(part[0, 0]), int(part[-1, 0]))
+        started += sum(map(len, at))
+        found += [p for piece in at for p in co.reach(co.Trie(part).arrays(), ids, 2, piece)[0].tolist()]
+    assert sorted(found) == np.flatnonzero(whole < whole.max()).tolist() and started < 1.1 * len(ids)
+
+
+@pytest.mark.parametrize("cap, own", [(10, 1), (15, 1), (200, 0)])
+def test_counts_are_capped(cap, own):
+    rng = np.random.default_rng(7)
+    seen, n = np.zeros(64 >> own, np.uint8), np.zeros(64, np.int64)
+    for size in (0, 5, 60, 300, 4000):
+        h = np.minimum(rng.zipf(1.4, size) - 1, 63)
+        co.add_capped(seen, h, cap, own)
+        n += np.bincount(h, minlength=64)
+        counts = np.stack([seen & 15, seen >> 4], axis=1).ravel() if own else seen
+        assert counts.tolist() == np.minimum(n, cap).tolist()
