@@ -99,3 +99,50 @@ def test_rows_of_two_classes_are_not_left_to_two_tasks(spark):
     counts = {(r["label"], r["fold"]): r["count"] for r in folded.groupBy("label", "fold").count().collect()}
     assert len(counts) == 6 and max(counts.values()) - min(counts.values()) <= 1
     folded.unpersist()
+
+
+def test_search_reads_folds_from_one_kept_frame(spark, monkeypatch):
+    """Spark's scores and best model, without a copy of each fold's rows beside the kept ones; nothing is left kept after it."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from scorekit.session import release_cached
+    release_cached()
+    df = assemble(cf.stratified_folds(_planted(spark), "id", "label", 3, seed=1), ["a", "b"]).select("label", "fold", "features")
+    est, ev = DecisionTreeClassifier(labelCol="label"), BinaryClassificationEvaluator(labelCol="label")
+    want = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().addGrid(est.maxDepth, [1, 2, 3]).build(), evaluator=ev, foldCol="fold").fit(df)
+    release_cached()
+    stored, seen, evaluate = spark.sparkContext._jsc.getPersistentRDDs, [], BinaryClassificationEvaluator.evaluate
+    before = len(stored())
+    monkeypatch.setattr(BinaryClassificationEvaluator, "evaluate", lambda *a: (seen.append(len(stored()) - before), evaluate(*a))[1])
+    df = df.persist()
+    df.count()
+    model, res = cf.random_search(df, lambda: DecisionTreeClassifier(labelCol="label"), {"maxDepth": [1, 2, 3]}, 3, "label", parallelism=1)
+    assert len(seen) == 9 and max(seen) == 1 and len(stored()) == before + 1
+    assert {p["maxDepth"]: s for p, s in res} == dict(zip([1, 2, 3], want.avgMetrics))
+    assert model.bestModel.toDebugString.split("\n", 1)[1] == want.bestModel.toDebugString.split("\n", 1)[1]
+    df.unpersist()
+
+
+def test_class_weight_choice_keeps_nothing(spark):
+    from scorekit.session import release_cached
+    release_cached()
+    df = assemble(cf.stratified_folds(_planted(spark), "id", "label", 3, seed=1), ["a", "b"]).persist()
+    df.count()
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    best, tried = mdl.choose_class_weight(df, mdl.tree(max_depth=2, weight_col="weight"), {"none": 1.0, "up": 2.0}, "id", "label")
+    assert len(tried) == 2 and len(spark.sparkContext._jsc.getPersistentRDDs()) <= before
+    df.unpersist()
+
+
+def test_frames_kept_for_another_are_freed(spark):
+    from scorekit.session import keep, keep_alone, kept_frames, release_cached
+    release_cached()
+    first = keep(spark.range(100).withColumn("a", F.col("id") % 7))
+    since = kept_frames()
+    inner = keep(spark.range(50).withColumn("b", F.col("id") % 3))
+    inner.count()
+    out = keep_alone(inner.groupBy("b").count(), since)
+    assert out.storageLevel.useMemory and first.storageLevel.useMemory and not inner.storageLevel.useMemory and kept_frames() == since + 1
+    release_cached()
+    assert not out.storageLevel.useMemory and not first.storageLevel.useMemory
